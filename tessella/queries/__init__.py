@@ -1,2 +1,3 @@
 from tessella.queries.registry import QUERIES  # noqa: F401
 from tessella.queries import neighbors  # noqa: F401
+from tessella.queries import tiles  # noqa: F401
