@@ -48,7 +48,7 @@ def raw_raster(t) -> DataFrame:
 
 def noise_mask(t) -> DataFrame:
     """Pixels of a random half-full mask: the hard case for labelling."""
-    return t.orders.where("cast(floor(o_totalprice) as bigint) % 10 < 5").selectExpr(
+    return t.orders.where("o_totalprice < 250000").selectExpr(
         f"cast(o_orderkey div {WIDTH} as int) y", f"cast(o_orderkey % {WIDTH} as int) x"
     )
 
@@ -101,13 +101,15 @@ def region_tiles(t) -> DataFrame:
 
 
 def arcs(t) -> DataFrame:
-    """Boundary arcs of one square per customer, laid out 30 to a row; every seventh square lacks an arc."""
-    q = t.customer.selectExpr("c_custkey osm_id", "c_nationkey", "explode(array(0, 1, 2, 3)) arc").where(
-        "NOT (osm_id % 7 = 3 AND arc = 2)"
-    )
+    """Boundary arcs of one square per customer, laid out 30 to a row; squares of customers in debt lack one."""
+    q = t.customer.selectExpr(
+        "c_custkey osm_id", "c_nationkey", "c_acctbal", "c_mktsegment", "explode(array(0, 1, 2, 3)) arc"
+    ).where("NOT (c_acctbal < 0 AND arc = 2)")
     return q.selectExpr(
         "osm_id",
         "arc",
+        "c_acctbal > 8500 wood",
+        "c_mktsegment = 'MACHINERY' AND arc = 1 bare",
         "CASE WHEN c_nationkey % 5 = 4 THEN 'inner' WHEN c_nationkey % 5 = 3 THEN '' ELSE 'outer' END role",
         "CASE WHEN c_nationkey % 5 = 2 THEN 'way' ELSE 'relation' END type",
         "cast(osm_id div 30 + (CASE WHEN arc IN (1,2) THEN 1 ELSE 0 END)*0.5 as double) lat0",
@@ -122,17 +124,17 @@ def map_extract(t) -> DataFrame:
     a = arcs(t).withColumn(
         "geometry",
         F.expr(
-            "CASE WHEN osm_id % 11 = 5 AND arc = 1 THEN null ELSE"
+            "CASE WHEN bare THEN null ELSE"
             " array(named_struct('lat', lat0, 'lon', lon0), named_struct('lat', lat1, 'lon', lon1)) END"
         ),
     )
-    e = a.groupBy("osm_id", "type").agg(
+    e = a.groupBy("osm_id", "type", "wood").agg(
         F.sort_array(F.collect_list(F.struct("arc", "role", "geometry"))).alias("m")
     )
     return e.select(
         F.expr(
             "to_json(named_struct('elements', array(named_struct('type', type, 'id', osm_id,"
-            " 'tags', map('natural', CASE WHEN osm_id % 13 = 0 THEN 'wood' ELSE 'water' END),"
+            " 'tags', map('natural', CASE WHEN wood THEN 'wood' ELSE 'water' END),"
             " 'geometry', CASE WHEN type = 'way' THEN flatten(filter(transform(m, z -> z.geometry), z -> z IS NOT NULL)) END,"
             " 'members', CASE WHEN type = 'relation' THEN transform(m, z -> named_struct('role',"
             " z.role, 'geometry', z.geometry)) END))))"
@@ -175,7 +177,7 @@ raw_raster AS (
     "noise_mask": f"""
 noise_mask AS (
   SELECT o_orderkey // {WIDTH} AS y, o_orderkey % {WIDTH} AS x FROM orders
-  WHERE CAST(floor(o_totalprice) AS BIGINT) % 10 < 5)""",
+  WHERE o_totalprice < 250000)""",
     "size": f"""
 size AS (SELECT {WIDTH} AS w, max(o_orderkey) // {WIDTH} + 1 AS h FROM orders)""",
     "tile_files": """
@@ -202,7 +204,7 @@ region_tiles AS (
   WHERE c_acctbal > 1500)""",
     "arcs": """
 arcs AS (
-  SELECT c_custkey AS osm_id, arc,
+  SELECT c_custkey AS osm_id, arc, c_acctbal > 8500 AS wood, c_mktsegment = 'MACHINERY' AND arc = 1 AS bare,
     CASE WHEN c_nationkey % 5 = 4 THEN 'inner' WHEN c_nationkey % 5 = 3 THEN '' ELSE 'outer' END AS role,
     CASE WHEN c_nationkey % 5 = 2 THEN 'way' ELSE 'relation' END AS type,
     CAST(c_custkey // 30 + (CASE WHEN arc IN (1,2) THEN 1 ELSE 0 END)*0.5 AS DOUBLE) AS lat0,
@@ -210,7 +212,7 @@ arcs AS (
     CAST(c_custkey // 30 + (CASE WHEN arc IN (0,1) THEN 1 ELSE 0 END)*0.5 AS DOUBLE) AS lat1,
     CAST(c_custkey % 30  + (CASE WHEN arc IN (1,2) THEN 1 ELSE 0 END)*0.5 AS DOUBLE) AS lon1
   FROM customer CROSS JOIN (SELECT unnest([0,1,2,3]) AS arc)
-  WHERE NOT (c_custkey % 7 = 3 AND arc = 2))""",
+  WHERE NOT (c_acctbal < 0 AND arc = 2))""",
     "samples": """
 samples AS (
   SELECT d.doc_id, d.lang, d.text,

@@ -151,8 +151,8 @@ def fill_noise(channel: int) -> Column:
     """Whole number in -5..5 from a hash of place and channel."""
     x, y = F.col("x").cast("long"), F.col("y").cast("long")
     h = (x * 73856093) + (y * 19349663) + channel * 83492791
-    h = (h % 1000003) * ((h % 1009) + 7919) % 1000003
-    return h % 11 - 5
+    h = h % 1000003
+    return (h * (h % 1009 + 7919)) % 1000003 % 11 - 5
 
 
 def edge_distance(w: Column, h: Column) -> Column:

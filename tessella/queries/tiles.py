@@ -86,9 +86,9 @@ def a5(t):
     X.with_(
         "arcs",
         ctes="a AS (SELECT *, row_number() OVER (PARTITION BY osm_id ORDER BY arc) - 1 AS pos FROM arcs),\n"
-        "k AS (SELECT *, row_number() OVER (PARTITION BY osm_id ORDER BY arc) - 1 AS wpos FROM a WHERE NOT (osm_id % 11 = 5 AND arc = 1)),\n"
+        "k AS (SELECT *, row_number() OVER (PARTITION BY osm_id ORDER BY arc) - 1 AS wpos FROM a WHERE NOT bare),\n"
         "p AS (SELECT *, unnest([0, 1]) AS i FROM k)",
-        body="SELECT osm_id, type, osm_id % 13 = 0 AS wood, CASE WHEN type = 'way' THEN 0 ELSE pos END AS member,"
+        body="SELECT osm_id, type, wood, CASE WHEN type = 'way' THEN 0 ELSE pos END AS member,"
         " CASE WHEN type = 'way' THEN NULL ELSE role END AS role, CASE WHEN type = 'way' THEN wpos * 2 + i ELSE i END AS seq,"
         " CASE WHEN i = 0 THEN lat0 ELSE lat1 END AS lat, CASE WHEN i = 0 THEN lon0 ELSE lon1 END AS lon FROM p",
     ),
@@ -313,11 +313,11 @@ def b16(t):
         "g AS (SELECT region, count(DISTINCT file) AS n FROM f WHERE file LIKE '%.png' GROUP BY region)",
         body="SELECT DISTINCT region, file, 'name' AS reason FROM f WHERE file LIKE '%.jpg' UNION ALL"
         " SELECT DISTINCT region, file, 'size' FROM f WHERE file LIKE '%.png' AND width <> 1024 UNION ALL"
-        " SELECT region, '', 'too many tiles' FROM g WHERE n > 450 UNION ALL SELECT DISTINCT region, '', 'no notes' FROM f WHERE CAST(region[2:] AS INT) % 3 <> 0",
+        " SELECT region, '', 'too many tiles' FROM g WHERE n > 450 UNION ALL SELECT DISTINCT region, '', 'no notes' FROM f WHERE CAST(region[2:] AS INT) NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 3000)",
     ),
 )
 def b17(t):
-    notes = t.supplier.where("s_suppkey % 3 = 0").selectExpr("concat('submissions/r', s_suppkey, '/NOTES.md') path", "0 width", "0 height")
+    notes = t.supplier.where("s_acctbal > 3000").selectExpr("concat('submissions/r', s_suppkey, '/NOTES.md') path", "0 width", "0 height")
     return G.validate_submission(X.tile_files(t).select("path", "width", "height").unionByName(notes), max_tiles=450)
 
 
