@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessella.session import save
@@ -22,6 +25,18 @@ def lookup(rows: DataFrame, key: str, table: DataFrame, n: int, hot_min: int = H
     return rows.join(few, key).unionByName(rest)
 
 
+def ranked(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "idx") -> DataFrame:
+    """Number the rows of each ``by`` from 0 in the given order (which must be total). Rows are sorted by range
+    partitions and each partition numbers its own part, so one huge ``by`` still spreads over all tasks."""
+    by, order = list(by), list(order)
+    p = save(df.repartitionByRange(*by, *order).withColumn("pid", F.spark_partition_id()), "ranked")
+    sizes = p.groupBy(*by, "pid").count()
+    before = F.coalesce(F.sum("count").over(W.partitionBy(*by).orderBy("pid").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select(*by, "pid", before.alias("before"))  # one row per range partition and ``by``
+    own = F.row_number().over(W.partitionBy(*by, "pid").orderBy(*order))
+    return p.withColumn("own", own).join(sizes, [*by, "pid"]).select(*df.columns, (F.col("own") - 1 + F.col("before")).alias(name))
+
+
 def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 

@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessella.functions import color as C
 from tessella.operators import grid as G
 from tessella.operators import mosaic as M
-from tessella.operators.graph import components
+from tessella.operators.graph import components, ranked
 from tessella.operators.regions import median_by
 from tessella.session import save
 
@@ -68,8 +67,9 @@ def bfs_order(tiles: DataFrame, by: str) -> DataFrame:
     for lv in levels[1:]:
         out = out.unionByName(lv)
     out = out.join(t.select(by, "col", "row", "comp"), [by, "col", "row"])
-    w = W.partitionBy(by).orderBy("comp", "level", "path")
-    return out.select(by, "col", "row", "level", (F.row_number().over(w) - 1).alias("idx"))
+    return ranked(out.select(by, "comp", "level", "path", "col", "row"), [by], ["comp", "level", "path"]).select(
+        by, "col", "row", "level", "idx"
+    )
 
 
 def edit_waves(jobs: DataFrame, near: int = 1) -> DataFrame:

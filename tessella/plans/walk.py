@@ -30,60 +30,79 @@ def _q(x, y) -> Column:
     return F.struct(x.cast("int").alias("qx"), y.cast("int").alias("qy"))
 
 
-def producer_id(qx: Column, qy: Column, nc: Column, nr: Column) -> Column:
-    """Id of the call that makes quadrant (qx, qy)."""
-    c, r = F.floor(qx / 2), F.floor(qy / 2)
-    column = 1 + 2 * (nc - 1) + 2 * (r - 1) + qy % 2
-    inner = 1 + 2 * (nc - 1) + 2 * (nr - 1) + ((r - 1) * (nc - 1) + c - 1) * 4 + (qy % 2) * 2 + qx % 2
-    row = 1 + 2 * (c - 1) + qx % 2
-    return F.when((c == 0) & (r == 0), 0).when(r == 0, row).when(c == 0, column).otherwise(inner).cast("long")
+# The closed forms below are SQL expressions, so that one parse builds each of them; x and y may be any expressions.
 
 
-def wave_of(qx: Column, qy: Column) -> Column:
+def producer_sql(x: str = "qx", y: str = "qy") -> str:
+    """Id of the call that makes quadrant (x, y)."""
+    inner = f"1 + 2*(nc-1) + 2*(nr-1) + (({y} div 2 - 1)*(nc-1) + {x} div 2 - 1)*4 + ({y} % 2)*2 + {x} % 2"
+    return (
+        f"cast(CASE WHEN {x} < 2 AND {y} < 2 THEN 0 WHEN {y} < 2 THEN 1 + 2*({x} div 2 - 1) + {x} % 2"
+        f" WHEN {x} < 2 THEN 1 + 2*(nc-1) + 2*({y} div 2 - 1) + {y} % 2 ELSE {inner} END as bigint)"
+    )
+
+
+def wave_sql(x: str = "qx", y: str = "qy") -> str:
     """Round in which a quadrant can be made: all its sources belong to the two rounds before."""
-    return (F.greatest(qx, F.lit(1)) + F.greatest(qy, F.lit(1)) - 2).cast("int")
+    return f"cast(greatest({x}, 1) + greatest({y}, 1) - 2 as int)"
+
+
+def kind_sql(x: str = "qx", y: str = "qy") -> str:
+    """Kind of the call that makes a quadrant."""
+    return f"CASE WHEN {x} < 2 AND {y} < 2 THEN 'seed' WHEN {y} < 2 THEN 'half_h' WHEN {x} < 2 THEN 'half_v' ELSE 'br' END"
+
+
+OWN_SLOT = "CASE WHEN qx >= 1 AND qy >= 1 THEN 'br' WHEN qx >= 1 THEN 'tr' WHEN qy >= 1 THEN 'bl' ELSE 'tl' END"
+
+
+def dependents_sql() -> str:
+    """Calls whose window shows the finished quadrant (qx, qy): array of (call_id, kind, wave, slot). At most three."""
+
+    def use(cond, x, y, slot):
+        return (
+            f"CASE WHEN {cond} AND {x} < 2*nc AND {y} < 2*nr THEN named_struct('call_id', {producer_sql(x, y)},"
+            f" 'kind', {kind_sql(x, y)}, 'wave', {wave_sql(x, y)}, 'slot', {slot}) END"
+        )
+
+    right, below = "(qx+1)", "(qy+1)"
+    uses = [
+        use("qy <= 1 AND qx >= 1", right, "qy", "CASE WHEN qy = 0 THEN 'tl' ELSE 'bl' END"),
+        use("qx <= 1 AND qy >= 1", "qx", below, "CASE WHEN qx = 0 THEN 'tl' ELSE 'tr' END"),
+        use("qx >= 1 AND qy >= 1", right, below, "'tl'"),
+        use("qx >= 2 AND qy >= 1", "qx", below, "'tr'"),
+        use("qx >= 1 AND qy >= 2", right, "qy", "'bl'"),
+    ]
+    return f"array_compact(array({', '.join(uses)}))"
 
 
 def plan_calls(walks: DataFrame) -> DataFrame:
     """Calls ``(walk, call_id, kind, wave, deps, prod, nc, nr)`` of every walk ``(walk, nc, nr)``."""
-    rows = walks.select("walk", "nc", "nr", F.explode(F.sequence(F.lit(0), F.col("nr") - 1)).alias("r")).repartition("walk", "r")
-    cells = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("nc") - 1)).alias("c"))
-    parts = F.when((F.col("c") == 0) & (F.col("r") == 0), F.array(F.lit(0))).when(
-        (F.col("c") == 0) | (F.col("r") == 0), F.array(F.lit(0), F.lit(1))
-    ).otherwise(F.array(*[F.lit(i) for i in range(4)]))
-    p = cells.select("*", F.explode(parts).alias("p"))
-    c, r, i = F.col("c"), F.col("r"), F.col("p")
-    kind = F.when((c == 0) & (r == 0), "seed").when(r == 0, "half_h").when(c == 0, "half_v").otherwise("br")
-    p = p.withColumn("kind", kind)
+    rows = walks.selectExpr("walk", "nc", "nr", "explode(sequence(0, nr - 1)) r").repartition("walk", "r")
+    cells = rows.selectExpr("walk", "nc", "nr", "r", "explode(sequence(0, nc - 1)) c")
+    parts = "CASE WHEN c = 0 AND r = 0 THEN array(0) WHEN c = 0 OR r = 0 THEN array(0, 1) ELSE array(0, 1, 2, 3) END"
+    p = cells.selectExpr("walk", "nc", "nr", "r", "c", f"explode({parts}) i")
     # the top-left quadrant that the call makes
-    k = F.col("kind")
-    qx = (c * 2 + F.when(k == "half_h", i).when(k == "br", i % 2).otherwise(0)).cast("int")
-    qy = (r * 2 + F.when(k == "half_v", i).when(k == "br", F.floor(i / 2)).otherwise(0)).cast("int")
-    p = p.withColumn("qx", qx).withColumn("qy", qy)
-    x, y = F.col("qx"), F.col("qy")
-    none = F.array().cast("array<struct<qx:int,qy:int>>")
+    p = p.selectExpr(
+        "walk", "nc", "nr",
+        "cast(2*c + CASE WHEN r = 0 AND c > 0 THEN i WHEN r > 0 AND c > 0 THEN i % 2 ELSE 0 END as int) qx",
+        "cast(2*r + CASE WHEN c = 0 AND r > 0 THEN i WHEN r > 0 AND c > 0 THEN i div 2 ELSE 0 END as int) qy",
+    )
+    p = p.selectExpr("*", f"{kind_sql()} kind")
+    q = lambda x, y: f"struct(cast({x} as int) qx, cast({y} as int) qy)"
     deps = (
-        F.when(k == "half_h", F.array(_q(x - 1, 0), _q(x - 1, 1)))
-        .when(k == "half_v", F.array(_q(0, y - 1), _q(1, y - 1)))
-        .when(k == "br", F.array(_q(x - 1, y - 1), _q(x, y - 1), _q(x - 1, y)))
-        .otherwise(none)
+        f"CASE kind WHEN 'half_h' THEN array({q('qx-1', 0)}, {q('qx-1', 1)}) WHEN 'half_v' THEN array({q(0, 'qy-1')}, {q(1, 'qy-1')})"
+        f" WHEN 'br' THEN array({q('qx-1', 'qy-1')}, {q('qx', 'qy-1')}, {q('qx-1', 'qy')}) ELSE cast(array() as array<struct<qx:int,qy:int>>) END"
     )
     prod = (
-        F.when(k == "seed", F.array(_q(0, 0), _q(1, 0), _q(0, 1), _q(1, 1)))
-        .when(k == "half_h", F.array(_q(x, 0), _q(x, 1)))
-        .when(k == "half_v", F.array(_q(0, y), _q(1, y)))
-        .otherwise(F.array(_q(x, y)))
-    )
-    return p.select(
-        "walk", producer_id(x, y, F.col("nc"), F.col("nr")).alias("call_id"), "kind", wave_of(x, y).alias("wave"),
-        deps.alias("deps"), prod.alias("prod"), "nc", "nr",
+        f"CASE kind WHEN 'seed' THEN array({q(0, 0)}, {q(1, 0)}, {q(0, 1)}, {q(1, 1)}) WHEN 'half_h' THEN array({q('qx', 0)}, {q('qx', 1)})"
+        f" WHEN 'half_v' THEN array({q(0, 'qy')}, {q(1, 'qy')}) ELSE array({q('qx', 'qy')}) END"
     )
+    return p.selectExpr("walk", f"{producer_sql()} call_id", "kind", f"{wave_sql()} wave", f"{deps} deps", f"{prod} prod", "nc", "nr")
 
 
 def dependency_calls(calls: DataFrame) -> DataFrame:
     """Calls with ``needs``, the distinct calls that they wait for."""
-    made_by = F.transform("deps", lambda q: producer_id(q.qx, q.qy, F.col("nc"), F.col("nr")))
-    return calls.withColumn("needs", F.array_distinct(made_by))
+    return calls.selectExpr("*", f"array_distinct(transform(deps, q -> {producer_sql('q.qx', 'q.qy')})) needs")
 
 
 def dependency_edges(calls: DataFrame) -> DataFrame:
@@ -103,56 +122,49 @@ def tile_seed(i: Column) -> Column:
     return F.lit(100) + i * SEED_STEP
 
 
-def window_slots(calls: DataFrame) -> DataFrame:
-    """The 2 x 2 window of each call: one row per slot ``tl, tr, bl, br`` with its quadrant and whether it shows
-    a finished (``made``) or a raw one; ``target`` marks the quadrants that the call will make."""
-    p0 = F.col("prod")[0]
-    k = F.col("kind")
-    ox = F.when(k.isin("half_h", "br"), p0.qx - 1).otherwise(p0.qx)
-    oy = F.when(k.isin("half_v", "br"), p0.qy - 1).otherwise(p0.qy)
-    slots = F.explode(
-        F.array(*[
-            F.struct(F.lit(n).alias("slot"), (ox + dx).cast("int").alias("qx"), (oy + dy).cast("int").alias("qy"))
-            for n, dx, dy in (("tl", 0, 0), ("tr", 1, 0), ("bl", 0, 1), ("br", 1, 1))
-        ])
+def windows(raw: DataFrame, made: DataFrame | None, wave: int | None = None) -> DataFrame:
+    """One row per call with the payloads of its 2 x 2 window as columns ``tl, tr, bl, br``: finished neighbours
+    from ``made``, raw content where the call will draw (``targets``). Both inputs hold
+    ``(walk, nc, nr, qx, qy, payload)``; every quadrant knows its calls, so one grouping does it all."""
+    parts = raw.selectExpr(
+        "walk", "nc", "nr", f"{producer_sql()} call_id", f"{kind_sql()} kind", f"{wave_sql()} wave", f"{OWN_SLOT} slot",
+        f"struct({OWN_SLOT} slot, qx, qy) target", "payload",
     )
-    s = calls.select("walk", "call_id", "kind", "wave", "prod", slots.alias("s")).select("*", "s.*").drop("s")
-    target = F.exists("prod", lambda q: (q.qx == F.col("qx")) & (q.qy == F.col("qy")))
-    return s.select("walk", "call_id", "kind", "wave", "slot", "qx", "qy", target.alias("target"))
-
-
-def windows(calls: DataFrame, raw: DataFrame, made: DataFrame | None) -> DataFrame:
-    """One row per call with the payloads of its window as columns ``tl, tr, bl, br``. ``raw`` and ``made`` hold
-    ``(walk, qx, qy, payload)``. A quadrant enters at most four windows, so no key is hot."""
-    key = ["walk", "qx", "qy"]
-    s = window_slots(calls)
-    parts = s.where("target").join(raw.select(*key, "payload"), key)
     if made is not None:
-        parts = parts.unionByName(s.where("NOT target").join(made.select(*key, "payload"), key))
-    return parts.groupBy("walk", "call_id", "kind", "wave").agg(
-        *[F.max(F.when(F.col("slot") == n, F.col("payload"))).alias(n) for n in ("tl", "tr", "bl", "br")],
-        F.collect_list(F.when(F.col("target"), F.struct("slot", "qx", "qy"))).alias("targets"),
-    )
-
-
-def run_walk(walks: DataFrame, raw: DataFrame, editor, path: str | None = None) -> DataFrame:
-    """Make all quadrants, wave by wave; returns ``(walk, qx, qy, payload)``.
-
-    ``editor`` changes the window columns ``tl, tr, bl, br`` of each call. Every wave of all walks is one job that
-    reads the two waves before and writes its own partition to the shared folder: a lost executor costs a
-    retry of its tasks, and a stopped run can go on from the waves that exist."""
+        used = made.selectExpr("walk", "nc", "nr", "payload", f"explode({dependents_sql()}) u")
+        used = used.selectExpr(
+            "walk", "nc", "nr", "u.call_id", "u.kind", "u.wave", "u.slot",
+            "cast(null as struct<slot:string,qx:int,qy:int>) target", "payload",
+        )
+        parts = parts.unionByName(used)
+    if wave is not None:
+        parts = parts.where(f"wave = {wave}")
+    slot = [F.expr(f"max(CASE WHEN slot = '{n}' THEN payload END) {n}") for n in ("tl", "tr", "bl", "br")]
+    return parts.groupBy("walk", "call_id", "kind", "wave", "nc", "nr").agg(*slot, F.collect_list("target").alias("targets"))
+
+
+def run_walk(raw: DataFrame, editor, path: str | None = None) -> DataFrame:
+    """Make all quadrants ``(walk, nc, nr, qx, qy, payload)``, wave by wave.
+
+    ``editor`` changes the window columns ``tl, tr, bl, br`` of each call. The raw quadrants are written once,
+    partitioned by wave, so that each wave reads only its own share. Every wave of all walks is one job that
+    reads the two waves before it and writes its own partition to the shared folder: a lost executor costs a
+    retry of its tasks, and a stopped run can go on after the waves that exist."""
     spark = raw.sparkSession
     path = path or new_path(spark, "walk")
-    calls = plan_calls(walks)
-    last = walks.agg(F.max(2 * (F.col("nc") + F.col("nr")) - 4)).first()[0]
-    schema = f"walk {dict(raw.dtypes)['walk']}, qx int, qy int, payload {dict(raw.dtypes)['payload']}"
+    quads = raw.select("walk", F.col("nc").cast("int"), F.col("nr").cast("int"), F.col("qx").cast("int"), F.col("qy").cast("int"), "payload")
+    types = dict(quads.dtypes)
+    schema = ", ".join(f"{c} {types[c]}" for c in quads.columns)
+    staged = quads.withColumn("wave", F.expr(wave_sql()))
+    staged.hint("rebalance", "wave").write.partitionBy("wave").parquet(f"{path}/raw")
+    last = staged.agg(F.max("wave")).first()[0]
     for wave in range(last + 1):
         near = [f"{path}/wave={w}" for w in (wave - 2, wave - 1) if w >= 0]
         made = spark.read.schema(schema).parquet(*near) if near else None
-        win = windows(calls.where(F.col("wave") == wave), raw, made)
-        out = editor.apply(win).select("walk", F.explode("targets").alias("t"), "tl", "tr", "bl", "br")
+        win = windows(spark.read.schema(schema).parquet(f"{path}/raw/wave={wave}"), made, wave)
+        out = editor.apply(win).select("walk", "nc", "nr", F.explode("targets").alias("t"), "tl", "tr", "bl", "br")
         cell = F.expr("CASE t.slot WHEN 'tl' THEN tl WHEN 'tr' THEN tr WHEN 'bl' THEN bl ELSE br END")
-        out.select("walk", "t.qx", "t.qy", cell.alias("payload")).write.mode("overwrite").parquet(f"{path}/wave={wave}")
+        out.select("walk", "nc", "nr", "t.qx", "t.qy", cell.alias("payload")).write.mode("overwrite").parquet(f"{path}/wave={wave}")
     return spark.read.schema(schema).parquet(*[f"{path}/wave={w}" for w in range(last + 1)])
 
 

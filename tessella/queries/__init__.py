@@ -2,3 +2,4 @@ from tessella.queries.registry import QUERIES  # noqa: F401
 from tessella.queries import neighbors  # noqa: F401
 from tessella.queries import tiles  # noqa: F401
 from tessella.queries import pixels  # noqa: F401
+from tessella.queries import walks  # noqa: F401

@@ -12,7 +12,7 @@ from tessella.operators import runs as R
 from tessella.queries import sqlgen as S
 from tessella.queries.registry import query
 
-BLOCK = 64  # small, so that the test canvas spans several blocks
+BLOCK = 128  # small, so that larger test canvases span several blocks
 BLUE = "blue AS (SELECT y, x FROM raster WHERE b - r > 14 AND b - g > 8 AND b > 90),\n"
 GREY = "r + g + b"
 
@@ -230,7 +230,8 @@ SIZES = "sizes AS (SELECT label, CAST(sum(x1 - x0 + 1) AS BIGINT) AS px FROM lab
     X.with_("noise_mask", ctes=LABELS, body="SELECT y, unnest(range(x0, x1 + 1)) AS x, label FROM lab"),
 )
 def f1(t):
-    return R.to_pixels(G.label(noise_runs(t), block=BLOCK).labelled())
+    runs = R.from_pixels(X.noise_mask(t), block=32)  # many blocks, so that regions join across borders
+    return R.to_pixels(G.label(runs, block=32).labelled())
 
 
 @query("f2_region_sizes", "label:l px:l", X.with_("noise_mask", ctes=LABELS + SIZES, body="SELECT * FROM sizes"))
