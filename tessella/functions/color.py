@@ -31,6 +31,11 @@ def clip_u8(c: Column) -> Column:
     return F.floor(F.greatest(F.least(c.cast("double"), F.lit(255.0)), F.lit(0.0)))
 
 
+def clip(c: Column) -> Column:
+    """Clip to 0..255 and keep the fraction (and the name)."""
+    return F.greatest(F.least(c, F.lit(255.0)), F.lit(0.0))
+
+
 def _scaled(over: Column, factor: Column, cols=("r", "g", "b")) -> list[Column]:
     return [F.when(over, F.col(c) * factor).otherwise(F.col(c).cast("double")).alias(c) for c in cols]
 

@@ -16,63 +16,75 @@ from pyspark.sql import functions as F
 BLOCK = 256
 
 
-def _targets(x: Column, size: int, before: int, after: int, block: int) -> Column:
+def _c(v) -> Column:
+    return v if isinstance(v, Column) else F.lit(v)
+
+
+def _targets(x: str, size: Column, before: int, after: int, block: int) -> Column:
     """(block, position) pairs on one axis: every block whose windows need pixel ``x``, mirrored ones included."""
-    last = (size - 1) // block
-
-    def at(p: Column) -> Column:
-        lo = F.greatest(F.floor((p - after) / F.lit(block)), F.lit(0))
-        hi = F.least(F.floor((p + before) / F.lit(block)), F.lit(last))
-        return F.transform(
-            F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>")),
-            lambda k: F.struct(k.alias("blk"), p.cast("long").alias("pos")),
+    v = F.struct(F.col(x).cast("long").alias("p"), _c(size).cast("long").alias("n"))
+
+    def at(p: str) -> str:
+        first, last = f"greatest(floor(({p} - {after}) / {block}), 0L)", f"least(floor(({p} + {before}) / {block}), (v.n - 1) div {block})"
+        return (
+            f"CASE WHEN {first} <= {last} THEN transform(sequence({first}, {last}), k -> struct(k blk, {p} pos))"
+            " ELSE cast(array() as array<struct<blk:bigint,pos:bigint>>) END"
         )
 
-    none = F.array().cast("array<struct<blk:bigint,pos:bigint>>")
-    left = F.when(x < before, at(-x - 1)).otherwise(none)
-    right = F.when(x >= size - after, at(F.lit(2 * size - 1) - x)).otherwise(none)
-    return F.concat(at(x), left, right)
+    none = "cast(array() as array<struct<blk:bigint,pos:bigint>>)"
+    both = (
+        f"flatten(transform(array({{v}}), v -> concat({at('v.p')}, CASE WHEN v.p < {before} THEN {at('(-1 - v.p)')} ELSE {none} END,"
+        f" CASE WHEN v.p >= v.n - {after} THEN {at('(2 * v.n - 1 - v.p)')} ELSE {none} END)))"
+    )
+    return both, v
 
 
-def with_halo(px: DataFrame, values: Sequence[str], w: int, h: int, before: int, after: int, block: int = BLOCK) -> DataFrame:
-    """Rows ``(by, bx, y, x, values…)`` partitioned by block, borders mirrored."""
-    p = px.select("*", F.explode(_targets(F.col("x"), w, before, after, block)).alias("tx"))
-    p = p.select("*", F.explode(_targets(F.col("y"), h, before, after, block)).alias("ty"))
-    p = p.select(
-        F.col("ty.blk").alias("by"), F.col("tx.blk").alias("bx"), F.col("ty.pos").alias("y"), F.col("tx.pos").alias("x"), *values
+def with_halo(
+    px: DataFrame, values: Sequence[str], w, h, before: int, after: int, block: int = BLOCK, by: Sequence[str] = ()
+) -> DataFrame:
+    """Rows ``(by…, by_, bx, y, x, values…)`` partitioned by block, borders mirrored."""
+    by = list(by)
+    for axis, size in (("x", w), ("y", h)):
+        text, v = _targets(axis, size, before, after, block)
+        px = px.withColumn(f"v{axis}", v).withColumn(f"t{axis}", F.expr("explode(" + text.replace("{v}", f"v{axis}") + ")"))
+    p = px.select(
+        *by, F.col("ty.blk").alias("by_"), F.col("tx.blk").alias("bx"), F.col("ty.pos").alias("y"), F.col("tx.pos").alias("x"), *values
     )
-    return p.repartition("by", "bx")
+    return p.repartition(*by, "by_", "bx")
 
 
-def _pass(df, values, own, other: str, axis: str, blk: str, size: int, before: int, after: int, block: int) -> DataFrame:
-    w = W.partitionBy("by", "bx", other).orderBy(axis)
-    keep = ["by", "bx", "y", "x", *own]
+def _pass(df, values, own, other: str, axis: str, blk: str, size, before: int, after: int, block: int, by) -> DataFrame:
+    w = W.partitionBy(*by, "by_", "bx", other).orderBy(axis)
+    keep = [*by, "by_", "bx", "y", "x", *own]
     run = df.select(*keep, *[F.sum(v).over(w).alias(v) for v in values])
     out = run.select(
         *keep, *[(F.lead(v, after).over(w) - F.coalesce(F.lag(v, before + 1).over(w), F.lit(0))).alias(v) for v in values]
     )
     lo = F.col(blk) * block
-    return out.where((F.col(axis) >= lo) & (F.col(axis) < lo + block) & (F.col(axis) < size))
+    return out.where((F.col(axis) >= lo) & (F.col(axis) < lo + block) & (F.col(axis) < _c(size)))
 
 
 def box_sum(
-    px: DataFrame, values: Sequence[str], k: int, w: int, h: int, own: Sequence[str] = (), block: int = BLOCK
+    px: DataFrame, values: Sequence[str], k: int, w, h, own: Sequence[str] = (), block: int = BLOCK, by: Sequence[str] = ()
 ) -> DataFrame:
     """Sum of each value over the ``k`` x ``k`` box around every pixel of a dense canvas; mirrored border.
-    ``own`` columns of the pixel itself are carried along, so no join back is needed."""
+    ``own`` columns of the pixel itself are carried along, so no join back is needed. With ``by`` the table
+    holds many canvases, and ``w`` and ``h`` may be columns that belong to ``by``."""
     before, after = k // 2, k - 1 - k // 2
-    if min(w, h) < max(before, after):
+    if isinstance(w, int) and isinstance(h, int) and min(w, h) < max(before, after):
         raise ValueError("the box must not reach over the canvas twice")
-    p = with_halo(px, [*values, *own], w, h, before, after, block)
-    p = _pass(p, values, own, "y", "x", "bx", w, before, after, block)
-    return _pass(p, values, own, "x", "y", "by", h, before, after, block).select("y", "x", *own, *values)
+    p = with_halo(px, [*values, *own], w, h, before, after, block, by)
+    p = _pass(p, values, own, "y", "x", "bx", w, before, after, block, by)
+    return _pass(p, values, own, "x", "y", "by_", h, before, after, block, by).select(*by, "y", "x", *own, *values)
 
 
-def variance_key(px: DataFrame, k: int, w: int, h: int, own: Sequence[str] = ("r", "g", "b"), block: int = BLOCK) -> DataFrame:
+def variance_key(
+    px: DataFrame, k: int, w, h, own: Sequence[str] = ("r", "g", "b"), block: int = BLOCK, by: Sequence[str] = ()
+) -> DataFrame:
     """``vkey`` = ``9 * k^4 *`` variance of the mean grey in the box, a whole number, and the pixel's ``own`` columns."""
     s = (F.col("r") + F.col("g") + F.col("b")).cast("long")
-    q = box_sum(px.withColumn("s1", s).withColumn("s2", s * s), ["s1", "s2"], k, w, h, own, block)
-    return q.select("y", "x", *own, (F.col("s2") * k * k - F.col("s1") * F.col("s1")).alias("vkey"))
+    q = box_sum(px.withColumn("s1", s).withColumn("s2", s * s), ["s1", "s2"], k, w, h, own, block, by)
+    return q.select(*by, "y", "x", *own, (F.col("s2") * k * k - F.col("s1") * F.col("s1")).alias("vkey"))
 
 
 def std_below(limit: int, k: int, key: str = "vkey") -> Column:
@@ -95,14 +107,14 @@ def gaussian_sum(px: DataFrame, value: str, sigma: float, w: int, h: int, own: S
     r = len(wt) // 2
     own = list(own)
     p = with_halo(px, [value, *own], w, h, r, r, block)
-    for other, axis, blk, size in (("y", "x", "bx", w), ("x", "y", "by", h)):
-        win = W.partitionBy("by", "bx", other).orderBy(axis)
+    for other, axis, blk, size in (("y", "x", "bx", w), ("x", "y", "by_", h)):
+        win = W.partitionBy("by_", "bx", other).orderBy(axis)
         total = F.lit(0).cast("long")
         for d, c in enumerate(wt):
             v = F.col(value) if d == r else (F.lag(value, r - d).over(win) if d < r else F.lead(value, d - r).over(win))
             total = total + v * c
         lo = F.col(blk) * block
-        p = p.select("by", "bx", "y", "x", *own, total.alias(value)).where(
+        p = p.select("by_", "bx", "y", "x", *own, total.alias(value)).where(
             (F.col(axis) >= lo) & (F.col(axis) < lo + block) & (F.col(axis) < size)
         )
     return p.select("y", "x", *own, value)

@@ -25,11 +25,6 @@ def split_quads(tiles: DataFrame) -> DataFrame:
     )
 
 
-def _q(x, y) -> Column:
-    x, y = (v if isinstance(v, Column) else F.lit(v) for v in (x, y))
-    return F.struct(x.cast("int").alias("qx"), y.cast("int").alias("qy"))
-
-
 # The closed forms below are SQL expressions, so that one parse builds each of them; x and y may be any expressions.
 
 

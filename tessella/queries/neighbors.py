@@ -230,8 +230,8 @@ SIZES = "sizes AS (SELECT label, CAST(sum(x1 - x0 + 1) AS BIGINT) AS px FROM lab
     X.with_("noise_mask", ctes=LABELS, body="SELECT y, unnest(range(x0, x1 + 1)) AS x, label FROM lab"),
 )
 def f1(t):
-    runs = R.from_pixels(X.noise_mask(t), block=32)  # many blocks, so that regions join across borders
-    return R.to_pixels(G.label(runs, block=32).labelled())
+    runs = R.from_pixels(X.noise_mask(t), block=64)  # many blocks, so that regions join across borders
+    return R.to_pixels(G.label(runs, block=64).labelled())
 
 
 @query("f2_region_sizes", "label:l px:l", X.with_("noise_mask", ctes=LABELS + SIZES, body="SELECT * FROM sizes"))
