@@ -1 +1,8 @@
 """tessella: build and clean very large tiled images as Spark tables."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to Python workers by value, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

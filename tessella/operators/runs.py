@@ -27,29 +27,22 @@ def _div(c: Column, n: int) -> Column:
 
 def cut(spans: DataFrame, block: int = BLOCK) -> DataFrame:
     """Cut spans ``(…, x0, x1)`` at block columns."""
-    keep = [c for c in spans.columns if c not in ("bx", "x0", "x1")]
-    s = spans.where("x0 <= x1").withColumn(
-        "bx", F.explode(F.sequence(_div(F.col("x0"), block), _div(F.col("x1"), block)))
+    keep = [f"`{c}`" for c in spans.columns if c not in ("bx", "x0", "x1")]
+    s = spans.where("x0 <= x1").selectExpr(
+        *keep, "x0", "x1", f"explode(sequence(cast(floor(x0 / {block}) as bigint), cast(floor(x1 / {block}) as bigint))) bx"
     )
-    return s.select(
-        *keep,
-        "bx",
-        F.greatest(F.col("x0").cast("long"), F.col("bx") * block).alias("x0"),
-        F.least(F.col("x1").cast("long"), F.col("bx") * block + block - 1).alias("x1"),
+    return s.selectExpr(
+        *keep, "bx", f"greatest(cast(x0 as bigint), bx * {block}) x0", f"least(cast(x1 as bigint), bx * {block} + {block - 1}) x1"
     )
 
 
 def _events(runs: DataFrame, key: list[str], a: int, b: int) -> DataFrame:
-    e = F.explode(
-        F.array(
-            F.struct(F.col("x0").alias("pos"), F.lit(a).alias("da"), F.lit(b).alias("db")),
-            F.struct((F.col("x1") + 1).alias("pos"), F.lit(-a).alias("da"), F.lit(-b).alias("db")),
-        )
-    )
-    return runs.select(*key, e.alias("e")).select(*key, "e.pos", "e.da", "e.db")
+    """Spans as +1/-1 steps at their ends; ``da`` counts spans of the first table, ``db`` those of the second."""
+    ends = f"inline(array(struct(x0 pos, {a} da, {b} db), struct(x1 + 1 pos, {-a} da, {-b} db)))"
+    return runs.selectExpr(*key, ends)
 
 
-def sweep(a: DataFrame, b: DataFrame | None, keep: Column, by: Sequence[str] = ()) -> DataFrame:
+def sweep(a: DataFrame, b: DataFrame | None, keep: str, by: Sequence[str] = ()) -> DataFrame:
     """Runs of the positions where ``keep`` holds; it may use ``ca`` and ``cb``, the number of spans of
     ``a`` and ``b`` that cover a position. One shuffle on (by, y, bx) serves all steps."""
     key = [*by, "y", "bx"]
@@ -57,35 +50,29 @@ def sweep(a: DataFrame, b: DataFrame | None, keep: Column, by: Sequence[str] = (
     if b is not None:
         ev = ev.unionByName(_events(b, key, 0, 1))
     ev = ev.repartition(*key).groupBy(*key, "pos").agg(F.sum("da").alias("da"), F.sum("db").alias("db"))
-    w = W.partitionBy(*key).orderBy("pos")
-    seg = ev.select(
-        *key, "pos", F.sum("da").over(w).alias("ca"), F.sum("db").over(w).alias("cb"), F.lead("pos").over(w).alias("nxt")
-    ).withColumn("inside", F.col("nxt").isNotNull() & keep)
-    seg = seg.withColumn("prev", F.lag("inside", 1, False).over(w))
-    seg = seg.withColumn("island", F.sum((F.col("inside") & ~F.col("prev")).cast("int")).over(w))
-    return (
-        seg.where("inside")
-        .groupBy(*key, "island")
-        .agg(F.min("pos").alias("x0"), (F.max("nxt") - 1).alias("x1"))
-        .drop("island")
-    )
+    over = f"OVER (PARTITION BY {', '.join(key)} ORDER BY pos)"
+    seg = ev.selectExpr(*key, "pos", f"sum(da) {over} ca", f"sum(db) {over} cb", f"lead(pos) {over} nxt")
+    seg = seg.selectExpr(*key, "pos", "nxt", f"nxt IS NOT NULL AND {keep} inside")
+    seg = seg.selectExpr("*", f"inside AND NOT lag(inside, 1, false) {over} starts")
+    seg = seg.selectExpr(*key, "pos", "nxt", "inside", f"sum(cast(starts as int)) {over} island").where("inside")
+    return seg.groupBy(*key, "island").agg(F.min("pos").alias("x0"), F.expr("max(nxt) - 1 x1")).drop("island")
 
 
 def merge(spans: DataFrame, by: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
     """Overlapping or touching spans become disjoint runs."""
-    return sweep(cut(spans, block), None, F.col("ca") > 0, by)
+    return sweep(cut(spans, block), None, "ca > 0", by)
 
 
 def union(a: DataFrame, b: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return sweep(a, b, (F.col("ca") > 0) | (F.col("cb") > 0), by)
+    return sweep(a, b, "(ca > 0 OR cb > 0)", by)
 
 
 def intersect(a: DataFrame, b: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return sweep(a, b, (F.col("ca") > 0) & (F.col("cb") > 0), by)
+    return sweep(a, b, "ca > 0 AND cb > 0", by)
 
 
 def subtract(a: DataFrame, b: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return sweep(a, b, (F.col("ca") > 0) & (F.col("cb") == 0), by)
+    return sweep(a, b, "ca > 0 AND cb = 0", by)
 
 
 def from_pixels(pixels: DataFrame, by: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
@@ -129,21 +116,15 @@ def universe(spark: SparkSession, w: int, h: int, block: int = BLOCK) -> DataFra
 
 def universe_of(canvases: DataFrame, by: Sequence[str], block: int = BLOCK) -> DataFrame:
     """All rows of many canvases ``(by…)``, which include the columns ``w`` and ``h``."""
-    rows = canvases.select(*by, F.explode(F.sequence(F.lit(0), F.col("h") - 1)).cast("long").alias("y"))
+    rows = canvases.select(*by, F.explode(F.sequence(F.lit(0).cast("long"), F.col("h").cast("long") - 1)).alias("y"))
     return cut(rows.select("*", F.lit(0).alias("x0"), (F.col("w") - 1).alias("x1")), block)
 
 
 def dilate(runs: DataFrame, n: int, w, h, by: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
     """All pixels within Manhattan distance ``n``: what ``n`` steps of the 4-neighbour cross reach."""
-    s = runs.withColumn("k", F.explode(F.sequence(F.lit(-n), F.lit(n))))
-    reach = F.lit(n) - F.abs("k")
-    s = s.select(
-        *by,
-        (F.col("y") + F.col("k")).alias("y"),
-        F.greatest(F.col("x0") - reach, F.lit(0)).alias("x0"),
-        F.least(F.col("x1") + reach, _c(w) - 1).alias("x1"),
-    )
-    return merge(s.where((F.col("y") >= 0) & (F.col("y") < _c(h))), by, block)
+    s = runs.select(*by, "y", "x0", "x1", _c(w).alias("w_"), _c(h).alias("h_"), F.expr(f"explode(sequence(-{n}, {n})) k"))
+    s = s.selectExpr(*by, "y + k y", f"greatest(x0 - ({n} - abs(k)), 0L) x0", f"least(x1 + ({n} - abs(k)), w_ - 1L) x1", "h_")
+    return merge(s.where("y >= 0 AND y < h_").drop("h_"), by, block)
 
 
 def complement(runs: DataFrame, space: DataFrame, by: Sequence[str] = ()) -> DataFrame:

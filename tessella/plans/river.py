@@ -12,7 +12,7 @@ from tessella.operators import grid as G
 from tessella.operators import mosaic as M
 from tessella.operators.graph import components, ranked
 from tessella.operators.regions import median_by
-from tessella.session import save
+from tessella.session import new_path, save
 
 ID = 31  # cell id = col * 2**31 + row, which orders cells like (col, row)
 
@@ -72,35 +72,128 @@ def bfs_order(tiles: DataFrame, by: str) -> DataFrame:
     )
 
 
-def edit_waves(jobs: DataFrame, near: int = 1) -> DataFrame:
-    """Round of each job ``(by, col, row, idx)`` when a job must wait for all earlier jobs within ``near`` cells,
-    whose result its window shows. Rounds are longest chains, found by relaxation over the bounded set of
-    neighbours (at most ``(2 near + 1)^2 - 1`` per job)."""
-    by = [c for c in jobs.columns if c not in ("col", "row", "idx")]
-    key = [*by, "col", "row"]
-    steps = [(dx, dy) for dx in range(-near, near + 1) for dy in range(-near, near + 1) if (dx, dy) != (0, 0)]
-    st = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in steps]))
-    waits = jobs.select(*key, "idx", st.alias("s")).select(
-        *by, (F.col("col") + F.col("s.dx")).alias("col"), (F.col("row") + F.col("s.dy")).alias("row"),
-        F.col("col").alias("c"), F.col("row").alias("r"), F.col("idx").alias("i"),
-    )
-    waits = save(waits.join(jobs, key).where("idx < i").drop("idx"), "waits")
-    state = save(jobs.withColumn("wave", F.lit(0)), "waves")
+def rounds(jobs: DataFrame, waits: DataFrame) -> DataFrame:
+    """Round of each job ``(box_id)`` that must run after the jobs in ``waits (box_id, on)``: the longest chain
+    before it, found by relaxation until nothing moves."""
+    state = save(jobs.select("box_id", F.lit(0).alias("wave")), "rounds")
     while True:
-        need = waits.join(state.select(*key, "wave"), key).groupBy(*by, F.col("c").alias("col"), F.col("r").alias("row")).agg(
-            (F.max("wave") + 1).alias("need")
-        )
-        j = state.join(need, key, "left")
-        nxt = save(
-            j.select(*key, "idx", F.greatest("wave", F.coalesce("need", F.lit(0))).alias("wave"), (F.coalesce("need", F.lit(0)) > F.col("wave")).alias("moved")),
-            "waves",
-        )
-        state = nxt.drop("moved")
+        need = waits.join(state.select(F.col("box_id").alias("on"), "wave"), "on").groupBy("box_id").agg((F.max("wave") + 1).alias("need"))
+        j = state.join(need, "box_id", "left").select("box_id", "wave", F.coalesce("need", F.lit(0)).alias("need"))
+        nxt = save(j.select("box_id", F.greatest("wave", "need").alias("wave"), (F.col("need") > F.col("wave")).alias("moved")), "rounds")
+        state = nxt.select("box_id", "wave")
         if nxt.where("moved").isEmpty():
             return state
 
 
-def prefill_color(pixels: DataFrame, boxes: DataFrame, ring: int = 40, least: int = 50, fallback=C.GROUND) -> DataFrame:
+def box_waits(windows: DataFrame, block: int) -> DataFrame:
+    """``(box_id, on)``: the window of a box shows an earlier box, which must be finished first. Both sides meet
+    on the blocks that they touch."""
+
+    def on_blocks(df, x0, y0, x1, y1):
+        seq = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / block), F.floor((F.col(hi) - 1) / block)))
+        return df.withColumn("kx", seq(x0, x1)).withColumn("ky", seq(y0, y1))
+
+    late = on_blocks(windows.select("box_id", "wx0", "wy0", "wx1", "wy1"), "wx0", "wy0", "wx1", "wy1")
+    early = on_blocks(windows.select(F.col("box_id").alias("on"), "x0", "y0", "x1", "y1"), "x0", "y0", "x1", "y1")
+    meet = (F.col("on") < F.col("box_id")) & (F.col("x0") < F.col("wx1")) & (F.col("x1") > F.col("wx0")) & (F.col("y0") < F.col("wy1")) & (F.col("y1") > F.col("wy0"))
+    return late.join(early, ["kx", "ky"]).where(meet).select("box_id", "on").distinct()
+
+
+def edit_boxes(
+    canvas: DataFrame, boxes: DataFrame, editor, win: int, feather: int, w: int, h: int, raw: DataFrame | None = None, fill: DataFrame | None = None
+) -> DataFrame:
+    """Re-make boxes ``(box_id, x0, y0, x1, y1)`` of a canvas in the order of their ids.
+
+    A ``win`` x ``win`` window around each box shows the current canvas, in the box the ``raw`` capture, a ``fill``
+    colour ``(box_id, fr, fg, fb)`` or the canvas itself, and a red outline. ``editor`` gets the window pixels
+    ``(box_id, y, x, r, g, b, …)``; its result is feathered into the canvas inside the box. Later windows see
+    earlier results: boxes run in rounds, and those of a round do not see each other. The canvas is read once,
+    cut into windows by round; a round reads its own windows and the patches made before it."""
+    spark = canvas.sparkSession
+    b = G.context_window(boxes.select("box_id", "x0", "y0", "x1", "y1"), win, w, h)
+    b = save(b.withColumn("wx1", F.col("wx0") + win).withColumn("wy1", F.col("wy0") + win), "boxes")
+    b = save(b.join(rounds(b, save(box_waits(b, win), "waits")), "box_id"), "boxes")
+    rgb = ["r", "g", "b"]
+    key = ["box_id", "wave", "bx0", "by0", "bx1", "by1"]
+    layers = canvas.select("y", "x", *rgb, F.lit(-1).alias("prio"))
+    if raw is not None:
+        layers = layers.unionByName(raw.select("y", "x", *rgb, F.lit(-2).alias("prio")))
+
+    def at(px, bs):
+        bs = bs.select("*", F.col("wx0").alias("ox"), F.col("wy0").alias("oy"))
+        return G.extract_window(px, bs, [*key, "ox", "oy"], win)
+
+    inside = (F.col("x") >= F.col("bx0")) & (F.col("x") < F.col("bx1")) & (F.col("y") >= F.col("by0")) & (F.col("y") < F.col("by1"))
+    path = new_path(spark, "edit")
+    staged = at(layers, b).where((F.col("prio") != -2) | inside)
+    staged.hint("rebalance", "wave").write.partitionBy("wave").parquet(f"{path}/windows")
+    schema = staged.drop("wave").schema
+    patch_schema = "y long, x long, r long, g long, b long, prio int"
+    last = b.agg(F.max("wave")).first()[0]
+    if last is None:
+        return canvas.select("y", "x", *rgb)
+    done = []
+    for wave in range(last + 1):
+        px = spark.read.schema(schema).parquet(f"{path}/windows/wave={wave}").withColumn("wave", F.lit(wave))
+        if done:
+            patches = spark.read.schema(patch_schema).parquet(*done)
+            px = px.unionByName(at(patches, b.where(F.col("wave") == wave)))
+        top = F.struct("prio", *rgb)
+        px = px.groupBy(*key, "ox", "oy", "y", "x").agg(
+            F.max(F.when(F.col("prio") != -2, top)).alias("under"), F.max(F.when(F.col("prio") == -2, top)).alias("raw")
+        )
+        shown = [F.coalesce(f"raw.{c}", f"under.{c}").cast("long").alias(c) for c in rgb]
+        if fill is not None:
+            px = px.join(fill, "box_id", "left")
+            shown = [F.when(inside, F.coalesce("f" + c, s)).otherwise(s).cast("long").alias(c) for c, s in zip(rgb, shown)]
+        edge = C.on_outline(F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1"))
+        px = px.select(*key, "ox", "oy", "y", "x", "under", *shown)
+        px = px.select(*key, "ox", "oy", "y", "x", "under", *[F.when(edge, v).otherwise(F.col(c)).cast("long").alias(c) for c, v in zip(rgb, C.RED)])
+        out = editor.apply(px).where(inside & (F.col("status") == "ok"))
+        d = F.least(F.col("x") - F.col("bx0"), F.col("y") - F.col("by0"), F.col("bx1") - 1 - F.col("x"), F.col("by1") - 1 - F.col("y"))
+        a = C.ring_feather(d, feather)
+        out = out.select(
+            (F.col("y") + F.col("oy")).cast("long").alias("y"), (F.col("x") + F.col("ox")).cast("long").alias("x"),
+            *[F.floor((F.col(c) * a + F.col(f"under.{c}") * (255 - a)) / F.lit(255)).cast("long").alias(c) for c in rgb],
+            # boxes of one round may overlap without seeing each other only if neither window shows the other box
+            F.lit(wave).alias("prio"),
+        )
+        done.append(f"{path}/wave={wave}")
+        out.write.mode("overwrite").parquet(done[-1])
+    patches = spark.read.schema(patch_schema).parquet(*done)
+    newest = patches.groupBy("y", "x").agg(F.max(F.struct("prio", *rgb)).alias("p"))
+    return canvas.join(newest, ["y", "x"], "left").select("y", "x", *[F.coalesce(f"p.{c}", c).alias(c) for c in rgb])
+
+
+def tile_boxes(order: DataFrame, tile: int, ox: int = 0, oy: int = 0) -> DataFrame:
+    """Boxes of tiles ``(col, row, idx)``, to be edited in the order of ``idx``."""
+    x0, y0 = F.col("col") * tile + ox, F.col("row") * tile + oy
+    return order.select(F.col("idx").alias("box_id"), x0.alias("x0"), y0.alias("y0"), (x0 + tile).alias("x1"), (y0 + tile).alias("y1"))
+
+
+def river_walk(
+    canvas: DataFrame, raw: DataFrame, order: DataFrame, editor, tile: int, feather: int, w: int, h: int, blue_limit: float | None = None
+) -> DataFrame:
+    """Re-make listed tiles ``(col, row, idx)`` one after another in breadth-first order, each inside a window of
+    the canvas as it then is. Tiles that leave the canvas are dropped; with ``blue_limit`` also those whose share of blue
+    pixels on the given canvas is above it."""
+    boxes = tile_boxes(order, tile).where((F.col("x0") >= 0) & (F.col("y0") >= 0) & (F.col("x1") <= w) & (F.col("y1") <= h))
+    if blue_limit is not None:
+        cell = canvas.select(F.floor(F.col("x") / tile).alias("c"), F.floor(F.col("y") / tile).alias("q"), "r", "g", "b")
+        dry = G.drop_already_blue(cell, C.is_walk_blue(), ["c", "q"], blue_limit)
+        boxes = boxes.join(dry.select((F.col("c") * tile).alias("x0"), (F.col("q") * tile).alias("y0")), ["x0", "y0"], "left_semi")
+    return edit_boxes(canvas, boxes, editor, 2 * tile, feather, w, h, raw=raw)
+
+
+def infill_regions(
+    canvas: DataFrame, boxes: DataFrame, editor, win: int, feather: int, w: int, h: int, prefill: bool = False, ring: int = 40
+) -> DataFrame:
+    """Re-make boxes from their surroundings; with ``prefill`` the box first gets the ground colour around it."""
+    fill = save(prefill_color(canvas, boxes, ring, block=win), "fill") if prefill else None
+    return edit_boxes(canvas, boxes, editor, win, feather, w, h, fill=None if fill is None else fill.select("box_id", "fr", "fg", "fb"))
+
+
+def prefill_color(pixels: DataFrame, boxes: DataFrame, ring: int = 40, least: int = 50, fallback=C.GROUND, block: int = 256) -> DataFrame:
     """Ground colour around each box ``(box_id, x0, y0, x1, y1)``: median of the non-blue pixels in a ring of
     ``ring`` pixels, or ``fallback`` when there are at most ``least`` of them."""
     near = boxes.select(
@@ -109,7 +202,7 @@ def prefill_color(pixels: DataFrame, boxes: DataFrame, ring: int = 40, least: in
     )
     around = ["box_id", "qx0", "qy0", "qx1", "qy1"]
     px = G.extract_window(pixels.where(~C.is_blue()), near.select(*around, *[F.greatest(c, F.lit(0)).alias(c) for c in ("wx0", "wy0")], "wx1", "wy1")
-                          .select(*around, "wx0", "wy0", "wx1", "wy1", F.col("wx0").alias("kx"), F.col("wy0").alias("ky")), [*around, "kx", "ky"])
+                          .select(*around, "wx0", "wy0", "wx1", "wy1", F.col("wx0").alias("kx"), F.col("wy0").alias("ky")), [*around, "kx", "ky"], block)
     x, y = F.col("x") + F.col("kx"), F.col("y") + F.col("ky")
     inside = (x >= F.col("qx0")) & (x < F.col("qx1")) & (y >= F.col("qy0")) & (y < F.col("qy1"))
     med = median_by(px.where(~inside), ["box_id"], ["r", "g", "b"])
@@ -125,7 +218,7 @@ def regen_windows(render: DataFrame, raw: DataFrame, boxes: DataFrame, win: int,
     both = render.select("y", "x", "r", "g", "b", F.lit(0).alias("src")).unionByName(
         raw.select("y", "x", "r", "g", "b", F.lit(1).alias("src"))
     )
-    px = G.extract_window(both, b, key)
+    px = G.extract_window(both, b, key, win)
     inside = (F.col("x") >= F.col("bx0")) & (F.col("x") < F.col("bx1")) & (F.col("y") >= F.col("by0")) & (F.col("y") < F.col("by1"))
     px = px.where(inside == (F.col("src") == 1))
     edge = C.on_outline(F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1"))

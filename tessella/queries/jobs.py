@@ -265,13 +265,13 @@ def h13(t):
     return P.finishing(X.raster(t), w, h, knee=130, green=True, block=BLOCK, river_min=BIG, min_px=SMALL, ring=RING, pad=PAD)
 
 
-# boxes for edits: one per dear order, 9 x 7 pixels
-BOXES = "boxes AS (SELECT o_orderkey AS box_id, o_custkey % 116 AS x0, o_orderkey // 125 AS y0, o_custkey % 116 + 9 AS x1, o_orderkey // 125 + 7 AS y1 FROM orders, size WHERE o_totalprice > 480000 AND o_orderkey // 125 + 7 <= h)"
+# boxes for edits: one per very dear order, 9 x 7 pixels
+BOXES = "boxes AS (SELECT o_orderkey AS box_id, o_custkey % 116 AS x0, o_orderkey // 125 AS y0, o_custkey % 116 + 9 AS x1, o_orderkey // 125 + 7 AS y1 FROM orders, size WHERE o_totalprice > 499000 AND o_orderkey // 125 + 7 <= h)"
 
 
 def boxes(t):
     h = X.height(t)
-    b = t.orders.where("o_totalprice > 480000").selectExpr(
+    b = t.orders.where("o_totalprice > 499000").selectExpr(
         "o_orderkey box_id", "o_custkey % 116 x0", "o_orderkey div 125 y0", "o_custkey % 116 + 9 x1", "o_orderkey div 125 + 7 y1"
     )
     return b.where(F.col("y1") <= h)
@@ -280,8 +280,8 @@ def boxes(t):
 @query(
     "c15_regenerate_windows", "box_id:l y:l x:l r:l g:l b:l",
     X.with_(
-        "raster", "raw_raster", "size", ctes=BOXES + ",\nwin AS (SELECT *, x0 - wx AS bx, y0 - wy AS by FROM (SELECT *, greatest(0, least(w - 30, (x0 + x1) // 2 - 15)) AS wx, greatest(0, least(h - 30, (y0 + y1) // 2 - 15)) AS wy FROM boxes, size)),\n"
-        "px AS (SELECT box_id, bx, by, i, j, wx + i AS x, wy + j AS y, i BETWEEN bx AND bx + 8 AND j BETWEEN by AND by + 6 AS box, i BETWEEN bx + 2 AND bx + 6 AND j BETWEEN by + 2 AND by + 4 AS core FROM win, range(30) AS a(i), range(30) AS b(j))",
+        "raster", "raw_raster", "size", ctes=BOXES + ",\nwin AS (SELECT *, x0 - wx AS p0, y0 - wy AS q0 FROM (SELECT *, greatest(0, least(w - 30, (x0 + x1) // 2 - 15)) AS wx, greatest(0, least(h - 30, (y0 + y1) // 2 - 15)) AS wy FROM boxes, size)),\n"
+        "px AS (SELECT box_id, i, j, wx + i AS x, wy + j AS y, i BETWEEN p0 AND p0 + 8 AND j BETWEEN q0 AND q0 + 6 AS box, i BETWEEN p0 + 2 AND p0 + 6 AND j BETWEEN q0 + 2 AND q0 + 4 AS core FROM win, range(30) AS a(i), range(30) AS b(j))",
         body="SELECT box_id, j AS y, i AS x, " + ", ".join(f"CASE WHEN box AND NOT core THEN {v} WHEN box THEN q.{c} ELSE p.{c} END AS {c}" for c, v in zip("rgb", (237, 28, 36)))
         + " FROM px JOIN raster p ON p.y = px.y AND p.x = px.x JOIN raw_raster q ON q.y = px.y AND q.x = px.x",
     ),
@@ -299,7 +299,7 @@ def c15(t):
     ),
 )
 def c16(t):
-    return V.prefill_color(X.raster(t), boxes(t), ring=6)
+    return V.prefill_color(X.raster(t), boxes(t), ring=6, block=32)
 
 
 def flip():
@@ -322,3 +322,26 @@ def c13(t):
     base = save(X.raster(t), "base")
     wet = tiled(base).groupBy("col", "row").agg(F.count_if(C.is_blue()).alias("n")).where("n > 200").select("col", "row")
     return V.replace_cells(base, wet, E.ColumnEditor(flip), X.TILE, 8, 5, X.WIDTH, X.height(t))
+
+
+def soften_in_context():
+    """Mean of the pixel and the whole window's first channel sum: the result depends on what the window shows."""
+    from pyspark.sql import Window as W
+
+    w = W.partitionBy("box_id")
+    return {c: F.floor((F.col(c) + F.floor(F.avg(c).over(w))) / 2) for c in "rgb"}
+
+
+@query("c12_river_walk", RGB)
+def c12(t):
+    """Order-dependent, so there is no SQL text; a test compares it with a step-by-step run."""
+    canvas = save(X.raster(t), "canvas")
+    wet = tiled(canvas).groupBy("col", "row").agg(F.count_if(C.is_blue()).alias("n")).where("n > 50")
+    order = V.bfs_order(wet.select(F.lit(0).alias("region"), "col", "row"), "region")
+    return V.river_walk(canvas, X.raw_raster(t), order, E.ColumnEditor(soften_in_context), X.TILE, 5, X.WIDTH, X.height(t))
+
+
+@query("c14_infill_regions", RGB)
+def c14(t):
+    """As above."""
+    return V.infill_regions(X.raster(t), boxes(t), E.ColumnEditor(soften_in_context), 30, 3, X.WIDTH, X.height(t), prefill=True, ring=6)

@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",  # no stack capture per column expression
 }
 
 
