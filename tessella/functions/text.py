@@ -22,15 +22,17 @@ FORBIDDEN = (
 
 
 def file_name(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]*)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
-def tile_col(name: Column) -> Column:
-    return F.regexp_extract(name, TILE_NAME, 1).try_cast("int")
+def folder_name(path: Column) -> Column:
+    """Last folder of a path, empty when there is none."""
+    return F.when(F.instr(path, "/") > 0, F.substring_index(F.substring_index(path, "/", -2), "/", 1)).otherwise(F.lit(""))
 
 
-def tile_row(name: Column) -> Column:
-    return F.regexp_extract(name, TILE_NAME, 2).try_cast("int")
+def tile_part(name: Column, i: int) -> Column:
+    """Column (1) or row (2) of a name that matches ``TILE_NAME``; null when the number is too big."""
+    return F.split(name, "[_.]")[i].try_cast("int")
 
 
 def parse_rgb(text: Column) -> Column:

@@ -15,9 +15,9 @@ def parse_tiles(files: DataFrame) -> DataFrame:
     name = T.file_name(F.col("path"))
     return files.where(name.rlike(T.TILE_NAME)).select(
         "*",
-        F.regexp_extract("path", r"([^/]*)/[^/]*$", 1).alias("region"),
-        T.tile_col(name).alias("col"),
-        T.tile_row(name).alias("row"),
+        T.folder_name(F.col("path")).alias("region"),
+        T.tile_part(name, 1).alias("col"),
+        T.tile_part(name, 2).alias("row"),
     )
 
 
@@ -169,7 +169,7 @@ def validate_submission(files: DataFrame, max_tiles: int = 50, size: int = 1024)
     """Violations ``(region, file, reason)``: wrong names, wrong sizes, too many tiles, no notes."""
     name = T.file_name(F.col("path"))
     f = files.select(
-        F.regexp_extract("path", r"([^/]*)/[^/]*$", 1).alias("region"), name.alias("file"), "width", "height"
+        T.folder_name(F.col("path")).alias("region"), name.alias("file"), "width", "height"
     )
     is_tile, is_notes = F.col("file").rlike(T.TILE_NAME), F.col("file") == "NOTES.md"
     why = F.filter(

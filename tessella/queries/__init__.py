@@ -5,3 +5,4 @@ from tessella.queries import pixels  # noqa: F401
 from tessella.queries import walks  # noqa: F401
 from tessella.queries import vectors  # noqa: F401
 from tessella.queries import jobs  # noqa: F401
+from tessella.queries import streams  # noqa: F401
