@@ -25,16 +25,20 @@ def lookup(rows: DataFrame, key: str, table: DataFrame, n: int, hot_min: int = H
     return rows.join(few, key).unionByName(rest)
 
 
-def ranked(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "idx") -> DataFrame:
-    """Number the rows of each ``by`` from 0 in the given order (which must be total). Rows are sorted by range
-    partitions and each partition numbers its own part, so one huge ``by`` still spreads over all tasks."""
+def ranked(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "idx", total: str | None = None) -> DataFrame:
+    """Number the rows of each ``by`` from 0 in the given order (which must be total); with ``total`` also the running
+    sum ``upto`` of that column. Rows are sorted by range partitions, each partition numbers its own part and
+    adds what the partitions before it hold, so one huge ``by`` still spreads over all tasks."""
     by, order = list(by), list(order)
+    value = F.col(total) if total else F.lit(0)
     p = save(df.repartitionByRange(*by, *order).withColumn("pid", F.spark_partition_id()), "ranked")
-    sizes = p.groupBy(*by, "pid").count()
-    before = F.coalesce(F.sum("count").over(W.partitionBy(*by).orderBy("pid").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    sizes = sizes.select(*by, "pid", before.alias("before"))  # one row per range partition and ``by``
-    own = F.row_number().over(W.partitionBy(*by, "pid").orderBy(*order))
-    return p.withColumn("own", own).join(sizes, [*by, "pid"]).select(*df.columns, (F.col("own") - 1 + F.col("before")).alias(name))
+    parts = p.groupBy(*by, "pid").agg(F.count("*").alias("n"), F.sum(value).alias("s"))
+    w = W.partitionBy(*by).orderBy("pid").rowsBetween(W.unboundedPreceding, -1)  # one row per range partition and ``by``
+    parts = parts.select(*by, "pid", *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias("before_" + c) for c in ("n", "s")])
+    own = W.partitionBy(*by, "pid").orderBy(*order)
+    r = p.select("*", F.row_number().over(own).alias("own"), F.sum(value).over(own).alias("own_s")).join(parts, [*by, "pid"])
+    upto = [(F.col("own_s") + F.col("before_s")).alias("upto")] if total else []
+    return r.select(*df.columns, (F.col("own") - 1 + F.col("before_n")).alias(name), *upto)
 
 
 def _signature(edges: DataFrame) -> tuple:

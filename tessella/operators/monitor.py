@@ -13,20 +13,10 @@ from tessella.operators.graph import ranked
 def running_throughput(log: DataFrame, order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
     """After each finished tile: how many are done, mean seconds per tile and tiles per hour.
 
-    The log is sorted by range; each part sums its own rows in whole hundredths of a second and adds the totals
-    of the parts before it, so no single task sees the whole log."""
-    from pyspark.sql import Window as W
-
+    Seconds are summed as whole hundredths over range partitions, so no single task sees the whole log."""
     done = log.where("NOT failed").withColumn("run", F.lit(0)).withColumn("cs", F.round(F.col("secs") * 100).cast("long"))
-    r = ranked(done, ["run"], list(order), "idx")
-    part = F.floor(F.col("idx") / 10000)
-    r = r.withColumn("part", part)
-    sums = r.groupBy("part").agg(F.sum("cs").alias("s"))
-    before = F.coalesce(F.sum("s").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    sums = sums.select("part", before.alias("before"))  # one row per 10,000 log rows
-    own = F.sum("cs").over(W.partitionBy("part").orderBy("idx"))
-    r = r.withColumn("own", own).join(sums, "part")
-    n, total = F.col("idx") + 1, F.col("own") + F.col("before")
+    r = ranked(done, ["run"], list(order), "idx", "cs")
+    n, total = F.col("idx") + 1, F.col("upto")
     return r.select(
         "event_id", n.alias("done"), total.alias("cs"), (total / (n * 100.0)).alias("secs_per_tile"),
         F.when(total > 0, n * 360000.0 / total).alias("tiles_per_hour"),

@@ -10,18 +10,28 @@ from pyspark.sql import functions as F
 from tessella.functions import text as T
 
 
+def _by_stem(lists: dict[str, DataFrame]) -> DataFrame:
+    """One row per stem with one struct per list, null where the list lacks it. The tagged lists are grouped once,
+    without joins, so repeated stems (the same file again) neither multiply nor pile up."""
+    empty = {k: df.select(F.struct(*[c for c in df.columns if c != "stem"])).schema[0].dataType for k, df in lists.items()}
+    tagged = None
+    for tag, df in lists.items():
+        own = F.struct(*[c for c in df.columns if c != "stem"])
+        one = df.select("stem", *[(own if k == tag else F.lit(None).cast(empty[k])).alias(k) for k in lists])
+        tagged = one if tagged is None else tagged.unionByName(one)
+    return tagged.groupBy("stem").agg(*[F.max(k).alias(k) for k in lists])
+
+
 def pair_samples(controls: DataFrame, targets: DataFrame, captions: DataFrame) -> DataFrame:
-    """Complete samples ``(stem, …)``."""
-    return controls.join(targets, "stem").join(captions, "stem")
+    """Complete samples ``(stem, control, target, caption)``, each a struct of the list's columns."""
+    s = _by_stem({"control": controls, "target": targets, "caption": captions})
+    return s.where("control IS NOT NULL AND target IS NOT NULL AND caption IS NOT NULL")
 
 
 def pairing_report(controls: DataFrame, targets: DataFrame, captions: DataFrame) -> DataFrame:
-    """One row per stem with what it has. The three lists are tagged and grouped once, without joins."""
-    tagged = None
-    for tag, df in (("control", controls), ("target", targets), ("caption", captions)):
-        one = df.select("stem", *[F.lit(int(tag == k)).alias("has_" + k) for k in ("control", "target", "caption")])
-        tagged = one if tagged is None else tagged.unionByName(one)
-    return tagged.groupBy("stem").agg(*[F.max("has_" + k).alias("has_" + k) for k in ("control", "target", "caption")])
+    """One row per stem with what it has (1 or 0 each)."""
+    s = _by_stem({k: df.select("stem", F.lit(1).alias("n")) for k, df in (("control", controls), ("target", targets), ("caption", captions))})
+    return s.select("stem", *[F.col(k).isNotNull().cast("int").alias("has_" + k) for k in ("control", "target", "caption")])
 
 
 def sample_variant(samples: DataFrame) -> DataFrame:

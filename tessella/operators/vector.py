@@ -9,7 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessella.operators import runs as R
-from tessella.operators.graph import components
+from tessella.operators.graph import components, lookup
+from tessella.session import save
 
 
 def bbox_filter(points: DataFrame, s: float, w: float, n: float, e: float, tag: str = "water") -> DataFrame:
@@ -49,18 +50,18 @@ def chain_rings(arcs: DataFrame, tol: float = 1e-7) -> DataFrame:
     of points of the chain and ``closed``: every node joins two ends and the ring has at least four points.
 
     Only ids and ends travel; rings of any length are found by component search, not by walking a chain."""
-    ends = _ends(arcs, tol)
-    nodes = components(ends.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("id").alias("a"), "root")
-    arc_ring = ends.join(nodes, "a", "left").select("arc_id", "b", "a", F.coalesce("root", "a").alias("ring"))
-    degree = ends.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").count()
-    node_ring = nodes.select(F.col("a").alias("node"), F.col("root").alias("ring")).join(degree, "node")
-    loops = ends.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("ring")).join(degree, "node")
-    node_ring = node_ring.unionByName(loops.join(nodes, loops["node"] == nodes["a"], "left_anti"))
-    open_ends = node_ring.groupBy("ring").agg(F.sum((F.col("count") != 2).cast("int")).alias("loose"))
+    ends = save(_ends(arcs, tol), "ends")
+    n = ends.count()
+    nodes = save(components(ends.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("id").alias("a"), "root"), "nodes")
+    # an arc that is closed on its own has no partner in ``nodes``
+    arc_ring = lookup(ends, "a", nodes, n).select("arc_id", F.coalesce("root", "a").alias("ring"))
+    degree = ends.select(F.explode(F.array("a", "b")).alias("a")).groupBy("a").count()
+    node_ring = degree.join(nodes, "a", "left").select(F.coalesce("root", "a").alias("ring"), "count")
+    loose = node_ring.groupBy("ring").agg(F.sum((F.col("count") != 2).cast("int")).alias("loose"))
     pts = arc_ring.join(arcs.select("arc_id", F.size("geometry").alias("n")), "arc_id")
     size = pts.groupBy("ring").agg((F.sum(F.col("n") - 1) + 1).alias("points"))
-    r = open_ends.join(size, "ring").select("ring", "points", ((F.col("loose") == 0) & (F.col("points") >= 4)).alias("closed"))
-    return arc_ring.select("arc_id", "ring").join(r, "ring")
+    r = loose.join(size, "ring").select("ring", "points", ((F.col("loose") == 0) & (F.col("points") >= 4)).alias("closed"))
+    return lookup(arc_ring, "ring", r, n)
 
 
 def project(points: DataFrame, cal: dict, tile: int, scale: float) -> DataFrame:

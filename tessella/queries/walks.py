@@ -264,7 +264,7 @@ CAPTIONED = "lang <> 'de'"
 @query("j1_pair_samples", "stem:s doc_id:l chars:l", X.with_("samples", body=f"SELECT stem, doc_id, length(text) AS chars FROM samples WHERE labelled AND {CAPTIONED}"))
 def j1(t):
     c, g, cap = X.samples(t)
-    return J.pair_samples(c, g.select("stem"), cap).select("stem", "doc_id", F.length("caption").alias("chars"))
+    return J.pair_samples(c, g, cap).select("stem", "control.doc_id", F.length("caption.caption").alias("chars"))
 
 
 @query("j1_pairing_report", "has_control:l has_target:l has_caption:l n:l", X.with_("samples", body=f"SELECT 1 AS has_control, labelled::INT AS has_target, ({CAPTIONED})::INT AS has_caption, count(*) AS n FROM samples GROUP BY ALL"))

@@ -33,24 +33,28 @@ def read_images(spark: SparkSession, folder: str, pattern: str = "tile_*.png") -
 def tiles_to_pixels(tiles: DataFrame, key: Sequence[str] = ("col", "row")) -> DataFrame:
     """Unpack decoded images ``(key…, image)`` into pixel rows ``(key…, y, x, r, g, b)``.
 
-    Arrow batches carry whole tiles, so the batch size is one image at a time for the reader."""
+    Spark cuts each image into its rows first, so that Python gets small pieces whatever the size of a tile."""
     key = list(key)
-    src = tiles.select(*key, "image.height", "image.width", "image.nChannels", "image.data")
+    flat = tiles.select(*key, "image.height", "image.width", "image.nChannels", "image.data")
+    lines = flat.select("*", F.explode(F.sequence(F.lit(0), F.col("height") - 1)).alias("y")).selectExpr(
+        *key, "y", "nChannels n", "substring(data, y * width * nChannels + 1, width * nChannels) line"
+    )
     types = dict(tiles.dtypes)
     schema = ", ".join(f"{k} {types[k]}" for k in key) + ", y int, x int, r int, g int, b int"
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                a = np.frombuffer(row.data, np.uint8).reshape(row.height, row.width, row.nChannels)
-                if row.nChannels == 1:
-                    a = np.repeat(a, 3, axis=2)
-                y, x = np.divmod(np.arange(row.height * row.width), row.width)
-                flat = a.reshape(-1, a.shape[2]).astype(np.int32)
-                out = {k: getattr(row, k) for k in key}
-                yield pd.DataFrame({**out, "y": y, "x": x, "r": flat[:, 2], "g": flat[:, 1], "b": flat[:, 0]})
-
-    return src.mapInPandas(unpack, schema)
+        for batch in batches:
+            for n, pdf in batch.groupby("n"):
+                for at in range(0, len(pdf), 500):
+                    part = pdf.iloc[at : at + 500]
+                    widths = part["line"].map(len).to_numpy() // n
+                    px = np.frombuffer(b"".join(part["line"]), np.uint8).reshape(-1, n).astype(np.int32)
+                    x = np.arange(len(px)) - np.repeat(np.cumsum(widths) - widths, widths)
+                    out = {k: np.repeat(part[k].to_numpy(), widths) for k in [*key, "y"]}
+                    blue, green, red = (0, 1, 2) if n >= 3 else (0, 0, 0)
+                    yield pd.DataFrame({**out, "x": x, "r": px[:, red], "g": px[:, green], "b": px[:, blue]})
+
+    return lines.mapInPandas(unpack, schema)
 
 
 def pixels_to_tiles(pixels: DataFrame, key: Sequence[str], tile: int) -> DataFrame:
