@@ -20,8 +20,9 @@ def _c(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
-def _targets(x: str, size: Column, before: int, after: int, block: int) -> Column:
-    """(block, position) pairs on one axis: every block whose windows need pixel ``x``, mirrored ones included."""
+def _targets(x: str, size, before: int, after: int, block: int) -> tuple[str, Column]:
+    """SQL text for the (block, position) pairs of one axis, every block whose windows need pixel ``x``, mirrored ones
+    included; and the struct (position, axis size) that stands for ``{v}`` in it."""
     v = F.struct(F.col(x).cast("long").alias("p"), _c(size).cast("long").alias("n"))
 
     def at(p: str) -> str:
@@ -142,3 +143,17 @@ def block_mean(px: DataFrame, f: int, cols: Sequence[str] = ("r", "g", "b")) ->
     return px.groupBy(F.floor(F.col("y") / f).alias("y"), F.floor(F.col("x") / f).alias("x")).agg(
         *[F.floor(F.sum(c) / F.count("*")).alias(c) for c in cols]
     )
+
+
+def resize_tiles(tiles: DataFrame, cell: int, by: Sequence[str], cols: Sequence[str] = ("r", "g", "b")) -> DataFrame:
+    """Bring tiles of any size (``w``, ``h`` among ``by``) to ``cell`` x ``cell``: nearest pixel when enlarging, truncated
+    mean of the covered pixels when shrinking, each axis on its own."""
+
+    def reach(v, size):
+        first = f"CASE WHEN {size} >= {cell} THEN {v} * {cell} div {size} ELSE ({v} * {cell} + {size} - 1) div {size} END"
+        last = f"CASE WHEN {size} >= {cell} THEN {v} * {cell} div {size} ELSE (({v} + 1) * {cell} + {size} - 1) div {size} - 1 END"
+        return f"explode(sequence({first}, {last}))"
+
+    p = tiles.selectExpr(*by, "y", *cols, f"{reach('x', 'w')} tx")
+    p = p.selectExpr(*by, *cols, "tx", f"{reach('y', 'h')} ty")
+    return p.groupBy(*by, F.col("ty").alias("y"), F.col("tx").alias("x")).agg(*[F.expr(f"sum({c}) div count(*)").alias(c) for c in cols])

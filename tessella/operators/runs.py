@@ -95,18 +95,15 @@ def to_pixels(runs: DataFrame) -> DataFrame:
 
 
 def maximal(runs: DataFrame, by: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
-    """Join runs across block columns. Only runs that touch a cut take part: at most two per block of a row."""
-    key = [*by, "y"]
+    """Join runs across block columns, in one pass. Runs that touch a cut meet per row, at most two per block; all
+    others stay in the group of their own block."""
     touches = (F.col("x0") % block == 0) | (F.col("x1") % block == block - 1)
+    r = runs.select(*by, "y", "x0", "x1", F.when(touches, F.lit(-1)).otherwise(F.col("bx")).alias("lane"))
+    key = [*by, "y", "lane"]
     w = W.partitionBy(*key).orderBy("x0")
-    edge = runs.where(touches).withColumn("gap", (F.col("x0") != F.lag("x1", 1, -2).over(w) + 1).cast("int"))
-    edge = (
-        edge.withColumn("island", F.sum("gap").over(w))
-        .groupBy(*key, "island")
-        .agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"))
-        .drop("island")
-    )
-    return runs.where(~touches).select(*key, "x0", "x1").unionByName(edge)
+    r = r.withColumn("gap", (F.col("x0") != F.lag("x1", 1, -2).over(w) + 1).cast("int"))
+    r = r.withColumn("island", F.sum("gap").over(w))
+    return r.groupBy(*key, "island").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1")).drop("island", "lane")
 
 
 def universe(spark: SparkSession, w: int, h: int, block: int = BLOCK) -> DataFrame:

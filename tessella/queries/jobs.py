@@ -345,3 +345,24 @@ def c12(t):
 def c14(t):
     """As above."""
     return V.infill_regions(X.raster(t), boxes(t), E.ColumnEditor(soften_in_context), 30, 3, X.WIDTH, X.height(t), prefill=True, ring=6)
+
+
+def _resize(cell):
+    src = """tp AS (SELECT x // 25 AS col, y // 25 AS row, y % 25 AS y, x % 25 AS x, r, g, b FROM raster),
+ts AS (SELECT col, row, max(x) + 1 AS w, max(y) + 1 AS h FROM tp GROUP BY ALL),
+"""
+    grow = f"g AS (SELECT col, row, w, h, q, unnest(range({cell})) AS p FROM (SELECT *, unnest(range({cell})) AS q FROM ts)),\n"
+    if cell > X.TILE:
+        body = f"SELECT z.col, z.row, z.q AS y, z.p AS x, tp.r, tp.g, tp.b FROM g z JOIN tp ON tp.col = z.col AND tp.row = z.row AND tp.x = z.p * w // {cell} AND tp.y = z.q * h // {cell}"
+    else:
+        body = f"SELECT col, row, y * {cell} // h AS y, x * {cell} // w AS x, sum(r) // count(*) AS r, sum(g) // count(*) AS g, sum(b) // count(*) AS b FROM tp JOIN ts USING (col, row) GROUP BY 1, 2, 3, 4"
+        grow = ""
+    from tessella.operators.neighborhood import resize_tiles
+
+    query(f"e10_resize_tiles_{cell}", "col:l row:l y:l x:l r:l g:l b:l", X.with_("raster", ctes=src + grow, body=body))(
+        lambda t: resize_tiles(tile_pixels(t), cell, ["col", "row", "w", "h"])
+    )
+
+
+for _cell in (40, 10):
+    _resize(_cell)
