@@ -57,4 +57,4 @@ def k6(t):
 )
 def k7(t):
     got = A.run_available(A.throughput_stream(X.edit_log(streams(t))))
-    return got.select(F.col("start").cast("string"), F.col("end").cast("string").alias("stop"), "tiles", "cs")
+    return got.selectExpr(A.utc_text("start") + " start", A.utc_text("end") + " stop", "tiles", "cs")

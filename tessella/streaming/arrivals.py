@@ -15,6 +15,8 @@ from tessella.plans import walk
 from tessella.session import new_path
 from tessella.sources import sinks
 
+EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
 FILE = StructType(
     [
         StructField("path", StringType()),
@@ -60,11 +62,19 @@ def latest_stream(stream: DataFrame, key: Sequence[str], seq: str, path: str | N
 
 
 def throughput_stream(log: DataFrame, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    """Finished tiles per tumbling window, emitted once when the window is closed."""
-    done = log.where("NOT failed").withColumn("ts", F.col("ts").cast("timestamp"))
+    """Finished tiles per tumbling window, emitted once when the window is closed. Watermarks need instants: a
+    column without time zone is read as UTC, whatever the zone of the session."""
+    done = log.where("NOT failed")
+    if dict(log.dtypes)["ts"] == "timestamp_ntz":
+        done = done.withColumn("ts", F.expr(f"timestamp_micros(timestampdiff(MICROSECOND, {EPOCH}, ts))"))
     return monitor.throughput_windows(done.withWatermark("ts", late), width)
 
 
+def utc_text(col: str) -> str:
+    """SQL text for an instant as UTC wall-clock text."""
+    return f"cast(timestampadd(MICROSECOND, unix_micros({col}), {EPOCH}) as string)"
+
+
 NEEDS = {"half_h": {"tl", "bl"}, "half_v": {"tl", "tr"}, "br": {"tl", "tr", "bl"}}
 
 
