@@ -36,40 +36,35 @@ def tile_components(tiles: DataFrame, by: str) -> DataFrame:
     return t.join(roots, "v", "left").select(by, "col", "row", "v", F.coalesce("root", "v").alias("comp"))
 
 
-def bfs_order(tiles: DataFrame, by: str) -> DataFrame:
+def bfs_order(tiles: DataFrame, by: str, renumber: int = 32) -> DataFrame:
     """Breadth-first order per ``by``: components by their smallest (col, row), then level by level; inside a level
     by the place of the earliest parent, then east, west, south, north. Columns: level, idx (from 0).
 
-    A tile at level L borders only levels L-1 and L+1, so each round reads the last two levels only. The place
-    inside a level is kept as the path of directions, which sorts the same way."""
+    A tile at level L borders only levels L-1 and L+1, so each round reads the last two levels only and writes its
+    own partition. The place inside a level is kept as text: the path of directions, which sorts the same way
+    and is replaced by a rank every ``renumber`` levels to stay short."""
+    spark = tiles.sparkSession
     t = save(tile_components(tiles, by), "tiles")
-    steps = F.explode(
-        F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.lit(str(k)).alias("k"))
-                  for k, (dx, dy) in enumerate(((1, 0), (-1, 0), (0, 1), (0, -1)))])
-    )
-    front = save(t.where("v = comp").select(by, "col", "row", F.lit("").alias("path")), "front")
-    levels = [front.withColumn("level", F.lit(0))]
-    before = None
+    schema = f"{by} {dict(t.dtypes)[by]}, col {dict(t.dtypes)['col']}, row {dict(t.dtypes)['row']}, path string"
+    root = new_path(spark, "levels")
+    key = [by, "col", "row"]
+    step = "inline(array(struct(1 dx, 0 dy, '0' k), struct(-1 dx, 0 dy, '1' k), struct(0 dx, 1 dy, '2' k), struct(0 dx, -1 dy, '3' k)))"
+    nxt = t.where("v = comp").select(*key, F.lit("").alias("path"))
+    level = 0
     while True:
-        cand = front.select(by, "col", "row", "path", steps.alias("s")).select(
-            by, (F.col("col") + F.col("s.dx")).alias("col"), (F.col("row") + F.col("s.dy")).alias("row"),
-            F.concat("path", "s.k").alias("path"),
-        )
-        nxt = cand.groupBy(by, "col", "row").agg(F.min("path").alias("path")).join(t, [by, "col", "row"], "left_semi")
-        if before is not None:
-            nxt = nxt.join(before, [by, "col", "row"], "left_anti")
-        nxt = save(nxt, "front")
-        if nxt.isEmpty():
+        nxt.write.mode("overwrite").parquet(f"{root}/level={level}")
+        front = spark.read.schema(schema).parquet(f"{root}/level={level}")
+        if front.isEmpty():
             break
-        levels.append(nxt.withColumn("level", F.lit(len(levels))))
-        before, front = front, nxt
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    out = out.join(t.select(by, "col", "row", "comp"), [by, "col", "row"])
-    return ranked(out.select(by, "comp", "level", "path", "col", "row"), [by], ["comp", "level", "path"]).select(
-        by, "col", "row", "level", "idx"
-    )
+        cand = front.selectExpr(*key, "path", step).selectExpr(by, "col + dx col", "row + dy row", "concat(path, k) path")
+        nxt = cand.groupBy(*key).agg(F.min("path").alias("path")).join(t, key, "left_semi")
+        if level:
+            nxt = nxt.join(spark.read.schema(schema).parquet(f"{root}/level={level - 1}"), key, "left_anti")
+        level += 1
+        if level % renumber == 0:
+            nxt = ranked(nxt, [by], ["path", "col", "row"], "rank").select(*key, F.lpad(F.col("rank").cast("string"), 12, "0").alias("path"))
+    out = spark.read.schema(schema + ", level int").parquet(root).join(t.select(*key, "comp"), key)
+    return ranked(out, [by], ["comp", "level", "path"]).select(*key, "level", "idx")
 
 
 def rounds(jobs: DataFrame, waits: DataFrame) -> DataFrame:

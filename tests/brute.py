@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import collections
-
 import numpy as np
 
 
@@ -50,17 +48,19 @@ def fill_holes(m):
 
 
 def breadth_first(cells):
-    left, order = set(cells), []
-    while left:
-        first = min(left)
-        queue, seen = collections.deque([first]), {first}
-        order.append(first)
-        while queue:
-            c, r = queue.popleft()
-            for nb in ((c + 1, r), (c - 1, r), (c, r + 1), (c, r - 1)):
-                if nb in left and nb not in seen:
-                    seen.add(nb)
-                    order.append(nb)
-                    queue.append(nb)
-        left -= seen
+    """Level lists, one connected set after the other."""
+    order, rest = [], sorted(cells)
+    while rest:
+        level, placed = [rest[0]], {rest[0]}
+        while level:
+            order += level
+            found = []
+            for c, r in level:
+                for dc, dr in ((1, 0), (-1, 0), (0, 1), (0, -1)):
+                    cell = (c + dc, r + dr)
+                    if cell in rest and cell not in placed:
+                        placed.add(cell)
+                        found.append(cell)
+            level = found
+        rest = [c for c in rest if c not in placed]
     return order

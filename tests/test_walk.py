@@ -68,11 +68,12 @@ def test_walk_with_a_python_editor_on_bytes(spark):
     assert got[2, 2] == bytes([11, 22]) and got[3, 3] == bytes([11, 22, 33]) and got[3, 0] == bytes([30])
 
 
-def test_breadth_first_order(spark):
+@pytest.mark.parametrize("renumber", [2, 32])
+def test_breadth_first_order(spark, renumber):
     rng = np.random.default_rng(11)
     cells = {r: sorted({(int(c), int(q)) for c, q in zip(rng.integers(0, 8, 34), rng.integers(0, 8, 34))}) for r in (3, 4)}
     df = spark.createDataFrame([(r, c, q) for r, v in cells.items() for c, q in v], "region int, col int, row int")
-    rows = V.bfs_order(df, "region").collect()
+    rows = V.bfs_order(df, "region", renumber).collect()
     for r in cells:
         got = [(x.col, x.row) for x in sorted((x for x in rows if x.region == r), key=lambda x: x.idx)]
         assert got == brute.breadth_first(cells[r])
