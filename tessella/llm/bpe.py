@@ -159,7 +159,7 @@ class _Memo(dict):
 
 
 def _encoder(spec) -> Encoder:
-    return worker_cached(("bpe", spec.value), lambda: Encoder(spec.value))
+    return worker_cached("bpe", spec.value, lambda: Encoder(spec.value))
 
 
 def _lists(arrays):

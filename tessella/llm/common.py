@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def worker_cached(key, build: Callable):
-    """``build()`` once per Python worker process; the few entries it keeps are models and memo tables."""
+def worker_cached(slot: str, key, build: Callable):
+    """``build()`` once per Python worker process and ``key``; a slot keeps its latest value (a model or a memo table)."""
     store = sys.modules.setdefault("_tessella_worker", types.ModuleType("_tessella_worker")).__dict__
-    if key not in store:
-        store[key] = build()
-    return store[key]
+    if slot not in store or store[slot][0] != key:
+        store[slot] = (key, build())
+    return store[slot][1]
 
 
 def add_columns(df: DataFrame, inputs: list[Column], outputs: str, fn: Callable[..., Iterator], batch_rows: int | None = None) -> DataFrame:

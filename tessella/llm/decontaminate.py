@@ -8,6 +8,7 @@ other, so what is broadcast never grows with the data.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -93,8 +94,8 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
         rows = [(r.i, r.t) for r in b.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).sort("i").collect()]  # about BLOCK_BYTES
         shared = spark.sparkContext.broadcast(rows)
 
-        def run(texts, spans, found, shared=shared):
-            index = worker_cached(("decontaminate", shared.id, window), lambda: Index(shared.value, window))
+        def run(texts, spans, found, shared=shared, key=uuid.uuid4().hex):
+            index = worker_cached("decontaminate", key, lambda: Index(shared.value, window))
             n_words, n_spans, n_found = [], [], []
             for t, had, had_items in zip(texts, spans, found):
                 it = index.hits(t)
