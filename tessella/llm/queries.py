@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, decontaminate
+from tessella.llm import bpe, decontaminate, line_dedup, ngram_join, toxicity
 from tessella.llm.common import sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,62 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         sha256(F.array_join(F.array_sort(F.col("hit_items").cast("array<string>")), ",")).alias("items_sha256"),
         decontaminate.contaminated().alias("contaminated"),
     )
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    out = toxicity.held_out("doc_id", 5, 0)
+    model = toxicity.fit(docs.where(~out), table(spark, folder, "labels").where(~out))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        out.alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+        F.size("toxic_sentences").cast("long").alias("n_toxic_sentences"),
+    )
+
+
+@query(
+    "op5_line_dedup",
+    f"""
+WITH l AS (SELECT doc_id, unnest(range(0, len(x))) AS i, unnest(x) AS line
+           FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents)),
+c AS (SELECT doc_id, i, line, sum(len(regexp_extract_all(line, '[^ \t\n\r\x0b\x0c\x1c-\x1f\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+')))
+        OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM l),
+p AS (SELECT *, coalesce(lag(upto) OVER (PARTITION BY doc_id ORDER BY i), 0) AS before FROM c),
+runs AS (
+  SELECT s.doc_id, s.i AS a, min(e.i) AS z FROM p s JOIN p e ON s.doc_id = e.doc_id AND e.i >= s.i AND e.upto - s.before >= {line_dedup.MIN_WORDS} GROUP BY 1, 2
+  UNION
+  SELECT e.doc_id, max(s.i) AS a, e.i AS z FROM p s JOIN p e ON s.doc_id = e.doc_id AND e.i >= s.i AND e.upto - s.before >= {line_dedup.MIN_WORDS} GROUP BY 1, 3),
+body AS (SELECT r.doc_id, a, z, string_agg(line, chr(10) ORDER BY i) AS body
+         FROM runs r JOIN p ON p.doc_id = r.doc_id AND p.i BETWEEN a AND z GROUP BY 1, 2, 3),
+later AS (SELECT doc_id, a, z FROM (SELECT *, row_number() OVER (PARTITION BY body, z - a ORDER BY doc_id, a) AS nth FROM body) WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(a, z + 1)) AS i FROM later)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_lines, CAST(coalesce(g, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM (SELECT doc_id FROM documents) d
+LEFT JOIN (SELECT p.doc_id, count(*) AS n, count(gone.i) AS g, string_agg(CASE WHEN gone.i IS NULL THEN line END, chr(10) ORDER BY p.i) AS kept
+           FROM p LEFT JOIN gone ON p.doc_id = gone.doc_id AND p.i = gone.i GROUP BY 1) x ON x.doc_id = d.doc_id
+""",
+)
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    removed = F.aggregate("removed_lines", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return line_dedup.dedup(docs).select("doc_id", "n_lines", removed.alias("n_removed"), sha256(F.coalesce("text", F.lit(""))).alias("kept_sha256"))
+
+
+@query(
+    "op10_ngram_join",
+    f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+links AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2)
+          JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1) m USING (doc_id)
+""",
+)
+def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.join(table(spark, folder, "documents").select("doc_id", "text"))
