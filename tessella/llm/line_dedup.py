@@ -28,7 +28,7 @@ def _lines(texts, min_words: int):
 
     out = []
     for t in texts:
-        lines = t.split("\n")
+        lines = t.encode("utf-8", "surrogatepass").split(b"\n")
         words = np.array([len(x.split()) for x in lines])
         upto = np.concatenate([[0], np.cumsum(words)])
         n = len(lines)
@@ -36,7 +36,7 @@ def _lines(texts, min_words: int):
         ahead = np.where(end <= n, end - np.arange(n), 0)
         start = np.searchsorted(upto, upto[1:] - max(min_words, 1), "right") - 1
         back = np.where(start >= 0, np.arange(1, n + 1) - start, 0)
-        ids = [xxhash.xxh3_128_intdigest(x.encode("utf-8", "surrogatepass")) for x in lines]
+        ids = [xxhash.xxh3_128_intdigest(x) for x in lines]
         out.append([{"i": i, "hi": (h >> 64) - (1 << 63), "lo": (h & (1 << 64) - 1) - (1 << 63), "ahead": a, "back": b} for i, (h, a, b) in enumerate(zip(ids, ahead.tolist(), back.tolist()))])
     return out
 
@@ -89,7 +89,7 @@ def dedup(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: i
     in lines, merged, end exclusive).
 
     A line goes if it lies in a run of consecutive lines (cut at \\n) of its document that has at least ``min_words`` words
-    (pieces between white space) and whose lines also occur as a run at an earlier place: in a document with a smaller id, or
+    (pieces between ASCII white space) and whose lines also occur as a run at an earlier place: in a document with a smaller id, or
     further up in the same document. Null ids come last; documents with one id are ordered by a hash of the text; rows that
     repeat id and text are one document and all get its result. Null text stays null with 0 lines; empty text is one line.
     All columns of ``docs`` pass through; those named like an added one are replaced.

@@ -102,10 +102,10 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "op5_line_dedup",
-    f"""
+    rf"""
 WITH l AS (SELECT doc_id, unnest(range(0, len(x))) AS i, unnest(x) AS line
            FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents)),
-c AS (SELECT doc_id, i, line, sum(len(regexp_extract_all(line, '[^ \t\n\r\x0b\x0c\x1c-\x1f\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+')))
+c AS (SELECT doc_id, i, line, sum(len(regexp_extract_all(line, '[^ \x09-\x0D]+')))
         OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM l),
 p AS (SELECT *, coalesce(lag(upto) OVER (PARTITION BY doc_id ORDER BY i), 0) AS before FROM c),
 runs AS (
@@ -130,8 +130,8 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "op10_ngram_join",
-    f"""
-WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 g AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
 links AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM g x JOIN g y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2)
