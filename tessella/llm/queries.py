@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bpe, decontaminate, line_dedup, ngram_join, toxicity
+from tessella.llm import bitslice, bpe, decontaminate, line_dedup, ngram_join, toxicity
 from tessella.llm.common import sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,23 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query(
+    "op1_topk",
+    """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+""",
+)
+def op1_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return bitslice.search(bitslice.build(vectors), vectors.where("vec_id % 20 = 0"), 20)
+
+
 @query("op2_bpe")
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
