@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bitslice, bpe, decontaminate, line_dedup, ngram_join, toxicity
+from tessella.llm import bitslice, bpe, decontaminate, html_text, language, line_dedup, ngram_join, toxicity
 from tessella.llm.common import sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -160,3 +160,20 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS
 )
 def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.join(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op6_html")
+def op6_html(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = html_text.extract(pages)
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
+@query("op8_language")
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    out = toxicity.held_out("doc_id", 4, 2)
+    model = language.fit(docs.where(~out))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", out.alias("held_out"), F.col("language").alias("lang_pred"), F.col("language_share").alias("score")
+    )
