@@ -9,17 +9,26 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.llm.common import add_columns, text_of
+from tessella.llm.common import add_columns, text_of, worker_cached
 
 SENTENCE = re.compile(r"[^.!?\n]+").finditer
 WORD = re.compile(r"[^\W\d_]+").findall
 SAMPLE_ROWS = 12_000  # labelled documents a model is fitted on, taken by a hash of the id
-VOCABULARY = 3_000  # words that may carry a weight
+VOCABULARY = 6_000  # features that may carry a weight
+MEMO = 300_000  # words whose scores a worker keeps
+
+
+def features(word: str) -> list[str]:
+    """The word, and its beginnings and endings, so that new forms of an offensive stem are known."""
+    n = len(word)
+    return ["w" + word] + ["p" + word[:k] for k in range(3, 9) if k <= n] + ["s" + word[-k:] for k in (3, 4, 5) if k <= n]
 
 
 @dataclass
@@ -27,34 +36,48 @@ class Model:
     weights: dict[str, float]
     bias: float
 
-    def sentence(self, text: str) -> float | None:
-        """Log-odds that a sentence offends; None if it has no word."""
-        words = WORD(text.lower())
-        if not words:
-            return None
+    def word(self, word: str) -> float:
         get = self.weights.get
-        return self.bias + sum(get(w, 0.0) for w in sorted(self.weights.keys() & set(words)))
+        return math.fsum(get(f, 0.0) for f in features(word))
+
+
+class Scorer:
+    """A model at work in one Python worker, with a memo of word scores that is emptied when full."""
+
+    def __init__(self, model: Model):
+        self.bias, self.memo = model.bias, _Memo(model)
 
     def score(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
         """Probability of a document, and (start, end, probability) of its offending sentences."""
-        quiet = math.log1p(math.exp(self.bias))
+        bias, get = self.bias, self.memo.__getitem__
+        quiet = math.log1p(math.exp(bias))
         log_clean, found, plain = 0.0, [], 0
-        known, get = self.weights.keys(), self.weights.get
         for m in SENTENCE(text):
             words = WORD(m[0].lower())
             if not words:
                 continue
-            hit = known & words
-            if not hit:
+            z = math.fsum(map(get, set(words)))
+            if not z:
                 plain += 1
                 continue
-            z = self.bias + sum(map(get, sorted(hit)))
+            z += bias
             log_clean -= z + math.log1p(math.exp(-z)) if z > 0 else math.log1p(math.exp(z))
             if z >= 0:
                 found.append((m.start(), m.end(), 1 / (1 + math.exp(-z))))
         return -math.expm1(log_clean - plain * quiet), found
 
 
+class _Memo(dict):
+    def __init__(self, model: Model):
+        self.model = model
+
+    def __missing__(self, word: str) -> float:
+        if len(self) > MEMO:
+            self.clear()
+        got = self[word] = self.model.word(word)
+        return got
+
+
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
     """A model from the labelled rows of ``docs``.
 
@@ -77,23 +100,37 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         n, n_pos = bags.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
         if not 0 < n_pos < n:
             return Model({}, -0.01 if not n_pos else 0.01)
-        per_doc = bags.select("y", F.explode(F.array_distinct(F.flatten("s"))).alias("w"))
-        by_word = per_doc.groupBy("w").agg(F.count("*").alias("df"), F.sum("y").alias("pos")).where("df >= 4")
+        by_feature = bags.mapInArrow(_count, "f string, df long, pos long").groupBy("f").agg(F.sum("df").alias("df"), F.sum("pos").alias("pos"))
+        by_feature = by_feature.where("df >= 4")
         rate = n_pos / n
         z = (F.col("pos") - F.col("df") * rate) / F.sqrt(F.col("df") * rate * (1 - rate) * (1 - F.col("df") / n) + 1)
-        best = by_word.sort(F.abs(z).desc(), "w").limit(VOCABULARY)
-        index = {w: i for i, w in enumerate(sorted(r.w for r in best.select("w").collect()))}
+        best = by_feature.sort(F.abs(z).desc(), "f").limit(VOCABULARY)
+        index = {f: i for i, f in enumerate(sorted(r.f for r in best.select("f").collect()))}
 
         def codes(lists):
-            return [[sum(1 for s in x if s) for x in lists], [[c for s in x if (c := [index[w] for w in s if w in index])] for x in lists]]
+            return [[sum(1 for s in x if s) for x in lists], [[c for s in x if (c := [index[f] for w in s for f in features(w) if f in index])] for x in lists]]
 
         coded = add_columns(bags, [bags["s"]], "n int, c array<array<int>>", codes, batch_rows=500)
-        rows_ = coded.select("y", "n", "c").collect()  # word numbers of at most ``rows`` documents
+        rows_ = coded.select("y", "n", "c").collect()  # feature numbers of at most ``rows`` documents
     finally:
         bags.unpersist()
     return _descend(rows_, index)
 
 
+def _count(batches):
+    """Documents and toxic documents per feature, summed within each batch."""
+    import pyarrow as pa
+
+    for b in batches:
+        df, pos = Counter(), Counter()
+        for y, sentences in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            own = {f for w in {w for s in sentences for w in s} for f in features(w)}
+            df.update(own)
+            if y:
+                pos.update(own)
+        yield pa.RecordBatch.from_arrays([pa.array(list(df), pa.string()), pa.array(list(df.values()), pa.int64()), pa.array([pos[f] for f in df], pa.int64())], names=["f", "df", "pos"])
+
+
 def _descend(rows, index: dict[str, int], steps: int = 400, l1: float = 0.3, l2: float = 0.02) -> Model:
     """Fit by proximal Adam steps on the noisy-or likelihood; the order of ``rows`` does not matter beyond rounding."""
     import numpy as np
@@ -131,8 +168,11 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``toxicity`` (0 to 1) and ``toxic_sentences`` (array of (start, end, score) in code points, those with at
     least even odds). Each whole text is scored alone, no shuffle; null and empty text have no sentence and score 0."""
 
+    uid = uuid.uuid4().hex
+
     def run(texts):
-        got = [model.score(t) for t in texts]
+        scorer = worker_cached("toxicity", uid, lambda: Scorer(model))
+        got = [scorer.score(t) for t in texts]
         return [[s for s, _ in got], [[{"start": a, "end": b, "score": p} for a, b, p in f] for _, f in got]]
 
     return add_columns(docs, [text_of(docs, text)], "toxicity double, toxic_sentences array<struct<start:int,end:int,score:double>>", run, batch_rows=1000)
