@@ -6,8 +6,8 @@ only a fifth of the set can follow, so an index over prefixes finds all candidat
 * equal sets are one class with one answer;
 * index lists are cut into blocks of similar set size, and an entry whose position leaves too few n-grams after it is skipped;
 * each list is first compared with its smallest set only; members of one component need no further comparison;
-* for the pairs left, the answers of a highly similar set decide where they can: if a and b were both measured against x, their
-  distance is at least the difference of the two (Jaccard distance is a metric), so most need no texts.
+* for the pairs left, the answers of a highly similar set decide where they can: if b was measured against the set x closest to a,
+  the distance of a and b is at least the difference of the two (Jaccard distance is a metric), so most need no texts.
 
 Every pair from different components that is neither skipped by a bound nor decided by an answer is compared exactly.
 """
@@ -177,11 +177,14 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
     gone = measured.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = save(pairs.join(gone, ["a", "b"], "left_anti"), "pairs")
 
-    far = (1 - F.col("common") / F.col("total")).alias("far")
-    known = measured.select(F.col("a").alias("x"), F.col("b").alias("id"), far)
-    derived = pairs.join(known.select("x", F.col("id").alias("a"), F.col("far").alias("fa")), "a")
-    derived = derived.join(known.select("x", F.col("id").alias("b"), F.col("far").alias("fb")), ["x", "b"])
-    derived = derived.where(F.abs(F.col("fa") - F.col("fb")) > float(1 - similarity) + 1e-9).select("a", "b").distinct()
+    far = 1 - F.col("common") / F.col("total")
+    known = measured.select(F.col("a").alias("x"), F.col("b"), far.alias("far"))
+    closest = known.groupBy("b").agg(F.min(F.struct(F.col("far"), F.col("x"))).alias("c"))  # one measured partner per set
+    closest = closest.select(F.col("b").alias("a"), F.col("c.x").alias("x"), F.col("c.far").alias("fa"))
+    mirrored = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    derived = mirrored.join(closest, "a").join(known.withColumnRenamed("far", "fb"), ["x", "b"])
+    derived = derived.where(F.abs(F.col("fa") - F.col("fb")) > float(1 - similarity) + 1e-9)
+    derived = derived.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = save(pairs.join(derived, ["a", "b"], "left_anti"), "pairs")
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     more = compare(pairs, texts.join(needed, "id", "left_semi"), width).where(is_link).select("a", "b")
