@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bitslice, bpe, decontaminate, html_text, language, line_dedup, ngram_join, toxicity
+from tessella.llm import bitslice, bpe, decontaminate, html_text, language, line_dedup, ngram_join, pii, toxicity
 from tessella.llm.common import sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,12 @@ def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text"), model).select(
         "doc_id", out.alias("held_out"), F.col("language").alias("lang_pred"), F.col("language_share").alias("score")
     )
+
+
+@query("op7_pii")
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias("n_" + kind)
+    return found.select("doc_id", *[count(k) for k in pii.KINDS], sha256(joined("base_spans")).alias("base_sha256"), joined("pii_spans").alias("spans"))
