@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bitslice, bpe, decontaminate, html_text, language, line_dedup, ngram_join, pii, toxicity
+from tessella.llm import bitslice, bpe, decontaminate, html_text, language, line_dedup, ngram_join, pii, suffix_dedup, toxicity
 from tessella.llm.common import sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,3 +186,16 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
     joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias("n_" + kind)
     return found.select("doc_id", *[count(k) for k in pii.KINDS], sha256(joined("base_spans")).alias("base_sha256"), joined("pii_spans").alias("spans"))
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    removed = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return suffix_dedup.remove(docs).select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("removed_spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
