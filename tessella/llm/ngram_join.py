@@ -57,9 +57,10 @@ def _signature(s) -> tuple[int, int]:
     return (x >> 64) - (1 << 63), (x & (1 << 64) - 1) - (1 << 63)
 
 
-def frequent(docs: DataFrame, width: int) -> list[tuple[int, int]]:
-    """N-grams that many sets of one batch share, with counts over all batches, most frequent first; at most ``HOT_ROWS``.
-    They only steer the global order: any order gives the same links."""
+def frequent(docs: DataFrame, width: int) -> bytes:
+    """N-grams that many sets of one batch share, by counts over all batches, most frequent first; at most ``HOT_ROWS``
+    hashes of 8 bytes. They only steer the global order: any order gives the same links."""
+    import numpy as np
 
     def run(batches):
         import numpy as np
@@ -76,11 +77,11 @@ def frequent(docs: DataFrame, width: int) -> list[tuple[int, int]]:
                 yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(n[keep])], names=["h", "n"])
 
     counts = docs.select("t").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.col("n") >= HOT_COUNT).sort(F.desc("n"), "h").limit(HOT_ROWS).collect()
-    return [(r.h, r.n) for r in rows]
+    rows = counts.where(F.col("n") >= HOT_COUNT).sort(F.desc("n"), "h").limit(HOT_ROWS).select("h").toPandas()
+    return rows["h"].to_numpy(np.int64).tobytes()
 
 
-def sets_of(docs: DataFrame, hot: list[tuple[int, int]], width: int, similarity: Fraction) -> DataFrame:
+def sets_of(docs: DataFrame, hot: bytes, width: int, similarity: Fraction) -> DataFrame:
     """``(id, n, s1, s2, prefix)``: set size, set signature and the prefix n-grams in global order."""
     import uuid
 
@@ -91,7 +92,7 @@ def sets_of(docs: DataFrame, hot: list[tuple[int, int]], width: int, similarity:
         import numpy as np
 
         def order():
-            h = np.array([x for x, _ in shared.value], np.int64).view(np.uint64)
+            h = np.frombuffer(shared.value, np.uint64)
             rank = np.arange(len(h), 0, -1)  # the most frequent come last
             by = np.argsort(h)
             return h[by], rank[by]
