@@ -114,6 +114,8 @@ def front_coded(run: list[tuple[bytes, bool]]) -> bytes:
     import array
     import pickle
 
+    import zstandard
+
     shared, sizes, parts, before = array.array("H"), array.array("H"), [], b""
     for s, _ in run:
         k = common(before, s, 0)
@@ -121,7 +123,8 @@ def front_coded(run: list[tuple[bytes, bool]]) -> bytes:
         sizes.append(len(s) - k)
         parts.append(s[k:])
         before = s
-    return pickle.dumps((shared.tobytes(), sizes.tobytes(), b"".join(parts), bytes(many for _, many in run)), 5)
+    data = pickle.dumps((shared.tobytes(), sizes.tobytes(), b"".join(parts), bytes(many for _, many in run)), 5)
+    return zstandard.compress(data, 3)
 
 
 def decoded(run: bytes):
@@ -129,7 +132,9 @@ def decoded(run: bytes):
     import array
     import pickle
 
-    a, b, text, many = pickle.loads(run)
+    import zstandard
+
+    a, b, text, many = pickle.loads(zstandard.decompress(run))
     shared, sizes = array.array("H", a), array.array("H", b)
     at, before = 0, b""
     for k, n, m in zip(shared, sizes, many):

@@ -21,7 +21,8 @@ from tessella.llm.common import add_columns, text_of, worker_cached
 SENTENCE = re.compile(r"[^.!?\n]+").finditer
 WORD = re.compile(r"[^\W\d_]+").findall
 SAMPLE_ROWS = 12_000  # labelled documents a model is fitted on, taken by a hash of the id
-VOCABULARY = 6_000  # features that may carry a weight
+VOCABULARY = 3_000  # features that may carry a weight, the most telling of toxic documents
+LEAST = 3.0  # standard deviations by which toxic documents must prefer them
 MEMO = 300_000  # words whose scores a worker keeps
 
 
@@ -104,14 +105,22 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         by_feature = by_feature.where("df >= 4")
         rate = n_pos / n
         z = (F.col("pos") - F.col("df") * rate) / F.sqrt(F.col("df") * rate * (1 - rate) * (1 - F.col("df") / n) + 1)
-        best = by_feature.sort(F.abs(z).desc(), "f").limit(VOCABULARY)
+        best = by_feature.withColumn("z", z).where(F.col("z") >= LEAST).sort(F.desc("z"), "f").limit(VOCABULARY)
         index = {f: i for i, f in enumerate(sorted(r.f for r in best.select("f").collect()))}
 
         def codes(lists):
-            return [[sum(1 for s in x if s) for x in lists], [[c for s in x if (c := [index[f] for w in s for f in features(w) if f in index])] for x in lists]]
-
-        coded = add_columns(bags, [bags["s"]], "n int, c array<array<int>>", codes, batch_rows=500)
-        rows_ = coded.select("y", "n", "c").collect()  # feature numbers of at most ``rows`` documents
+            import numpy as np
+
+            n, sizes, flat = [], [], []
+            for x in lists:
+                own = [c for s in x if (c := [index[f] for w in s for f in features(w) if f in index])]
+                n.append(sum(1 for s in x if s))
+                sizes.append(np.array([len(c) for c in own], np.int32).tobytes())
+                flat.append(np.array([i for c in own for i in c], np.int32).tobytes())
+            return [n, sizes, flat]
+
+        coded = add_columns(bags, [bags["s"]], "n int, sizes binary, flat binary", codes, batch_rows=500)
+        rows_ = coded.select("y", "n", "sizes", "flat").toPandas()  # packed feature numbers of at most ``rows`` documents
     finally:
         bags.unpersist()
     return _descend(rows_, index)
@@ -135,13 +144,14 @@ def _descend(rows, index: dict[str, int], steps: int = 400, l1: float = 0.3, l2:
     """Fit by proximal Adam steps on the noisy-or likelihood; the order of ``rows`` does not matter beyond rounding."""
     import numpy as np
 
-    rows = sorted(rows, key=lambda r: (r.y, r.n, r.c))
-    y = np.array([r.y for r in rows], float)
-    sent_doc = np.array([d for d, r in enumerate(rows) for _ in r.c], int)
-    plain = np.array([r.n - len(r.c) for r in rows], float)
-    lens = np.array([len(c) for r in rows for c in r.c], int)
-    feat = np.array([i for r in rows for c in r.c for i in c], int)
-    sent = np.repeat(np.arange(len(lens)), lens)
+    rows = rows.sort_values(["y", "n", "sizes", "flat"])
+    y = rows["y"].to_numpy(float)
+    sizes = [np.frombuffer(x, np.int32) for x in rows["sizes"]]
+    sent_doc = np.repeat(np.arange(len(rows)), [len(x) for x in sizes])
+    plain = rows["n"].to_numpy(float) - [len(x) for x in sizes]
+    lens = np.concatenate(sizes)
+    feat = np.frombuffer(b"".join(rows["flat"]), np.int32)
+    sent = np.repeat(np.arange(len(lens), dtype=np.int32), lens)
     n_docs, n_sent, n_feat = len(rows), len(lens), len(index)
     w, b = np.zeros(n_feat), math.log(0.001)
     m, v = np.zeros(n_feat + 1), np.zeros(n_feat + 1)
