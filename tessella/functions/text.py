@@ -32,7 +32,7 @@ def folder_name(path: Column) -> Column:
 
 def tile_part(name: Column, i: int) -> Column:
     """Column (1) or row (2) of a name that matches ``TILE_NAME``; null when the number is too big."""
-    return F.split(name, "[_.]")[i].try_cast("int")
+    return F.split(name, "[_.]")[i].try_cast("bigint")
 
 
 def parse_rgb(text: Column) -> Column:

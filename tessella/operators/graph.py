@@ -11,17 +11,13 @@ from pyspark.sql import functions as F
 from tessella.session import save
 
 HOT_PARTS = 1000  # a hot key holds more than 1/1000 of the rows, so there are fewer than 1000 of them
-HOT_MIN_ROWS = 1_000_000  # below this many rows no key can hurt
 
 
-def lookup(rows: DataFrame, key: str, table: DataFrame, n: int, hot_min: int = HOT_MIN_ROWS) -> DataFrame:
-    """Left join of ``n`` rows with a table unique on ``key``; rows of hot keys stay where they are."""
-    if n < hot_min:
-        return rows.join(table, key, "left")
+def lookup(rows: DataFrame, key: str, table: DataFrame, n: int) -> DataFrame:
+    """Left join of ``n`` rows with a table unique on ``key``; rows of hot keys stay where they are, whatever their number."""
     hot = rows.groupBy(key).count().where(F.col("count") * HOT_PARTS > n).select(key)
-    hot = save(hot.join(table, key, "left"), "hot")
-    few = F.broadcast(hot)  # fewer than HOT_PARTS rows by the filter above
-    rest = rows.join(few.select(key), key, "left_anti").join(table, key, "left")
+    few = F.broadcast(hot.join(table, key, "left"))  # fewer than HOT_PARTS rows by the filter above
+    rest = rows.join(F.broadcast(hot), key, "left_anti").join(table, key, "left")
     return rows.join(few, key).unionByName(rest)
 
 
@@ -45,7 +41,7 @@ def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
 
-def components(edges: DataFrame, hot_min: int = HOT_MIN_ROWS) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph ``(u, v)`` of longs: one row ``(id, root)`` per vertex, where the
     root is the smallest id. Alternating large-star and small-star steps; only pairs of ids are ever moved."""
     e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
@@ -55,11 +51,10 @@ def components(edges: DataFrame, hot_min: int = HOT_MIN_ROWS) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         up = e.select(F.col("v").alias("u"), F.col("u").alias("child"))
-        star = lookup(up, "u", low, sig[0], hot_min).select(F.col("child").alias("u"), F.col("m").alias("v")).distinct()
+        star = lookup(up, "u", low, sig[0]).select(F.col("child").alias("u"), F.col("m").alias("v")).distinct()
         star = save(star, "star")
         low = star.groupBy("u").agg(F.min("v").alias("m"))
-        n = star.count() if hot_min <= sig[0] else sig[0]
-        near = lookup(star, "u", low, n, hot_min)
+        near = lookup(star, "u", low, star.count())
         links = F.array(
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))
         )

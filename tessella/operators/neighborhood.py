@@ -33,10 +33,15 @@ def _targets(x: str, size, before: int, after: int, block: int) -> tuple[str, Co
         )
 
     none = "cast(array() as array<struct<blk:bigint,pos:bigint>>)"
-    both = (
-        f"flatten(transform(array({{v}}), v -> concat({at('v.p')}, CASE WHEN v.p < {before} THEN {at('(-1 - v.p)')} ELSE {none} END,"
-        f" CASE WHEN v.p >= v.n - {after} THEN {at('(2 * v.n - 1 - v.p)')} ELSE {none} END)))"
-    )
+    reach = max(before, after)
+
+    def mirrored(q: str) -> str:
+        return f"CASE WHEN {q} >= -{before} AND {q} < v.n + {after} AND {q} <> v.p THEN {at(q)} ELSE {none} END"
+
+    # images of the pixel beyond the border: a canvas narrower than the window is mirrored again and again
+    turns = f"transform(sequence(-cast(ceil({reach} / (2.0 * v.n)) as bigint), cast(ceil({reach} / (2.0 * v.n)) as bigint)), m -> 2 * v.n * m)"
+    images = f"flatten(transform({turns}, s -> concat({mirrored('(v.p + s)')}, {mirrored('(s - 1 - v.p)')})))"
+    both = f"flatten(transform(array({{v}}), v -> concat({at('v.p')}, CASE WHEN v.p < {before} OR v.p >= v.n - {after} THEN {images} ELSE {none} END)))"
     return both, v
 
 
@@ -72,8 +77,6 @@ def box_sum(
     ``own`` columns of the pixel itself are carried along, so no join back is needed. With ``by`` the table
     holds many canvases, and ``w`` and ``h`` may be columns that belong to ``by``."""
     before, after = k // 2, k - 1 - k // 2
-    if isinstance(w, int) and isinstance(h, int) and min(w, h) < max(before, after):
-        raise ValueError("the box must not reach over the canvas twice")
     p = with_halo(px, [*values, *own], w, h, before, after, block, by)
     p = _pass(p, values, own, "y", "x", "bx", w, before, after, block, by)
     return _pass(p, values, own, "x", "y", "by_", h, before, after, block, by).select(*by, "y", "x", *own, *values)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.operators import runs as R
-from tessella.operators.graph import components
+from tessella.operators.graph import components, ranked
 from tessella.session import save
 
 SHIFT = 31  # pixel id = y * 2**31 + x
@@ -72,33 +72,40 @@ def _label_block(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf
 
 
-def label(runs: DataFrame, by: Sequence[str] = (), block: int = R.BLOCK, hot_min: int | None = None) -> Regions:
+def label(runs: DataFrame, by: Sequence[str] = (), block: int = R.BLOCK) -> Regions:
     """4-connected components; the label is the id of the first pixel. ``runs`` must be cut at ``block``.
-    With ``by`` (many small canvases) every canvas must fit into one block."""
+    With ``by`` the table holds many canvases, of any size each."""
     by = tuple(by)
     r = runs.select(*by, "y", "bx", "x0", "x1").withColumn("yb", R._div(F.col("y"), block))
     types = dict(r.dtypes)
     schema = ", ".join(f"{c} {types[c]}" for c in r.columns) + ", local long"
     local = save(r.groupBy(*by, "yb", "bx").applyInPandas(_label_block, schema).drop("yb"), "local")
     parts = local.groupBy(*by, "local").agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("px"))
-    if by:
-        return Regions(local, parts.withColumn("label", F.col("local")), by)
+    # a whole number for each local component, in the order of (by, local); one canvas needs none
+    ids = ranked(parts.select(*by, "local"), [], [*by, "local"], "vid") if by else parts.select("local", F.col("local").alias("vid"))
+    ids = save(ids, "ids") if by else ids
     # border pixels of neighbouring blocks meet in equi-joins
     bottom = R.to_pixels(local.where(F.col("y") % block == block - 1)).select(
-        (F.col("y") + 1).alias("y"), "x", F.col("local").alias("u")
+        *by, (F.col("y") + 1).alias("y"), "x", F.col("local").alias("u")
     )
     top = R.to_pixels(local.where((F.col("y") % block == 0) & (F.col("y") > 0))).select(
-        "y", "x", F.col("local").alias("v")
+        *by, "y", "x", F.col("local").alias("v")
     )
     right = local.where(F.col("x1") % block == block - 1).select(
-        "y", (F.col("x1") + 1).alias("x0"), F.col("local").alias("u")
+        *by, "y", (F.col("x1") + 1).alias("x0"), F.col("local").alias("u")
     )
-    left = local.where((F.col("x0") % block == 0) & (F.col("x0") > 0)).select("y", "x0", F.col("local").alias("v"))
-    edges = bottom.join(top, ["y", "x"]).select("u", "v").union(right.join(left, ["y", "x0"]).select("u", "v"))
-    roots = components(edges.distinct(), **({} if hot_min is None else {"hot_min": hot_min}))
-    parts = parts.join(roots.select(F.col("id").alias("local"), "root"), "local", "left")
-    parts = save(parts.select("local", "px", F.coalesce("root", "local").alias("label")), "parts")
-    return Regions(local, parts)
+    left = local.where((F.col("x0") % block == 0) & (F.col("x0") > 0)).select(*by, "y", "x0", F.col("local").alias("v"))
+    pairs = bottom.join(top, [*by, "y", "x"]).select(*by, "u", "v").union(right.join(left, [*by, "y", "x0"]).select(*by, "u", "v")).distinct()
+    if not by:
+        roots = components(pairs).select(F.col("id").alias("local"), F.col("root").alias("label"))
+    else:
+        own = lambda c: ids.select(*by, F.col("local").alias(c), F.col("vid").alias("n" + c))
+        edges = pairs.join(own("u"), [*by, "u"]).join(own("v"), [*by, "v"]).select(F.col("nu").alias("u"), F.col("nv").alias("v"))
+        roots = components(edges).join(ids.select(F.col("vid").alias("root"), F.col("local").alias("label")), "root")
+        roots = ids.join(roots.select(F.col("id").alias("vid"), "label"), "vid").select(*by, "local", "label")
+    parts = parts.join(roots, [*by, "local"], "left")
+    parts = save(parts.select(*by, "local", "px", F.coalesce("label", "local").alias("label")), "parts")
+    return Regions(local, parts, by)
 
 
 def keep_large(reg: Regions, min_px) -> DataFrame:

@@ -52,7 +52,9 @@ def preferred_sample(variants: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def caption_dropout(samples: DataFrame, rate: float, key: str) -> DataFrame:
     """Empty the caption of a share of the samples, chosen by a hash of the whole-number key."""
-    h = (F.col(key) * 2654435761 + 40503) % 4294967296 % 10000
+    # key * 2654435761 modulo 2^32, by halves so that no product leaves a long
+    low, high = F.col(key).bitwiseAND(65535), F.shiftright(key, 16).bitwiseAND(65535)
+    h = (low * 2654435761 + high * (2654435761 * 65536 % 4294967296) + 40503) % 4294967296 % 10000
     return samples.withColumn("caption", F.when(h < int(rate * 10000), F.lit("")).otherwise(F.col("caption")))
 
 

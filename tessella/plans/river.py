@@ -14,19 +14,11 @@ from tessella.operators.graph import components, ranked
 from tessella.operators.regions import median_by
 from tessella.session import new_path, save
 
-ID = 31  # cell id = col * 2**31 + row, which orders cells like (col, row)
-
-
-def _cell_id(region_width: int = 0) -> Column:
-    return F.shiftleft(F.col("col").cast("long"), ID) + F.col("row")
-
 
 def tile_components(tiles: DataFrame, by: str) -> DataFrame:
     """Connected tile sets (4 neighbours) of each ``by``; ``comp`` is the smallest cell of the set."""
-    t = tiles.select(by, "col", "row").distinct().withColumn("cell", _cell_id())
-    # one whole-number vertex id per (by, cell); cells differ by at most 2**20 columns and rows
-    vid = F.shiftleft(F.col(by).cast("long"), 40) + F.shiftleft(F.col("col").cast("long"), 20) + F.col("row")
-    t = t.withColumn("v", vid)
+    # vertices are numbered densely in the order of (by, col, row), so any columns, rows and regions do
+    t = save(ranked(tiles.select(by, "col", "row").distinct(), [], [by, "col", "row"], "v"), "cells")
     step = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in ((1, 0), (0, 1))]))
     nb = t.select(by, "col", "row", F.col("v").alias("u"), step.alias("s")).select(
         by, (F.col("col") + F.col("s.dx")).alias("col"), (F.col("row") + F.col("s.dy")).alias("row"), "u"
@@ -62,17 +54,17 @@ def bfs_order(tiles: DataFrame, by: str, renumber: int = 32) -> DataFrame:
             nxt = nxt.join(spark.read.schema(schema).parquet(f"{root}/level={level - 1}"), key, "left_anti")
         level += 1
         if level % renumber == 0:
-            nxt = ranked(nxt, [by], ["path", "col", "row"], "rank").select(*key, F.lpad(F.col("rank").cast("string"), 12, "0").alias("path"))
+            nxt = ranked(nxt, [by], ["path", "col", "row"], "rank").select(*key, F.lpad(F.col("rank").cast("string"), 19, "0").alias("path"))
     out = spark.read.schema(schema + ", level int").parquet(root).join(t.select(*key, "comp"), key)
     return ranked(out, [by], ["comp", "level", "path"]).select(*key, "level", "idx")
 
 
 def rounds(jobs: DataFrame, waits: DataFrame) -> DataFrame:
-    """Round of each job ``(box_id)`` that must run after the jobs in ``waits (box_id, on)``: the longest chain
-    before it, found by relaxation until nothing moves."""
+    """Round of each job ``(box_id)`` that must run at least ``gap`` rounds after each job in ``waits (box_id, on, gap)``: the
+    longest chain before it, found by relaxation until nothing moves."""
     state = save(jobs.select("box_id", F.lit(0).alias("wave")), "rounds")
     while True:
-        need = waits.join(state.select(F.col("box_id").alias("on"), "wave"), "on").groupBy("box_id").agg((F.max("wave") + 1).alias("need"))
+        need = waits.join(state.select(F.col("box_id").alias("on"), "wave"), "on").groupBy("box_id").agg(F.max(F.col("wave") + F.col("gap")).alias("need"))
         j = state.join(need, "box_id", "left").select("box_id", "wave", F.coalesce("need", F.lit(0)).alias("need"))
         nxt = save(j.select("box_id", F.greatest("wave", "need").alias("wave"), (F.col("need") > F.col("wave")).alias("moved")), "rounds")
         state = nxt.select("box_id", "wave")
@@ -81,17 +73,20 @@ def rounds(jobs: DataFrame, waits: DataFrame) -> DataFrame:
 
 
 def box_waits(windows: DataFrame, block: int) -> DataFrame:
-    """``(box_id, on)``: the window of a box shows an earlier box, which must be finished first. Both sides meet
-    on the blocks that they touch."""
+    """``(box_id, on, gap)``: if the window of a box shows an earlier box, that must be finished one round before; if the window
+    of the earlier box ``on`` shows the later one, the later one must not run in a round before it. Both sides meet on the
+    blocks that they touch."""
 
     def on_blocks(df, x0, y0, x1, y1):
         seq = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / block), F.floor((F.col(hi) - 1) / block)))
         return df.withColumn("kx", seq(x0, x1)).withColumn("ky", seq(y0, y1))
 
-    late = on_blocks(windows.select("box_id", "wx0", "wy0", "wx1", "wy1"), "wx0", "wy0", "wx1", "wy1")
-    early = on_blocks(windows.select(F.col("box_id").alias("on"), "x0", "y0", "x1", "y1"), "x0", "y0", "x1", "y1")
-    meet = (F.col("on") < F.col("box_id")) & (F.col("x0") < F.col("wx1")) & (F.col("x1") > F.col("wx0")) & (F.col("y0") < F.col("wy1")) & (F.col("y1") > F.col("wy0"))
-    return late.join(early, ["kx", "ky"]).where(meet).select("box_id", "on").distinct()
+    sees = on_blocks(windows.select(F.col("box_id").alias("a"), "wx0", "wy0", "wx1", "wy1"), "wx0", "wy0", "wx1", "wy1")
+    shown = on_blocks(windows.select(F.col("box_id").alias("b"), "x0", "y0", "x1", "y1"), "x0", "y0", "x1", "y1")
+    meet = (F.col("a") != F.col("b")) & (F.col("x0") < F.col("wx1")) & (F.col("x1") > F.col("wx0")) & (F.col("y0") < F.col("wy1")) & (F.col("y1") > F.col("wy0"))
+    pairs = sees.join(shown, ["kx", "ky"]).where(meet)
+    gap = (F.col("a") > F.col("b")).cast("int")  # the later box looks back: one round; the earlier one looks ahead: none
+    return pairs.select(F.greatest("a", "b").alias("box_id"), F.least("a", "b").alias("on"), gap.alias("gap")).groupBy("box_id", "on").agg(F.max("gap").alias("gap"))
 
 
 def edit_boxes(
@@ -102,9 +97,12 @@ def edit_boxes(
     A ``win`` x ``win`` window around each box shows the current canvas, in the box the ``raw`` capture, a ``fill``
     colour ``(box_id, fr, fg, fb)`` or the canvas itself, and a red outline. ``editor`` gets the window pixels
     ``(box_id, y, x, r, g, b, …)``; its result is feathered into the canvas inside the box. Later windows see
-    earlier results: boxes run in rounds, and those of a round do not see each other. The canvas is read once,
-    cut into windows by round; a round reads its own windows and the patches made before it."""
+    earlier results and never later ones: boxes run in rounds; those of a round do not see what the others make, and no box
+    runs before an earlier one whose window shows it. A box larger than the window is an error. The canvas is read
+    once, cut into windows by round; a round reads its own windows and the patches made before it."""
     spark = canvas.sparkSession
+    if not boxes.where((F.col("x1") - F.col("x0") > win) | (F.col("y1") - F.col("y0") > win)).isEmpty():
+        raise ValueError(f"a box is larger than the window of {win} pixels")
     b = G.context_window(boxes.select("box_id", "x0", "y0", "x1", "y1"), win, w, h)
     b = save(b.withColumn("wx1", F.col("wx0") + win).withColumn("wy1", F.col("wy0") + win), "boxes")
     b = save(b.join(rounds(b, save(box_waits(b, win), "waits")), "box_id"), "boxes")

@@ -265,23 +265,27 @@ def h13(t):
     return P.finishing(X.raster(t), w, h, knee=130, green=True, block=BLOCK, river_min=BIG, min_px=SMALL, ring=RING, pad=PAD)
 
 
-# boxes for edits: one per very dear order, 9 x 7 pixels
-BOXES = "boxes AS (SELECT o_orderkey AS box_id, o_custkey % 116 AS x0, o_orderkey // 125 AS y0, o_custkey % 116 + 9 AS x1, o_orderkey // 125 + 7 AS y1 FROM orders, size WHERE o_totalprice > 499000 AND o_orderkey // 125 + 7 <= h)"
+# boxes for edits: one per 25 x 25 cell of the picture, at its dearest order (of equals the first), 5 to 13 pixels wide and 4 to 9 high
+BOXES = """priced AS (SELECT o_orderkey AS k, o_orderkey % 125 AS x, o_orderkey // 125 AS y, o_totalprice AS p FROM orders),
+dear AS (SELECT k, x, y FROM (SELECT *, row_number() OVER (PARTITION BY x // 25, y // 25 ORDER BY p DESC, k) AS nth FROM priced, size WHERE y < h) WHERE nth = 1),
+boxes AS (SELECT k AS box_id, least(x, w - (5 + k % 9)) AS x0, least(y, h - (4 + k % 6)) AS y0, least(x, w - (5 + k % 9)) + 5 + k % 9 AS x1, least(y, h - (4 + k % 6)) + 4 + k % 6 AS y1 FROM dear, size WHERE h >= 9)"""
 
 
 def boxes(t):
     h = X.height(t)
-    b = t.orders.where("o_totalprice > 499000").selectExpr(
-        "o_orderkey box_id", "o_custkey % 116 x0", "o_orderkey div 125 y0", "o_custkey % 116 + 9 x1", "o_orderkey div 125 + 7 y1"
-    )
-    return b.where(F.col("y1") <= h)
+    o = t.orders.selectExpr("o_orderkey k", "o_orderkey % 125 x", "o_orderkey div 125 y", "o_totalprice p").where(F.col("y") < h)
+    o = o.withColumn("best", F.struct((-F.col("p")).alias("p"), "k", "x", "y")).groupBy(F.expr("x div 25"), F.expr("y div 25")).agg(F.min("best").alias("b")).select("b.*")
+    o = o.withColumn("bw", F.expr("5 + k % 9")).withColumn("bh", F.expr("4 + k % 6"))
+    o = o.withColumn("x0", F.least("x", X.WIDTH - F.col("bw"))).withColumn("y0", F.least("y", F.lit(h) - F.col("bh")))
+    b = o.selectExpr("k box_id", "x0", "y0", "x0 + bw x1", "y0 + bh y1")
+    return b.where(F.lit(h) >= 9)
 
 
 @query(
     "c15_regenerate_windows", "box_id:l y:l x:l r:l g:l b:l",
     X.with_(
         "raster", "raw_raster", "size", ctes=BOXES + ",\nwin AS (SELECT *, x0 - wx AS p0, y0 - wy AS q0 FROM (SELECT *, greatest(0, least(w - 30, (x0 + x1) // 2 - 15)) AS wx, greatest(0, least(h - 30, (y0 + y1) // 2 - 15)) AS wy FROM boxes, size)),\n"
-        "px AS (SELECT box_id, i, j, wx + i AS x, wy + j AS y, i BETWEEN p0 AND p0 + 8 AND j BETWEEN q0 AND q0 + 6 AS box, i BETWEEN p0 + 2 AND p0 + 6 AND j BETWEEN q0 + 2 AND q0 + 4 AS core FROM win, range(30) AS a(i), range(30) AS b(j))",
+        "px AS (SELECT box_id, i, j, wx + i AS x, wy + j AS y, i BETWEEN p0 AND p0 + x1 - x0 - 1 AND j BETWEEN q0 AND q0 + y1 - y0 - 1 AS box, i BETWEEN p0 + 2 AND p0 + x1 - x0 - 3 AND j BETWEEN q0 + 2 AND q0 + y1 - y0 - 3 AS core FROM win, range(30) AS a(i), range(30) AS b(j))",
         body="SELECT box_id, j AS y, i AS x, " + ", ".join(f"CASE WHEN box AND NOT core THEN {v} WHEN box THEN q.{c} ELSE p.{c} END AS {c}" for c, v in zip("rgb", (237, 28, 36)))
         + " FROM px JOIN raster p ON p.y = px.y AND p.x = px.x JOIN raw_raster q ON q.y = px.y AND q.x = px.x",
     ),
@@ -341,9 +345,25 @@ def c12(t):
     return V.river_walk(canvas, X.raw_raster(t), order, E.ColumnEditor(soften_in_context), X.TILE, 5, X.WIDTH, X.height(t))
 
 
-@query("c14_infill_regions", RGB)
+#: One box after another on the canvas as it then is; each step carries the whole canvas.
+RING_FILL = """ring AS (SELECT box_id, r, g, b FROM boxes JOIN raster ON x >= x0 - 6 AND x < x1 + 6 AND y >= y0 - 6 AND y < y1 + 6 AND NOT (x >= x0 AND x < x1 AND y >= y0 AND y < y1) AND NOT (b - r > 14 AND b - g > 8 AND b > 90)),
+m AS (SELECT box_id, count(*) AS n, floor(median(r)) AS r, floor(median(g)) AS g, floor(median(b)) AS b FROM ring GROUP BY box_id)"""
+STEP = """job AS (SELECT b.*, row_number() OVER (ORDER BY b.box_id) AS nth, CAST(CASE WHEN n > 50 THEN m.r ELSE 150 END AS BIGINT) AS fr, CAST(CASE WHEN n > 50 THEN m.g ELSE 148 END AS BIGINT) AS fg, CAST(CASE WHEN n > 50 THEN m.b ELSE 143 END AS BIGINT) AS fb,
+  greatest(0, least(w - 30, (x0 + x1) // 2 - 15)) AS wx, greatest(0, least(h - 30, (y0 + y1) // 2 - 15)) AS wy FROM size, boxes b LEFT JOIN m USING (box_id)),
+walk(n, y, x, r, g, b) AS (SELECT CAST(0 AS BIGINT), CAST(y AS BIGINT), CAST(x AS BIGINT), CAST(r AS BIGINT), CAST(g AS BIGINT), CAST(b AS BIGINT) FROM raster UNION ALL
+  SELECT n + 1, y, x, """ + ", ".join(f"CASE WHEN box THEN ((s{c} + m{c}) // 2 * a + {c} * (255 - a)) // 255 ELSE {c} END" for c in "rgb") + """ FROM (
+    SELECT *, """ + ", ".join(f"CAST(floor(avg(CASE WHEN seen THEN s{c} END) OVER ()) AS BIGINT) AS m{c}" for c in "rgb") + """ FROM (
+      SELECT *, """ + ", ".join(f"CASE WHEN box AND d < 2 THEN {v} WHEN box THEN f{c} ELSE {c} END AS s{c}" for c, v in zip("rgb", (237, 28, 36))) + """, CASE WHEN d < 3 THEN 255 * (d + 1) // 4 ELSE 255 END AS a FROM (
+        SELECT walk.*, fr, fg, fb, x >= x0 AND x < x1 AND y >= y0 AND y < y1 AS box, x >= wx AND x < wx + 30 AND y >= wy AND y < wy + 30 AS seen,
+          least(x - x0, y - y0, x1 - 1 - x, y1 - 1 - y) AS d FROM walk JOIN job ON job.nth = walk.n + 1))))"""
+
+
+@query(
+    "c14_infill_regions", RGB,
+    X.with_("raster", "size", ctes=BOXES + ",\n" + RING_FILL + ",\n" + STEP, body="SELECT y, x, r, g, b FROM walk WHERE n = (SELECT count(*) FROM boxes)"),
+)
 def c14(t):
-    """As above."""
+    """Boxes are re-made in the order of their ids, each from what its window then shows."""
     return V.infill_regions(X.raster(t), boxes(t), E.ColumnEditor(soften_in_context), 30, 3, X.WIDTH, X.height(t), prefill=True, ring=6)
 
 

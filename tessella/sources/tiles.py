@@ -20,14 +20,16 @@ def scan_tiles(spark: SparkSession, folder: str, pattern: str = "tile_*.png") ->
     )
     tiles = grid.parse_tiles(files)
     if tiles.isEmpty():
-        raise ValueError(f"no tile_C_R.png files in {folder}")
+        raise ValueError(f"{folder} holds no file named like a tile")
     return tiles
 
 
 def read_images(spark: SparkSession, folder: str, pattern: str = "tile_*.png") -> DataFrame:
-    """Decoded tiles: path, region, col, row and the image struct (rows of BGR bytes)."""
-    df = spark.read.format("image").option("pathGlobFilter", pattern).option("dropInvalid", "true").load(folder)
-    return grid.parse_tiles(df.select(F.col("image.origin").alias("path"), "image"))
+    """Decoded tiles of a folder (recursive): path, region, col, row, the image struct (rows of BGR bytes) and ``status``: ``ok`` or
+    ``undecodable``, then with an empty image. Without a pixel such a tile is a hole that is known, not one that vanished."""
+    df = spark.read.format("image").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
+    tiles = grid.parse_tiles(df.select(F.col("image.origin").alias("path"), "image"))
+    return tiles.withColumn("status", F.when(F.coalesce(F.col("image.height"), F.lit(-1)) > 0, "ok").otherwise("undecodable"))
 
 
 def tiles_to_pixels(tiles: DataFrame, key: Sequence[str] = ("col", "row")) -> DataFrame:
@@ -35,7 +37,7 @@ def tiles_to_pixels(tiles: DataFrame, key: Sequence[str] = ("col", "row")) -> Da
 
     Spark cuts each image into its rows first, so that Python gets small pieces whatever the size of a tile."""
     key = list(key)
-    flat = tiles.select(*key, "image.height", "image.width", "image.nChannels", "image.data")
+    flat = tiles.where("image.height > 0").select(*key, "image.height", "image.width", "image.nChannels", "image.data")
     lines = flat.select("*", F.explode(F.sequence(F.lit(0), F.col("height") - 1)).alias("y")).selectExpr(
         *key, "y", "nChannels n", "substring(data, y * width * nChannels + 1, width * nChannels) line"
     )

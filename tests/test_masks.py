@@ -81,13 +81,12 @@ def test_labels_do_not_depend_on_blocks(spark, block):
     assert {r.label: r.px for r in reg.sizes().collect()} == {int(v): int((want == v).sum()) for v in np.unique(want[want >= 0])}
 
 
-@pytest.mark.parametrize("hot_min", [0, 10**9])
-def test_components_with_hub_chain_and_hot_keys(spark, hot_min):
+def test_components_with_hub_chain_and_hot_keys(spark):
     hub = [(0, i) for i in range(1, 400)]
     chain = [(1000 + i, 1001 + i) for i in range(60)]
     pairs = hub + chain + [(5000, 5001), (5001, 5002), (5002, 5000), (7, 7)]
     edges = spark.createDataFrame(pairs, "u long, v long")
-    got = {r.id: r.root for r in graph.components(edges, hot_min).collect()}
+    got = {r.id: r.root for r in graph.components(edges).collect()}
     want = {i: 0 for i in range(400)} | {1000 + i: 1000 for i in range(61)} | {5000 + i: 5000 for i in range(3)}
     assert got == want
 
