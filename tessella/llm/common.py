@@ -20,12 +20,25 @@ def worker_cached(slot: str, key, build: Callable):
     return store[slot][1]
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 1000
+
+
+def small_batches(spark) -> None:
+    """Texts are long: Arrow batches of at most ``BATCH_ROWS`` rows keep the buffers of an executor and its workers small.
+    Sets the session's limit unless it is smaller already."""
+    now = int(spark.conf.get(BATCH))
+    if not 0 < now <= BATCH_ROWS:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
+
+
 def add_columns(df: DataFrame, inputs: list[Column], outputs: str, fn: Callable[..., Iterator], batch_rows: int | None = None) -> DataFrame:
     """``df`` with the columns of the DDL text ``outputs`` added by one Arrow pass without a shuffle.
 
     ``fn`` gets one list per input column and returns one list per output column, batch by batch. Columns of ``df``
     that carry an output's name are replaced; all others pass through untouched, whatever they are called.
     """
+    small_batches(df.sparkSession)
     new = T.StructType.fromDDL(outputs) if isinstance(outputs, str) else outputs
     keep = [f for f in df.schema.fields if f.name not in set(new.names)]
     schema = T.StructType([*keep, *new])
@@ -47,6 +60,7 @@ def add_columns(df: DataFrame, inputs: list[Column], outputs: str, fn: Callable[
                     target = to_arrow_schema(new)
                 cols = [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, target.field(i).type) for i, x in enumerate(got)]
                 yield pa.RecordBatch.from_arrays([*b.columns[:n], *cols], names=[f"c{i}" for i in range(n + len(new))])
+        pa.default_memory_pool().release_unused()
 
     out = plain.mapInArrow(run, T.StructType([T.StructField(f"c{i}", f.dataType, True) for i, f in enumerate(schema.fields)]))
     return out.toDF(*schema.names)

@@ -58,7 +58,7 @@ def _signature(s) -> tuple[int, int]:
 
 
 def frequent(docs: DataFrame, width: int) -> bytes:
-    """N-grams that many sets of one batch share, by counts over all batches, most frequent first; at most ``HOT_ROWS``
+    """N-grams that sets of one batch of some thousands share, by counts over all batches, most frequent first; at most ``HOT_ROWS``
     hashes of 8 bytes. They only steer the global order: any order gives the same links."""
     import numpy as np
 
@@ -66,15 +66,22 @@ def frequent(docs: DataFrame, width: int) -> bytes:
         import numpy as np
         import pyarrow as pa
 
-        for whole in batches:
-            for at in range(0, whole.num_rows, 4000):
-                sets = {}
-                for t in whole.column(0).slice(at, 4000).to_pylist():
-                    s = shingle_set(t, width)
-                    sets[_signature(s)] = s
-                h, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
-                keep = n > 1
-                yield pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(n[keep])], names=["h", "n"])
+        sets: dict = {}
+
+        def counted():
+            h, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
+            keep = n > 1
+            sets.clear()
+            return pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(n[keep])], names=["h", "n"])
+
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                s = shingle_set(t, width)
+                sets[_signature(s)] = s
+            if len(sets) >= 3000:
+                yield counted()
+        if sets:
+            yield counted()
 
     counts = docs.select("t").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     rows = counts.where(F.col("n") >= HOT_COUNT).sort(F.desc("n"), "h").limit(HOT_ROWS).select("h").toPandas()

@@ -8,8 +8,8 @@ their merger. A loser tree merges the runs by their common prefix lengths: heads
 touching a byte, equal ones are compared from the known prefix on. Neighbours with a long common prefix form an interval; the windows
 around its anchors are compared within it.
 
-Anchors whose fingerprint occurs more than ``HOT`` times would make one interval too large for a task; their windows are
-counted by a plain aggregation instead, which spreads and pre-aggregates.
+Equal suffixes count once per text and once per run. Anchors whose fingerprint still starts more than ``HOT`` suffixes could make an
+interval too large for a task; their windows are counted by a plain aggregation instead, which spreads and pre-aggregates.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ LENGTH = 200  # bytes of a window
 REACH = 150  # places of a window its anchor is chosen from
 RIGHT = LENGTH - REACH + 1  # bytes right of an anchor that all its windows share
 GRAM = 16  # bytes hashed at a place
-HOT = 50_000
+HOT = 200_000
 SAMPLE = 64  # one fingerprint in so many may become a splitter
 SPLITTERS = 8_192  # sampled suffixes collected, at most
 PART = 20_000  # anchors of a merge, about
@@ -227,28 +227,25 @@ def _repeated(groups: list, table):
     m = len(members)
     who = np.repeat(np.arange(len(groups), dtype=np.uint64), [len(g) for g in groups])
     flat = b"".join(s[LENGTH:-3].ljust(REACH - 1, b"\0")[::-1] + s[:LENGTH] for s, _ in members)
-    x = np.frombuffer(flat, np.uint8).reshape(m, REACH - 1 + LENGTH).T
-    sums = np.zeros((x.shape[0] + 1, m), np.uint64)
-    for i in range(x.shape[0]):
-        sums[i + 1] = sums[i] * np.uint64(BASE) + table[x[i]]
+    x = np.frombuffer(flat, np.uint8).reshape(m, REACH - 1 + LENGTH)
     low = np.array([s[-2] for s, _ in members])
     high = np.array([s[-1] for s, _ in members])
-    keys, place = [], []
-    for j in range(REACH):
+    good = np.zeros((m, REACH), bool)
+    h = np.zeros(m, np.uint64)
+    for i in range(LENGTH):
+        h = h * np.uint64(BASE) + table[x[:, i]]
+    salt, first = who * np.uint64(0xA24BAED4963EE407), _power(LENGTH - 1)
+    for c in range(REACH):  # the window that starts at column c, by a rolling hash over all members at once
+        j = REACH - 1 - c
         i = np.flatnonzero((low <= j) & (j <= high))
         if len(i):
-            c = REACH - 1 - j
-            h = sums[c + LENGTH, i] - sums[c, i] * _power(LENGTH)
-            keys.append(_mixed(_mixed(h) + (who[i] * np.uint64(REACH) + np.uint64(j)) * np.uint64(0xA24BAED4963EE407)))
-            place.append(i * REACH + j)
-    good = np.zeros(m * REACH, bool)
-    if keys:
-        keys, place = np.concatenate(keys), np.concatenate(place)
-        order = np.argsort(keys)
-        same = keys[order][1:] == keys[order][:-1]
-        good[place[order[1:][same]]] = True
-        good[place[order[:-1][same]]] = True
-    good = good.reshape(m, REACH)
+            keys = _mixed(_mixed(h[i]) + salt[i])
+            order = np.argsort(keys)
+            same = keys[order[1:]] == keys[order[:-1]]
+            good[i[order[1:][same]], j] = True
+            good[i[order[:-1][same]], j] = True
+        if j:
+            h = (h - table[x[:, c]] * first) * np.uint64(BASE) + table[x[:, c + LENGTH]]
     for i, (_, many) in enumerate(members):
         if many:
             good[i, low[i] : high[i] + 1] = True
@@ -270,7 +267,8 @@ def _digest(s: bytes) -> tuple[int, int]:
 
 
 def repeated_windows(docs: DataFrame, text: str = "text", hot: int = HOT) -> DataFrame:
-    """``(k, n, first, last)``: ranges of starts of windows that occur elsewhere, per text given by its hash and size."""
+    """``(k, n, a, low, high)``: windows that occur elsewhere, per text given by its hash and size: those that start from ``high`` to
+    ``low`` bytes before each place of ``a``, for each pair of the two lists."""
     keyed = docs.select(text_of(docs, text).alias("t"))
     keyed = keyed.select(F.xxhash64("t").alias("k"), F.octet_length("t").alias("n"), "t").where(F.col("n") >= LENGTH)
 
@@ -278,21 +276,30 @@ def repeated_windows(docs: DataFrame, text: str = "text", hot: int = HOT) -> Dat
         import numpy as np
 
         table = _table()
-        fps, counts, samples = [], [], []
+        fps, counts, different, samples = [], [], [], []
         for t in texts:
             data = t.encode("utf-8", "surrogatepass")
-            a, _, _, f = anchors(data, table)
+            a, first, last, f = anchors(data, table)
             u, at, c = np.unique(f, return_index=True, return_counts=True)
+            own = np.ones(len(u), np.int32)
+            if (c > 1).any():
+                seen: dict[int, set] = {}
+                for i in np.flatnonzero(np.isin(f, u[c > 1])).tolist():
+                    seen.setdefault(int(f[i]), set()).add(suffix(data, int(a[i]), int(first[i]), int(last[i])))
+                for x, s in seen.items():
+                    own[np.searchsorted(u, x)] = len(s)
             fps.append(u)
             counts.append(c.astype(np.int32))
+            different.append(own)
             samples.append([{"f": int(u[i]), "s": data[a[at[i]] : a[at[i]] + RIGHT]} for i in np.flatnonzero(u % SAMPLE == 0)])
-        return [fps, counts, samples]
-
-    firsts = add_columns(keyed, [keyed["t"]], "f array<bigint>, c array<int>, s array<struct<f:bigint,s:binary>>", prints, batch_rows=1000)
-    firsts = save(firsts.select("k", "n", "f", "c", "s"), "fingerprints")
-    rows = firsts.select("k", "n", F.explode(F.arrays_zip("f", "c")).alias("x")).select("k", "n", F.col("x.f").alias("f"), F.col("x.c").alias("c"))
-    twice = save(rows.groupBy("f").agg(F.sum("c").alias("c")).where("c > 1").select("f", "c", (F.col("c") > hot).alias("hot")), "twice")
-    total = twice.where("not hot").agg(F.sum("c")).first()[0] or 0
+        return [fps, counts, different, samples]
+
+    firsts = add_columns(keyed, [keyed["t"]], "f array<bigint>, c array<int>, u array<int>, s array<struct<f:bigint,s:binary>>", prints, batch_rows=1000)
+    firsts = save(firsts.select("k", "n", "f", "c", "u", "s"), "fingerprints")
+    rows = firsts.select("k", "n", F.explode(F.arrays_zip("f", "c", "u")).alias("x")).select("k", "n", "x.f", "x.c", "x.u")
+    often = rows.groupBy("f").agg(F.sum("c").alias("c"), F.sum("u").alias("u")).where("c > 1")
+    twice = save(often.select("f", "u", (F.col("u") > hot).alias("hot")), "twice")
+    total = twice.where("not hot").agg(F.sum("u")).first()[0] or 0
     parts = max(1, math.ceil(total / PART))
     sample = firsts.select(F.explode("s").alias("s")).select("s.f", "s.s").join(twice.where("not hot").select("f"), "f", "left_semi")
     sample = [bytes(r.s) for r in sample.groupBy("f").agg(F.first("s").alias("s")).sort(F.xxhash64("f")).limit(SPLITTERS).select("s").sort("s").collect()]
@@ -328,7 +335,7 @@ def repeated_windows(docs: DataFrame, text: str = "text", hot: int = HOT) -> Dat
                 a, first, last, f = anchors(data, table)
                 new = (k, n) not in seen
                 seen.add((k, n))
-                refs = []
+                refs: dict[bytes, list[int]] = {}
                 for i in np.flatnonzero(np.isin(f, np.array(fs, np.int64))).tolist():
                     s = suffix(data, int(a[i]), int(first[i]), int(last[i]))
                     if s in held:
@@ -336,9 +343,8 @@ def repeated_windows(docs: DataFrame, text: str = "text", hot: int = HOT) -> Dat
                     else:
                         held[s] = False
                         size += len(s)
-                    if new:
-                        h1, h2 = _digest(s)
-                        refs.append({"a": int(a[i]), "h1": h1, "h2": h2})
+                    refs.setdefault(s, []).append(int(a[i]))
+                refs = [dict(zip(("h1", "h2", "a"), (*_digest(s), at))) for s, at in refs.items()] if new else []
                 wins = []
                 for i in np.flatnonzero(np.isin(f, np.array(hots, np.int64))).tolist() if hots else ():
                     for s in range(int(first[i]), int(last[i]) + 1):
@@ -361,11 +367,11 @@ def repeated_windows(docs: DataFrame, text: str = "text", hot: int = HOT) -> Dat
             ("run", pa.binary()),
             ("k", pa.int64()),
             ("n", pa.int32()),
-            ("refs", pa.list_(pa.struct([("a", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())]))),
+            ("refs", pa.list_(pa.struct([("h1", pa.int64()), ("h2", pa.int64()), ("a", pa.list_(pa.int32()))]))),
             ("wins", pa.list_(pa.struct([("s", pa.int32()), ("g1", pa.int64()), ("g2", pa.int64())]))),
         ]
     )
-    ddl = "part int, run binary, k long, n int, refs array<struct<a:int,h1:bigint,h2:bigint>>, wins array<struct<s:int,g1:bigint,g2:bigint>>"
+    ddl = "part int, run binary, k long, n int, refs array<struct<h1:bigint,h2:bigint,a:array<int>>>, wins array<struct<s:int,g1:bigint,g2:bigint>>"
     sorted_runs = save(keyed.join(need, ["k", "n"]).select("k", "n", "t", "fs", "hots").mapInArrow(runs_of, ddl), "runs")
 
     def merged(pdf):
@@ -391,13 +397,13 @@ def repeated_windows(docs: DataFrame, text: str = "text", hot: int = HOT) -> Dat
 
     found = sorted_runs.where("part is not null").groupBy("part").applyInPandas(merged, "h1 long, h2 long, low array<int>, high array<int>")
     refs = sorted_runs.where("part is null").select("k", "n", F.explode("refs").alias("r")).select("k", "n", "r.*").distinct()
-    near = refs.join(found, ["h1", "h2"]).select("k", "n", "a", F.explode(F.arrays_zip("low", "high")).alias("z"))
-    ranges = near.select("k", "n", (F.col("a") - F.col("z.high")).alias("first"), (F.col("a") - F.col("z.low")).alias("last"))
+    ranges = refs.join(found, ["h1", "h2"]).select("k", "n", "a", "low", "high")
     wins = sorted_runs.where("part is null").select("k", "n", F.explode("wins").alias("w")).select("k", "n", "w.*")
     copies = docs.select(F.xxhash64(text_of(docs, text)).alias("k"), F.octet_length(text_of(docs, text)).alias("n")).groupBy("k", "n").count()
     weighed = wins.join(copies, ["k", "n"])
     many = weighed.groupBy("g1", "g2").agg(F.sum("count").alias("c")).where("c > 1").select("g1", "g2")
-    more = wins.join(many, ["g1", "g2"], "left_semi").select("k", "n", F.col("s").alias("first"), F.col("s").alias("last"))
+    more = wins.join(many, ["g1", "g2"], "left_semi").groupBy("k", "n").agg(F.collect_list("s").alias("a"))
+    more = more.select("k", "n", "a", F.expr("array(0)").alias("low"), F.expr("array(0)").alias("high"))
     return ranges.unionByName(more)
 
 
@@ -408,7 +414,7 @@ def remove(docs: DataFrame, text: str = "text", hot: int = HOT) -> DataFrame:
     the same text; overlapping occurrences count, matches stay within one row's text. Null counts as empty. Every row is a text of its
     own, so a repeated row of that length or more is removed whole. All other columns pass through.
     """
-    spans = repeated_windows(docs, text, hot).groupBy("k", "n").agg(F.collect_set(F.struct("first", "last")).alias("spans"))  # of one text
+    spans = repeated_windows(docs, text, hot).groupBy("k", "n").agg(F.collect_list(F.struct("a", "low", "high")).alias("spans"))  # of one text
     t = text_of(docs, text)
     names = [f"c{i}" for i in range(len(docs.columns))]
     wide = docs.select(*[docs[f"`{c}`"] for c in docs.columns], F.xxhash64(t), F.octet_length(t)).toDF(*names, "k", "n")
@@ -419,7 +425,7 @@ def remove(docs: DataFrame, text: str = "text", hot: int = HOT) -> DataFrame:
         for x, spans in zip(texts, found):
             data = x.encode("utf-8", "surrogatepass")
             merged: list[list[int]] = []
-            for s, e in sorted((r["first"], r["last"] + LENGTH) for r in spans or ()):
+            for s, e in sorted((a - y, a - x + LENGTH) for r in spans or () for a in r["a"] for x, y in zip(r["low"], r["high"])):
                 if merged and s <= merged[-1][1]:
                     merged[-1][1] = max(e, merged[-1][1])
                 else:
