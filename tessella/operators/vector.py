@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessella.operators import runs as R
-from tessella.operators.graph import components, lookup
+from tessella.operators.graph import components, lookup, ranked
 from tessella.session import save
 
 
@@ -35,33 +35,58 @@ def line_counts(lines: DataFrame) -> DataFrame:
 
 
 def _ends(arcs: DataFrame, tol: float) -> DataFrame:
-    """Both ends of each arc as whole-number nodes of a grid with step ``tol``."""
-    p0, p1 = F.col("geometry")[0], F.element_at("geometry", -1)
-
-    def node(p):
-        q = lambda v: F.round(v / F.lit(tol)).cast("long")
-        return F.xxhash64(q(p.lat), q(p.lon))
-
-    return arcs.where(F.size("geometry") >= 2).select("arc_id", node(p0).alias("a"), node(p1).alias("b"))
+    """Both ends of each arc ``(arc_id, side, node)``. Places within ``tol`` of each other are one node, wherever grid lines run:
+    each distinct place meets the places of its own and the eight neighbouring cells."""
+    p = lambda i, side: F.struct(F.lit(side).alias("side"), F.element_at("geometry", i).lat.alias("lat"), F.element_at("geometry", i).lon.alias("lon"))
+    ends = arcs.where(F.size("geometry") >= 2).select("arc_id", F.explode(F.array(p(1, 0), p(-1, 1))).alias("e")).select("arc_id", "e.*")
+    ends = save(ends, "ends")
+    places = save(ranked(ends.select("lat", "lon").distinct(), [], ["lat", "lon"], "place"), "places")
+    q = lambda c: F.floor(F.col(c) / F.lit(tol)).cast("long")
+    cell = places.select("place", "lat", "lon", q("lat").alias("ci"), q("lon").alias("cj"))
+    step = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+    near = cell.withColumn("s", F.explode(F.array(*step))).select(
+        F.col("place").alias("u"), F.col("lat").alias("la"), F.col("lon").alias("lo"), (F.col("ci") + F.col("s.i")).alias("ci"), (F.col("cj") + F.col("s.j")).alias("cj")
+    )
+    same = near.join(cell, ["ci", "cj"]).where((F.col("u") < F.col("place")) & (F.abs(F.col("la") - F.col("lat")) <= tol) & (F.abs(F.col("lo") - F.col("lon")) <= tol))
+    node = components(same.select("u", F.col("place").alias("v"))).select(F.col("id").alias("place"), "root")
+    node = places.join(node, "place", "left").select("lat", "lon", F.coalesce("root", "place").alias("node"))
+    return save(ends.join(node, ["lat", "lon"]).select("arc_id", "side", "node"), "ends")
 
 
 def chain_rings(arcs: DataFrame, tol: float = 1e-7) -> DataFrame:
-    """Join arcs ``(arc_id, geometry)`` end to end. Per arc: ``ring`` (smallest node hash of its chain), the number
-    of points of the chain and ``closed``: every node joins two ends and the ring has at least four points.
-
-    Only ids and ends travel; rings of any length are found by component search, not by walking a chain."""
-    ends = save(_ends(arcs, tol), "ends")
-    n = ends.count()
-    nodes = save(components(ends.select(F.col("a").alias("u"), F.col("b").alias("v"))).select(F.col("id").alias("a"), "root"), "nodes")
-    # an arc that is closed on its own has no partner in ``nodes``
-    arc_ring = lookup(ends, "a", nodes, n).select("arc_id", F.coalesce("root", "a").alias("ring"))
-    degree = ends.select(F.explode(F.array("a", "b")).alias("a")).groupBy("a").count()
-    node_ring = degree.join(nodes, "a", "left").select(F.coalesce("root", "a").alias("ring"), "count")
-    loose = node_ring.groupBy("ring").agg(F.sum((F.col("count") != 2).cast("int")).alias("loose"))
-    pts = arc_ring.join(arcs.select("arc_id", F.size("geometry").alias("n")), "arc_id")
-    size = pts.groupBy("ring").agg((F.sum(F.col("n") - 1) + 1).alias("points"))
-    r = loose.join(size, "ring").select("ring", "points", ((F.col("loose") == 0) & (F.col("points") >= 4)).alias("closed"))
-    return lookup(arc_ring, "ring", r, n)
+    """Join arcs ``(arc_id, geometry)`` end to end. Per arc: ``ring`` (smallest arc of its chain), the number of points of the chain
+    and ``closed``: no end is loose and the ring has at least four points.
+
+    An arc whose ends meet is a ring of its own. Arcs that hang on one end only are taken off, again and again, and come back
+    as open chains of their own. At each node the ends left are paired in the order of their arcs, so rings that touch in a
+    node, or share one with others, stay apart; an odd end stays loose. Only ids and ends travel; rings of any length
+    are found by component search, not by walking a chain."""
+    every = _ends(arcs, tol)
+    pair = every.groupBy("arc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"))
+    own = save(pair.where("a = b").select("arc_id"), "closed")
+    ends = save(every.join(own, "arc_id", "left_anti"), "ends")
+    while True:  # one round per arc of the longest hanging chain
+        tips = ends.groupBy("node").agg(F.count("*").alias("n"), F.min("arc_id").alias("arc_id")).where("n = 1").select("arc_id").distinct()
+        tips = save(tips, "tips")
+        if tips.isEmpty():
+            break
+        ends = save(ends.join(tips, "arc_id", "left_anti"), "ends")
+    at = W.partitionBy("node").orderBy("arc_id", "side")  # the ends that meet in one place of a map
+    met = ends.withColumn("slot", F.floor((F.row_number().over(at) - 1) / 2)).groupBy("node", "slot").agg(F.min("arc_id").alias("u"), F.max("arc_id").alias("v"), F.count("*").alias("n"))
+    met = save(met, "met")
+    links = met.where("n = 2").select("u", "v")
+    loose = met.where("n = 1").select(F.col("u").alias("arc_id"))
+    # hanging arcs form chains among themselves
+    hung = every.join(ends.select("arc_id").distinct(), "arc_id", "left_anti").join(own, "arc_id", "left_anti")
+    hung_links = hung.groupBy("node").agg(F.min("arc_id").alias("u"), F.max("arc_id").alias("v")).where("u <> v").select("u", "v")
+    roots = components(links.union(hung_links)).select(F.col("id").alias("arc_id"), "root")
+    r = pair.join(roots, "arc_id", "left").select("arc_id", F.coalesce("root", "arc_id").alias("ring"))
+    bad = loose.union(hung.select("arc_id")).distinct().withColumn("bad", F.lit(1))
+    r = r.join(bad, "arc_id", "left").join(arcs.select("arc_id", F.size("geometry").alias("n")), "arc_id")
+    r = save(r, "chains")
+    size = r.groupBy("ring").agg((F.sum(F.col("n") - 1) + 1).alias("points"), F.max("bad").alias("bad"))
+    size = size.select("ring", "points", (F.col("bad").isNull() & (F.col("points") >= 4)).alias("closed"))
+    return lookup(r.select("arc_id", "ring"), "ring", size, r.count())
 
 
 def project(points: DataFrame, cal: dict, tile: int, scale: float) -> DataFrame:

@@ -9,6 +9,7 @@ walks, told apart by ``walk``.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tessella.session import new_path
@@ -138,28 +139,54 @@ def windows(raw: DataFrame, made: DataFrame | None, wave: int | None = None) ->
     return parts.groupBy("walk", "call_id", "kind", "wave", "nc", "nr").agg(*slot, F.collect_list("target").alias("targets"))
 
 
+def _done(spark, path: str) -> bool:
+    """Whether a step left its mark."""
+    try:
+        return not spark.read.schema("n int").parquet(path).isEmpty()
+    except AnalysisException:
+        return False
+
+
+def _mark(spark, path: str) -> None:
+    spark.range(1).selectExpr("cast(id as int) n").write.mode("overwrite").parquet(path)
+
+
 def run_walk(raw: DataFrame, editor, path: str | None = None) -> DataFrame:
     """Make all quadrants ``(walk, nc, nr, qx, qy, payload)``, wave by wave.
 
-    ``editor`` changes the window columns ``tl, tr, bl, br`` of each call. The raw quadrants are written once,
-    partitioned by wave, so that each wave reads only its own share. Every wave of all walks is one job that
-    reads the two waves before it and writes its own partition to the shared folder: a lost executor costs a
-    retry of its tasks, and a stopped run can go on after the waves that exist."""
+    ``editor`` changes the window columns ``tl, tr, bl, br`` of each call (``QuadEditor`` for an image editor). The raw quadrants
+    are written once, partitioned by wave, so that each wave reads only its own share. Every wave of all walks is one job that
+    reads the two waves before it and writes its own partition to the shared folder: a lost executor costs a retry of its
+    tasks, and a stopped run with the same ``path`` goes on after the waves that are done. A failed call stops the run with an
+    error that names it; what is done stays, so the run can be tried again."""
     spark = raw.sparkSession
     path = path or new_path(spark, "walk")
     quads = raw.select("walk", F.col("nc").cast("int"), F.col("nr").cast("int"), F.col("qx").cast("int"), F.col("qy").cast("int"), "payload")
     types = dict(quads.dtypes)
     schema = ", ".join(f"{c} {types[c]}" for c in quads.columns)
-    staged = quads.withColumn("wave", F.expr(wave_sql()))
-    staged.hint("rebalance", "wave").write.partitionBy("wave").parquet(f"{path}/raw")
-    last = staged.agg(F.max("wave")).first()[0]
+    if not _done(spark, f"{path}/done/raw"):
+        staged = quads.withColumn("wave", F.expr(wave_sql()))
+        staged.hint("rebalance", "wave").write.mode("overwrite").partitionBy("wave").parquet(f"{path}/raw")
+        _mark(spark, f"{path}/done/raw")
+    last = spark.read.schema(schema + ", wave int").parquet(f"{path}/raw").agg(F.max("wave")).first()[0]
+    if last is None:
+        return quads.limit(0)
     for wave in range(last + 1):
+        if _done(spark, f"{path}/done/wave={wave}"):
+            continue
         near = [f"{path}/wave={w}" for w in (wave - 2, wave - 1) if w >= 0]
         made = spark.read.schema(schema).parquet(*near) if near else None
         win = windows(spark.read.schema(schema).parquet(f"{path}/raw/wave={wave}"), made, wave)
-        out = editor.apply(win).select("walk", "nc", "nr", F.explode("targets").alias("t"), "tl", "tr", "bl", "br")
+        out = editor.apply(win)
+        status = F.col("status") if "status" in out.columns else F.lit("ok")
+        out = out.select("walk", "call_id", "nc", "nr", F.explode("targets").alias("t"), "tl", "tr", "bl", "br", status.alias("status"))
         cell = F.expr("CASE t.slot WHEN 'tl' THEN tl WHEN 'tr' THEN tr WHEN 'bl' THEN bl ELSE br END")
-        out.select("walk", "nc", "nr", "t.qx", "t.qy", cell.alias("payload")).write.mode("overwrite").parquet(f"{path}/wave={wave}")
+        made = out.select("walk", "nc", "nr", "t.qx", "t.qy", cell.alias("payload"), "call_id", F.when(F.col("status") != "ok", F.col("status")).when(cell.isNull(), "no image").otherwise("ok").alias("status"))
+        made.write.mode("overwrite").parquet(f"{path}/wave={wave}")
+        bad = spark.read.schema(made.schema).parquet(f"{path}/wave={wave}").where("status <> 'ok'").select("walk", "call_id", "status").limit(5).collect()
+        if bad:
+            raise RuntimeError(f"wave {wave} stopped: " + "; ".join(f"walk {b.walk} call {b.call_id}: {b.status}" for b in bad))
+        _mark(spark, f"{path}/done/wave={wave}")
     return spark.read.schema(schema).parquet(*[f"{path}/wave={w}" for w in range(last + 1)])
 
 

@@ -14,7 +14,7 @@ from tessella.plans import river as V
 from tessella.queries import sqlgen as S
 from tessella.queries.neighbors import BLOCK, BLUE, as_runs, blue_runs, frame, runs_sql, smooth_sql
 from tessella.queries.pixels import RGB, U8, WAVES, d, each, flood_sql, grade_sql, noise_sql, ripple_sql, tiled
-from tessella.queries.registry import query
+from tessella.queries.registry import QUERIES, query
 from tessella.session import save
 
 BIG, SMALL, RING, PAD = 200, 5, 6, 8
@@ -328,6 +328,23 @@ def c13(t):
     return V.replace_cells(base, wet, E.ColumnEditor(flip), X.TILE, 8, 5, X.WIDTH, X.height(t))
 
 
+@query("c13_replace_cells_images", RGB, QUERIES["c13_replace_cells"].sql)
+def c13_images(t):
+    """As c13, with an image editor in Python on packed windows."""
+    base = save(X.raster(t), "base")
+    wet = tiled(base).groupBy("col", "row").agg(F.count_if(C.is_blue()).alias("n")).where("n > 200").select("col", "row")
+    negative = E.PythonEditor(lambda row, model: bytes(255 - v for v in row["payload"]))
+    return V.replace_cells(base, wet, E.WindowEditor(negative, ("col", "row")), X.TILE, 8, 5, X.WIDTH, X.height(t))
+
+
+def soften_image(row, model):
+    """The rule of ``soften_in_context`` for an image editor."""
+    import numpy as np
+
+    px = np.frombuffer(row["payload"], np.uint8).reshape(-1, 3).astype(int)
+    return ((px + px.sum(axis=0) // len(px)) // 2).astype(np.uint8).tobytes()
+
+
 def soften_in_context():
     """Mean of the pixel and the whole window's first channel sum: the result depends on what the window shows."""
     from pyspark.sql import Window as W
@@ -336,9 +353,29 @@ def soften_in_context():
     return {c: F.floor((F.col(c) + F.floor(F.avg(c).over(w))) / 2) for c in "rgb"}
 
 
-@query("c12_river_walk", RGB)
+#: Breadth-first order of the wet tiles, then one tile after another on the canvas as it then is.
+RIVER = """tt AS (SELECT 0 AS region, col, row, col * 100000 + row AS v FROM (SELECT x // 25 AS col, y // 25 AS row, count(*) FILTER (b - r > 14 AND b - g > 8 AND b > 90) AS n FROM raster GROUP BY ALL) WHERE n > 50),
+ee AS (SELECT a.v AS a, b.v AS b, d.k FROM tt a, (VALUES (1, 0, '0'), (-1, 0, '1'), (0, 1, '2'), (0, -1, '3')) AS d(dx, dy, k), tt b WHERE b.col = a.col + dx AND b.row = a.row + dy),
+rr(root, v) AS (SELECT v, v FROM tt UNION SELECT r.root, e.b FROM rr r JOIN ee e ON e.a = r.v WHERE e.b > r.root),
+cc AS (SELECT v, min(root) AS comp FROM rr GROUP BY v),
+dd(v, d) AS (SELECT v, 0 FROM cc WHERE v = comp UNION SELECT e.b, w.d + 1 FROM dd w JOIN ee e ON e.a = w.v WHERE w.d < 70),
+lv AS (SELECT v, min(d) AS level FROM dd GROUP BY v),
+pp(v, level, path) AS (SELECT v, level, '' FROM lv WHERE level = 0
+  UNION ALL SELECT e.b, p.level + 1, min(p.path || e.k) FROM pp p JOIN ee e ON e.a = p.v JOIN lv ON lv.v = e.b AND lv.level = p.level + 1 GROUP BY e.b, p.level + 1),
+tile AS (SELECT v // 100000 * 25 AS x0, v % 100000 * 25 AS y0, row_number() OVER (ORDER BY comp, level, path) AS idx FROM pp JOIN cc USING (v)),
+job AS (SELECT x0, y0, x0 + 25 AS x1, y0 + 25 AS y1, row_number() OVER (ORDER BY idx) AS nth, greatest(0, least(w - 50, (2 * x0 + 25) // 2 - 25)) AS wx, greatest(0, least(h - 50, (2 * y0 + 25) // 2 - 25)) AS wy
+  FROM tile, size WHERE x0 + 25 <= w AND y0 + 25 <= h),
+walk(n, y, x, r, g, b) AS (SELECT CAST(0 AS BIGINT), CAST(y AS BIGINT), CAST(x AS BIGINT), CAST(r AS BIGINT), CAST(g AS BIGINT), CAST(b AS BIGINT) FROM raster UNION ALL
+  SELECT n + 1, y, x, """ + ", ".join(f"CASE WHEN box THEN ((s{c} + m{c}) // 2 * a + {c} * (255 - a)) // 255 ELSE {c} END" for c in "rgb") + """ FROM (
+    SELECT *, """ + ", ".join(f"CAST(floor(avg(CASE WHEN seen THEN s{c} END) OVER ()) AS BIGINT) AS m{c}" for c in "rgb") + """ FROM (
+      SELECT *, """ + ", ".join(f"CASE WHEN box AND d < 2 THEN {v} WHEN box THEN o_{c} ELSE {c} END AS s{c}" for c, v in zip("rgb", (237, 28, 36))) + """, CASE WHEN d < 5 THEN 255 * (d + 1) // 6 ELSE 255 END AS a FROM (
+        SELECT walk.n, walk.y, walk.x, walk.r, walk.g, walk.b, o.r AS o_r, o.g AS o_g, o.b AS o_b, x >= x0 AND x < x1 AND y >= y0 AND y < y1 AS box, x >= wx AND x < wx + 50 AND y >= wy AND y < wy + 50 AS seen,
+          least(x - x0, y - y0, x1 - 1 - x, y1 - 1 - y) AS d FROM walk JOIN job ON job.nth = walk.n + 1 JOIN (SELECT y AS oy, x AS ox, r, g, b FROM raw_raster) o ON oy = y AND ox = x))))"""
+
+
+@query("c12_river_walk", RGB, X.with_("raster", "raw_raster", "size", ctes=RIVER, body="SELECT y, x, r, g, b FROM walk WHERE n = (SELECT count(*) FROM job)"))
 def c12(t):
-    """Order-dependent, so there is no SQL text; a test compares it with a step-by-step run."""
+    """Wet tiles are re-made in breadth-first order, each from what its window then shows."""
     canvas = save(X.raster(t), "canvas")
     wet = tiled(canvas).groupBy("col", "row").agg(F.count_if(C.is_blue()).alias("n")).where("n > 50")
     order = V.bfs_order(wet.select(F.lit(0).alias("region"), "col", "row"), "region")
@@ -367,6 +404,12 @@ def c14(t):
     return V.infill_regions(X.raster(t), boxes(t), E.ColumnEditor(soften_in_context), 30, 3, X.WIDTH, X.height(t), prefill=True, ring=6)
 
 
+@query("c14_infill_regions_images", RGB, QUERIES["c14_infill_regions"].sql)
+def c14_images(t):
+    """As c14, with an image editor in Python on packed windows."""
+    return V.infill_regions(X.raster(t), boxes(t), E.WindowEditor(E.PythonEditor(soften_image)), 30, 3, X.WIDTH, X.height(t), prefill=True, ring=6)
+
+
 def _resize(cell):
     src = """tp AS (SELECT x // 25 AS col, y // 25 AS row, y % 25 AS y, x % 25 AS x, r, g, b FROM raster),
 ts AS (SELECT col, row, max(x) + 1 AS w, max(y) + 1 AS h FROM tp GROUP BY ALL),

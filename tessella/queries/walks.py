@@ -14,7 +14,7 @@ from tessella.plans import river as V
 from tessella.plans import udtf
 from tessella.plans import walk as K
 from tessella.queries.pixels import tiled
-from tessella.queries.registry import query
+from tessella.queries.registry import QUERIES, query
 from tessella.queries.tiles import tiles
 from tessella.session import save
 from tessella.sources import sinks
@@ -145,6 +145,29 @@ def c8(t):
     return K.run_walk(sized_quads(t), E.ColumnEditor(linear_editor))
 
 
+def linear_image(row, model):
+    """The rule of ``linear_editor`` for an image editor: pixels are whole numbers of three bytes, and sums stay within them."""
+    a, b, c, d = (int.from_bytes(row["payload"][i : i + 3], "little") for i in (0, 3, 6, 9))
+    if row["kind"] == "half_h":
+        b, d = b + a, d + c
+    elif row["kind"] == "half_v":
+        c, d = c + a, d + b
+    elif row["kind"] == "br":
+        d = d + c + b - a
+    return b"".join((v % (1 << 24)).to_bytes(3, "little") for v in (a, b, c, d))
+
+
+_WALK = QUERIES["c8_run_walk"]
+
+
+@query("c8_run_walk_images", "walk:l qx:l qy:l payload:l", f"SELECT walk, qx, qy, payload % 16777216 AS payload FROM (\n{_WALK.sql}\n) AS w")
+def c8_images(t):
+    raw = sized_quads(t).withColumn("payload", F.unhex(F.lpad(F.hex("payload"), 6, "0")))
+    raw = raw.withColumn("payload", F.unhex(F.concat(*[F.hex(F.expr(f"substring(payload, {i}, 1)")) for i in (3, 2, 1)])))
+    made = K.run_walk(raw, E.QuadEditor(E.PythonEditor(linear_image), 1, 1))
+    return made.withColumn("payload", sum(F.conv(F.hex(F.expr(f"substring(payload, {i + 1}, 1)")), 16, 10).cast("long") * 256**i for i in range(3)))
+
+
 @query("c9_assemble_quads", "y:l x:l r:l", X.with_("raster", body="SELECT y, x, r FROM raster"))
 def c9(t):
     q = X.raster(t).select(F.floor(F.col("x") / 12).alias("qx"), F.floor(F.col("y") / 12).alias("qy"), (F.col("y") % 12).alias("y"), (F.col("x") % 12).alias("x"), "r")

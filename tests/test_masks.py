@@ -128,3 +128,23 @@ def test_median_by_counts_values(spark):
     for r in G.median_by(df, ["k"], ["r", "g", "b"]).collect():
         own = [x for x in rows if x[0] == r.k]
         assert r.n == len(own) and r.r == np.median([x[1] for x in own]) and r.g == np.median([x[2] for x in own]) and r.b == 7
+
+
+def test_labels_of_many_canvases_do_not_depend_on_blocks(spark):
+    solid, rest = np.ones((20, 20), bool), SHAPES["random"]
+    runs = [R.from_pixels(pixels(spark, m), block=8).withColumn("c", F.lit(i)) for i, m in enumerate((solid, rest))]
+    reg = G.label(runs[0].unionByName(runs[1]), by=["c"], block=8)
+    want = brute.components(rest)
+    got = {(r.c, r.label): r.px for r in reg.sizes().collect()}
+    assert got == {(0, 0): 400} | {(1, int(v)): int((want == v).sum()) for v in np.unique(want[want >= 0])}
+
+
+@pytest.mark.parametrize("k", [9, 10])
+def test_box_sum_of_canvases_smaller_than_the_box(spark, k):
+    arrays = [np.random.default_rng(6).integers(0, 256, s) for s in ((3, 3, 3), (1, 2, 3), (4, 11, 3))]
+    rows = [(i, a.shape[1], a.shape[0], y, x, int(a[y, x, 0])) for i, a in enumerate(arrays) for y in range(a.shape[0]) for x in range(a.shape[1])]
+    df = spark.createDataFrame(rows, "c int, w int, h int, y int, x int, r int")
+    got = N.box_sum(df, ["r"], k, F.col("w"), F.col("h"), by=["c", "w", "h"], block=4).collect()
+    before, after = k // 2, k - 1 - k // 2
+    padded = [np.pad(a[..., 0], ((before, after), (before, after)), mode="symmetric") for a in arrays]
+    assert len(got) == len(rows) and all(r.r == padded[r.c][r.y : r.y + k, r.x : r.x + k].sum() for r in got)

@@ -152,3 +152,69 @@ def test_editor_keeps_failures_as_rows(spark):
     assert got[2] == ("fail: broken", None) and got[4] == ("no image", None) and got[5] == ("ok", bytes([105]))
     kept = {r.id: bytes(r.payload) for r in E.or_keep(df, out, ["id"]).collect()}
     assert kept == {0: b"d", 1: b"e", 2: b"\x02", 3: b"g", 4: b"\x04", 5: b"i"}
+
+
+def test_later_boxes_never_leak_into_earlier_windows(spark):
+    """The window of box 2 shows box 3, which shows nothing itself: it still must not run first."""
+    rng = np.random.default_rng(14)
+    canvas = rng.integers(0, 256, (60, 60, 3))
+    for boxes in ([(1, 20, 20, 24, 24), (2, 26, 20, 30, 24), (3, 35, 16, 47, 28)], [(i, int(x), int(y), int(x) + 3 + i % 9, int(y) + 2 + i % 7) for i, (x, y) in enumerate(rng.integers(0, 47, (14, 2)))]):
+        df = spark.createDataFrame(boxes, "box_id long, x0 long, y0 long, x1 long, y1 long")
+        got = V.infill_regions(image(spark, canvas), df, E.ColumnEditor(soften_in_context), 16, 2, 60, 60)
+        assert (to_array(got, canvas.shape) == serial_edits(canvas, boxes, 16, 2)).all()
+    with pytest.raises(ValueError, match="larger"):
+        V.infill_regions(image(spark, canvas), spark.createDataFrame([(1, 0, 0, 20, 4)], "box_id long, x0 long, y0 long, x1 long, y1 long"), E.ColumnEditor(soften_in_context), 16, 2, 60, 60)
+
+
+def test_window_editor_resizes_and_keeps_failures(spark):
+    a = np.random.default_rng(15).integers(0, 256, (4, 6, 3))
+    px = image(spark, a).crossJoin(spark.range(3).withColumnRenamed("id", "box_id"))
+
+    def edit(row, model):
+        if row["box_id"] == 1:
+            return b"short"
+        if row["box_id"] == 2:
+            return bytes([1, 2, 3, 4, 5, 6]), 2, 1  # two pixels side by side
+        assert (row["width"], row["height"], row["prompt"]) == (6, 4, "p") and row["seed"] >= 0
+        return bytes(255 - v for v in row["payload"])
+
+    got = E.WindowEditor(E.PythonEditor(edit, options=E.Options(prompt="p"))).apply(px).collect()
+    for r in got:
+        old = tuple(a[r.y, r.x])
+        want = {0: tuple(255 - v for v in old), 1: old, 2: (3, 2, 1) if r.x < 3 else (6, 5, 4)}[r.box_id]
+        assert (r.r, r.g, r.b) == want and r.status == {0: "ok", 1: "fail: wrong size", 2: "ok"}[r.box_id]
+    assert len(got) == 72
+
+
+def test_walk_stops_at_a_failed_call_and_goes_on(spark, tmp_path):
+    quads = [(1, 2, 2, x, y, bytes([x, y, 7])) for x in range(4) for y in range(4)]
+    df = spark.createDataFrame(quads, "walk int, nc int, nr int, qx int, qy int, payload binary")
+    path, log = str(tmp_path / "walk"), tmp_path / "log"
+
+    def edit(row, model):
+        with log.open("a") as f:
+            f.write(f"{row['call_id']}\n")
+        if row["kind"] == "br" and not (tmp_path / "go").exists():
+            raise ValueError("no model")
+        return row["payload"]
+
+    editor = E.QuadEditor(E.PythonEditor(edit), 1, 1)
+    with pytest.raises(RuntimeError, match="no model"):
+        K.run_walk(df, editor, path)
+    (tmp_path / "go").touch()
+    seen = log.read_text().count("\n")
+    got = {(r.qx, r.qy): bytes(r.payload) for r in K.run_walk(df, editor, path).collect()}
+    assert got == {(q[3], q[4]): q[5] for q in quads}
+    calls = log.read_text().split()
+    assert len(set(calls)) == 9 and calls.count(calls[0]) == 1 and len(calls) > seen  # the first wave ran once
+    again = len(calls)
+    K.run_walk(df, editor, path).count()
+    assert len(log.read_text().split()) == again
+    with pytest.raises(RuntimeError, match="missing quadrant"):
+        K.run_walk(df.where("qx < 3"), editor)
+
+
+def test_tile_sets_of_far_cells_stay_apart(spark):
+    df = spark.createDataFrame([(0, 0, 1 << 20), (0, 1, 0), (0, -1, -1), (0, -1, 0), (7, 0, 0)], "region int, col int, row int")
+    got = {(r.region, r.col, r.row): r.comp for r in V.tile_components(df, "region").collect()}
+    assert got[0, -1, -1] == got[0, -1, 0] and len(set(got.values())) == 4
