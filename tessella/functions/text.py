@@ -14,7 +14,8 @@ FORBIDDEN = (
     ("key", "text", r"(?i)(api[_-]?key|secret|token|password)\s*[:=]\s*\S{8,}"),
     ("known key", "text", r"(AKIA[0-9A-Z]{16}|hf_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9]{20,}|AIza[0-9A-Za-z_-]{35}|rpa_[A-Za-z0-9]{20,})"),
     ("private key", "text", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    ("env file", "path", r"(^|/)\.env($|\.)"),
+    ("service account", "text", r"\"type\"\s*:\s*\"service_account\""),
+    ("env file", "path", r"(^|/)\.([A-Za-z0-9]+[_-])*env($|\.)"),
     ("weights", "path", r"(?i)\.(safetensors|gguf|ckpt|pt)$"),
     ("key file", "path", r"(?i)\.(pem|key|p12)$"),
     ("image outside submissions", "path", r"(?i)^(?!submissions/).*\.(png|jpe?g|webp)$"),
@@ -54,6 +55,7 @@ def forbidden_reasons(path: Column, text: Column) -> Column:
 
 NOTE_FIELDS = {
     "range": r"(?i)col\w*\s+(\d+\s*(?:-|to)\s*\d+)",
+    "rows": r"(?i)rows?\s+(\d+\s*(?:-|to)\s*\d+)",
     "weights": r"(\S+\.safetensors)",
     "steps": r"(?i)steps?\W+(\d+)",
     "command": r"((?:python|node)3?\s+\S+)",
@@ -61,7 +63,7 @@ NOTE_FIELDS = {
 
 
 def note_fields(text: Column) -> list[Column]:
-    """What a notes file states about range, weights file, steps and command; null where it does not."""
+    """What a notes file states about columns, rows, weights file, steps and command; null where it does not."""
     out = []
     for name, rx in NOTE_FIELDS.items():
         v = F.regexp_extract(text, rx, 1)

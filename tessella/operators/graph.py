@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessella.session import save
+from tessella.session import discard, save
 
 HOT_PARTS = 1000  # a hot key holds more than 1/1000 of the rows, so there are fewer than 1000 of them
 
@@ -62,6 +62,8 @@ def components(edges: DataFrame) -> DataFrame:
         nxt = save(nxt, "edges")
         new = _signature(nxt)
         done = new == sig
+        discard(star)
+        discard(e)
         e, sig = nxt, new
         if done:
             break

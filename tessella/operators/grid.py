@@ -165,8 +165,9 @@ def cell_rules(tiles: DataFrame, rules: DataFrame) -> DataFrame:
     return tiles.join(rules, ["col", "row"])
 
 
-def validate_submission(files: DataFrame, max_tiles: int = 50, size: int = 1024) -> DataFrame:
-    """Violations ``(region, file, reason)``: wrong names, wrong sizes, too many tiles, no notes."""
+def validate_submission(files: DataFrame, max_tiles: int = 50, size: int = 1024, submission: str | None = None) -> DataFrame:
+    """Violations ``(region, file, reason)``: wrong names, wrong sizes, too many tiles, no notes. With a column that tells
+    submissions apart also those of more than one region, named by ``file``."""
     name = T.file_name(F.col("path"))
     f = files.select(
         T.folder_name(F.col("path")).alias("region"), name.alias("file"), "width", "height"
@@ -187,7 +188,11 @@ def validate_submission(files: DataFrame, max_tiles: int = 50, size: int = 1024)
         F.array(F.when(F.col("tiles") > max_tiles, F.lit("too many tiles")), F.when(F.col("notes") == 0, F.lit("no notes"))),
         lambda z: z.isNotNull(),
     )
-    return per_file.unionByName(per_region.select("region", F.lit("").alias("file"), F.explode(why).alias("reason")))
+    out = per_file.unionByName(per_region.select("region", F.lit("").alias("file"), F.explode(why).alias("reason")))
+    if submission:
+        many = files.groupBy(F.col(submission).cast("string").alias("file")).agg(F.count_distinct(T.folder_name(F.col("path"))).alias("n")).where("n > 1")
+        out = out.unionByName(many.select(F.lit("").alias("region"), "file", F.lit("more than one region").alias("reason")))
+    return out
 
 
 def source_precedence(captures: DataFrame, key: Sequence[str], prio: str) -> DataFrame:

@@ -36,6 +36,11 @@ def stitch(
     return placed.unionByName(fill_cells(holes, cell, background, by))
 
 
+def stitch_sized(tiles: DataFrame, extent: DataFrame, cell: int, background: Sequence[int] = HOLE) -> DataFrame:
+    """Tiles of any size ``(col, row, w, h, y, x, r, g, b)`` brought to the cell size, then stitched."""
+    return stitch(N.resize_tiles(tiles, cell, ["col", "row", "w", "h"]), extent, cell, background=background)
+
+
 def preview_factor(w: int, h: int, inside: int = 1024) -> int:
     """Whole factor that makes the canvas fit inside a square."""
     return max(1, -(-max(w, h) // inside))

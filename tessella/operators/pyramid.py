@@ -46,21 +46,15 @@ def pyramid_levels(pixels: DataFrame, w: int, h: int) -> DataFrame:
 
 
 def pyramid_tiles(levels: DataFrame, tile: int = 256) -> DataFrame:
-    """Packed tiles ``(level, c, r, w, h, hex)``; rows of RGB bytes as hex. A group holds at most tile² pixels."""
-    px = levels.select(
-        "level",
-        F.floor(F.col("x") / tile).alias("c"),
-        F.floor(F.col("y") / tile).alias("r_"),
-        F.struct(
-            (F.col("y") % tile).alias("y"),
-            (F.col("x") % tile).alias("x"),
-            F.lpad(F.hex(F.col("r") * 65536 + F.col("g") * 256 + F.col("b")), 6, "0").alias("v"),
-        ).alias("p"),
-    )
-    t = px.groupBy("level", "c", "r_").agg(
-        F.sort_array(F.collect_list("p")).alias("p"), (F.max("p.x") + 1).alias("w"), (F.max("p.y") + 1).alias("h")
-    )
-    return t.select("level", "c", F.col("r_").alias("r"), "w", "h", F.array_join(F.transform("p", lambda z: z.v), "").alias("hex"))
+    """Packed tiles ``(level, c, r, w, h, hex)``; rows of RGB bytes as hex. Lines are packed first, then tiles of lines, so
+    no group holds more than one line of pixels or one tile of lines."""
+    v = F.lpad(F.hex(F.col("r") * 65536 + F.col("g") * 256 + F.col("b")), 6, "0")
+    px = levels.select("level", F.floor(F.col("x") / tile).alias("c"), "y", F.struct((F.col("x") % tile).alias("x"), v.alias("v")).alias("p"))
+    line = px.groupBy("level", "c", "y").agg(F.sort_array(F.collect_list("p")).alias("p"), (F.max("p.x") + 1).alias("w"))
+    text = F.array_join(F.transform("p", lambda z: z.v), "")
+    line = line.select("level", "c", F.floor(F.col("y") / tile).alias("r_"), "w", F.struct((F.col("y") % tile).alias("y"), text.alias("v")).alias("p"))
+    t = line.groupBy("level", "c", "r_").agg(F.sort_array(F.collect_list("p")).alias("p"), F.max("w").alias("w"), (F.max("p.y") + 1).alias("h"))
+    return t.select("level", "c", F.col("r_").alias("r"), "w", "h", text.alias("hex"))
 
 
 def pyramid_boxes(spark: SparkSession, w: int, h: int, tile: int = 256) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessella.operators import runs as R
 from tessella.operators.graph import components, lookup, ranked
-from tessella.session import save
+from tessella.session import discard, save
 
 
 def bbox_filter(points: DataFrame, s: float, w: float, n: float, e: float, tag: str = "water") -> DataFrame:
@@ -70,7 +70,10 @@ def chain_rings(arcs: DataFrame, tol: float = 1e-7) -> DataFrame:
         tips = save(tips, "tips")
         if tips.isEmpty():
             break
-        ends = save(ends.join(tips, "arc_id", "left_anti"), "ends")
+        rest = save(ends.join(tips, "arc_id", "left_anti"), "ends")
+        discard(ends)
+        discard(tips)
+        ends = rest
     at = W.partitionBy("node").orderBy("arc_id", "side")  # the ends that meet in one place of a map
     met = ends.withColumn("slot", F.floor((F.row_number().over(at) - 1) / 2)).groupBy("node", "slot").agg(F.min("arc_id").alias("u"), F.max("arc_id").alias("v"), F.count("*").alias("n"))
     met = save(met, "met")

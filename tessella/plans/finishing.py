@@ -32,8 +32,13 @@ def water_target(pixels: DataFrame, key: Sequence[str], min_share: float = 0.02)
     return size.join(med, key, "left").select(*key, *[F.when(enough, F.floor(c)).alias("t" + c) for c in "rgb"])
 
 
-def normalise_water(pixels: DataFrame, key: Sequence[str], new: tuple[int, int, int], softness: float) -> DataFrame:
-    """Move each tile's water colour to ``new``; tiles without water stay as they are."""
+def normalise_water(
+    pixels: DataFrame, key: Sequence[str], new: tuple[int, int, int], softness: float, target: tuple[int, int, int] | None = None
+) -> DataFrame:
+    """Move each tile's water colour to ``new``; tiles without water stay as they are. A fixed ``target`` is moved in all tiles."""
+    if target:
+        moved = C.soft_color_replace([F.lit(v) for v in target], new, softness)
+        return pixels.select("y", "x", *[m.alias(c) for c, m in zip("rgb", moved)])
     j = pixels.join(water_target(pixels, key), list(key), "left")
     moved = C.soft_color_replace([F.col("tr"), F.col("tg"), F.col("tb")], new, softness)
     return j.select("y", "x", *[F.when(F.col("tr").isNull(), F.col(c)).otherwise(m).alias(c) for c, m in zip("rgb", moved)])

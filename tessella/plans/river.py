@@ -12,7 +12,7 @@ from tessella.operators import grid as G
 from tessella.operators import mosaic as M
 from tessella.operators.graph import components, ranked
 from tessella.operators.regions import median_by
-from tessella.session import new_path, save
+from tessella.session import discard, new_path, save
 
 
 def tile_components(tiles: DataFrame, by: str) -> DataFrame:
@@ -62,12 +62,13 @@ def bfs_order(tiles: DataFrame, by: str, renumber: int = 32) -> DataFrame:
 def rounds(jobs: DataFrame, waits: DataFrame) -> DataFrame:
     """Round of each job ``(box_id)`` that must run at least ``gap`` rounds after each job in ``waits (box_id, on, gap)``: the
     longest chain before it, found by relaxation until nothing moves."""
-    state = save(jobs.select("box_id", F.lit(0).alias("wave")), "rounds")
+    state = held = save(jobs.select("box_id", F.lit(0).alias("wave")), "rounds")
     while True:
         need = waits.join(state.select(F.col("box_id").alias("on"), "wave"), "on").groupBy("box_id").agg(F.max(F.col("wave") + F.col("gap")).alias("need"))
         j = state.join(need, "box_id", "left").select("box_id", "wave", F.coalesce("need", F.lit(0)).alias("need"))
         nxt = save(j.select("box_id", F.greatest("wave", "need").alias("wave"), (F.col("need") > F.col("wave")).alias("moved")), "rounds")
-        state = nxt.select("box_id", "wave")
+        discard(held)
+        held, state = nxt, nxt.select("box_id", "wave")
         if nxt.where("moved").isEmpty():
             return state
 
@@ -182,16 +183,28 @@ def infill_regions(
     canvas: DataFrame, boxes: DataFrame, editor, win: int, feather: int, w: int, h: int, prefill: bool = False, ring: int = 40
 ) -> DataFrame:
     """Re-make boxes from their surroundings; with ``prefill`` the box first gets the ground colour around it."""
-    fill = save(prefill_color(canvas, boxes, ring, block=win), "fill") if prefill else None
+    fill = save(prefill_color(canvas, boxes, ring, block=win, frame=(win, w, h)), "fill") if prefill else None
     return edit_boxes(canvas, boxes, editor, win, feather, w, h, fill=None if fill is None else fill.select("box_id", "fr", "fg", "fb"))
 
 
-def prefill_color(pixels: DataFrame, boxes: DataFrame, ring: int = 40, least: int = 50, fallback=C.GROUND, block: int = 256) -> DataFrame:
+def prefill_color(
+    pixels: DataFrame, boxes: DataFrame, ring: int = 40, least: int = 50, fallback=C.GROUND, block: int = 256, frame: tuple[int, int, int] | None = None
+) -> DataFrame:
     """Ground colour around each box ``(box_id, x0, y0, x1, y1)``: median of the non-blue pixels in a ring of
-    ``ring`` pixels, or ``fallback`` when there are at most ``least`` of them."""
+    ``ring`` pixels, or ``fallback`` when there are at most ``least`` of them. With ``frame`` (window, w, h) the ring ends
+    where the box's context window does."""
+    boxes = boxes.select("box_id", "x0", "y0", "x1", "y1")
+    free = [F.lit(None).cast("long").alias(c) for c in ("fx0", "fy0", "fx1", "fy1")]
+    if frame:
+        win, w, h = frame
+        c = G.context_window(boxes, win, w, h).select("box_id", "wx0", "wy0")
+        free = [F.col("wx0").alias("fx0"), F.col("wy0").alias("fy0"), (F.col("wx0") + win).alias("fx1"), (F.col("wy0") + win).alias("fy1")]
+        boxes = boxes.join(c, "box_id")
+    boxes = boxes.select("box_id", "x0", "y0", "x1", "y1", *free)
+    edge = {c: F.greatest(F.col(c) - ring, F.col("f" + c)) for c in ("x0", "y0")} | {c: F.least(F.col(c) + ring, F.col("f" + c)) for c in ("x1", "y1")}
     near = boxes.select(
         "box_id", *[F.col(c).alias("q" + c) for c in ("x0", "y0", "x1", "y1")],
-        (F.col("x0") - ring).alias("wx0"), (F.col("y0") - ring).alias("wy0"), (F.col("x1") + ring).alias("wx1"), (F.col("y1") + ring).alias("wy1"),
+        *[e.alias("w" + c) for c, e in edge.items()],
     )
     around = ["box_id", "qx0", "qy0", "qx1", "qy1"]
     px = G.extract_window(pixels.where(~C.is_blue()), near.select(*around, *[F.greatest(c, F.lit(0)).alias(c) for c in ("wx0", "wy0")], "wx1", "wy1")

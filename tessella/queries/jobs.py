@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tessella import fixtures as X
 from tessella.functions import color as C
+from tessella.operators import grid as GR
+from tessella.operators import mosaic as M
 from tessella.operators import regions as G
 from tessella.operators import runs as R
 from tessella.plans import editor as E
@@ -429,3 +431,17 @@ ts AS (SELECT col, row, max(x) + 1 AS w, max(y) + 1 AS h FROM tp GROUP BY ALL),
 
 for _cell in (40, 10):
     _resize(_cell)
+
+
+def _sized(cell):
+    inner = QUERIES[f"e10_resize_tiles_{cell}"].sql
+
+    @query(f"h1_stitch_sized_{cell}", RGB, f"SELECT row * {cell} + y AS y, col * {cell} + x AS x, r, g, b FROM (\n{inner}\n) AS tile")
+    def h1_sized(t):
+        """The picture's tiles, narrower at the border, each brought to the cell."""
+        tiles = tile_pixels(t)
+        return M.stitch_sized(tiles, GR.grid_extent(tiles), cell)
+
+
+for _cell in (40, 10):
+    _sized(_cell)

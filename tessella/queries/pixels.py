@@ -169,6 +169,16 @@ def d11(t):
     return normalise_water(tiled(X.raster(t)), ["col", "row"], (60, 150, 220), 60.0)
 
 
+_A3, _O3 = replace_sql(("60", "120", "170"), (60, 150, 220), 60.0)
+
+
+@query("d11_fixed_target", RGB, X.with_("raster", ctes=f"w AS (SELECT y, x, r, g, b, {_A3} AS a FROM raster)", body=f"SELECT y, x, {_O3} FROM w"))
+def d11_fixed(t):
+    from tessella.plans.finishing import normalise_water
+
+    return normalise_water(tiled(X.raster(t)), ["col", "row"], (60, 150, 220), 60.0, target=(60, 120, 170))
+
+
 CHECKER = "CASE WHEN {m} THEN greatest(0, least(255, @ + CASE WHEN (x // 2 + y // 2) % 2 = 1 THEN 10 ELSE -10 END)) ELSE @ END"
 
 
@@ -387,7 +397,7 @@ def h8(t):
     X.with_("raster", "size", ctes=PACKED, body="SELECT level, count(*) AS tiles, sum(w * h) AS px FROM packed GROUP BY ROLLUP (level)"),
 )
 def h9(t):
-    return P.pyramid_summary(P.pyramid_boxes(t.spark, X.WIDTH, X.height(t), 32))
+    return P.pyramid_summary(P.pyramid_tiles(levels_of(t), 32))
 
 
 @query("a10_write_pyramid", "level:l c:l r:l hash:s width:l height:l", X.with_("raster", "size", ctes=PACKED, body="SELECT level, c, r, hash, size.w AS width, size.h AS height FROM packed, size"))

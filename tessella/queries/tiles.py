@@ -321,11 +321,22 @@ def b17(t):
     return G.validate_submission(X.tile_files(t).select("path", "width", "height").unionByName(notes), max_tiles=450)
 
 
+@query(
+    "b17_one_region", "region:s file:s reason:s",
+    X.with_("tile_files", ctes="f AS (SELECT split_part(path, '/', 2) AS region, seq // 10 % 400 AS sub FROM tile_files)",
+            body="SELECT '' AS region, CAST(sub AS VARCHAR) AS file, 'more than one region' AS reason FROM f GROUP BY sub HAVING count(DISTINCT region) > 1"),
+)
+def b17_region(t):
+    """Submissions that touch more than one region."""
+    files = X.tile_files(t).selectExpr("path", "width", "height", "cast(seq div 10 % 400 as string) submission")
+    return G.validate_submission(files, submission="submission").where("reason = 'more than one region'")
+
+
 DOC_PATH = {
     "spark": "concat(CASE WHEN doc_id % 5 = 0 THEN 'submissions/' ELSE concat(source, '/') END, doc_id,"
-    " CASE doc_id % 7 WHEN 0 THEN '.png' WHEN 1 THEN '.safetensors' WHEN 2 THEN '.pem' WHEN 3 THEN '/.env' ELSE '.md' END)",
+    " CASE doc_id % 7 WHEN 0 THEN '.png' WHEN 1 THEN '.safetensors' WHEN 2 THEN '.pem' WHEN 3 THEN '/.env' WHEN 4 THEN '/.cloud_env' ELSE '.md' END)",
     "sql": "CASE WHEN doc_id % 5 = 0 THEN 'submissions/' ELSE source || '/' END || doc_id ||"
-    " CASE doc_id % 7 WHEN 0 THEN '.png' WHEN 1 THEN '.safetensors' WHEN 2 THEN '.pem' WHEN 3 THEN '/.env' ELSE '.md' END",
+    " CASE doc_id % 7 WHEN 0 THEN '.png' WHEN 1 THEN '.safetensors' WHEN 2 THEN '.pem' WHEN 3 THEN '/.env' WHEN 4 THEN '/.cloud_env' ELSE '.md' END",
 }
 
 
@@ -347,8 +358,8 @@ def b18(t):
 
 
 @query(
-    "b19_notes_fields", "id:l range:s weights:s steps:s command:s complete:b",
-    "SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'P' THEN (o_custkey % 9) || '-' || (o_custkey % 9 + 4) END AS range,"
+    "b19_notes_fields", "id:l range:s rows:s weights:s steps:s command:s complete:b",
+    "SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'P' THEN (o_custkey % 9) || '-' || (o_custkey % 9 + 4) END AS range, CASE WHEN o_orderstatus <> 'P' THEN '0-' || o_custkey % 7 END AS rows,"
     " CASE WHEN o_orderpriority <> '5-LOW' THEN 'w' || (o_custkey % 3) || '.safetensors' END AS weights,"
     " CASE WHEN o_totalprice > 100000 THEN CAST(10 + o_custkey % 20 AS VARCHAR) END AS steps,"
     " CASE WHEN o_custkey % 4 <> 0 THEN 'python run_' || o_orderkey || '.py' END AS command,"
@@ -357,7 +368,7 @@ def b18(t):
 def b19(t):
     notes = t.orders.selectExpr(
         "o_orderkey id",
-        "concat_ws('\\n', CASE WHEN o_orderstatus <> 'P' THEN concat('columns ', o_custkey % 9, '-', o_custkey % 9 + 4, ' rows 0-3') END,"
+        "concat_ws('\\n', CASE WHEN o_orderstatus <> 'P' THEN concat('columns ', o_custkey % 9, '-', o_custkey % 9 + 4, ' rows 0-', o_custkey % 7) END,"
         " CASE WHEN o_orderpriority <> '5-LOW' THEN concat('file w', o_custkey % 3, '.safetensors') END,"
         " CASE WHEN o_totalprice > 100000 THEN concat('Steps: ', 10 + o_custkey % 20) END,"
         " CASE WHEN o_custkey % 4 <> 0 THEN concat('ran `python run_', o_orderkey, '.py` twice') END) notes",

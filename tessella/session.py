@@ -57,4 +57,15 @@ def save(df: DataFrame, name: str = "step") -> DataFrame:
     and gives Catalyst true sizes for the joins that follow."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.saved_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table of a ``save`` that nothing reads any more: its successor is written."""
+    path = getattr(df, "saved_path", None)
+    if path:
+        spark = df.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

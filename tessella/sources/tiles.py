@@ -60,23 +60,24 @@ def tiles_to_pixels(tiles: DataFrame, key: Sequence[str] = ("col", "row")) -> Da
 
 
 def pixels_to_tiles(pixels: DataFrame, key: Sequence[str], tile: int) -> DataFrame:
-    """Pack canvas pixels into decoded images of ``tile`` x ``tile`` (ragged at the border). A tile is the
-    largest group, and its size is fixed."""
+    """Pack canvas pixels into decoded images of ``tile`` x ``tile`` (ragged at the border): lines first,
+    then tiles of lines, so no group holds more than one line of pixels or one tile of lines."""
     hex3 = F.hex(F.shiftleft(F.col("b").cast("int"), 16) + F.shiftleft(F.col("g").cast("int"), 8) + F.col("r").cast("int"))
     p = pixels.select(
         *key,
         F.floor(F.col("x") / tile).cast("int").alias("col"),
-        F.floor(F.col("y") / tile).cast("int").alias("row"),
-        (F.col("y") % tile).cast("int").alias("ty"),
-        (F.col("x") % tile).cast("int").alias("tx"),
-        F.lpad(hex3, 6, "0").alias("v"),
+        F.col("y").cast("int").alias("line"),
+        F.struct((F.col("x") % tile).cast("int").alias("tx"), F.lpad(hex3, 6, "0").alias("v")).alias("p"),
+    )
+    p = p.groupBy(*key, "col", "line").agg(F.sort_array(F.collect_list("p")).alias("px"), (F.max("p.tx") + 1).alias("width"))
+    p = p.select(
+        *key, "col", F.floor(F.col("line") / tile).cast("int").alias("row"), "width",
+        F.struct((F.col("line") % tile).alias("ty"), F.unhex(F.array_join(F.transform("px", lambda z: z.v), "")).alias("v")).alias("p"),
     )
     t = p.groupBy(*key, "col", "row").agg(
-        F.sort_array(F.collect_list(F.struct("ty", "tx", "v"))).alias("px"),
-        (F.max("ty") + 1).alias("height"),
-        (F.max("tx") + 1).alias("width"),
+        F.sort_array(F.collect_list("p")).alias("px"), (F.max("p.ty") + 1).alias("height"), F.max("width").alias("width")
     )
-    data = F.unhex(F.array_join(F.transform("px", lambda z: z.v), ""))
+    data = F.unhex(F.array_join(F.transform("px", lambda z: F.hex(z.v)), ""))
     return t.select(
         *key,
         "col",

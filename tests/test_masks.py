@@ -148,3 +148,15 @@ def test_box_sum_of_canvases_smaller_than_the_box(spark, k):
     before, after = k // 2, k - 1 - k // 2
     padded = [np.pad(a[..., 0], ((before, after), (before, after)), mode="symmetric") for a in arrays]
     assert len(got) == len(rows) and all(r.r == padded[r.c][r.y : r.y + k, r.x : r.x + k].sum() for r in got)
+
+
+def test_a_loop_leaves_only_its_last_table(spark):
+    import pathlib
+
+    from tessella.session import shared_dir
+
+    root = pathlib.Path(shared_dir(spark).removeprefix("file:")) / "tessella"
+    count = lambda: len([p for p in root.iterdir() if p.name.startswith(("edges", "star"))]) if root.exists() else 0
+    before = count()
+    graph.components(spark.createDataFrame([(i, i + 1) for i in range(200)], "u long, v long")).count()
+    assert count() == before + 1
