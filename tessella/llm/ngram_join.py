@@ -5,7 +5,8 @@ only a fifth of the set can follow, so an index over prefixes finds all candidat
 
 * equal sets are one class with one answer;
 * index lists are cut into blocks of similar set size, and an entry whose position leaves too few n-grams after it is skipped;
-* each list is first compared with its smallest set only; members of one component need no further comparison;
+* each list is first compared with its smallest set only, then, turn by turn, one member of each component in it with one of another,
+  until no turn finds a link; members of one component need no further comparison;
 * for the pairs left, the answers of a highly similar set decide where they can: if b was measured against the set x closest to a,
   the distance of a and b is at least the difference of the two (Jaccard distance is a metric), so most need no texts.
 
@@ -171,11 +172,31 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
     is_link = F.col("common") * den >= F.col("total") * num
     links = measured.where(is_link).select("a", "b")
     comps = save(components(links.toDF("u", "v")), "components")
+    turn = 0
+    while True:
+        # lists of several components: one member of each, another by chance in every list and turn, meets one of the first
+        placed = index.join(comps, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
+        mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
+        placed = save(placed.join(mixed, "token"), "placed")
+        chance = F.struct(F.xxhash64("id", "token", F.lit(turn)).alias("h"), "id", "n")
+        drawn = placed.groupBy("token", "comp").agg(F.min(chance).alias("m"))
+        first = drawn.groupBy("token").agg(F.min(F.struct("comp", "m")).alias("f"))
+        meet = drawn.join(first, "token").where(F.col("comp") != F.col("f.comp")).where(near("m.n", "f.m.n"))
+        meet = meet.select(F.col("f.m.id").alias("a"), F.col("m.id").alias("b")).distinct()
+        known = measured.select("a", "b").union(measured.select("b", "a")).distinct()
+        meet = save(meet.join(known, ["a", "b"], "left_anti"), "meet")
+        needed = meet.select(F.col("a").alias("id")).union(meet.select("b")).distinct()
+        fresh = save(compare(meet, texts.join(needed, "id", "left_semi"), width), "measured")
+        new = fresh.where(is_link).select("a", "b")
+        measured = measured.unionByName(fresh)
+        if new.isEmpty():
+            break
+        links = links.union(new)
+        comps = save(components(links.toDF("u", "v")), "components")
+        turn += 1
 
-    placed = index.join(comps, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
-    mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
     block = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(float(1 / similarity))) + 1e-9).cast("int")
-    placed = save(placed.join(mixed, "token").withColumn("block", block), "placed")
+    placed = placed.withColumn("block", block)
     a = placed.select("token", *[F.col(c).alias(c + "_a") for c in ("id", "n", "pos", "comp")], F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"))
     b = placed.select("token", "block", *[F.col(c).alias(c + "_b") for c in ("id", "n", "pos", "comp")])
     room = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
