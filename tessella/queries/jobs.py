@@ -136,6 +136,13 @@ def f11a(t):
     return P.tile_water_mask(tile_pixels(t), block=BLOCK)
 
 
+@query("f11_tile_water_mask_blocks", "col:l row:l y:l x0:l x1:l", X.with_("raster", ctes=TILE_MASK + S.runs("q", "wm", "col, row"), body="SELECT * FROM q"))
+def f11a_blocks(t):
+    """As above with blocks of 8 pixels, so that every tile spans several."""
+    by = ["col", "row", "w", "h"]
+    return R.maximal(P.tile_water_mask(tile_pixels(t), block=8), by, 8)
+
+
 @query(
     "j6_augment_controls", "col:l row:l y:l x:l r:l g:l b:l",
     X.with_(

@@ -78,11 +78,12 @@ def utc_text(col: str) -> str:
 NEEDS = {"half_h": {"tl", "bl"}, "half_v": {"tl", "tr"}, "br": {"tl", "tr", "bl"}}
 
 
-def ready_calls(finished: DataFrame) -> DataFrame:
-    """Calls whose sources are all finished, from a stream of finished quadrants ``(walk, nc, nr, qx, qy)``.
+def ready_calls(finished: DataFrame, walks: DataFrame | None = None) -> DataFrame:
+    """Calls whose sources are all finished, from a stream of finished quadrants ``(walk, nc, nr, qx, qy)``. With a stream of new
+    ``walks`` also their first calls, which need no source.
 
-    State is kept per call, not per walk: at most three slot names each, however large the walk. Repeated
-    events change nothing and a call is emitted once."""
+    State is kept per call, not per walk: at most three slot names each, however large the walk. Repeated events change
+    nothing and a call is emitted once. State stays as long as the query runs: start it anew for a new set of walks."""
     used = finished.selectExpr("walk", f"explode({walk.dependents_sql()}) u").selectExpr("walk", "u.call_id", "u.kind", "u.wave", "u.slot")
     needs = {k: sorted(v) for k, v in NEEDS.items()}
 
@@ -99,4 +100,7 @@ def ready_calls(finished: DataFrame) -> DataFrame:
             yield pd.DataFrame({"walk": [key[0]], "call_id": [key[1]], "kind": [kind], "wave": [wave], "sources": [len(need)]})
 
     out = f"walk {dict(finished.dtypes)['walk']}, call_id bigint, kind string, wave int, sources int"
-    return used.groupBy("walk", "call_id").applyInPandasWithState(collect, out, "seen string", "append", GroupStateTimeout.NoTimeout)
+    ready = used.groupBy("walk", "call_id").applyInPandasWithState(collect, out, "seen string", "append", GroupStateTimeout.NoTimeout)
+    if walks is None:
+        return ready
+    return ready.unionByName(walks.selectExpr("walk", "0L call_id", "'seed' kind", "0 wave", "0 sources"))
