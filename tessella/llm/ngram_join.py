@@ -6,7 +6,7 @@ only a fifth of the set can follow, so an index over prefixes finds all candidat
 * equal sets are one class with one answer;
 * index lists are cut into blocks of similar set size, and an entry whose position leaves too few n-grams after it is skipped;
 * each list is first compared with its smallest set only, then, turn by turn, one member of each component in it with one of another,
-  while turns find many links; members of one component need no further comparison;
+  while that finds links and much is left to compare; members of one component need no further comparison;
 * for the pairs left, the answers of a highly similar set decide where they can: if b was measured against the set x closest to a,
   the distance of a and b is at least the difference of the two (Jaccard distance is a metric), so most need no texts.
 
@@ -28,7 +28,7 @@ SHINGLE = 5
 SIMILARITY = Fraction(4, 5)
 HOT_ROWS = 1 << 18  # n-grams ordered by their frequency; all others are ordered by their hash alone
 HOT_COUNT = 16
-WORTH = 10  # turns go on while more than one in so many of their pairs links; the cross comparison finds what is left
+CROSS = 8  # turns go on while the cross comparison would meet more than so many pairs per index entry, and links turn up
 # Fixed value: A-Z become lower case; words are what ASCII white space leaves.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -179,6 +179,12 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
         placed = index.join(comps, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
         mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
         placed = save(placed.join(mixed, "token"), "placed")
+        if turn:
+            share = placed.groupBy("token", "comp").agg(F.count("*").cast("double").alias("c")).groupBy("token")
+            share = share.agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
+            meets, entries_left = share.agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2), F.sum("m")).first()
+            if (meets or 0) <= CROSS * (entries_left or 0):
+                break
         chance = F.struct(F.xxhash64("id", "token", F.lit(turn)).alias("h"), "id", "n")
         drawn = placed.groupBy("token", "comp").agg(F.min(chance).alias("m"))
         first = drawn.groupBy("token").agg(F.min(F.struct("comp", "m")).alias("f"))
@@ -190,12 +196,11 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
         fresh = save(compare(meet, texts.join(needed, "id", "left_semi"), width), "measured")
         new = fresh.where(is_link).select("a", "b")
         measured = measured.unionByName(fresh)
-        if not WORTH * new.count() > fresh.count():
+        if new.isEmpty():
             break
         links = links.union(new)
         comps = save(components(links.toDF("u", "v")), "components")
         turn += 1
-    links = links.union(new)
 
     block = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(float(1 / similarity))) + 1e-9).cast("int")
     placed = placed.withColumn("block", block)
@@ -220,7 +225,7 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     more = compare(pairs, texts.join(needed, "id", "left_semi"), width).where(is_link).select("a", "b")
     more = save(more, "more")
-    if not (new.isEmpty() and more.isEmpty()):
+    if not more.isEmpty():
         comps = save(components(links.union(more).toDF("u", "v")), "components")
 
     roots = classes.join(comps.select(F.col("id").alias("rep"), "root"), "rep", "left")
