@@ -255,3 +255,18 @@ def test_pipeline(spark, documents):
         elif name == "near_duplicates":
             assert set(kept[name]) == {d for d, (_, c) in brute_components(sorted(before.items())).items() if c == d}
     assert {r.doc_id for r in corpus_pipeline.run(spark, SMALL).collect()} == set(before)
+
+
+def test_html_query(spark):
+    """The given pages have one shape: the article is one element whose blocks are its headings and paragraphs."""
+    import html
+    import re
+
+    folder = str(DATA / "sf0.01")
+    pages = {r.page_id: r.html for r in spark.read.parquet(folder + "/pages.parquet").collect()}
+    rows = entry.queries()["op6_html"](spark, folder).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        article = re.search(r"<article>(.*?)</article>", pages[r.page_id], re.S)[1]
+        blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", article))
+        assert r.text == "\n".join(filter(None, blocks)) and r.n_chars == len(r.text)
