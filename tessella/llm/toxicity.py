@@ -20,7 +20,8 @@ from tessella.llm.common import add_columns, text_of, worker_cached
 
 SENTENCE = re.compile(r"[^.!?\n]+").finditer
 WORD = re.compile(r"[^\W\d_]+").findall
-SAMPLE_ROWS = 12_000  # labelled documents a model is fitted on, taken by a hash of the id
+SAMPLE_ROWS = 12_000  # labelled documents a model is fitted on, taken by a hash of the id within each label
+NEVER = -30.0  # bias of a model without toxic examples: no document has enough sentences to come near even odds
 VOCABULARY = 3_000  # features that may carry a weight, the most telling of toxic documents
 LEAST = 3.0  # standard deviations by which toxic documents must prefer them
 MEMO = 300_000  # words whose scores a worker keeps
@@ -82,12 +83,21 @@ class _Memo(dict):
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
     """A model from the labelled rows of ``docs``.
 
-    At most ``rows`` labelled documents, the first by a hash of their id, are used (all of them if there are fewer); equal
-    texts count once, and with contradicting labels as toxic. Null ids, texts and labels take no part. Without both labels in
-    the sample the model says 0.5 throughout, minus or plus a little for the label there is.
+    At most ``rows`` labelled documents are used (all of them if there are fewer): toxic ones up to half the bound, or more if
+    there are too few others, and clean ones for the rest, of each label the first by a hash of their id. Clean documents weigh as
+    many times more as they were thinned out more, so rare toxic documents all count and the odds are those of all labels. Equal
+    texts count once, and with contradicting labels as toxic. Null ids, texts and labels take no part. Without toxic documents in
+    the sample every text scores next to 0; with nothing else in it, every text that has a sentence above 0.5.
     """
     known = labels.select(labels[f"`{key}`"].alias("id"), labels[f"`{label}`"].cast("int").alias("y")).where("id is not null and y in (0, 1)")
-    known = known.groupBy("id").agg(F.max("y").alias("y")).sort(F.xxhash64("id"), "id").limit(rows)
+    known = known.groupBy("id").agg(F.max("y").alias("y"))
+    there = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
+    toxic, clean = there.get(1, 0), there.get(0, 0)
+    n_toxic = min(toxic, max(rows // 2, rows - clean))
+    n_clean = min(clean, rows - n_toxic)
+    known = [known.where(F.col("y") == y).sort(F.xxhash64("id"), "id").limit(n) for y, n in ((1, n_toxic), (0, n_clean))]
+    known = known[0].unionByName(known[1])
+    heavier = (clean / n_clean) / (toxic / n_toxic) if n_clean and n_toxic else 1.0
     plain = docs.select(docs[f"`{key}`"].alias("id"), docs[f"`{text}`"].alias("t")).where("t is not null")
     sample = plain.join(F.broadcast(known), "id")  # at most ``rows`` ids
 
@@ -100,7 +110,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     try:
         n, n_pos = bags.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
         if not 0 < n_pos < n:
-            return Model({}, -0.01 if not n_pos else 0.01)
+            return Model({}, NEVER if not n_pos else 0.01)
         by_feature = bags.mapInArrow(_count, "f string, df long, pos long").groupBy("f").agg(F.sum("df").alias("df"), F.sum("pos").alias("pos"))
         by_feature = by_feature.where("df >= 4")
         rate = n_pos / n
@@ -123,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         rows_ = coded.select("y", "n", "sizes", "flat").toPandas()  # packed feature numbers of at most ``rows`` documents
     finally:
         bags.unpersist()
-    return _descend(rows_, index)
+    return _descend(rows_, index, heavier)
 
 
 def _count(batches):
@@ -140,8 +150,9 @@ def _count(batches):
         yield pa.RecordBatch.from_arrays([pa.array(list(df), pa.string()), pa.array(list(df.values()), pa.int64()), pa.array([pos[f] for f in df], pa.int64())], names=["f", "df", "pos"])
 
 
-def _descend(rows, index: dict[str, int], steps: int = 400, l1: float = 0.3, l2: float = 0.02) -> Model:
-    """Fit by proximal Adam steps on the noisy-or likelihood; the order of ``rows`` does not matter beyond rounding."""
+def _descend(rows, index: dict[str, int], heavier: float = 1.0, steps: int = 400, l1: float = 0.3, l2: float = 0.02) -> Model:
+    """Fit by proximal Adam steps on the noisy-or likelihood, in which a clean row counts ``heavier`` times; the order of ``rows``
+    does not matter beyond rounding."""
     import numpy as np
 
     rows = rows.sort_values(["y", "n", "sizes", "flat"])
@@ -160,7 +171,7 @@ def _descend(rows, index: dict[str, int], steps: int = 400, l1: float = 0.3, l2:
         z = b + np.bincount(sent, w[feat], n_sent)
         log_clean = -np.bincount(sent_doc, soft(z), n_docs) - plain * soft(b)
         clean = np.exp(log_clean)
-        pull = np.where(y > 0, -clean / np.maximum(1 - clean, 1e-9), 1.0)
+        pull = np.where(y > 0, -clean / np.maximum(1 - clean, 1e-9), heavier)
         gz = pull[sent_doc] / (1 + np.exp(-z))
         grad = np.append(np.bincount(feat, gz[sent], n_feat) + l2 * w, gz.sum() + (pull * plain).sum() / (1 + math.exp(-b)))
         m = 0.9 * m + 0.1 * grad

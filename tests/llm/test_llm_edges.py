@@ -59,6 +59,28 @@ def test_toxicity(docs, spark):
         assert got.where("coalesce(trim(text), '') = '' and toxicity <> 0").count() == 0
 
 
+def clean_corpus(spark, n):
+    name = lambda i: "".join("abcdefghij"[int(c)] for c in str(i))
+    rows = [(i, " ".join(f"Sentence {name(k)} of text number {name(i)}." for k in range(i % 40 + 1))) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+@pytest.mark.parametrize("known", [[], [(i, 0) for i in range(300)]])
+def test_toxicity_stage_keeps_all_documents_without_toxic_labels(spark, tmp_path, known):
+    import corpus_pipeline
+
+    spark.createDataFrame(known, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    corpus = clean_corpus(spark, 300)
+    assert corpus_pipeline.stage_toxicity(spark, corpus, str(tmp_path)).count() == 300
+
+
+def test_rare_toxic_documents_are_in_the_sample(spark):
+    corpus = clean_corpus(spark, 3000).withColumn("text", F.when(F.col("doc_id") % 500 == 7, F.concat("text", F.lit(" You are vile scum."))).otherwise(F.col("text")))
+    labels = corpus.select("doc_id", (F.col("doc_id") % 500 == 7).cast("int").alias("toxic"))
+    got = toxicity.score(corpus, toxicity.fit(corpus, labels, rows=200))
+    assert {r.doc_id for r in got.where("toxicity >= 0.5").collect()} == {7, 507, 1007, 1507, 2007, 2507}
+
+
 def test_suffix_dedup(docs):
     got = suffix_dedup.remove(docs)
     same_rows(got, docs, {"kept", "n_bytes", "removed_spans"})
