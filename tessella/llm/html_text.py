@@ -51,10 +51,10 @@ COMMAS = re.compile("[,،、，]")
 
 
 class Node:
-    __slots__ = ("tag", "up", "parts", "marks", "score", "chars", "linked")
+    __slots__ = ("tag", "up", "parts", "marks", "gone", "score", "chars", "linked")
 
-    def __init__(self, tag: str, up: Node | None, marks: frozenset = frozenset()):
-        self.tag, self.up, self.marks = tag, up, marks
+    def __init__(self, tag: str, up: Node | None, marks: frozenset = frozenset(), gone: bool = False):
+        self.tag, self.up, self.marks, self.gone = tag, up, marks, gone  # gone: dropped, or within a dropped element
         self.parts: list = []  # texts and nodes in page order
         self.score = 0.0
         self.chars = self.linked = 0
@@ -79,12 +79,12 @@ def _marks(attributes: str) -> tuple[frozenset, bool]:
 
 
 def parse(page: str) -> Node:
-    """A forgiving tree of the page: unclosed and stray tags are mended, dropped elements leave no node."""
+    """A forgiving tree of the page: unclosed and stray tags are mended. Dropped elements end by the same rules as others and leave
+    at most an empty node where they break a block."""
     root = top = Node("html", None)
-    at, skip = 0, None  # skip: the dropped element whose end is awaited
-    depth = 0
+    at, head = 0, None  # head: the open head, which its own end or any start of content ends
     for m in iter(lambda: MARKUP.search(page, at), None):
-        if m.start() > at and skip is None:
+        if m.start() > at and not top.gone:
             top.parts.append(page[at : m.start()])
         at = m.end()
         if m[0] == "<!--":
@@ -98,37 +98,27 @@ def parse(page: str) -> Node:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*+>?", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        if skip is not None:
-            if tag == skip:
-                if closing:
-                    depth -= 1
-                elif tag not in VOID and not (m[3] or "").rstrip().endswith("/"):
-                    depth += 1
-                if not depth:
-                    skip = None
-            elif not closing and tag in ("article", "main") and skip in ("head", "p"):
-                skip = None
-            elif skip == "head" and (tag == "body" or not closing and tag in BLOCK):
-                skip = None  # a head that nothing ends
-            if skip is not None or tag == "head" or closing:
-                continue
+        if head is not None and (tag == "body" or not closing and tag in BLOCK):
+            top, head = head.up, None
         if closing:
             node = top
             while node is not None and node.tag != tag:
-                if node.tag in ("table", "td", "th") and tag not in BLOCK:
+                if (node.tag in ("table", "td", "th") or node.gone and node.tag in BLOCK) and tag not in BLOCK:
                     node = None
                 else:
                     node = node.up
             if node is not None and node is not root:
+                if head is not None and any(n is head for n in _span(top, node)):
+                    head = None
                 top = node.up
-            elif tag == "p":
+            elif tag == "p" and not top.gone:
                 top.parts.append(Node("p", top))
             continue
         if tag in ("html", "body"):
             continue
         if tag in ENDS_P:
             node = top
-            while node is not root and node.tag != "p" and node.tag not in BLOCK:
+            while node is not root and node.tag != "p" and node.tag not in BLOCK and node.tag not in DROPPED:
                 node = node.up
             if node.tag == "p":
                 top = node.up
@@ -142,25 +132,32 @@ def parse(page: str) -> Node:
             if last is not None:
                 top = last.up
         if tag == "br":
-            top.parts.append(" ")
+            if not top.gone:
+                top.parts.append(" ")
             continue
         marks, gone = _marks(m[3]) if m[3] and not m[3].isspace() else (frozenset(), False)
         page_header = tag == "header" and not any(n.tag in ("article", "main") for n in _chain(top))
-        if tag in DROPPED or page_header or gone or marks & DROPPED_WORDS and tag not in ("article", "main", "h1"):
-            if tag not in VOID and not m[3].rstrip().endswith("/"):
-                skip, depth = tag, 1
-            elif tag in BLOCK:
-                top.parts.append(Node(tag, top))
-            continue
-        node = Node(tag, top, marks)
-        top.parts.append(node)
-        if tag not in VOID:
+        gone = gone or tag in DROPPED or page_header or bool(marks & DROPPED_WORDS) and tag not in ("article", "main", "h1")
+        node = Node(tag, top, marks, gone or top.gone)
+        if not top.gone and (not gone or tag in BLOCK):
+            top.parts.append(node)
+        if tag not in VOID and not (node.gone and m[3].rstrip().endswith("/")):
             top = node
-    if at < len(page) and skip is None:
+            if tag == "head":
+                head = node
+    if at < len(page) and not top.gone:
         top.parts.append(page[at:])
     return root
 
 
+def _span(node: Node, last: Node):
+    """From ``node`` up to its ancestor ``last``."""
+    while node is not last:
+        yield node
+        node = node.up
+    yield last
+
+
 def _chain(node: Node | None):
     while node is not None:
         yield node

@@ -108,6 +108,25 @@ def test_html(spark):
     assert html_text.extract(pages).count() == len(rows) and html_text.extract(pages.limit(0)).count() == 0
 
 
+FULL = "This sentence is long enough to count as text of an article, with a comma, and another one. " * 4
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f'<article><p class="ad">Buy<p>{FULL}<p>More</article>', [FULL.strip(), "More"]),
+        (f'<article><p>{FULL}</p><ul><li class="related">a<li>b</ul><p>End</article>', [FULL.strip(), "b", "End"]),
+        (f'<article><section><div class="ad">Buy</section><p>{FULL}</p><p>End</p></article>', [FULL.strip(), "End"]),
+        (f'<article><section><aside>Buy</section><p>{FULL}</p><p>End</p></article>', [FULL.strip(), "End"]),
+        (f'<article><p class="notice">x<p>{FULL}</p><p>End</p></article>', [FULL.strip(), "End"]),
+        (f'<article><p>{FULL}<button><div>Buy</div></button> on</p><div class="ad"><div>Buy</div><b>now</b> or</div><p>End</article>', [FULL + "on", "End"]),
+        (f'<head><title>t</title><meta><article><p>{FULL}</p></article>', [FULL.strip()]),
+    ],
+)
+def test_html_dropped_elements_end_where_others_do(page, want):
+    assert html_text.main_text(page).split("\n") == want
+
+
 def test_pii(docs):
     for m in (pii.fit(docs), pii.fit(docs.limit(0)), pii.Model()):
         got = pii.redact(pii.find(docs, m))
