@@ -1,8 +1,8 @@
 """Main text of web pages by tree scoring.
 
 Paragraphs give points for their length and commas to the containers above them, less with each level, and containers lose points in
-proportion to their share of link text. The best container and its worthy siblings are kept, without the parts that are
-never article text.
+proportion to their share of link text. The article around the best container and its worthy siblings are kept, without the
+parts that are never article text.
 """
 
 from __future__ import annotations
@@ -242,11 +242,12 @@ def main_text(page: str) -> str:
     for x in candidates.values():
         x.score *= 1 - x.linked / max(x.chars, 1)
     best = max(candidates.values(), key=lambda x: x.score)  # of equals the first in page order
-    if best.up is None:
-        return "\n".join(blocks(best))
+    whole = _whole(best)
+    if whole.up is None:
+        return "\n".join(blocks(whole))
     keep = Node("div", None)
-    for s in best.up.parts:
-        if s is best:
+    for s in whole.up.parts:
+        if s is whole:
             keep.parts.append(s)
         elif isinstance(s, Node) and s.chars:
             density = s.linked / s.chars
@@ -256,6 +257,21 @@ def main_text(page: str) -> str:
     return "\n".join(blocks(keep))
 
 
+def _whole(best: Node) -> Node:
+    """The nearest article around the best container, or else the nearest main; without either the highest element, reached step by
+    step, to which each level below the page adds text that is mostly no links. All blocks of it are kept."""
+    for tag in ("article", "main"):
+        found = next((x for x in _chain(best) if x.tag == tag), None)
+        if found is not None:
+            return found
+    for up in _chain(best.up):
+        chars, linked = up.chars - best.chars, up.linked - best.linked
+        if up.up is None or chars and linked >= 0.25 * chars:
+            break
+        best = up
+    return best
+
+
 def _text_div(x: Node) -> bool:
     """A div or section with text of its own and no block inside it is a paragraph."""
     return x.tag in ("div", "section", "article", "main") and any(isinstance(p, str) and not p.isspace() for p in x.parts)

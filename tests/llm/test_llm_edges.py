@@ -127,6 +127,16 @@ def test_html_dropped_elements_end_where_others_do(page, want):
     assert html_text.main_text(page).split("\n") == want
 
 
+@pytest.mark.parametrize("outer", ["article", "main", "div"])
+def test_html_sections_beside_a_long_one_are_kept(outer):
+    sections = [[FULL.strip()] * 10, ["Short one.", "Short two."], ["Item", "Other"], ["A word of another."], ["Cell"]]
+    first = "<div>" + "".join(f"<p>{t}</p>" for t in sections[0]) + "</div>"
+    rest = "<h2>Next</h2><div><p>Short one.</p><p>Short two.</p></div><ul><li>Item<li>Other</ul><blockquote>A word of another.</blockquote><table><tr><td>Cell</table><p>End.</p>"
+    menu = '<div><a href="/a">One link</a> <a href="/b">Another link</a></div>'
+    page = f"<body>{menu}<{outer}>{first}{rest}</{outer}>{menu}</body>"
+    assert html_text.main_text(page).split("\n") == sections[0] + ["Next", "Short one.", "Short two.", "Item", "Other", "A word of another.", "Cell", "End."]
+
+
 def test_pii(docs):
     for m in (pii.fit(docs), pii.fit(docs.limit(0)), pii.Model()):
         got = pii.redact(pii.find(docs, m))
