@@ -24,12 +24,14 @@ BLOCK = frozenset(
 # Elements that are never article text, by name and by role.
 DROPPED = frozenset("head nav footer aside form script style noscript template iframe textarea title button select option input dialog menu object embed svg canvas audio video map".split())
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
-# Words in class and id that mark what is no article text.
+# Class and id tokens that mark what is no article text; a compound does if all its words are such, or its last one, unless another
+# word says that the part is about something else: "site-footer" does, "no-sidebar", "ad-free" and "comments-open" do not.
 DROPPED_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar "
     "footer cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe signup login share sharing social related recommended "
     "comment comments disqus reply replies respond pagination pager toolbar widget masthead skip hidden".split()
 )
+STATES = frozenset("has have is no not non with without hide hides show shows".split())
 LIFTS = frozenset("article body content entry main page post story text blog".split())
 # p ends before these; the others end before one of their own kind.
 ENDS_P = BLOCK - frozenset("option optgroup".split())
@@ -51,22 +53,32 @@ COMMAS = re.compile("[,،、，]")
 
 
 class Node:
-    __slots__ = ("tag", "up", "parts", "marks", "gone", "score", "chars", "linked")
+    __slots__ = ("tag", "up", "parts", "marks", "gone", "doubt", "score", "chars", "linked")
 
     def __init__(self, tag: str, up: Node | None, marks: frozenset = frozenset(), gone: bool = False):
         self.tag, self.up, self.marks, self.gone = tag, up, marks, gone  # gone: dropped, or within a dropped element
+        self.doubt = False  # dropped for its class or id unless it holds most of the text
         self.parts: list = []  # texts and nodes in page order
         self.score = 0.0
         self.chars = self.linked = 0
 
 
-def _marks(attributes: str) -> tuple[frozenset, bool]:
-    """Words of class and id, and whether the attributes hide the element."""
-    words, gone = set(), False
+def _named(token: list[str]) -> bool:
+    """Whether the words of a class or id token name what is no article text."""
+    return all(w in DROPPED_WORDS for w in token) or token[-1] in DROPPED_WORDS and not STATES.intersection(token)
+
+
+def _marks(attributes: str) -> tuple[frozenset, bool, bool]:
+    """Words of class and id, whether the attributes hide the element, and whether a class or id speaks against it and none for it."""
+    words, gone, against, lifted = set(), False, False, False
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
-            words.update(w.lower() for w in WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value)))
+            for token in value.split():
+                own = [w.lower() for w in WORDS.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", token))]
+                words.update(own)
+                against |= bool(own) and _named(own)
+                lifted |= len(own) == 1 and own[0] in LIFTS
         elif name == "role":
             gone |= value.strip().lower() in DROPPED_ROLES
         elif name == "hidden":
@@ -75,7 +87,7 @@ def _marks(attributes: str) -> tuple[frozenset, bool]:
             gone |= value.strip().lower() == "true"
         elif name == "style":
             gone |= bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
-    return frozenset(words), gone
+    return frozenset(words), gone, against and not lifted
 
 
 def parse(page: str) -> Node:
@@ -103,7 +115,7 @@ def parse(page: str) -> Node:
         if closing:
             node = top
             while node is not None and node.tag != tag:
-                if (node.tag in ("table", "td", "th") or node.gone and node.tag in BLOCK) and tag not in BLOCK:
+                if (node.tag in ("table", "td", "th") or (node.gone or node.doubt) and node.tag in BLOCK) and tag not in BLOCK:
                     node = None
                 else:
                     node = node.up
@@ -135,13 +147,14 @@ def parse(page: str) -> Node:
             if not top.gone:
                 top.parts.append(" ")
             continue
-        marks, gone = _marks(m[3]) if m[3] and not m[3].isspace() else (frozenset(), False)
+        marks, gone, against = _marks(m[3]) if m[3] and not m[3].isspace() else (frozenset(), False, False)
         page_header = tag == "header" and not any(n.tag in ("article", "main") for n in _chain(top))
-        gone = gone or tag in DROPPED or page_header or bool(marks & DROPPED_WORDS) and tag not in ("article", "main", "h1")
+        gone = gone or tag in DROPPED or page_header
         node = Node(tag, top, marks, gone or top.gone)
+        node.doubt = against and not node.gone and tag not in ("article", "main", "h1")
         if not top.gone and (not gone or tag in BLOCK):
             top.parts.append(node)
-        if tag not in VOID and not (node.gone and m[3].rstrip().endswith("/")):
+        if tag not in VOID and not ((node.gone or node.doubt) and m[3].rstrip().endswith("/")):
             top = node
             if tag == "head":
                 head = node
@@ -201,8 +214,8 @@ def blocks(root: Node) -> list[str]:
     return out
 
 
-def main_text(page: str) -> str:
-    root = parse(page)
+def _count(root: Node) -> None:
+    """Characters of text, and those in links, of all nodes."""
     links = 0
     for x, leaving in _in_order(root):
         if leaving is None:
@@ -218,6 +231,33 @@ def main_text(page: str) -> str:
                 x.up.chars += x.chars
                 x.up.linked += x.linked
                 node = x.up
+
+
+def _settle(root: Node) -> None:
+    """Empty the doubtful nodes. One that holds most of the unlinked text of the page stays, if no article or main lies outside it."""
+    doubtful, articles, inside = [], 0, {}
+    for x, leaving in _in_order(root):
+        if leaving is False:
+            if x.doubt:
+                doubtful.append(x)
+                inside[id(x)] = articles
+            articles += x.tag in ("article", "main") and x.chars > 0
+        elif leaving and x.doubt:
+            inside[id(x)] = articles - inside[id(x)]
+    for x in doubtful:
+        if 2 * (x.chars - x.linked) <= root.chars - root.linked or inside[id(x)] < articles:
+            x.parts = []
+    if doubtful:
+        for x, leaving in _in_order(root):
+            if leaving is False:
+                x.chars = x.linked = 0
+        _count(root)
+
+
+def main_text(page: str) -> str:
+    root = parse(page)
+    _count(root)
+    _settle(root)
     candidates: dict[int, Node] = {}
     for x, leaving in _in_order(root):
         if leaving is False and x.chars and (x.tag in ("p", "pre", "blockquote", "td", "li", "dd") or _text_div(x)):

@@ -137,6 +137,17 @@ def test_html_sections_beside_a_long_one_are_kept(outer):
     assert html_text.main_text(page).split("\n") == sections[0] + ["Next", "Short one.", "Short two.", "Item", "Other", "A word of another.", "Cell", "End."]
 
 
+@pytest.mark.parametrize("marks", ['class="content has-sidebar"', 'id="main" class="no-sidebar"', 'class="entry comments-open"', 'class="story ad-free"', 'class="post share-enabled"', 'class="noSidebar"', 'class="sidebar"'])
+def test_html_class_words_do_not_take_the_main_text(marks):
+    page = f'<body><div class="menu">Menu</div><div {marks}><h1>Title</h1><p>{FULL}</p><div class="sidebar">Aside</div><div class="ad">Buy</div></div><div class="site-footer">Foot</div></body>'
+    assert html_text.main_text(page).split("\n") == ["Title", FULL.strip()]
+
+
+def test_html_long_comments_beside_an_article_go():
+    page = f'<body><article><p>{FULL}</p></article><div class="comments"><p>{FULL}</p><p>{FULL}</p></div></body>'
+    assert html_text.main_text(page) == FULL.strip()
+
+
 def test_pii(docs):
     for m in (pii.fit(docs), pii.fit(docs.limit(0)), pii.Model()):
         got = pii.redact(pii.find(docs, m))
