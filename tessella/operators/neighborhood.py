@@ -141,6 +141,14 @@ def upscale_runs(runs: DataFrame, f: int) -> DataFrame:
     )
 
 
+def resize_runs(runs: DataFrame, w0: int, h0: int, w: int, h: int) -> DataFrame:
+    """A mask of a ``w0`` x ``h0`` canvas on one of ``w`` x ``h``: each pixel takes the one under its centre. Cut the result again
+    before use."""
+    first = lambda c, old, new: f"((2L * ({c}) * {new} - {old} + {2 * old - 1}) div {2 * old})"
+    s = runs.selectExpr(f"{first('y', h0, h)} y0", f"{first('y + 1', h0, h)} - 1 y1", f"{first('x0', w0, w)} x0", f"{first('x1 + 1', w0, w)} - 1 x1")
+    return s.where("y0 <= y1 and x0 <= x1").selectExpr("explode(sequence(y0, y1)) y", "x0", "x1")
+
+
 def block_mean(px: DataFrame, f: int, cols: Sequence[str] = ("r", "g", "b")) -> DataFrame:
     """Shrink by a whole factor: truncated mean of each cell."""
     return px.groupBy(F.floor(F.col("y") / f).alias("y"), F.floor(F.col("x") / f).alias("x")).agg(

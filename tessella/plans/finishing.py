@@ -131,6 +131,12 @@ def flood_from_raw(
     return f.select("y", "x", *C.flood(a, color, C.ripple(w, h, *CALM)))
 
 
+def flood_from_capture(styled: DataFrame, w: int, h: int, raw: DataFrame, raw_w: int, raw_h: int, block: int = R.BLOCK, **flood) -> DataFrame:
+    """Flood the water seen in the raw capture, which may have another resolution than the styled picture."""
+    seen = save(raw_water_mask(raw, raw_w, raw_h, block=block), "seen")
+    return flood_from_raw(styled, R.merge(N.resize_runs(seen, raw_w, raw_h, w, h), block=block), w, h, block=block, **flood)
+
+
 def river_flood_mask(
     river: DataFrame, styled: DataFrame, w: int, h: int, close: int = 22, bright: int = 165, thin: int = 6, block: int = R.BLOCK
 ) -> DataFrame:

@@ -160,3 +160,23 @@ def test_a_loop_leaves_only_its_last_table(spark):
     before = count()
     graph.components(spark.createDataFrame([(i, i + 1) for i in range(200)], "u long, v long")).count()
     assert count() == before + 1
+
+
+@pytest.mark.parametrize("w, h", [(54, 38), (40, 50), (27, 19), (13, 9), (1, 1)])
+def test_resized_mask_takes_the_pixel_under_each_centre(spark, w, h):
+    m = SHAPES["random"]
+    runs = R.from_pixels(pixels(spark, m), block=BLOCK)
+    got = mask(R.merge(N.resize_runs(runs, 27, 19, w, h), block=BLOCK), (h, w))
+    assert (got == m[(2 * np.arange(h) + 1) * 19 // (2 * h)][:, (2 * np.arange(w) + 1) * 27 // (2 * w)]).all()
+
+
+def test_water_of_the_raw_capture_is_flooded_at_the_styled_size(spark):
+    from tessella.plans import finishing as P
+
+    raw = np.full((60, 60, 3), (40, 160, 40))
+    raw[:, :40] = (90, 90, 90)  # smooth, grey and not blue
+    styled = np.full((90, 120, 3), (200, 180, 160))
+    out = P.flood_from_capture(image(spark, styled), 120, 90, image(spark, raw), 60, 60, block=32)
+    flood = {(r.y, r.x): r.r for r in out.collect()}
+    assert len(flood) == 90 * 120
+    assert all(abs(flood[y, 30] - 104) < 5 for y in range(20, 70)) and all(flood[y, 110] == 200 for y in range(90))
