@@ -144,6 +144,40 @@ def compare(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     return add_columns(both, [both["ta"], both["tb"]], "common int, total int", run, batch_rows=1000).select("a", "b", "common", "total")
 
 
+def _meetings(entries: DataFrame, columns: list[str], similarity: Fraction) -> DataFrame:
+    """Pairs of index entries of one token, ``columns`` with _a and _b, that sizes and positions allow to link."""
+    num, den = similarity.numerator, similarity.denominator
+    block = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(float(1 / similarity))) + 1e-9).cast("int")
+    entries = entries.withColumn("block", block)
+    a = entries.select("token", *[F.col(c).alias(c + "_a") for c in columns], F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"))
+    b = entries.select("token", "block", *[F.col(c).alias(c + "_b") for c in columns])
+    near = (num * F.col("n_a") <= den * F.col("n_b")) & (num * F.col("n_b") <= den * F.col("n_a"))
+    room = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
+    return a.join(b, ["token", "block"]).where(near & (room * (num + den) >= (F.col("n_a") + F.col("n_b")) * num))
+
+
+def links(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = SHINGLE, similarity: Fraction = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """All links: ``(a, b, common, total)`` of classes of equal sets, with the sizes of intersection and union, and the membership
+    ``(doc_id, class_id)`` of documents with a text and an id.
+
+    The terms are those of ``join``. Documents of one class link with each other, and with those of every class theirs is linked to.
+    Pairs inside components are measured too, so the work grows with the number of pairs that share a prefix n-gram.
+    """
+    num, den = similarity.numerator, similarity.denominator
+    plain = docs.select(docs[f"`{key}`"].cast("long").alias("doc_id"), text_of(docs, text).alias("t")).where("doc_id is not null")
+    plain = plain.withColumn("id", F.sha2("t", 256))
+    texts = save(plain.groupBy("id").agg(F.first("t").alias("t")), "texts")
+    sets = save(sets_of(texts, frequent(texts, width), width, similarity).where("n > 0"), "sets")
+    named = sets.groupBy("n", "s1", "s2").agg(F.min("id").alias("class_id"))
+    named = save(sets.select("id", "n", "s1", "s2").join(named, ["n", "s1", "s2"]).select("id", "class_id"), "classes")
+    entries = sets.join(named.where("id = class_id"), "id", "left_semi").select("id", "n", F.posexplode("prefix").alias("pos", "token"))
+    shared = entries.groupBy("token").count().where("count > 1").select("token")
+    pairs = _meetings(entries.join(shared, "token"), ["id", "n", "pos"], similarity).where("id_a < id_b")
+    pairs = save(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), "pairs")
+    found = compare(pairs, texts, width).where(F.col("common") * den >= F.col("total") * num)
+    return save(found, "links"), plain.join(named, "id").select("doc_id", "class_id").distinct()
+
+
 def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = SHINGLE, similarity: Fraction = SIMILARITY) -> DataFrame:
     """One row ``(doc_id, n_shingles, component_id)`` per row of ``docs``.
 
@@ -202,13 +236,7 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
         comps = save(components(links.toDF("u", "v")), "components")
         turn += 1
 
-    block = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(float(1 / similarity))) + 1e-9).cast("int")
-    placed = placed.withColumn("block", block)
-    a = placed.select("token", *[F.col(c).alias(c + "_a") for c in ("id", "n", "pos", "comp")], F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"))
-    b = placed.select("token", "block", *[F.col(c).alias(c + "_b") for c in ("id", "n", "pos", "comp")])
-    room = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-    enough = room * (num + den) >= (F.col("n_a") + F.col("n_b")) * num
-    pairs = a.join(b, ["token", "block"]).where("id_a < id_b and comp_a <> comp_b").where(near("n_a", "n_b") & enough)
+    pairs = _meetings(placed, ["id", "n", "pos", "comp"], similarity).where("id_a < id_b and comp_a <> comp_b")
     pairs = pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
     gone = measured.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = save(pairs.join(gone, ["a", "b"], "left_anti"), "pairs")

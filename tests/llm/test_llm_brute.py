@@ -155,6 +155,33 @@ def test_ngram_join(spark, monkeypatch):
         assert {x.doc_id: (x.n_shingles, x.component_id) for x in ngram_join.join(df).collect()} == want
 
 
+def test_ngram_links(spark):
+    """Also between texts of one component, and of one id."""
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(200)]
+    docs = [(None, "no id at all here"), (900, None), (901, " ")]
+    for g in range(8):
+        base = [r.choice(words) for _ in range(r.randint(3, 120))]
+        for _ in range(8):
+            x = list(base)
+            for _ in range(r.randint(0, 3)):
+                x[r.randrange(len(x))] = r.choice(words)
+            docs.append((len(docs) // 2, " ".join(x)))
+    found, members = ngram_join.links(spark.createDataFrame(docs, "doc_id long, text string").repartition(3))
+    sets = {}
+    for d, t in docs:
+        w = (t or "").split()
+        if w and d is not None:
+            sets.setdefault(frozenset(tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))), set()).add(d)
+    of = {}
+    for m in members.collect():
+        of.setdefault(m.class_id, set()).add(m.doc_id)
+    assert sorted(map(sorted, of.values())) == sorted(map(sorted, sets.values()))
+    row = lambda x, y, c, t: (*sorted((sorted(x), sorted(y))), c, t)
+    want = sorted(row(sets[x], sets[y], len(x & y), len(x | y)) for i, x in enumerate(sets) for y in list(sets)[:i] if 5 * len(x & y) >= 4 * len(x | y))
+    assert want and sorted(row(of[f.a], of[f.b], f.common, f.total) for f in found.collect()) == want
+
+
 def test_topk_blocks(spark, monkeypatch):
     monkeypatch.setattr(bitslice, "BLOCK", 37)
     monkeypatch.setattr(bitslice, "CHUNK", 3)
