@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import bitslice, bpe, decontaminate, html_text, language, line_dedup, ngram_join, pii, suffix_dedup, toxicity
+from tessella.llm import bitslice, bpe, conversation, decontaminate, html_text, language, line_dedup, manifest, mixing, ngram_join, pii, suffix_dedup, toxicity
 from tessella.llm.common import sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -199,3 +199,92 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.size("removed_spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query(
+    "op11_mixing",
+    rf"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM d GROUP BY source),
+o AS (SELECT *, 3 * source_size AS cap, sum(source_size) OVER () AS every, sum(w) OVER () AS weight,
+             sum(3 * source_size) OVER x - 3 * source_size AS fuller, sum(w) OVER x - w AS fuller_w
+      FROM s WINDOW x AS (ORDER BY CAST(3 * source_size AS DOUBLE) / w, coalesce('=' || source, '') ROWS UNBOUNDED PRECEDING)),
+f AS (SELECT *, (CAST(every AS DOUBLE) - CAST(fuller AS DOUBLE)) * w >= CAST(cap AS DOUBLE) * (CAST(weight AS DOUBLE) - CAST(fuller_w AS DOUBLE)) AS full_ FROM o),
+t AS (SELECT source, source_size, CASE WHEN full_ THEN CAST(cap AS DOUBLE) ELSE w * ((CAST(every AS DOUBLE) - CAST(coalesce(sum(cap) FILTER (full_) OVER (), 0) AS DOUBLE))
+             / CAST(sum(w) FILTER (NOT full_) OVER () AS DOUBLE)) END AS target FROM f),
+e AS (SELECT *, CAST(floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END * 4294967296.0) AS BIGINT) AS e,
+             CAST('0x' || substr(sha256('11' || coalesce('=' || source, '')), 1, 8) AS BIGINT) AS u FROM t),
+p AS (SELECT d.doc_id, d.size, e.source_size, e.target, e.e, e.u, sum(e.e) OVER (PARTITION BY d.source ORDER BY d.size DESC, d.doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) AS upto
+      FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
+SELECT doc_id, size, source_size, target, CAST(size * ((upto + u) // 4294967296 - (upto - e + u) // 4294967296) AS BIGINT) AS taken FROM p
+""",
+)
+def op11_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", mixing.words(F.col("text")).alias("size"))
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query("op12_conversation")
+def op12_conversation(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations")
+    found = conversation.repair(conversation.damage(turns))["conversations"].drop("conv")
+    every = turns.select("conv_id").distinct().withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")))
+    number = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    empty = [F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")]
+    return every.join(found, "key", "left").select("conv_id", *number, *empty)
+
+
+# crc32 of the decimal id as DuckDB can say it: the table-free bit loop over the bytes.
+_CRC32 = (
+    "CASE WHEN doc_id IS NULL THEN NULL ELSE xor(list_reduce(list_prepend(4294967295::UBIGINT, "
+    "list_transform(range(1, len(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(unicode(CAST(doc_id AS VARCHAR)[i]) AS UBIGINT))), "
+    "lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda z: CAST(z AS UBIGINT))), "
+    "lambda r, z: CASE WHEN r % 2 = 1 THEN xor(r >> 1, 3988292384::UBIGINT) ELSE r >> 1 END)), 4294967295::UBIGINT) END"
+)
+
+
+def _manifest_sql(levels: int = 6, source_levels: int = 3) -> str:
+    """Trees of up to 16^levels rows a source and 16^source_levels sources, level by level; one select each."""
+    f = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda text: f"sha256(concat({f('doc_id')}, {f('source')}, {f('lang')}, {f('n_chars')}, {f(text)}))"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    out = [
+        f"c AS (SELECT *, {_CRC32} % 5 = 0 AS hit FROM documents)",
+        f"l0 AS (SELECT doc_id, coalesce('=' || source, '') AS s, {leaf('text')} AS h, CASE WHEN hit THEN {leaf(low)} ELSE {leaf('text')} END AS t FROM c)",
+        "d AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM l0)",
+        "n0 AS (SELECT s, i, h, count(*) OVER (PARTITION BY s) AS n FROM d)",
+    ]
+    for k in range(levels):
+        out.append(
+            f"n{k + 1} AS (SELECT s, i // 16 AS i, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h, (any_value(n) + 15) // 16 AS n "
+            f"FROM n{k} GROUP BY s, i // 16)"
+        )
+    top = f"n{levels}"
+    out.append(f"m0 AS (SELECT s, h, row_number() OVER (ORDER BY s) - 1 AS i, count(*) OVER () AS n FROM {top})")
+    out.append("x0 AS (SELECT s, i, h AS subroot FROM m0)")
+    for k in range(source_levels):
+        out.append(
+            f"m{k + 1} AS (SELECT i // 16 AS i, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h, (any_value(n) + 15) // 16 AS n FROM m{k} GROUP BY i // 16)"
+        )
+    steps = [(f"n{k}", f"d.i // {16**k}", "r.s = d.s AND") for k in range(levels)] + [(f"m{k}", f"x0.i // {16**k}", "") for k in range(source_levels)]
+    fold, beside, joins, cols = "t", [], [], []
+    for j, (level, at, same) in enumerate(steps):
+        own = f"({at})"
+        runs = f"r{j} AS (SELECT {'s,' if same else ''} i // 16 AS g, any_value(n) AS n, list(h ORDER BY i) AS h FROM {level} GROUP BY {'s,' if same else ''} i // 16)"
+        out.append(runs)
+        joins.append(f"JOIN r{j} ON {f'r{j}.s = d.s AND' if same else ''} r{j}.g = {own} // 16")
+        cols.append(f"CASE WHEN r{j}.n > 1 THEN array_to_string(r{j}.h[1 : {own} % 16], '') ELSE '' END AS b{j}, CASE WHEN r{j}.n > 1 THEN array_to_string(r{j}.h[{own} % 16 + 2 :], '') ELSE '' END AS a{j}, r{j}.n AS n{j}")
+    out.append(f"p AS (SELECT d.doc_id, d.h AS leaf, d.t AS f0, x0.subroot, {', '.join(cols)}, (SELECT h FROM m{source_levels}) AS root FROM d JOIN x0 ON x0.s = d.s {' '.join(joins)})")
+    for j in range(len(steps)):
+        out.append(f"p{j} AS (SELECT * EXCLUDE (f{j}), CASE WHEN n{j} > 1 THEN sha256(b{j} || f{j} || a{j}) ELSE f{j} END AS f{j + 1} FROM {'p' if j == 0 else f'p{j - 1}'})")
+    beside = " || ".join(f"b{j} || a{j}" for j in range(len(steps)))
+    end = len(steps)
+    return f"WITH {', '.join(out)} SELECT doc_id, leaf, subroot, root, sha256({beside}) AS proof_sha256, f{end} AS folded_root, f{end} = root AS verified FROM p{end - 1}"
+
+
+@query("op13_manifest", _manifest_sql())
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    found = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return manifest.build(docs, changed={"text": lower}, when=found).withColumnRenamed("id", "doc_id")
