@@ -119,6 +119,22 @@ def arcs(t) -> DataFrame:
     )
 
 
+# Two more rings for each square: one inside it and one beside it, both meeting it in its first corner. Corners as (lat, lon) steps
+# from there, two arcs each; the pieces of the three rings are numbered in turn.
+INSIDE = ((0.0, 0.0), (0.1, 0.2), (0.2, 0.2), (0.2, 0.1), (0.0, 0.0))
+BESIDE = ((0.0, 0.0), (-0.25, 0.0), (-0.25, -0.25), (0.0, -0.25), (0.0, 0.0))
+
+
+def touching_arcs(t) -> DataFrame:
+    """Arcs ``(arc_id, osm_id, geometry)`` of a square per customer with a ring inside and one beside it; rings of customers in debt lack an arc."""
+    pieces = [(2 * i, [q, r]) for i, (q, r) in enumerate((((0.0, 0.0), (0.5, 0.0)), ((0.5, 0.0), (0.5, 0.5)), ((0.5, 0.5), (0.0, 0.5)), ((0.0, 0.5), (0.0, 0.0))))]
+    pieces += [(1, INSIDE[:3]), (3, INSIDE[2:]), (5, BESIDE[:3]), (7, BESIDE[2:][::-1])]
+    at = lambda p: F.struct((F.col("lat") + F.lit(p[0])).alias("lat"), (F.col("lon") + F.lit(p[1])).alias("lon"))
+    arc = F.explode(F.array(*[F.struct(F.lit(i).alias("piece"), F.array(*map(at, ps)).alias("geometry")) for i, ps in pieces]))
+    q = t.customer.selectExpr("c_custkey osm_id", "c_acctbal", "cast(c_custkey div 30 as double) lat", "cast(c_custkey % 30 as double) lon").withColumn("a", arc)
+    return q.where("NOT (c_acctbal < 0 AND a.piece = 7)").selectExpr("osm_id * 8 + a.piece arc_id", "osm_id", "a.geometry geometry")
+
+
 def map_extract(t) -> DataFrame:
     """``arcs`` as JSON text in the shape of a map extract, one document per square."""
     a = arcs(t).withColumn(
@@ -213,6 +229,14 @@ arcs AS (
     CAST(c_custkey % 30  + (CASE WHEN arc IN (1,2) THEN 1 ELSE 0 END)*0.5 AS DOUBLE) AS lon1
   FROM customer CROSS JOIN (SELECT unnest([0,1,2,3]) AS arc)
   WHERE NOT (c_acctbal < 0 AND arc = 2))""",
+    "touching": """
+touching AS (
+  SELECT c_custkey AS osm_id, shape, seq, CAST(c_custkey // 30 AS DOUBLE) + CAST(dlat AS DOUBLE) AS lat, CAST(c_custkey % 30 AS DOUBLE) + CAST(dlon AS DOUBLE) AS lon, size - 1 AS last
+  FROM customer CROSS JOIN (VALUES
+    (0, 0, 0, 0, 5), (0, 1, 0, 0.5, 5), (0, 2, 0.5, 0.5, 5), (0, 3, 0.5, 0, 5), (0, 4, 0, 0, 5),
+    (1, 0, 0, 0, 5), (1, 1, 0.1, 0.2, 5), (1, 2, 0.2, 0.2, 5), (1, 3, 0.2, 0.1, 5), (1, 4, 0, 0, 5),
+    (2, 0, -0.25, -0.25, 5), (2, 1, -0.25, 0, 5), (2, 2, 0, 0, 5), (2, 3, 0, -0.25, 5), (2, 4, -0.25, -0.25, 5)) AS v(shape, seq, dlat, dlon, size)
+  WHERE NOT (c_acctbal < 0 AND shape = 2))""",
     "samples": """
 samples AS (
   SELECT d.doc_id, d.lang, d.text,

@@ -8,8 +8,10 @@ numbers or as columns of the table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -117,11 +119,54 @@ def universe_of(canvases: DataFrame, by: Sequence[str], block: int = BLOCK) -> D
     return cut(rows.select("*", F.lit(0).alias("x0"), (F.col("w") - 1).alias("x1")), block)
 
 
+def _near(mask: np.ndarray, n: int) -> np.ndarray:
+    """Positions within Manhattan distance ``n`` of the mask: a distance transform along the columns, then along the rows, by running minima."""
+    d = np.where(mask, 0, 1 << 29).astype(np.int32)
+    for axis in (0, 1):
+        i = np.arange(d.shape[axis], dtype=np.int32)
+        i = i[:, None] if axis == 0 else i[None, :]
+        before = np.minimum.accumulate(d - i, axis) + i
+        after = np.flip(np.minimum.accumulate(np.flip(d + i, axis), axis), axis) - i
+        d = np.minimum(before, after)
+    return d <= n
+
+
+def _local(runs: DataFrame, step: Callable[[np.ndarray, np.ndarray], np.ndarray], halo: int, w, h, by: Sequence[str], block: int) -> DataFrame:
+    """``step`` on square blocks: each gets the mask and the canvas as arrays with ``halo`` more pixels on all sides, and the middle of
+    what it returns becomes runs. One shuffle; a run goes to the blocks it reaches, four at most for a halo below the block size."""
+    by = list(by)
+    to = lambda lo, hi: F.explode(F.sequence(_div(lo - halo, block), _div(hi + halo, block)))
+    s = runs.select(*by, F.col("y").cast("long"), F.col("x0").cast("long"), F.col("x1").cast("long"), _c(w).cast("long").alias("w_"), _c(h).cast("long").alias("h_"))
+    s = s.withColumn("yb", to(F.col("y"), F.col("y"))).withColumn("bx", to(F.col("x0"), F.col("x1")))
+    s = s.where((F.col("yb") >= 0) & (F.col("bx") >= 0) & (F.col("yb") * block < F.col("h_")) & (F.col("bx") * block < F.col("w_")))
+    edge = block + 2 * halo
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        top, left = int(group["yb"].iloc[0]) * block - halo, int(group["bx"].iloc[0]) * block - halo
+        y = group["y"].to_numpy() - top
+        x0, x1 = np.clip(group["x0"].to_numpy() - left, 0, edge), np.clip(group["x1"].to_numpy() + 1 - left, 0, edge)
+        steps = np.zeros((edge, edge + 1), np.int32)
+        np.add.at(steps, (y, x0), 1)
+        np.add.at(steps, (y, x1), -1)
+        ys, xs = np.arange(top, top + edge), np.arange(left, left + edge)
+        canvas = ((ys >= 0) & (ys < int(group["h_"].iloc[0])))[:, None] & ((xs >= 0) & (xs < int(group["w_"].iloc[0])))[None, :]
+        mask = (np.cumsum(steps, 1)[:, :edge] > 0) & canvas
+        out = (step(mask, canvas) & canvas)[halo : halo + block, halo : halo + block]
+        change = np.diff(np.pad(out.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+        (row, start), (_, end) = np.nonzero(change == 1), np.nonzero(change == -1)
+        found = pd.DataFrame({"y": row + top + halo, "bx": int(group["bx"].iloc[0]), "x0": start + left + halo, "x1": end - 1 + left + halo})
+        for c in by:
+            found[c] = group[c].iloc[0]
+        return found[[*by, "y", "bx", "x0", "x1"]]
+
+    keys = "".join(f"`{c}` {t}, " for c, t in s.select(*by).dtypes)
+    return s.groupBy(*by, "yb", "bx").applyInPandas(run, keys + "y long, bx long, x0 long, x1 long")
+
+
 def dilate(runs: DataFrame, n: int, w, h, by: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
-    """All pixels within Manhattan distance ``n``: what ``n`` steps of the 4-neighbour cross reach."""
-    s = runs.select(*by, "y", "x0", "x1", _c(w).alias("w_"), _c(h).alias("h_"), F.expr(f"explode(sequence(-{n}, {n})) k"))
-    s = s.selectExpr(*by, "y + k y", f"greatest(x0 - ({n} - abs(k)), 0L) x0", f"least(x1 + ({n} - abs(k)), w_ - 1L) x1", "h_")
-    return merge(s.where("y >= 0 AND y < h_").drop("h_"), by, block)
+    """All pixels within Manhattan distance ``n``: what ``n`` steps of the 4-neighbour cross reach. The cost does not depend on ``n``
+    but for the halo of the blocks."""
+    return _local(runs, lambda mask, canvas: _near(mask, n), n, w, h, by, block)
 
 
 def complement(runs: DataFrame, space: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -130,28 +175,30 @@ def complement(runs: DataFrame, space: DataFrame, by: Sequence[str] = ()) -> Dat
 
 def erode(runs: DataFrame, n: int, space: DataFrame, w, h, by: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
     """Pixels whose whole Manhattan ball of radius ``n`` lies in the mask; outside the canvas counts as false,
-    so a margin of ``n`` is lost at every border."""
-    inner = space.where((F.col("y") >= n) & (F.col("y") < _c(h) - n)).select(
-        *by, "y", "bx", F.greatest("x0", F.lit(n)).alias("x0"), F.least("x1", _c(w) - 1 - n).alias("x1")
-    )
-    near = dilate(complement(runs, space, by), n, w, h, by, block)
-    return subtract(inner.where("x0 <= x1"), near, by)
+    so a margin of ``n`` is lost at every border. ``space`` is not needed any more."""
+    return _local(runs, lambda mask, canvas: ~_near(~mask, n), n, w, h, by, block)
 
 
 def opening(runs: DataFrame, n: int, space: DataFrame, w, h, by: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
-    return dilate(erode(runs, n, space, w, h, by, block), n, w, h, by, block)
+    """Erosion and dilation in one pass."""
+    return _local(runs, lambda mask, canvas: _near(~_near(~mask, n), n), 2 * n, w, h, by, block)
 
 
 def closing(runs: DataFrame, n: int, space: DataFrame, w, h, by: Sequence[str] = (), block: int = BLOCK) -> DataFrame:
-    return erode(dilate(runs, n, w, h, by, block), n, space, w, h, by, block)
+    """Dilation and erosion in one pass; what grows beyond the canvas is lost before it shrinks again."""
+    return _local(runs, lambda mask, canvas: ~_near(~(_near(mask, n) & canvas), n), 2 * n, w, h, by, block)
 
 
 def thin_structures(
     runs: DataFrame, n: int, space: DataFrame, w, h, grow: int = 0, by: Sequence[str] = (), block: int = BLOCK
 ) -> DataFrame:
-    """The mask minus its opening, optionally grown again."""
-    thin = subtract(runs, opening(runs, n, space, w, h, by, block), by)
-    return dilate(thin, grow, w, h, by, block) if grow else thin
+    """The mask minus its opening, optionally grown again, in one pass."""
+
+    def step(mask: np.ndarray, canvas: np.ndarray) -> np.ndarray:
+        thin = mask & ~(_near(~_near(~mask, n), n) & canvas)
+        return _near(thin, grow) if grow else thin
+
+    return _local(runs, step, 2 * n + grow, w, h, by, block)
 
 
 def area(runs: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -74,6 +74,17 @@ def g4(t):
     return r.join(first, "ring").join(arcs.select("arc_id", "osm_id", "member"), "arc_id")
 
 
+@query("g4_ring_points", "osm_id:l seq:l lat:d lon:d north:d", X.with_("touching", body="SELECT osm_id, seq, lat, lon, max(lat) OVER (PARTITION BY osm_id, shape) AS north FROM touching"))
+def g4_points(t):
+    """Rings that nest and touch, as ordered points; the hanging arcs of broken rings are left out."""
+    arcs = save(X.touching_arcs(t), "arcs")
+    rings, mates = V.assemble(arcs)
+    p = V.ring_points(arcs, rings, mates).where("closed")
+    names = rings.join(arcs.select("arc_id", "osm_id"), "arc_id").select("ring", "osm_id").distinct()
+    north = p.groupBy("ring").agg(F.max("lat").alias("north"))
+    return p.join(names, "ring").join(north, "ring")
+
+
 def cal_sql(lat, lon):
     e = f"(({lon} - CAST({CAL['clng']} AS DOUBLE)) * CAST({CAL['mlng']} AS DOUBLE))"
     n = f"(({lat} - CAST({CAL['clat']} AS DOUBLE)) * CAST({CAL['mlat']} AS DOUBLE))"
@@ -116,3 +127,27 @@ poly AS (SELECT DISTINCT y, x FROM hit WHERE n % 2 = 1),
 @query("g6_rasterise", "y:l x0:l x1:l", X.with_("arcs", ctes=POLYGONS + S.runs("q", "poly"), body="SELECT y, x0, x1 FROM q"))
 def g6(t):
     return R.maximal(polygon_runs(t))
+
+
+NX, NY = cal_sql("lat", "lon")
+NESTED = f"""
+corner AS (SELECT osm_id, shape, seq, {NX} AS px, {NY} AS py FROM touching),
+edge AS (SELECT osm_id, shape, px AS x0, py AS y0, lead(px) OVER v AS x1, lead(py) OVER v AS y1 FROM corner WINDOW v AS (PARTITION BY osm_id, shape ORDER BY seq)),
+box AS (SELECT osm_id, shape, floor(min(px)) AS bx0, ceil(max(px)) AS bx1, floor(min(py)) AS by0, ceil(max(py)) AS by1 FROM corner GROUP BY ALL),
+probe AS (SELECT osm_id, shape, x, unnest(range(greatest(by0, 0)::BIGINT, least(by1, {CH - 1})::BIGINT + 1)) AS y FROM
+  (SELECT *, unnest(range(greatest(bx0, 0)::BIGINT, least(bx1, {CW - 1})::BIGINT + 1)) AS x FROM box)),
+hit AS (SELECT p.osm_id, p.shape, p.x, p.y, count(*) AS n FROM probe p JOIN
+  (SELECT osm_id, shape, CASE WHEN y0 <= y1 THEN x0 ELSE x1 END AS xa, least(y0, y1) AS ya, CASE WHEN y0 <= y1 THEN x1 ELSE x0 END AS xb, greatest(y0, y1) AS yb FROM edge WHERE x1 IS NOT NULL) e
+  ON e.osm_id = p.osm_id AND e.shape = p.shape
+  WHERE p.y + CAST(0.5 AS DOUBLE) >= ya AND p.y + CAST(0.5 AS DOUBLE) < yb AND xa + (p.y + CAST(0.5 AS DOUBLE) - ya) * (xb - xa) / (yb - ya) <= p.x + CAST(0.5 AS DOUBLE) GROUP BY ALL),
+poly AS (SELECT DISTINCT y, x FROM hit WHERE n % 2 = 1),
+"""
+
+
+@query("g6_nested_rings", "y:l x0:l x1:l", X.with_("touching", ctes=NESTED + S.runs("q", "poly"), body="SELECT y, x0, x1 FROM q"))
+def g6_nested(t):
+    """Rings that share a corner are filled each by itself: the inner one cuts no hole."""
+    arcs = save(X.touching_arcs(t), "arcs")
+    closed = V.chain_rings(arcs).where("closed").select("arc_id", "ring")
+    edges = V.segments(V.project(ST.points(arcs), CAL, 4, 0.5), ["arc_id"])
+    return R.maximal(V.rasterise(edges.join(closed, "arc_id"), "ring", CW, CH))
