@@ -59,18 +59,30 @@ def _dart(arc: str = "arc_id", side: str = "side") -> Column:
     return F.col(arc) * 2 + F.col(side)
 
 
+def _labels(arcs: DataFrame, mates: DataFrame) -> DataFrame:
+    """The smallest arc of each chain or ring, ``(arc_id, root)``, where an arc has one mate at each end at most: by pointer doubling over both directions.
+    After k rounds a dart knows the smallest of 2^k arcs ahead; once none learns a smaller one, all know their chain's."""
+    came = mates.select(F.col("dart").bitwiseXOR(F.lit(1)).alias("dart"), F.col("mate").alias("nxt"))
+    darts = arcs.select("arc_id", F.explode(F.array((F.col("arc_id") * 2), (F.col("arc_id") * 2 + 1))).alias("dart"))
+    t = save(darts.join(came, "dart", "left").select("dart", "nxt", F.col("arc_id").alias("low"), F.lit(True).alias("new")), "labels")
+    while not t.where("new").isEmpty():
+        ahead = t.select(F.col("dart").alias("nxt"), F.col("nxt").alias("n2"), F.col("low").alias("l2"))
+        far = t.join(ahead, "nxt", "left").select("dart", F.col("n2").alias("nxt"), F.least("low", "l2").alias("low"), F.coalesce(F.col("l2") < F.col("low"), F.lit(False)).alias("new"))
+        far = save(far, "labels")
+        discard(t)
+        t = far
+    return t.groupBy(F.shiftright("dart", 1).alias("arc_id")).agg(F.min("low").alias("root"))
+
+
 def _peel(ends: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Take off what hangs on one end: the ends left, their chains ``(arc_id, chain)`` through nodes of two ends, and the chains taken off.
 
     Chains are found as a whole and taken off as a whole, so the rounds follow the logarithm of a hanging tree, not the length of a chain."""
     hung = None
     while True:
-        node = save(ends.groupBy("node").agg(F.count("*").alias("n"), F.min("arc_id").alias("u"), F.max("arc_id").alias("v")), "nodes")
-        links = node.where("n = 2 AND u <> v").select("u", "v")
-        found = components(links).select(F.col("id").alias("arc_id"), "root")
-        arcs = ends.select("arc_id").distinct()
-        chains = save(arcs.join(found, "arc_id", "left").select("arc_id", F.coalesce("root", "arc_id").alias("chain")), "chains")
-        tips = node.where("n = 1").select(F.col("u").alias("arc_id")).join(chains, "arc_id").select("chain").distinct()
+        chains = save(_labels(ends.select("arc_id").distinct(), _plain(ends)).withColumnRenamed("root", "chain"), "chains")
+        tips = ends.groupBy("node").agg(F.count("*").alias("n"), F.min("arc_id").alias("arc_id")).where("n = 1")
+        tips = tips.join(chains, "arc_id").select("chain").distinct()
         off = save(chains.join(tips, "chain", "left_semi"), "hung")
         if off.isEmpty():
             return ends, chains, hung if hung is not None else off
@@ -123,11 +135,6 @@ def _walk_lists(ends: DataFrame, mates: DataFrame, roots: DataFrame, start: Data
     return d.drop("w").join(order, "dart")
 
 
-def _links(mates: DataFrame) -> DataFrame:
-    arc = lambda c: F.floor(F.col(c) / 2).cast("long")
-    return mates.select(arc("dart").alias("u"), arc("mate").alias("v")).where("u <> v")
-
-
 def _pairs(placed: DataFrame) -> DataFrame:
     """Mates at junctions. ``placed``: dart, node, k (from 0, counterclockwise), n (even), x: 1 if the sector after end 0 is water.
     The two ends that bound a sector of water belong together; ``left``: the dart that has it on its left."""
@@ -176,8 +183,7 @@ def _junctions(ends: DataFrame, chains: DataFrame, arcs: DataFrame) -> DataFrame
     own = chains.join(at.select("arc_id").distinct().join(chains, "arc_id").select("chain").distinct(), "chain", "left_semi")
     here = ends.join(own, "arc_id", "left_semi")
     mates = save(first.select("dart", "mate").unionByName(_plain(here)), "mates")
-    roots = components(_links(mates)).select(F.col("id").alias("arc_id"), "root")
-    roots = save(own.join(roots, "arc_id", "left").select("arc_id", F.coalesce("root", "arc_id").alias("root")), "roots")
+    roots = save(_labels(own.select("arc_id"), mates), "roots")
     start = here.join(roots, "arc_id").groupBy("root").agg(F.min("node").alias("start"))
     lists = save(_walk_lists(here, mates, roots, start, own.select("arc_id", F.lit(1).alias("w"))), "lists")
     facing = first.where("left").join(placed.select("dart", "set"), "dart").join(lists.select("dart", "last"), "dart").groupBy("last").agg(F.min("set").alias("set"))
@@ -193,11 +199,6 @@ def _plain(ends: DataFrame) -> DataFrame:
     return two.select(F.explode(both).alias("m")).select("m.*")
 
 
-def _roots(arcs: DataFrame, mates: DataFrame) -> DataFrame:
-    found = components(_links(mates)).select(F.col("id").alias("arc_id"), "root")
-    return save(arcs.join(found, "arc_id", "left").select("arc_id", F.coalesce("root", "arc_id").alias("root")), "roots")
-
-
 def _open(ends: DataFrame, mates: DataFrame, roots: DataFrame) -> DataFrame:
     """Walks with a loose end."""
     return ends.withColumn("dart", _dart()).join(mates, "dart", "left_anti").join(roots, "arc_id").select("root").distinct()
@@ -226,7 +227,7 @@ def _split(ends: DataFrame, mates: DataFrame, roots: DataFrame) -> tuple[DataFra
         again = again.where("mate IS NOT NULL").select(F.explode(F.array(F.struct("dart", "mate"), F.struct(F.col("mate").alias("dart"), F.col("dart").alias("mate")))).alias("m")).select("m.*")
         kept = mates.join(here.select(_dart().alias("dart")), "dart", "left_anti")
         mates = save(kept.unionByName(again), "mates")
-        roots = save(roots.join(busy, "arc_id", "left_anti").unionByName(_roots(busy.select("arc_id"), again)), "roots")
+        roots = save(roots.join(busy, "arc_id", "left_anti").unionByName(_labels(busy.select("arc_id"), again)), "roots")
 
 
 def assemble(arcs: DataFrame, tol: float = 1e-7) -> tuple[DataFrame, DataFrame]:
@@ -244,7 +245,7 @@ def assemble(arcs: DataFrame, tol: float = 1e-7) -> tuple[DataFrame, DataFrame]:
         roots = chains.select("arc_id", F.col("chain").alias("root"))
     else:
         mates = save(mates.unionByName(_junctions(ends, chains, arcs)), "mates")
-        mates, roots = _split(ends, mates, _roots(chains.select("arc_id"), mates))
+        mates, roots = _split(ends, mates, save(_labels(chains.select("arc_id"), mates), "roots"))
     loose = ends.withColumn("dart", _dart()).join(mates, "dart", "left_anti").select("arc_id")
     bad = loose.union(hung.select("arc_id")).distinct().withColumn("bad", F.lit(1))
     self_ = own.select(F.explode(F.array(*[F.struct((F.col("arc_id") * 2 + s).alias("dart"), (F.col("arc_id") * 2 + 1 - s).alias("mate")) for s in (0, 1)])).alias("m")).select("m.*")
