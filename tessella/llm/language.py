@@ -21,7 +21,9 @@ SAMPLE_ROWS = 800  # documents per language the model is fitted on, the first by
 PASSAGE, PASSAGES = 40, 4  # words and number of passages that a sampled document gives at most
 SEQUENCES, LENGTH = 3_000, 36
 MEMO = 300_000  # words whose scores a worker keeps; a full memo is emptied and fills again
-CELLS = 200_000  # words of padded lines handled at a time
+SEGMENT = 128  # words of a line handled step by step; longer lines are cut, and the messages at the cuts make that exact
+SCALE = 8  # steps after which messages are scaled again
+BUCKETS = 32  # parts of a label's hashes that are ranked apart before they are ranked together
 
 
 def features(word: str) -> list[str]:
@@ -71,59 +73,100 @@ class Tagger:
         return np.exp(e - e.max())
 
     def lines(self, words: list[str], lengths):
-        """Expected words per label of each line; ``lengths`` cuts ``words`` into lines."""
+        """Expected words per label of each line; ``lengths`` cuts ``words`` into lines.
+
+        Lines are cut into segments of ``SEGMENT`` words. The segments of longer lines are first turned into matrices (label before, label at the end), all at once;
+        chaining these gives the messages that enter each segment from both sides. Then all segments run forward and backward side by side."""
         import numpy as np
 
         if len(self.memo) > MEMO:
             self.memo.clear()
         ids = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
         lengths = np.asarray(lengths)
-        begin = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(int)
+        parts = -(-lengths // SEGMENT)
+        line = np.repeat(np.arange(len(lengths)), parts)
+        nth = np.arange(len(line)) - np.repeat(np.cumsum(parts) - parts, parts)
+        begin = np.repeat(np.cumsum(lengths) - lengths, parts) + nth * SEGMENT
+        size = np.minimum(lengths[line] - nth * SEGMENT, SEGMENT)
+        into = np.broadcast_to(self.start, (len(line), self.k)).copy()
+        beyond = np.ones((len(line), self.k))
+        long = np.flatnonzero(parts[line] > 1)
+        if len(long):
+            self._messages(ids, begin, size, long, nth, parts, line, into, beyond)
+        order = np.argsort(-size, kind="stable")
+        total = np.zeros((len(line), self.k))
+        total[order] = self._marginals(ids, begin[order], size[order], into[order], beyond[order])
         out = np.zeros((len(lengths), self.k))
-        order = np.argsort(-lengths, kind="stable")
-        at = 0
-        while at < len(order):
-            longest = int(lengths[order[at]])
-            part = order[at : at + max(1, CELLS // longest)]
-            at += len(part)
-            live = np.searchsorted(-lengths[part], -np.arange(longest), "left")  # lines longer than t
-            first = begin[part]
-            alphas = []
-            a = np.broadcast_to(self.start, (len(part), self.k))
-            for t in range(longest):
-                n = live[t]
-                a = (a[:n] @ self.moves if t else a[:n]) * self.rows[ids[first[:n] + t]]
+        np.add.at(out, line, total)
+        return out
+
+    def _messages(self, ids, begin, size, long, nth, parts, line, into, beyond) -> None:
+        """Fill ``into`` (before a segment's first word) and ``beyond`` (after its last) for the segments of cut lines."""
+        import numpy as np
+
+        long = long[np.argsort(-size[long], kind="stable")]
+        first, live = begin[long], np.searchsorted(-size[long], -np.arange(size[long[0]]), "left")
+        m = np.broadcast_to(np.eye(self.k), (len(long), self.k, self.k)).copy()
+        for t, n in enumerate(live):
+            x = self.rows[ids[first[:n] + t]][:, None, :]
+            m[:n] = (m[:n] @ self.moves if t else m[:n]) * x
+            if t % SCALE == SCALE - 1:
+                m[:n] /= m[:n].max(axis=(1, 2), keepdims=True)
+        whole = np.zeros((len(line), self.k, self.k))
+        whole[long] = m
+        by = [long[nth[long] == s] for s in range(parts.max())]
+        for here in by[1:]:  # segment s of all cut lines that have one
+            a = (into[here - 1][:, None, :] @ whole[here - 1])[:, 0] @ self.moves
+            into[here] = a / a.sum(axis=1, keepdims=True)
+        for here in by[:0:-1]:
+            b = (whole[here] @ beyond[here][:, :, None])[:, :, 0] @ self.moves.T
+            beyond[here - 1] = b / b.sum(axis=1, keepdims=True)
+
+    def _marginals(self, ids, first, size, into, beyond):
+        """Expected words per label of segments sorted by falling size."""
+        import numpy as np
+
+        live = np.searchsorted(-size, -np.arange(size[0]), "left") if len(size) else []  # segments longer than t
+        alphas, xs, a = [], [], into
+        for t, n in enumerate(live):
+            x = self.rows[ids[first[:n] + t]]
+            a = (a[:n] @ self.moves if t else a[:n]) * x
+            if t % SCALE == SCALE - 1:
                 a = a / a.sum(axis=1, keepdims=True)
-                alphas.append(a)
-            total = np.zeros((len(part), self.k))
-            beta = np.ones((0, self.k))
-            for t in range(longest - 1, -1, -1):
-                n = live[t]
-                if len(beta) < n:
-                    beta = np.concatenate([beta, np.ones((n - len(beta), self.k))])
-                g = alphas[t] * beta
-                total[:n] += g / g.sum(axis=1, keepdims=True)
-                alphas[t] = None
-                beta = (self.rows[ids[first[:n] + t]] * beta) @ self.moves.T
+            alphas.append(a)
+            xs.append(x)
+        total, beta = np.zeros((len(first), self.k)), beyond[:0]
+        for t in range(len(alphas) - 1, -1, -1):
+            n = live[t]
+            if len(beta) < n:
+                beta = np.concatenate([beta, beyond[len(beta) : n]])
+            g = alphas[t] * beta
+            total[:n] += g / g.sum(axis=1, keepdims=True)
+            beta = (xs[t] * beta) @ self.moves.T
+            if t % SCALE == 0:
                 beta = beta / beta.sum(axis=1, keepdims=True)
-            out[part] = total
-        return out
+        return total
 
     def documents(self, texts: list[str]):
         """``(label, share, expected words per label)`` of each text; label None if it has no letter."""
         import numpy as np
 
-        words, lengths, owner = [], [], []
+        words, lengths, owner, place, known = [], [], [], [], {}
         for d, t in enumerate(texts):
             for line in t.lower().split("\n"):
-                found = WORD(line)
-                if found:
-                    words += found
-                    lengths.append(len(found))
+                at = known.get(line)
+                if at is None:  # equal lines of a batch are worked out once
+                    found = WORD(line)
+                    at = known[line] = len(lengths) if found else -1
+                    if found:
+                        words += found
+                        lengths.append(len(found))
+                if at >= 0:
                     owner.append(d)
+                    place.append(at)
         total = np.zeros((len(texts), self.k))
         if words and self.k:
-            np.add.at(total, owner, self.lines(words, lengths))
+            np.add.at(total, owner, self.lines(words, lengths)[place])
         out = []
         for t, x in zip(texts, total):
             n = x.sum()
@@ -159,7 +202,9 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "do
     """
     d = docs.select(docs[f"`{label}`"].cast("string").alias("l"), docs[f"`{text}`"].alias("t"), docs[f"`{key}`"].alias("id")).where("l is not null and t is not null")
     h = F.xxhash64("t")
-    best = d.select("l", h.alias("h")).distinct().withColumn("r", F.row_number().over(W.partitionBy("l").orderBy("h"))).where(F.col("r") <= rows)
+    best = d.select("l", h.alias("h")).distinct()
+    for by in (["l", F.pmod(F.col("h"), F.lit(BUCKETS))], ["l"]):  # at most ``BUCKETS * rows`` hashes of a label come to one task
+        best = best.withColumn("r", F.row_number().over(W.partitionBy(*by).orderBy("h"))).where(F.col("r") <= rows).drop("r")
     picked = d.withColumn("h", h).join(F.broadcast(best.select("l", "h")), ["l", "h"])  # at most ``rows`` per label
 
     def passages(texts):

@@ -21,6 +21,8 @@ from tessella.llm.common import add_columns, text_of, worker_cached
 SENTENCE = re.compile(r"[^.!?\n]+").finditer
 WORD = re.compile(r"[^\W\d_]+").findall
 SAMPLE_ROWS = 12_000  # labelled documents a model is fitted on, taken by a hash of the id within each label
+SAMPLE_CODES = 8_000_000  # occurrences of telling features in the sample: 16 MB on the driver; documents beyond go, by the same hash
+SLICE = 500  # documents of a gradient step's slice
 NEVER = -30.0  # bias of a model without toxic examples: no document has enough sentences to come near even odds
 VOCABULARY = 3_000  # features that may carry a weight, the most telling of toxic documents
 LEAST = 3.0  # standard deviations by which toxic documents must prefer them
@@ -80,10 +82,10 @@ class _Memo(dict):
         return got
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", rows: int = SAMPLE_ROWS, occurrences: int = SAMPLE_CODES) -> Model:
     """A model from the labelled rows of ``docs``.
 
-    At most ``rows`` labelled documents are used (all of them if there are fewer): toxic ones up to half the bound, or more if
+    At most ``rows`` labelled documents with ``occurrences`` telling features in all are used (all of them if there are fewer): toxic ones up to half the bound, or more if
     there are too few others, and clean ones for the rest, of each label the first by a hash of their id. Clean documents weigh as
     many times more as they were thinned out more, so rare toxic documents all count and the odds are those of all labels. Equal
     texts count once, and with contradicting labels as toxic. Null ids, texts and labels take no part. Without toxic documents in
@@ -105,7 +107,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         return [[[sorted(set(WORD(m[0].lower()))) for m in SENTENCE(t)] for t in texts]]
 
     bags = add_columns(sample, [sample["t"]], "s array<array<string>>", words, batch_rows=500)
-    bags = bags.groupBy(F.xxhash64("t").alias("h"), F.octet_length("t").alias("n")).agg(F.max("y").alias("y"), F.first("s").alias("s")).select("y", "s")
+    bags = bags.groupBy(F.xxhash64("t").alias("h"), F.octet_length("t").alias("n")).agg(F.max("y").alias("y"), F.first("s").alias("s")).select("y", "s", "h", "n")
     bags = bags.persist()
     try:
         n, n_pos = bags.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
@@ -126,14 +128,38 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
                 own = [c for s in x if (c := [index[f] for w in s for f in features(w) if f in index])]
                 n.append(sum(1 for s in x if s))
                 sizes.append(np.array([len(c) for c in own], np.int32).tobytes())
-                flat.append(np.array([i for c in own for i in c], np.int32).tobytes())
+                flat.append(np.array([i for c in own for i in c], np.int16).tobytes())
             return [n, sizes, flat]
 
-        coded = add_columns(bags, [bags["s"]], "n int, sizes binary, flat binary", codes, batch_rows=500)
-        rows_ = coded.select("y", "n", "sizes", "flat").toPandas()  # packed feature numbers of at most ``rows`` documents
+        coded = add_columns(bags, [bags["s"]], "sentences int, sizes binary, flat binary", codes, batch_rows=500)
+        coded = coded.where("h is not null").select("y", "h", "n", "sentences", "sizes", "flat").persist()
+        try:
+            heavy = coded.select("y", "h", "n", (F.octet_length("flat") / 2).cast("long").alias("c")).collect()  # four numbers for each of at most ``rows`` documents
+            cuts = _cuts(heavy, occurrences)
+            kept = coded.where(F.col("h") <= F.when(F.col("y") == 1, cuts[1][0]).otherwise(cuts[0][0]))
+            packed = kept.sort("h", "n").select("y", "sentences", "sizes", "flat").toArrow()  # bounded by ``rows`` and ``occurrences``
+        finally:
+            coded.unpersist()
     finally:
         bags.unpersist()
-    return _descend(rows_, index, heavier)
+    return _descend(packed, index, heavier * cuts[0][1] / cuts[1][1])
+
+
+def _cuts(rows, most: int) -> list[tuple[int, float]]:
+    """Per label the largest hash taken and how much the label is thinned out, so that at most ``most`` occurrences (and a document of each label) remain."""
+    share, out = min(1.0, most / max(1, sum(r.c for r in rows))), []
+    for y in (0, 1):
+        own = sorted((r.h, r.n, r.c) for r in rows if r.y == y)
+        room, taken = share * sum(c for _, _, c in own), 0
+        for i, (_, _, c) in enumerate(own):
+            taken += c
+            if taken > room * (1 + 1e-9) and i:
+                own_kept = own[:i]
+                break
+        else:
+            own_kept = own
+        out.append((own_kept[-1][0] if own_kept else 0, len(own) / max(1, len(own_kept))))
+    return out
 
 
 def _count(batches):
@@ -150,30 +176,50 @@ def _count(batches):
         yield pa.RecordBatch.from_arrays([pa.array(list(df), pa.string()), pa.array(list(df.values()), pa.int64()), pa.array([pos[f] for f in df], pa.int64())], names=["f", "df", "pos"])
 
 
-def _descend(rows, index: dict[str, int], heavier: float = 1.0, steps: int = 400, l1: float = 0.3, l2: float = 0.02) -> Model:
-    """Fit by proximal Adam steps on the noisy-or likelihood, in which a clean row counts ``heavier`` times; the order of ``rows``
-    does not matter beyond rounding."""
+def _packed(column, dtype):
+    """The bytes of a binary Arrow column as one array, and the number of values of each row; no copy per row."""
+    import numpy as np
+    import pyarrow as pa
+
+    whole = pa.chunked_array([c.cast(pa.large_binary()) for c in column.chunks], pa.large_binary()).combine_chunks()
+    whole = whole if isinstance(whole, pa.Array) else pa.concat_arrays(whole.chunks)
+    at = np.frombuffer(whole.buffers()[1], np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    data = np.frombuffer(whole.buffers()[2], np.uint8)[at[0] : at[-1]] if at[-1] > at[0] else np.zeros(0, np.uint8)
+    return data.view(dtype), np.diff(at) // np.dtype(dtype).itemsize
+
+
+def _descend(packed, index: dict[str, int], heavier: float = 1.0, steps: int = 400, l1: float = 0.3, l2: float = 0.02) -> Model:
+    """Fit by proximal Adam steps on the noisy-or likelihood, in which a clean row counts ``heavier`` times. ``packed``: a row per document with its label, its
+    sentences, the features of each sentence that has any (``sizes``) and their numbers (``flat``). A step goes over slices of ``SLICE`` documents,
+    so besides the packed numbers only one slice is in memory."""
     import numpy as np
 
-    rows = rows.sort_values(["y", "n", "sizes", "flat"])
-    y = rows["y"].to_numpy(float)
-    sizes = [np.frombuffer(x, np.int32) for x in rows["sizes"]]
-    sent_doc = np.repeat(np.arange(len(rows)), [len(x) for x in sizes])
-    plain = rows["n"].to_numpy(float) - [len(x) for x in sizes]
-    lens = np.concatenate(sizes)
-    feat = np.frombuffer(b"".join(rows["flat"]), np.int32)
-    sent = np.repeat(np.arange(len(lens), dtype=np.int32), lens)
-    n_docs, n_sent, n_feat = len(rows), len(lens), len(index)
+    y = packed.column("y").to_numpy().astype(float)
+    lens, told = _packed(packed.column("sizes"), np.int32)
+    feat, _ = _packed(packed.column("flat"), np.int16)
+    plain = packed.column("sentences").to_numpy().astype(float) - told
+    n_feat = len(index)
+    sent_at, feat_at = np.concatenate([[0], np.cumsum(told)]), np.concatenate([[0], np.cumsum(lens)])
+    slices = []
+    for a in range(0, len(y), SLICE):
+        z = min(a + SLICE, len(y))
+        s, e = sent_at[a], sent_at[z]
+        slices.append((slice(a, z), slice(s, e), slice(feat_at[s], feat_at[e]), told[a:z]))
     w, b = np.zeros(n_feat), math.log(0.001)
     m, v = np.zeros(n_feat + 1), np.zeros(n_feat + 1)
     soft = lambda z: np.logaddexp(0, z)
     for step in range(1, steps + 1):
-        z = b + np.bincount(sent, w[feat], n_sent)
-        log_clean = -np.bincount(sent_doc, soft(z), n_docs) - plain * soft(b)
-        clean = np.exp(log_clean)
-        pull = np.where(y > 0, -clean / np.maximum(1 - clean, 1e-9), heavier)
-        gz = pull[sent_doc] / (1 + np.exp(-z))
-        grad = np.append(np.bincount(feat, gz[sent], n_feat) + l2 * w, gz.sum() + (pull * plain).sum() / (1 + math.exp(-b)))
+        grad = np.append(l2 * w, 0.0)
+        for docs, sents, feats, counts in slices:
+            f, size = feat[feats], lens[sents]
+            doc = np.repeat(np.arange(len(counts)), counts)
+            z = b + (np.add.reduceat(w[f], np.cumsum(size) - size) if len(f) else np.zeros(0))
+            log_clean = -np.bincount(doc, soft(z), len(counts)) - plain[docs] * soft(b)
+            clean = np.exp(log_clean)
+            pull = np.where(y[docs] > 0, -clean / np.maximum(1 - clean, 1e-9), heavier)
+            gz = pull[doc] / (1 + np.exp(-z))
+            grad[:-1] += np.bincount(f, np.repeat(gz, size), n_feat)
+            grad[-1] += gz.sum() + (pull * plain[docs]).sum() / (1 + math.exp(-b))
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad**2
         rate = 0.1 * (1 if step < steps / 2 else 0.2)

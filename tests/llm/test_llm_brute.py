@@ -297,3 +297,51 @@ def test_html_query(spark):
         article = re.search(r"<article>(.*?)</article>", pages[r.page_id], re.S)[1]
         blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", article))
         assert r.text == "\n".join(filter(None, blocks)) and r.n_chars == len(r.text)
+
+
+def test_cut_lines_equal_plain_forward_backward():
+    """Lines of several segments against one pass over the whole line."""
+    import random
+
+    import numpy as np
+
+    rnd = random.Random(3)
+    weights = {"w" + x: tuple(rnd.gauss(0, 1) for _ in range(3)) for x in "abcdefgh"}
+    m = language.Model(["x", "y", "z"], weights, {}, (), np.exp(np.random.default_rng(1).normal(size=9) * 2).tolist(), [1.0, 2.0, 0.5])
+    lengths = [1, 5, language.SEGMENT, language.SEGMENT + 1, 300, 2000]
+    words = [rnd.choice("abcdefgh") for _ in range(sum(lengths))]
+    tagger, at = language.Tagger(m), 0
+    moves = np.array(m.moves).reshape(3, 3)
+    for n, got in zip(lengths, tagger.lines(words, lengths)):
+        x = [tagger.word(w) for w in words[at : at + n]]
+        at += n
+        alphas, a = [], np.array(m.start)
+        for t in range(n):
+            a = (a @ moves if t else a) * x[t]
+            alphas.append(a := a / a.sum())
+        beta, total = np.ones(3), np.zeros(3)
+        for t in range(n - 1, -1, -1):
+            g = alphas[t] * beta
+            total += g / g.sum()
+            beta = moves @ (x[t] * beta)
+            beta = beta / beta.sum()
+        assert np.allclose(total, got, rtol=1e-9)
+
+
+def test_toxicity_sample_is_bounded_by_occurrences(spark):
+    """Long documents: the sample stops at the bound, keeps both labels, and the model still tells them apart."""
+    docs = [(i, ("bad word here. " if i % 4 == 0 else "good word here. ") * 500) for i in range(120)]
+    df = spark.createDataFrame([(i, f"n{i} {t}") for i, t in docs], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in docs], "doc_id long, toxic int")
+    for most in (10**9, 5_000, 1):
+        got = toxicity.score(df, toxicity.fit(df, labels, occurrences=most)).collect()
+        assert all((r.toxicity >= 0.5) == (r.doc_id % 4 == 0) for r in got)
+    Row = type("Row", (), {})
+    rows = []
+    for i in range(100):
+        r = Row()
+        r.y, r.h, r.n, r.c = int(i < 20), i * 37 % 101, 1, 10
+        rows.append(r)
+    (clean, thin0), (toxic, thin1) = toxicity._cuts(rows, 500)
+    kept = [r for r in rows if r.h <= (toxic if r.y else clean)]
+    assert sum(r.c for r in kept) <= 500 and thin0 == 2.0 and thin1 == 2.0
