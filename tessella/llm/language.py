@@ -56,21 +56,38 @@ class Tagger:
         self.k = len(model.labels)
         self.moves = np.array(model.moves).reshape(self.k, self.k)
         self.start = np.array(model.start)
-        self.rows = np.ones((1024, self.k))
-        self.memo = _Rows(self)
+        self.index = {f: i for i, f in enumerate(model.weights)}
+        self.weights = np.array(list(model.weights.values()), float).reshape(len(self.index), self.k)
+        self.lexical = np.array([*model.lexical, (0.0,) * self.k]).reshape(-1, self.k)  # the last row for words outside the lexicon
+        self.rows, self.memo = np.ones((0, self.k)), {}
+
+    def scores(self, words: list[str]):
+        """exp of the label scores of each word, the largest scaled to 1."""
+        import numpy as np
+
+        get, found, counts = self.index.get, [], []
+        for w in words:
+            own = [i for f in features(w) if (i := get(f)) is not None]
+            found += own
+            counts.append(len(own))
+        owner, parts = np.repeat(np.arange(len(words)), counts), self.weights[np.array(found, np.int64)]
+        e = np.stack([np.bincount(owner, parts[:, y], len(words)) for y in range(self.k)], 1)
+        e = e + self.lexical[[self.m.lexicon.get(w, -1) for w in words]]
+        return np.exp(e - e.max(axis=1, keepdims=True))
 
     def word(self, w: str):
-        """exp of the word's label scores, the largest scaled to 1."""
+        return self.scores([w])[0]
+
+    def learn(self, words: list[str]) -> None:
+        """Give a row of scores to each word that has none yet, all new ones at once."""
         import numpy as np
 
-        get = self.m.weights.get
-        e = np.zeros(self.k)
-        found = [x for f in features(w) if (x := get(f)) is not None]
-        if found:
-            e = np.sum(found, axis=0)
-        if w in self.m.lexicon:
-            e = e + self.m.lexical[self.m.lexicon[w]]
-        return np.exp(e - e.max())
+        if len(self.memo) > MEMO:
+            self.memo, self.rows = {}, np.ones((0, self.k))
+        new = list(dict.fromkeys(w for w in words if w not in self.memo))
+        if new:
+            self.memo.update(zip(new, range(len(self.memo), len(self.memo) + len(new))))
+            self.rows = np.concatenate([self.rows, self.scores(new)])
 
     def lines(self, words: list[str], lengths):
         """Expected words per label of each line; ``lengths`` cuts ``words`` into lines.
@@ -79,8 +96,7 @@ class Tagger:
         chaining these gives the messages that enter each segment from both sides. Then all segments run forward and backward side by side."""
         import numpy as np
 
-        if len(self.memo) > MEMO:
-            self.memo.clear()
+        self.learn(words)
         ids = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
         lengths = np.asarray(lengths)
         parts = -(-lengths // SEGMENT)
@@ -178,21 +194,6 @@ class Tagger:
         return out
 
 
-class _Rows(dict):
-    def __init__(self, tagger: Tagger):
-        self.tagger = tagger
-
-    def __missing__(self, word: str) -> int:
-        import numpy as np
-
-        t, i = self.tagger, len(self)
-        if i >= len(t.rows):
-            t.rows = np.concatenate([t.rows, np.ones_like(t.rows)])
-        t.rows[i] = t.word(word)
-        self[word] = i
-        return i
-
-
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", rows: int = SAMPLE_ROWS) -> Model:
     """A model from the rows of ``docs`` with text and label.
 

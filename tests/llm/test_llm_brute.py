@@ -311,6 +311,8 @@ def test_cut_lines_equal_plain_forward_backward():
     lengths = [1, 5, language.SEGMENT, language.SEGMENT + 1, 300, 2000]
     words = [rnd.choice("abcdefgh") for _ in range(sum(lengths))]
     tagger, at = language.Tagger(m), 0
+    known = np.sum([weights[f] for f in language.features("ab") if f in weights] or [(0.0, 0.0, 0.0)], axis=0)
+    assert np.allclose(tagger.word("ab"), np.exp(known - known.max())) and np.allclose(tagger.word("a"), np.exp(np.array(weights["wa"]) - max(weights["wa"])))
     moves = np.array(m.moves).reshape(3, 3)
     for n, got in zip(lengths, tagger.lines(words, lengths)):
         x = [tagger.word(w) for w in words[at : at + n]]
