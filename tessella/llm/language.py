@@ -58,7 +58,7 @@ class Tagger:
         self.start = np.array(model.start)
         self.index = {f: i for i, f in enumerate(model.weights)}
         self.weights = np.array(list(model.weights.values()), float).reshape(len(self.index), self.k)
-        self.lexical = np.array([*model.lexical, (0.0,) * self.k]).reshape(-1, self.k)  # the last row for words outside the lexicon
+        self.lexical = np.array([*model.lexical, (0.0,) * self.k]).reshape(len(model.lexical) + 1, self.k)  # the last row for words outside the lexicon
         self.rows, self.memo = np.ones((0, self.k)), {}
 
     def scores(self, words: list[str]):
