@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,7 @@ from tessella.operators import mosaic as M
 from tessella.operators import neighborhood as N
 from tessella.operators import regions as G
 from tessella.operators import runs as R
-from tessella.operators.regions import median_by
+from tessella.operators.regions import median_by, medians
 from tessella.session import save
 
 # Water colours and waves (fy, fx, amplitude, span).
@@ -108,9 +109,10 @@ def preview_water_mask(pixels: DataFrame, w: int, h: int, min_share: float = 0.0
 
 def blend_to_median(pixels: DataFrame, mask: DataFrame, w: int, h: int, block: int = R.BLOCK, strength: float = 0.75, sigma: float = 3, least: int = 100) -> DataFrame:
     """Pull masked pixels toward their median colour, weighted by the feathered mask; nothing happens when the
-    mask has at most ``least`` pixels."""
+    mask has at most ``least`` pixels. Channels may be whole (0..255) or real-valued."""
     inside = flagged(pixels, mask, "m").where("m = 1").withColumn("all", F.lit(0))
-    med = median_by(inside, ["all"], ["r", "g", "b"]).first()  # one row of four numbers
+    real = any(t in ("double", "float") for c, t in pixels.dtypes if c in ("r", "g", "b"))
+    med = (medians if real else median_by)(inside, ["all"], ["r", "g", "b"]).first()  # one row of four numbers
     if med is None or med["n"] <= least:
         return pixels.select("y", "x", *[F.col(c).cast("double").alias(c) for c in "rgb"])
     f = feathered(pixels, mask, sigma, w, h, block)
@@ -233,6 +235,23 @@ def deploy_mosaic(
     return out.unionByName(rest)
 
 
+def preview_layer(pixels: DataFrame, w: int, h: int, top: float = 190, k: float = 0.30, block: int = R.BLOCK) -> DataFrame:
+    """A capture of a preview: whites rolled off, then its water drawn toward its median colour. Channels stay real-valued; only the water
+    mask is taken from whole values."""
+    soft = save(pixels.select("y", "x", *[c.cast("double").alias(n) for c, n in zip(C.rolloff(top, k), "rgb")]), "soft")
+    whole = soft.select("y", "x", *[C.clip_u8(F.col(c)).alias(c) for c in "rgb"])
+    water = save(preview_water_mask(whole, w, h, block=block), "water")
+    return save(blend_to_median(soft, water, w, h, block), "layer")
+
+
+def preview_mosaic(
+    base: DataFrame, base_box: tuple[int, int, int, int], over: DataFrame, over_box: tuple[int, int, int, int], w: int, h: int, fade: int, block: int = R.BLOCK
+) -> DataFrame:
+    """The small mosaic: each layer finished by itself, ``over`` faded in at its top, bottom and right edge, black where neither is."""
+    layers = [preview_layer(px, box[2], box[3], block=block) for px, box in ((base, base_box), (over, over_box))]
+    return deploy_mosaic(layers[0], base_box, layers[1], over_box, w, h, fade, top=math.inf, ground=None, block=block)
+
+
 def final_finish(
     pixels: DataFrame, original: DataFrame, w: int, h: int, close: int = 16, std: int = 12, block: int = R.BLOCK,
     grade: tuple[float, float, float] = (1.14, 1.03, 1.03),

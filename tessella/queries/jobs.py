@@ -238,6 +238,33 @@ def h11(t):
     return P.deploy_mosaic(X.raster(t), (50, 0, w, h), X.raw_raster(t), (0, 30, w, h), w + 50, h + 40, 15, block=BLOCK)
 
 
+_mid = lambda c: f"(list_sort(list({c}))[(count(*) + 1) // 2] + list_sort(list({c}))[(count(*) + 2) // 2]) / {d(2.0)}"
+PREVIEW = (
+    "soft AS " + roll("raster").replace("200", "190").replace(d(0.40), d(0.30)) + ",\n"
+    + "whole AS (SELECT y, x, " + ", ".join(f"{U8.format(c)} AS {c}" for c in "rgb") + " FROM soft),\n"
+    + MASK_C.replace(smooth_sql(9, 9), smooth_sql(9, 9, "whole")) + feather_sql("fe", "wmask", 3)
+    + "md AS (SELECT count(*) AS n, " + ", ".join(f"{_mid(c)} AS m{c}" for c in "rgb") + " FROM soft JOIN wmask USING (y, x)),\n"
+    + "lay AS (SELECT y, x, " + ", ".join(f"greatest(least(CASE WHEN n > 100 THEN {c} * (1 - fm * {d(0.75)}) + m{c} * (fm * {d(0.75)}) ELSE {c} END, {d(255.0)}), {d(0.0)}) AS {c}" for c in "rgb")
+    + " FROM soft JOIN fe USING (y, x), md),\n"
+    + f"a AS (SELECT y, x + 50 AS x, r, g, b FROM lay), o AS (SELECT y + 30 AS y, x, r, g, b, {_RAMP} AS al FROM lay, size),\n"
+    + "cv AS (SELECT a.i AS y, b.i AS x FROM size, range(h + 40) AS a(i), range(w + 50) AS b(i))"
+)
+
+
+@query(
+    "h11_preview_mosaic", RGB,
+    X.with_(
+        "raster", "size", ctes=PREVIEW,
+        body="SELECT c.y, c.x, " + ", ".join(f"{U8.format(f'coalesce(o.{c}, 0) * coalesce(al, 0) + coalesce(a.{c}, 0) * (1 - coalesce(al, 0))')} AS {c}" for c in "rgb")
+        + " FROM cv c LEFT JOIN a ON a.y = c.y AND a.x = c.x LEFT JOIN o ON o.y = c.y AND o.x = c.x",
+    ),
+)
+def h11_preview(t):
+    """One capture in two places: each layer is drawn toward the median of its own real-valued water first."""
+    _, w, h = frame(t)
+    return P.preview_mosaic(X.raster(t), (50, 0, w, h), X.raster(t), (0, 30, w, h), w + 50, h + 40, 15, block=BLOCK)
+
+
 H12 = smooth_sql(9, 40) + "vivid AS (SELECT y, x FROM flag WHERE smooth AND b > r + 18 AND b > g AND b > 115),\n" + S.closing("clo", "vivid", 5) + S.canvas() + S.minus("land", "canvas", "clo") + S.label("bg", "land") + (
     "edge AS (SELECT DISTINCT label FROM bg, size WHERE y = 0 OR y = h - 1 OR x0 = 0 OR x1 = w - 1),\ninner_runs AS (SELECT * FROM bg WHERE label NOT IN (SELECT label FROM edge)),\n"
 ) + S.pixels("holes", "inner_runs") + S.either("riv", "clo", "holes") + feather_sql("fe", "riv", 3) + (

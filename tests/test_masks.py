@@ -180,3 +180,23 @@ def test_water_of_the_raw_capture_is_flooded_at_the_styled_size(spark):
     flood = {(r.y, r.x): r.r for r in out.collect()}
     assert len(flood) == 90 * 120
     assert all(abs(flood[y, 30] - 104) < 5 for y in range(20, 70)) and all(flood[y, 110] == 200 for y in range(90))
+
+
+def test_real_valued_medians_are_exact(spark):
+    """Odd and even groups, ties, outliers of many magnitudes, one value, nulls and NaN; one group holds most rows."""
+    import random
+    import statistics
+
+    from tessella.operators.regions import medians
+
+    rnd = random.Random(2)
+    draw = {
+        "hot": lambda: rnd.gauss(100, 1e-6), "wide": lambda: 10 ** rnd.uniform(-200, 200), "ties": lambda: rnd.choice([1.25, 1.25, 7.5]), "one": lambda: 3.5, "two": lambda: rnd.random(),
+    }
+    rows = [(k, draw[k](), -draw[k]()) for k, n in (("hot", 3000), ("wide", 301), ("ties", 40), ("one", 5), ("two", 2)) for _ in range(n)]
+    df = spark.createDataFrame(rows + [("hot", None, float("nan")), ("none", None, None)], "k string, v double, u double")
+    got = {r.k: r for r in medians(df, ["k"], ["v", "u"]).collect()}
+    assert set(got) == set(draw)
+    for k in draw:
+        v, u = [r[1] for r in rows if r[0] == k], [r[2] for r in rows if r[0] == k]
+        assert (got[k].n, got[k].v, got[k].u) == (len(v), statistics.median(v), statistics.median(u))
