@@ -139,22 +139,25 @@ def _local(runs: DataFrame, step: Callable[[np.ndarray, np.ndarray], np.ndarray]
     s = runs.select(*by, F.col("y").cast("long"), F.col("x0").cast("long"), F.col("x1").cast("long"), _c(w).cast("long").alias("w_"), _c(h).cast("long").alias("h_"))
     s = s.withColumn("yb", to(F.col("y"), F.col("y"))).withColumn("bx", to(F.col("x0"), F.col("x1")))
     s = s.where((F.col("yb") >= 0) & (F.col("bx") >= 0) & (F.col("yb") * block < F.col("h_")) & (F.col("bx") * block < F.col("w_")))
-    edge = block + 2 * halo
-
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        top, left = int(group["yb"].iloc[0]) * block - halo, int(group["bx"].iloc[0]) * block - halo
-        y = group["y"].to_numpy() - top
-        x0, x1 = np.clip(group["x0"].to_numpy() - left, 0, edge), np.clip(group["x1"].to_numpy() + 1 - left, 0, edge)
-        steps = np.zeros((edge, edge + 1), np.int32)
-        np.add.at(steps, (y, x0), 1)
-        np.add.at(steps, (y, x1), -1)
-        ys, xs = np.arange(top, top + edge), np.arange(left, left + edge)
+        y, x0, x1 = (group[c].to_numpy() for c in ("y", "x0", "x1"))
+        yb, bx = int(group["yb"].iloc[0]) * block, int(group["bx"].iloc[0]) * block
+        # the part of the block and its halo that the runs can reach
+        top, end = max(yb - halo, int(y.min()) - halo), min(yb + block + halo, int(y.max()) + 1 + halo)
+        left, right = max(bx - halo, int(x0.min()) - halo), min(bx + block + halo, int(x1.max()) + 1 + halo)
+        if top >= min(end, yb + block) or left >= min(right, bx + block):
+            return pd.DataFrame({c: group[c].iloc[:0] for c in [*by, "y", "bx", "x0", "x1"]})
+        steps = np.zeros((end - top, right - left + 1), np.int32)
+        np.add.at(steps, (y - top, np.clip(x0 - left, 0, right - left)), 1)
+        np.add.at(steps, (y - top, np.clip(x1 + 1 - left, 0, right - left)), -1)
+        ys, xs = np.arange(top, end), np.arange(left, right)
         canvas = ((ys >= 0) & (ys < int(group["h_"].iloc[0])))[:, None] & ((xs >= 0) & (xs < int(group["w_"].iloc[0])))[None, :]
-        mask = (np.cumsum(steps, 1)[:, :edge] > 0) & canvas
-        out = (step(mask, canvas) & canvas)[halo : halo + block, halo : halo + block]
+        mask = (np.cumsum(steps, 1)[:, :-1] > 0) & canvas
+        own = ((ys >= yb) & (ys < yb + block))[:, None] & ((xs >= bx) & (xs < bx + block))[None, :]
+        out = step(mask, canvas) & canvas & own
         change = np.diff(np.pad(out.astype(np.int8), ((0, 0), (1, 1))), axis=1)
-        (row, start), (_, end) = np.nonzero(change == 1), np.nonzero(change == -1)
-        found = pd.DataFrame({"y": row + top + halo, "bx": int(group["bx"].iloc[0]), "x0": start + left + halo, "x1": end - 1 + left + halo})
+        (row, start), (_, stop) = np.nonzero(change == 1), np.nonzero(change == -1)
+        found = pd.DataFrame({"y": row + top, "bx": bx // block, "x0": start + left, "x1": stop - 1 + left})
         for c in by:
             found[c] = group[c].iloc[0]
         return found[[*by, "y", "bx", "x0", "x1"]]
