@@ -24,7 +24,8 @@ def lookup(rows: DataFrame, key: str, table: DataFrame, n: int) -> DataFrame:
 def ranked(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "idx", total: str | None = None) -> DataFrame:
     """Number the rows of each ``by`` from 0 in the given order (which must be total); with ``total`` also the running
     sum ``upto`` of that column. Rows are sorted by range partitions, each partition numbers its own part and
-    adds what the partitions before it hold, so one huge ``by`` still spreads over all tasks."""
+    adds what the partitions before it hold, so one huge ``by`` still spreads over all tasks. The range partitions are a
+    written table; once the result is saved elsewhere, ``discard`` of the result deletes it."""
     by, order = list(by), list(order)
     value = F.col(total) if total else F.lit(0)
     p = save(df.repartitionByRange(*by, *order).withColumn("pid", F.spark_partition_id()), "ranked")
@@ -34,7 +35,9 @@ def ranked(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "
     own = W.partitionBy(*by, "pid").orderBy(*order)
     r = p.select("*", F.row_number().over(own).alias("own"), F.sum(value).over(own).alias("own_s")).join(parts, [*by, "pid"])
     upto = [(F.col("own_s") + F.col("before_s")).alias("upto")] if total else []
-    return r.select(*df.columns, (F.col("own") - 1 + F.col("before_n")).alias(name), *upto)
+    out = r.select(*df.columns, (F.col("own") - 1 + F.col("before_n")).alias(name), *upto)
+    out.saved_path = p.saved_path
+    return out
 
 
 def _signature(edges: DataFrame) -> tuple:
