@@ -264,7 +264,9 @@ def repair(df: DataFrame, conv: str = "conv", turn: str = "turn", role: str = "r
         name.alias("conv"), F.coalesce(F.concat(F.lit("="), name.cast("string")), F.lit("")).alias("key"), df[f"`{turn}`"].cast("long").alias("turn"),
         q(role).alias("role"), q(text).alias("text"),
     )
-    numbered = save(ranked(rows, ["key"], ["turn", "role", "text"], "pos"), "turns")
+    ranks = ranked(rows, ["key"], ["turn", "role", "text"], "pos")
+    numbered = save(ranks, "turns")
+    discard(ranks)
     sign = F.sha2(F.concat_ws("\x00", F.length("key").cast("string"), "key", F.length("role").cast("string"), "role", "text"), 256)
     code = F.call_function("instr", F.lit("sua"), F.substring("role", 1, 1))
     code = F.when(F.col("role") == "", 0).otherwise(code)
