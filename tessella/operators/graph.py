@@ -40,21 +40,26 @@ def ranked(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "
     return out
 
 
-def _signature(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _open(edges: DataFrame) -> tuple[int, int]:
+    """Number of edges, and of vertices that keep them from being stars: those above one vertex and below another, or below two."""
+    roles = edges.select(F.col("u").alias("x"), F.lit(1).alias("below")).unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("below")))
+    roles = roles.groupBy("x").agg(F.sum("below").alias("below"), F.min("below").alias("least"))
+    mixed = (F.col("below") > 1) | (F.col("below") > 0) & (F.col("least") == 0)
+    found = roles.agg(F.sum("below"), F.count_if(mixed)).first()
+    return found[0] or 0, found[1]
 
 
 def components(edges: DataFrame) -> DataFrame:
     """Components of an undirected graph ``(u, v)`` of longs: one row ``(id, root)`` per vertex, where the
-    root is the smallest id. Alternating large-star and small-star steps; only pairs of ids are ever moved."""
+    root is the smallest id. Alternating large-star and small-star steps until only stars are left; only pairs of ids are ever moved."""
     e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     e = save(e, "edges")
-    sig = _signature(e)
-    while sig[0]:
+    n, left = _open(e)
+    while left:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         up = e.select(F.col("v").alias("u"), F.col("u").alias("child"))
-        star = lookup(up, "u", low, sig[0]).select(F.col("child").alias("u"), F.col("m").alias("v")).distinct()
+        star = lookup(up, "u", low, n).select(F.col("child").alias("u"), F.col("m").alias("v")).distinct()
         star = save(star, "star")
         low = star.groupBy("u").agg(F.min("v").alias("m"))
         near = lookup(star, "u", low, star.count())
@@ -63,13 +68,10 @@ def components(edges: DataFrame) -> DataFrame:
         )
         nxt = near.select(F.explode(links).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
         nxt = save(nxt, "edges")
-        new = _signature(nxt)
-        done = new == sig
         discard(star)
         discard(e)
-        e, sig = nxt, new
-        if done:
-            break
+        e = nxt
+        n, left = _open(e)
     child = e.select(F.col("u").alias("id"), F.col("v").alias("root"))
     root = e.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()
     return child.unionByName(root)
