@@ -28,7 +28,8 @@ SHINGLE = 5
 SIMILARITY = Fraction(4, 5)
 HOT_ROWS = 1 << 18  # n-grams ordered by their frequency; all others are ordered by their hash alone
 HOT_COUNT = 16
-CROSS = 8  # turns go on while the cross comparison would meet more than so many pairs per index entry, and links turn up
+CROSS = 128  # turns go on while the cross comparison would meet more than so many pairs per index entry (bounds decide most),
+YIELD = 8  # and one pair in so many of a turn was a link
 # Fixed value: A-Z become lower case; words are what ASCII white space leaves.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -207,18 +208,18 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
     is_link = F.col("common") * den >= F.col("total") * num
     links = measured.where(is_link).select("a", "b")
     comps = save(components(links.toDF("u", "v")), "components")
-    turn = 0
+    grown = lambda new: comps.where("id <> root").select("id", "root").union(new).toDF("u", "v")
+    turn, more = 0, True
     while True:
         # lists of several components: one member of each, another by chance in every list and turn, meets one of the first
         placed = index.join(comps, "id", "left").withColumn("comp", F.coalesce("root", "id")).drop("root")
         mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
         placed = save(placed.join(mixed, "token"), "placed")
-        if turn:
-            share = placed.groupBy("token", "comp").agg(F.count("*").cast("double").alias("c")).groupBy("token")
-            share = share.agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
-            meets, entries_left = share.agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2), F.sum("m")).first()
-            if (meets or 0) <= CROSS * (entries_left or 0):
-                break
+        share = placed.groupBy("token", "comp").agg(F.count("*").cast("double").alias("c")).groupBy("token")
+        share = share.agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("own"))
+        meets, entries_left = share.agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2), F.sum("m")).first()
+        if not more or (meets or 0) <= CROSS * (entries_left or 0):
+            break
         chance = F.struct(F.xxhash64("id", "token", F.lit(turn)).alias("h"), "id", "n")
         drawn = placed.groupBy("token", "comp").agg(F.min(chance).alias("m"))
         first = drawn.groupBy("token").agg(F.min(F.struct("comp", "m")).alias("f"))
@@ -230,10 +231,11 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
         fresh = save(compare(meet, texts.join(needed, "id", "left_semi"), width), "measured")
         new = fresh.where(is_link).select("a", "b")
         measured = measured.unionByName(fresh)
-        if new.isEmpty():
+        met, linked = fresh.agg(F.count("*"), F.count_if(is_link)).first()
+        if not linked:
             break
-        links = links.union(new)
-        comps = save(components(links.toDF("u", "v")), "components")
+        comps = save(components(grown(new)), "components")
+        more = YIELD * linked >= met
         turn += 1
 
     pairs = _meetings(placed, ["id", "n", "pos", "comp"], similarity).where("id_a < id_b and comp_a <> comp_b")
@@ -254,7 +256,7 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
     more = compare(pairs, texts.join(needed, "id", "left_semi"), width).where(is_link).select("a", "b")
     more = save(more, "more")
     if not more.isEmpty():
-        comps = save(components(links.union(more).toDF("u", "v")), "components")
+        comps = save(components(grown(more)), "components")
 
     roots = classes.join(comps.select(F.col("id").alias("rep"), "root"), "rep", "left")
     roots = roots.select("n", "s1", "s2", F.coalesce("root", "rep").alias("root"))
