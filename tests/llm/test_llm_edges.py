@@ -175,6 +175,41 @@ def test_ngram_join(docs):
     assert kept.columns == docs.columns and 6 not in {r.doc_id for r in kept.collect()} and kept.where("doc_id is null").count() == 2
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<article><p>" + FULL + "</p><p>" + FULL + "</p></article><ol id='comment-list'><li>Great, really.</li><li>No, it is not.</li></ol>", 2),
+        ("<div class='post'><p>" + FULL + "</p><p>" + FULL + "</p><ol id='comment-list'><li>Great, really.</li><li>No.</li></ol></div>", 2),
+        ("<article><p>" + FULL + "</p><section class='related-posts'><p>Other post</p></section><p>" + FULL + "</p></article>", 2),
+        ("<article><p>" + FULL + "</p><p class='subscribe-box'>Subscribe now, it is free.</p></article>", 1),
+        ("<article><p>" + FULL + "</p></article><p>" + "We use cookies, as all do, to make this site better for you. " * 3 + "</p>", 1),
+        ("<main><article class='comment'><p>First!</p></article><p>" + FULL + "</p></main>", 1),
+        ("<main><div class='layout-sidebar'><article><p>" + FULL + "</p></article></div></main>", 1),
+        ("<main><div class='sidebar-right'><p>" + FULL + "</p></div></main>", 1),
+    ],
+)
+def test_html_compounds_and_what_stands_outside(page, want):
+    assert html_text.main_text(page) == "\n".join([FULL.strip()] * want)
+
+
+def test_html_headings_beside_the_text_stay():
+    body = "<div class='text'><p>" + FULL + "</p><p>" + FULL + "</p></div>"
+    two = [FULL.strip()] * 2
+    menu = "<div><h2>More</h2><ul><li><a href='a'>One more page to read</a></li><li><a href='b'>Another page to read</a></li></ul></div>"
+    assert html_text.main_text("<div><h1>Title</h1></div>" + body + menu).split("\n") == ["Title", *two]
+    assert html_text.main_text("<h2>Part</h2>" + body + "<h2>Links</h2>" + menu).split("\n") == ["Part", *two]
+    assert html_text.main_text("<div><h1>Title</h1></div><article><p>" + FULL + "</p></article><h2>Next</h2>").split("\n") == ["Title", FULL.strip()]
+
+
+@pytest.mark.parametrize("open_, shut", [("<div>", "</span>"), ("<span>", "</b>"), ("<span>", "<div></div>"), ("<td><span>", "</i>"), ("<div>a, b", ""), ("<a ", ""), ("<b>", "<li>")])
+def test_html_time_is_linear_in_stray_tags(open_, shut):
+    import time
+
+    t = time.time()
+    html_text.main_text(open_ * 20_000 + "<p>x" + shut * 20_000)
+    assert time.time() - t < 3
+
+
 def test_topk(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(i, [0.5, -0.25 * (i % 3), 1.0]) for i in range(30)] + [(40, None), (41, []), (42, [None, 1.0, 1.0]), (43, [nan, 1.0, 1.0]), (44, [inf, 1.0, 1.0]), (45, [1e300, 1.0, 1.0]), (46, [1.0]), (60, [1.0]), (None, [1.0, 1.0, 1.0]), (5, [0.5, -0.5, 1.0])]
