@@ -9,6 +9,7 @@ rows still level after the last slice have equal scores, and the smallest ids am
 from __future__ import annotations
 
 import math
+import operator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,15 +20,17 @@ from tessella.session import save
 SCALE = 64
 BLOCK = 16_384  # rows of a block; its slices take about 1 MB at 64 dimensions and 7 digits
 CHUNK = 256  # queries that meet a block in one step
-LIMIT = 1 << 20  # absolute value from which a component can't be scored in a long
+WIDE = 1 << 26  # quantised components from here on put a row into a block of its own kind, of fewer rows with more digits
+LONG = (1 << 63) - 1
+LIMIT = 1 << 50  # absolute value of a component from which products leave the range of the two longs of a score
 
 
 def quantised(vectors: DataFrame, vec: str, key: str, scale: int = SCALE) -> DataFrame:
     """``(id, v)`` of the rows that take part, with components floor(scale * x)."""
     x = vectors.select(vectors[f"`{key}`"].cast("long").alias("id"), vectors[f"`{vec}`"].cast("array<double>").alias("e"))
-    bad = F.exists("e", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) >= LIMIT))
+    bad = F.exists("e", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) >= F.lit(float(LIMIT))))
     x = x.where("id is not null and e is not null and size(e) > 0").where(~bad)
-    return x.select("id", F.transform("e", lambda c: F.floor(c * F.lit(float(scale))).cast("int")).alias("v"))
+    return x.select("id", F.transform("e", lambda c: F.floor(c * F.lit(float(scale))).cast("long")).alias("v"))
 
 
 class Block:
@@ -44,11 +47,13 @@ class Block:
         self.digits = np.array([int(x).bit_length() for x in over.max(axis=0)])
         self.words = -(-n // 64)
         width = max(1, int(self.digits.max()))
-        planes = np.zeros((2, dims, width, self.words * 64), np.uint8)
+        planes = np.zeros((2, dims, width, self.words), np.uint64)
+        digit = np.zeros((dims, self.words * 64), np.uint8)
         for b in range(width):
-            planes[0, :, b, :n] = (over.T >> b) & 1
-        planes[1] = 1 - planes[0]  # digits of the complement
-        self.planes = np.packbits(planes, axis=-1, bitorder="little").view(np.uint64).reshape(2 * dims * width, self.words)
+            digit[:, :n] = (over.T >> b) & 1
+            planes[0, :, b] = np.packbits(digit, axis=-1, bitorder="little").view(np.uint64)
+        planes[1] = ~planes[0]  # digits of the complement
+        self.planes = planes.reshape(2 * dims * width, self.words)
         self.width, self.dims = width, dims
         self.valid = np.packbits(np.arange(self.words * 64) < n, bitorder="little").view(np.uint64)
 
@@ -59,18 +64,18 @@ class Block:
         neg = q < 0
         size = np.abs(q)
         full = (1 << self.digits) - 1
-        constant = int(q @ self.low) - int((size * full)[neg].sum())
-        at: dict[int, list] = {}
+        constant = sum(map(operator.mul, q.tolist(), self.low.tolist())) - sum(map(operator.mul, size[neg].tolist(), full[neg].tolist()))
+        at: dict[int, list] = {}  # planes of each weight; their bitmaps are read when the weight is reached
         base = (neg * self.dims + np.arange(self.dims)) * self.width
         for digit in range(int(size.max()).bit_length()):
             chosen = np.flatnonzero((size >> digit) & 1)
             for b in range(self.width):
                 rows = base[chosen[self.digits[chosen] > b]] + b
                 if len(rows):
-                    at.setdefault(digit + b, []).append(self.planes[rows])
+                    at.setdefault(digit + b, []).append(rows)
         out, t, carry = [], 0, []
         while t <= max(at, default=-1) or carry:
-            parts = at.get(t, []) + carry
+            parts = [self.planes[rows] for rows in at.get(t, [])] + carry
             cur = np.concatenate(parts) if parts else np.zeros((1, self.words), np.uint64)
             carry = []
             while len(cur) > 2:
@@ -132,10 +137,10 @@ class Block:
 
 
 def _grouped(batches, size: int):
-    """``(ids, rows)`` arrays of at most ``size`` rows of one dimension each."""
+    """``(ids, rows)`` arrays of one dimension each: at most ``size`` rows, an eighth of that if they hold wide components."""
     import numpy as np
 
-    held: dict[int, list] = {}
+    held: dict[tuple, list] = {}
     for batch in batches:
         v = batch.column(1)
         ids = batch.column(0).to_numpy()
@@ -144,12 +149,18 @@ def _grouped(batches, size: int):
         for d in np.unique(dims).tolist():
             at = np.flatnonzero(dims == d)
             rows = flat[start[at][:, None] + np.arange(d)]
-            for i in range(0, len(at), size):
-                held.setdefault(d, []).append((ids[at[i : i + size]], rows[i : i + size]))
-            while sum(len(x) for x, _ in held[d]) >= size:
-                a, b = (np.concatenate(x) for x in zip(*held[d]))
-                yield a[:size], b[:size]
-                held[d] = [(a[size:], b[size:])]
+            wide = (np.abs(rows) >= WIDE).any(axis=1)
+            for w in (False, True):
+                mine, most = wide == w, max(1, size // 8) if w else size
+                if not mine.any():
+                    continue
+                few, own = ids[at[mine]], rows[mine]
+                parts = held.setdefault((d, w), [])
+                parts += [(few[i : i + most], own[i : i + most]) for i in range(0, len(few), most)]
+                while sum(len(x) for x, _ in parts) >= most:
+                    a, b = (np.concatenate(x) for x in zip(*parts))
+                    yield a[:most], b[:most]
+                    parts[:] = [(a[most:], b[most:])]
     for parts in held.values():
         a, b = (np.concatenate(x) for x in zip(*parts))
         if len(a):
@@ -159,8 +170,8 @@ def _grouped(batches, size: int):
 def build(vectors: DataFrame, vec: str = "embedding", key: str = "vec_id", scale: int = SCALE) -> DataFrame:
     """The index: one row ``(block)`` per block of up to ``BLOCK`` rows, of every row that takes part.
 
-    Vectors that are null, empty, or hold null, non-finite components or components of 2^20 or more, and rows without an id, take
-    no part. Rows are dealt evenly, whatever their ids and values.
+    Vectors that are null, empty, or hold null or non-finite components, and rows without an id, take no part. Neither do those with a
+    component of 2^50 or more, whose scores are far beyond a long. Rows are dealt evenly, whatever their ids and values.
     """
     q = save(quantised(vectors, vec, key, scale), "quantised")
     n = q.count()
@@ -179,7 +190,8 @@ def search(index: DataFrame, queries: DataFrame, k: int, vec: str = "embedding",
 
     A query meets rows with as many components as it has, except rows of its own id. Queries that would take no part in an index
     get no answer; of rows that share a query id the smallest vector asks. Repeated rows of the index are answers of their own. Queries are
-    packed in chunks, and each chunk meets each block once.
+    packed in chunks, and each chunk meets each block once. Ranks go by the exact scores; a score beyond the range of a long is given as the
+    nearest long. Columns other than ``vec`` and ``key`` are not looked at.
     """
     import numpy as np
 
@@ -197,8 +209,8 @@ def search(index: DataFrame, queries: DataFrame, k: int, vec: str = "embedding",
 
     import pyarrow as pa
 
-    target = pa.schema([("chunk", pa.int32()), ("ids", pa.list_(pa.int64())), ("vs", pa.list_(pa.list_(pa.int32())))])
-    packed = save(q.mapInArrow(pack, "chunk int, ids array<bigint>, vs array<array<int>>"), "chunks")
+    target = pa.schema([("chunk", pa.int32()), ("ids", pa.list_(pa.int64())), ("vs", pa.list_(pa.list_(pa.int64())))])
+    packed = save(q.mapInArrow(pack, "chunk int, ids array<bigint>, vs array<array<bigint>>"), "chunks")
     blocks = index.select("block", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
     met = blocks.join(packed, "chunk").select("block", "ids", "vs")
 
@@ -212,10 +224,13 @@ def search(index: DataFrame, queries: DataFrame, k: int, vec: str = "embedding",
                 out = []
                 for qid, v in zip(batch.column(1)[i].as_py(), batch.column(2)[i].as_py()):
                     if len(v) == block.dims:
-                        out += [(qid, vid, s) for vid, s in block.top(qid, np.array(v, np.int64), k)]
-                cols = list(zip(*out)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score"])
-
-    best = met.mapInArrow(run, "query_id long, vec_id long, score long")
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+                        out += [(qid, vid, s >> 63, s & LONG) for vid, s in block.top(qid, np.array(v, np.int64), k)]
+                cols = list(zip(*out)) or [(), (), (), ()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "high", "low"])
+
+    best = met.mapInArrow(run, "query_id long, vec_id long, high long, low long")
+    order = W.partitionBy("query_id").orderBy(F.desc("high"), F.desc("low"), "vec_id")
+    best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    least = F.lit(-LONG - 1)
+    score = F.when(F.col("high") == 0, F.col("low")).when(F.col("high") == -1, least + F.col("low")).when(F.col("high") > 0, F.lit(LONG)).otherwise(least)
+    return best.select("query_id", "rank", "vec_id", score.alias("score"))

@@ -1,6 +1,7 @@
 """Operators against brute force on small tables, and the learned ones against held-out rows."""
 
 import hashlib
+import math
 import random
 from collections import Counter
 
@@ -197,6 +198,24 @@ def test_topk_blocks(spark, monkeypatch):
         assert sorted(got[i]) == [(n, j, -s) for n, (s, j) in enumerate(best, 1)]
 
 
+def test_topk_large_components(spark, monkeypatch):
+    """Rows with large components are answers and ask, ranked by exact scores; those beyond a long are given as the nearest one."""
+    monkeypatch.setattr(bitslice, "BLOCK", 40)
+    r = random.Random(18)
+    sizes = [0.5, 3.0, 2.0**19, 2.0**21, 3e6, 2.0**31, 2.0**40 + 1, 2.0**49]
+    rows = {i: [r.choice([-1, 1]) * r.choice(sizes if i % 3 else sizes[:2]) for _ in range(4)] for i in range(150)}
+    rows |= {200: [2e6, 1.0, 0.0, 0.0], 201: [2.0**50, 0.0, 0.0, 0.0]}
+    v = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>")
+    got = {}
+    for x in bitslice.search(bitslice.build(v), v.where("vec_id % 20 = 0"), 20).collect():
+        got.setdefault(x.query_id, []).append((x.rank, x.vec_id, x.score))
+    q = {i: [math.floor(64 * c) for c in e] for i, e in rows.items() if i != 201}
+    assert set(got) == {i for i in q if i % 20 == 0}
+    for i in got:
+        best = sorted((-sum(a * b for a, b in zip(q[i], q[j])), j) for j in q if j != i)[:20]
+        assert sorted(got[i]) == [(n, j, max(-(2**63), min(2**63 - 1, -s))) for n, (s, j) in enumerate(best, 1)]
+
+
 def test_decontaminate_blocks(spark, monkeypatch):
     r = random.Random(9)
     items = [(i, " ".join(r.choice("a b c d".split()) for _ in range(r.randint(0, 20)))) for i in range(12)]
