@@ -14,6 +14,7 @@ from tessella.plans import editor as E
 from tessella.plans import finishing as P
 from tessella.plans import river as V
 from tessella.queries import sqlgen as S
+from tessella.queries import vectors as VQ
 from tessella.queries.neighbors import BLOCK, BLUE, as_runs, blue_runs, frame, runs_sql, smooth_sql
 from tessella.queries.pixels import RGB, U8, WAVES, d, each, flood_sql, grade_sql, noise_sql, ripple_sql, tiled
 from tessella.queries.registry import QUERIES, query
@@ -179,7 +180,13 @@ def f11c(t):
     return as_runs(P.preview_water_mask(X.raster(t), w, h, block=BLOCK))
 
 
-F12 = BLUE + feather_sql("fe", "blue", 4) + smooth_sql(7, 11) + f"rough AS (SELECT y, x FROM flag WHERE vkey > {7**4 * 9 * 121}),\n" + S.dilate("dry", "rough", 2) + (
+# The raw capture, half as wide and high as the styled picture; its mask is made at its own size and then brought to the picture's.
+SEEN = (
+    "capture_size AS (SELECT (w + 1) // 2 AS w, (h + 1) // 2 AS h FROM size),\ncapture AS (SELECT y // 2 AS y, x // 2 AS x, r, g, b FROM raster WHERE y % 2 = 0 AND x % 2 = 0),\n"
+    + "seen AS (WITH RECURSIVE size AS (SELECT * FROM capture_size), raster AS (SELECT * FROM capture),\n" + MASK_B.rstrip().rstrip(",") + "\nSELECT y, x FROM wmask),\n"
+    + "water AS (SELECT p.y, p.x FROM raster p, size s, capture_size k, seen m WHERE m.y = (2 * p.y + 1) * k.h // (2 * s.h) AND m.x = (2 * p.x + 1) * k.w // (2 * s.w)),\n"
+)
+F12 = SEEN + feather_sql("fe", "water", 4) + smooth_sql(7, 11) + f"rough AS (SELECT y, x FROM flag WHERE vkey > {7**4 * 9 * 121}),\n" + S.dilate("dry", "rough", 2) + (
     "al AS (SELECT p.y, p.x, p.r, p.g, p.b, w, h, CASE WHEN q.y IS NULL THEN fm ELSE 0 END AS a FROM raster p JOIN fe ON fe.y = p.y AND fe.x = p.x LEFT JOIN dry q ON q.y = p.y AND q.x = p.x, size),\n"
 )
 
@@ -187,31 +194,41 @@ F12 = BLUE + feather_sql("fe", "blue", 4) + smooth_sql(7, 11) + f"rough AS (SELE
 @query("f12_flood_from_raw", RGB, X.with_("raster", "size", ctes=F12, body=f"SELECT y, x, {flood_sql('a', (104, 111, 120), ripple_sql(*WAVES['a']))} FROM al"))
 def f12(t):
     _, w, h = frame(t)
-    return P.flood_from_raw(X.raster(t), blue_runs(t), w, h, block=BLOCK)
+    capture = X.raster(t).where("y % 2 = 0 and x % 2 = 0").selectExpr("cast(y div 2 as int) y", "cast(x div 2 as int) x", "r", "g", "b")
+    return P.flood_from_capture(X.raster(t), w, h, capture, (w + 1) // 2, (h + 1) // 2, block=BLOCK)
 
 
-G7 = BLUE + S.canvas() + S.minus("land", "canvas", "blue") + S.label("bg", "land") + (
-    "edge AS (SELECT DISTINCT label FROM bg, size WHERE y = 0 OR y = h - 1 OR x0 = 0 OR x1 = w - 1),\ninner_runs AS (SELECT * FROM bg WHERE label NOT IN (SELECT label FROM edge)),\n"
-) + S.pixels("holes", "inner_runs") + S.either("filled", "blue", "holes") + S.closing("clo", "filled", 22) + (
+# A closer view of the map, so that its squares are some fifty pixels wide.
+NEAR = {"a00": 50.0, "a01": 7.0, "a10": -6.0, "a11": 45.0, "a20": 12.0, "a21": -3.0, "clat": 0.25, "clng": 2.5, "mlat": 1.0, "mlng": 1.0, "col0": 1.0, "row0": -1.0}
+RIVERS = VQ.polygons_sql(NEAR, "(SELECT w FROM size)", "(SELECT h FROM size)")
+
+
+def river_runs(t, w, h):
+    return save(VQ.polygon_runs(t, NEAR, w, h, BLOCK), "rivers")
+
+
+G7 = RIVERS + S.canvas() + S.minus("land", "canvas", "poly") + S.label("bg", "land") + (
+    "rim AS (SELECT DISTINCT label FROM bg, size WHERE y = 0 OR y = h - 1 OR x0 = 0 OR x1 = w - 1),\ninner_runs AS (SELECT * FROM bg WHERE label NOT IN (SELECT label FROM rim)),\n"
+) + S.pixels("holes", "inner_runs") + S.either("filled", "poly", "holes") + S.closing("clo", "filled", 22) + (
     "bright AS (SELECT y, x FROM raster WHERE r + g + b > 495),\n"
 ) + S.opening("bo", "bright", 6) + S.minus("thin", "bright", "bo") + S.minus("m", "clo", "thin")
 
 
-@query("g7_river_flood_mask", "y:l x0:l x1:l", runs_sql(G7, "m"))
+@query("g7_river_flood_mask", "y:l x0:l x1:l", runs_sql(G7, "m", ("arcs", "raster", "size")))
 def g7(t):
     _, w, h = frame(t)
-    return as_runs(P.river_flood_mask(save(blue_runs(t), "river"), X.raster(t), w, h, block=BLOCK))
+    return as_runs(P.river_flood_mask(river_runs(t, w, h), X.raster(t), w, h, block=BLOCK))
 
 
-G8 = BLUE + smooth_sql(9, 57, "raw_raster") + f"rough AS (SELECT y, x FROM flag WHERE vkey > {9**4 * 9 * 57 * 57}),\n" + S.both("tex", "rough", "blue") + S.opening("blob", "tex", 2) + S.minus("thin", "tex", "blob") + S.dilate("bridge", "thin", 1) + S.minus("fl", "blue", "bridge") + feather_sql("fe", "fl", 2) + (
+G8 = RIVERS + smooth_sql(9, 57, "raw_raster") + f"rough AS (SELECT y, x FROM flag WHERE vkey > {9**4 * 9 * 38 * 38}),\n" + S.both("tex", "rough", "poly") + S.opening("blob", "tex", 2) + S.minus("thin", "tex", "blob") + S.dilate("bridge", "thin", 1) + S.minus("fl", "poly", "bridge") + feather_sql("fe", "fl", 2) + (
     "al AS (SELECT p.y, p.x, p.r, p.g, p.b, w, h, fm AS a FROM raster p JOIN fe ON fe.y = p.y AND fe.x = p.x, size),\n"
 )
 
 
-@query("g8_osm_flood_v1", RGB, X.with_("raster", "raw_raster", "size", ctes=G8, body=f"SELECT y, x, {flood_sql('a', (104, 111, 120), ripple_sql(*WAVES['a']))} FROM al"))
+@query("g8_osm_flood_v1", RGB, X.with_("arcs", "raster", "raw_raster", "size", ctes=G8, body=f"SELECT y, x, {flood_sql('a', (104, 111, 120), ripple_sql(*WAVES['a']))} FROM al"))
 def g8(t):
     _, w, h = frame(t)
-    return P.polygon_flood(save(blue_runs(t), "water"), X.raw_raster(t), X.raster(t), w, h, texture=57, thin=2, block=BLOCK)
+    return P.polygon_flood(river_runs(t, w, h), X.raw_raster(t), X.raster(t), w, h, texture=38, thin=2, block=BLOCK)
 
 
 def roll(src):

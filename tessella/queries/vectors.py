@@ -85,10 +85,10 @@ def g4_points(t):
     return p.join(names, "ring").join(north, "ring")
 
 
-def cal_sql(lat, lon):
-    e = f"(({lon} - CAST({CAL['clng']} AS DOUBLE)) * CAST({CAL['mlng']} AS DOUBLE))"
-    n = f"(({lat} - CAST({CAL['clat']} AS DOUBLE)) * CAST({CAL['mlat']} AS DOUBLE))"
-    d = lambda k: f"CAST({CAL[k]} AS DOUBLE)"
+def cal_sql(lat, lon, cal=CAL):
+    e = f"(({lon} - CAST({cal['clng']} AS DOUBLE)) * CAST({cal['mlng']} AS DOUBLE))"
+    n = f"(({lat} - CAST({cal['clat']} AS DOUBLE)) * CAST({cal['mlat']} AS DOUBLE))"
+    d = lambda k: f"CAST({cal[k]} AS DOUBLE)"
     return (
         f"({e} * {d('a00')} + {n} * {d('a10')} + {d('a20')} - {d('col0')}) * CAST(2 AS DOUBLE)",
         f"({e} * {d('a01')} + {n} * {d('a11')} + {d('a21')} - {d('row0')}) * CAST(2 AS DOUBLE)",
@@ -103,20 +103,22 @@ def g5(t):
 CW, CH = 800, 1000
 
 
-def polygon_runs(t, block=R.BLOCK):
+def polygon_runs(t, cal=CAL, w=CW, h=CH, block=R.BLOCK):
     arcs = save(outer_arcs(t), "arcs")
     closed = V.chain_rings(arcs).where("closed").select("arc_id", "ring")
-    edges = V.segments(V.project(ST.points(arcs), CAL, 4, 0.5), ["arc_id"])
-    return V.rasterise(edges.join(closed, "arc_id"), "ring", CW, CH, block=block)
+    edges = V.segments(V.project(ST.points(arcs), cal, 4, 0.5), ["arc_id"])
+    return V.rasterise(edges.join(closed, "arc_id"), "ring", w, h, block=block)
 
 
-_X0, _Y0 = cal_sql("lat0", "lon0")
-_X1, _Y1 = cal_sql("lat1", "lon1")
-POLYGONS = RINGS + f""",
-edge AS (SELECT osm_id, {_X0} AS x0, {_Y0} AS y0, {_X1} AS x1, {_Y1} AS y1 FROM outer_lines WHERE osm_id NOT IN (SELECT osm_id FROM loose)),
+def polygons_sql(cal=CAL, w=str(CW), h=str(CH)):
+    """Pixels ``poly`` of the closed rings on a canvas whose sides are SQL expressions."""
+    x0, y0 = cal_sql("lat0", "lon0", cal)
+    x1, y1 = cal_sql("lat1", "lon1", cal)
+    return RINGS + f""",
+edge AS (SELECT osm_id, {x0} AS x0, {y0} AS y0, {x1} AS x1, {y1} AS y1 FROM outer_lines WHERE osm_id NOT IN (SELECT osm_id FROM loose)),
 box AS (SELECT osm_id, floor(min(least(x0, x1))) AS bx0, ceil(max(greatest(x0, x1))) AS bx1, floor(min(least(y0, y1))) AS by0, ceil(max(greatest(y0, y1))) AS by1 FROM edge GROUP BY osm_id),
-probe AS (SELECT osm_id, x, unnest(range(greatest(by0, 0)::BIGINT, least(by1, {CH - 1})::BIGINT + 1)) AS y FROM
-  (SELECT *, unnest(range(greatest(bx0, 0)::BIGINT, least(bx1, {CW - 1})::BIGINT + 1)) AS x FROM box)),
+probe AS (SELECT osm_id, x, unnest(range(greatest(by0, 0)::BIGINT, least(by1, {h} - 1)::BIGINT + 1)) AS y FROM
+  (SELECT *, unnest(range(greatest(bx0, 0)::BIGINT, least(bx1, {w} - 1)::BIGINT + 1)) AS x FROM box)),
 hit AS (SELECT p.osm_id, p.x, p.y, count(*) AS n FROM probe p JOIN
   (SELECT osm_id, CASE WHEN y0 <= y1 THEN x0 ELSE x1 END AS xa, least(y0, y1) AS ya, CASE WHEN y0 <= y1 THEN x1 ELSE x0 END AS xb, greatest(y0, y1) AS yb FROM edge) e ON e.osm_id = p.osm_id
   WHERE p.y + CAST(0.5 AS DOUBLE) >= ya AND p.y + CAST(0.5 AS DOUBLE) < yb AND xa + (p.y + CAST(0.5 AS DOUBLE) - ya) * (xb - xa) / (yb - ya) <= p.x + CAST(0.5 AS DOUBLE) GROUP BY ALL),
@@ -124,7 +126,7 @@ poly AS (SELECT DISTINCT y, x FROM hit WHERE n % 2 = 1),
 """
 
 
-@query("g6_rasterise", "y:l x0:l x1:l", X.with_("arcs", ctes=POLYGONS + S.runs("q", "poly"), body="SELECT y, x0, x1 FROM q"))
+@query("g6_rasterise", "y:l x0:l x1:l", X.with_("arcs", ctes=polygons_sql() + S.runs("q", "poly"), body="SELECT y, x0, x1 FROM q"))
 def g6(t):
     return R.maximal(polygon_runs(t))
 
