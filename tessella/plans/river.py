@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,49 +29,109 @@ def tile_components(tiles: DataFrame, by: str) -> DataFrame:
     return t.join(roots, "v", "left").select(by, "col", "row", "v", F.coalesce("root", "v").alias("comp"))
 
 
+#: East, west, south, north: the order in which the neighbours of a tile are taken.
+STEPS = ((1, 0, "0"), (-1, 0, "1"), (0, 1, "2"), (0, -1, "3"))
+
+
+def _near_blocks(cells: DataFrame, reach: int, block: int) -> DataFrame:
+    """Each cell once for every block that has cells within ``reach`` of it, as ``(bc, br)``."""
+    to = lambda c: F.explode(F.sequence(F.floor((F.col(c) - reach) / block), F.floor((F.col(c) + reach) / block)))
+    return cells.withColumn("bc", to("col")).withColumn("br", to("row"))
+
+
+def _spread(by: str, level: int, reach: int, block: int):
+    """The search inside one block and its surroundings, ``reach`` levels on from the tiles of ``level``."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        cells = list(zip(pdf["col"].tolist(), pdf["row"].tolist()))
+        state, paths = pdf["state"].tolist(), pdf["path"].tolist()
+        barred = {c for c, s in zip(cells, state) if s}
+        free = set(cells) - barred
+        front = {c: p for c, p, s in zip(cells, paths, state) if s == 2}
+        bc, br = int(pdf["bc"].iloc[0]), int(pdf["br"].iloc[0])
+        found = []
+        for at in range(level + 1, level + reach + 1):
+            nxt: dict = {}
+            for (x, y), p in front.items():
+                for dx, dy, k in STEPS:
+                    c = (x + dx, y + dy)
+                    if c in free and (c not in nxt or p + k < nxt[c]):
+                        nxt[c] = p + k
+            if not nxt:
+                break
+            free.difference_update(nxt)
+            found += [(*c, p, at) for c, p in nxt.items() if c[0] // block == bc and c[1] // block == br]
+            front = nxt
+        out = pd.DataFrame(found, columns=["col", "row", "path", "level"])
+        out.insert(0, by, pdf[by].iloc[0])
+        return out
+
+    return run
+
+
 def bfs_order(tiles: DataFrame, by: str, renumber: int = 32) -> DataFrame:
     """Breadth-first order per ``by``: components by their smallest (col, row), then level by level; inside a level
     by the place of the earliest parent, then east, west, south, north. Columns: level, idx (from 0).
 
-    A tile at level L borders only levels L-1 and L+1, so each round reads the last two levels only and writes its
-    own partition. The place inside a level is kept as text: the path of directions, which sorts the same way
-    and is replaced by a rank every ``renumber`` levels to stay short."""
+    A round goes ``renumber`` levels on: what a tile becomes depends on tiles at most that many steps away, so each block of that edge
+    searches alone among its own tiles and those around it (three by three blocks at most). The place inside a level is kept as text: the
+    path of directions, which sorts the same way and is replaced by a rank after every round to stay short."""
     spark = tiles.sparkSession
+    block = max(renumber, 8)
     t = save(tile_components(tiles, by), "tiles")
-    schema = f"{by} {dict(t.dtypes)[by]}, col {dict(t.dtypes)['col']}, row {dict(t.dtypes)['row']}, path string"
+    types = dict(t.dtypes)
+    schema = f"{by} {types[by]}, col {types['col']}, row {types['row']}, path string, level int"
     root = new_path(spark, "levels")
     key = [by, "col", "row"]
-    step = "inline(array(struct(1 dx, 0 dy, '0' k), struct(-1 dx, 0 dy, '1' k), struct(0 dx, 1 dy, '2' k), struct(0 dx, -1 dy, '3' k)))"
-    nxt = t.where("v = comp").select(*key, F.lit("").alias("path"))
-    level = 0
-    while True:
-        nxt.write.mode("overwrite").parquet(f"{root}/level={level}")
-        front = spark.read.schema(schema).parquet(f"{root}/level={level}")
-        if front.isEmpty():
-            break
-        cand = front.selectExpr(*key, "path", step).selectExpr(by, "col + dx col", "row + dy row", "concat(path, k) path")
-        nxt = cand.groupBy(*key).agg(F.min("path").alias("path")).join(t, key, "left_semi")
-        if level:
-            nxt = nxt.join(spark.read.schema(schema).parquet(f"{root}/level={level - 1}"), key, "left_anti")
-        level += 1
-        if level % renumber == 0:
-            nxt = ranked(nxt, [by], ["path", "col", "row"], "rank").select(*key, F.lpad(F.col("rank").cast("string"), 19, "0").alias("path"))
-    out = spark.read.schema(schema + ", level int").parquet(root).join(t.select(*key, "comp"), key)
+    own = t.select(by, F.floor(F.col("col") / block).alias("bc"), F.floor(F.col("row") / block).alias("br")).distinct()
+    nxt = t.where("v = comp").select(*key, F.lit("").alias("path"), F.lit(0).alias("level"))
+    nxt.write.parquet(f"{root}/part=0")
+    front, back, level, part = spark.read.schema(schema).parquet(f"{root}/part=0"), None, 0, 0
+    while not front.isEmpty():
+        # the tiles of the last level go on; those of the level before are the only ones behind that touch them
+        known = front.select(*key, "path", F.lit(2).alias("state"))
+        if back is not None:
+            known = known.unionByName(back.select(*key, "path", F.lit(1).alias("state")))
+        active = _near_blocks(front, renumber, block).select(by, "bc", "br").distinct().join(own, [by, "bc", "br"], "left_semi")
+        rows = known.unionByName(t.select(*key, F.lit("").alias("path"), F.lit(0).alias("state")))
+        rows = _near_blocks(rows, renumber, block).join(active, [by, "bc", "br"], "left_semi")
+        part += 1
+        rows.groupBy(by, "bc", "br").applyInPandas(_spread(by, level, renumber, block), schema).write.parquet(f"{root}/part={part}")
+        level += renumber
+        new = spark.read.schema(schema).parquet(f"{root}/part={part}")
+        back = new.where(F.col("level") == level - 1)
+        front = ranked(new.where(F.col("level") == level), [by], ["path", "col", "row"], "rank")
+        front = save(front.select(*key, F.lpad(F.col("rank").cast("string"), 19, "0").alias("path")), "front")
+    out = spark.read.schema(schema).parquet(*[f"{root}/part={i}" for i in range(part + 1)]).join(t.select(*key, "comp"), key)
     return ranked(out, [by], ["comp", "level", "path"]).select(*key, "level", "idx")
 
 
+def _settle(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Rounds of the jobs of one block, by their ids: a job waits only for earlier ones, so one pass settles what the block knows."""
+    wave = dict(zip(pdf["box_id"].tolist(), pdf["wave"].tolist()))
+    was = dict(wave)
+    w = pdf[pdf["gap"] >= 0].sort_values("box_id")
+    for box, on, gap, seen in zip(w["box_id"].tolist(), w["on"].tolist(), w["gap"].tolist(), w["on_wave"].tolist()):
+        wave[box] = max(wave[box], wave.get(on, seen) + gap)
+    return pd.DataFrame({"box_id": list(wave), "block": pdf["block"].iloc[0], "wave": list(wave.values()), "moved": [wave[b] > was[b] for b in wave]})
+
+
 def rounds(jobs: DataFrame, waits: DataFrame) -> DataFrame:
-    """Round of each job ``(box_id)`` that must run at least ``gap`` rounds after each job in ``waits (box_id, on, gap)``: the
-    longest chain before it, found by relaxation until nothing moves."""
-    state = held = save(jobs.select("box_id", F.lit(0).alias("wave")), "rounds")
+    """Round of each job ``(box_id, block)`` that must run at least ``gap`` rounds after each earlier job in ``waits (box_id, on, gap)``: the
+    longest chain before it. Every block of jobs settles its own chains at once from what it knows of the others, until nothing moves: a chain
+    costs as many turns as it changes blocks."""
+    state = held = save(jobs.where("box_id IS NOT NULL").select("box_id", F.col("block").cast("string").alias("block"), F.lit(0).alias("wave"), F.lit(True).alias("moved")), "rounds")
+    none = [F.col("box_id").alias("on"), F.lit(-1).alias("gap"), F.lit(0).alias("on_wave")]
+    types = dict(state.dtypes)
     while True:
-        need = waits.join(state.select(F.col("box_id").alias("on"), "wave"), "on").groupBy("box_id").agg(F.max(F.col("wave") + F.col("gap")).alias("need"))
-        j = state.join(need, "box_id", "left").select("box_id", "wave", F.coalesce("need", F.lit(0)).alias("need"))
-        nxt = save(j.select("box_id", F.greatest("wave", "need").alias("wave"), (F.col("need") > F.col("wave")).alias("moved")), "rounds")
+        on = state.select(F.col("box_id").alias("on"), F.col("wave").alias("on_wave"))
+        own = waits.join(on, "on").join(state.drop("moved"), "box_id").select("box_id", "block", "wave", "on", "gap", "on_wave")
+        rows = own.unionByName(state.select("box_id", "block", "wave", *none))
+        nxt = save(rows.groupBy("block").applyInPandas(_settle, f"box_id {types['box_id']}, block string, wave int, moved boolean"), "rounds")
         discard(held)
-        held, state = nxt, nxt.select("box_id", "wave")
+        state = held = nxt
         if nxt.where("moved").isEmpty():
-            return state
+            return state.select("box_id", "wave")
 
 
 def box_waits(windows: DataFrame, block: int) -> DataFrame:
@@ -90,6 +151,10 @@ def box_waits(windows: DataFrame, block: int) -> DataFrame:
     return pairs.select(F.greatest("a", "b").alias("box_id"), F.least("a", "b").alias("on"), gap.alias("gap")).groupBy("box_id", "on").agg(F.max("gap").alias("gap"))
 
 
+AREA = 32  # windows along the edge of the areas in which jobs are ordered
+TASK_PIXELS = 500_000  # pixels of windows in one task of a round
+
+
 def edit_boxes(
     canvas: DataFrame, boxes: DataFrame, editor, win: int, feather: int, w: int, h: int, raw: DataFrame | None = None, fill: DataFrame | None = None
 ) -> DataFrame:
@@ -100,60 +165,72 @@ def edit_boxes(
     ``(box_id, y, x, r, g, b, …)``; its result is feathered into the canvas inside the box. Later windows see
     earlier results and never later ones: boxes run in rounds; those of a round do not see what the others make, and no box
     runs before an earlier one whose window shows it. A box larger than the window is an error. The canvas is read
-    once, cut into windows by round; a round reads its own windows and the patches made before it."""
+    once, cut into windows by round; a round reads its own windows and the patches of those rounds that they show."""
     spark = canvas.sparkSession
     if not boxes.where((F.col("x1") - F.col("x0") > win) | (F.col("y1") - F.col("y0") > win)).isEmpty():
         raise ValueError(f"a box is larger than the window of {win} pixels")
     b = G.context_window(boxes.select("box_id", "x0", "y0", "x1", "y1"), win, w, h)
     b = save(b.withColumn("wx1", F.col("wx0") + win).withColumn("wy1", F.col("wy0") + win), "boxes")
-    b = save(b.join(rounds(b, save(box_waits(b, win), "waits")), "box_id"), "boxes")
+    waits = save(box_waits(b, win), "waits")
+    place = F.struct(*[F.floor(F.col(c) / (AREA * win)) for c in ("x0", "y0")])  # jobs near each other settle their order together
+    b = b.join(rounds(b.select("box_id", place.alias("block")), waits), "box_id")
     rgb = ["r", "g", "b"]
     key = ["box_id", "wave", "bx0", "by0", "bx1", "by1"]
+    if fill is not None:
+        b, key = b.join(fill.select("box_id", "fr", "fg", "fb"), "box_id", "left"), [*key, "fr", "fg", "fb"]
+    path = new_path(spark, "edit")
+    b.write.parquet(f"{path}/rounds")
+    b = spark.read.schema(b.schema).parquet(f"{path}/rounds")
+    size = {r.wave: r.n for r in b.groupBy("wave").agg(F.count("*").alias("n")).collect()}
+    if not size:
+        return canvas.select("y", "x", *rgb)
+    wave_of = lambda c, w: b.select(F.col("box_id").alias(c), F.col("wave").alias(w))
+    # rounds whose results a round shows: pairs of rounds, of which the loop below is made anyway
+    shows = waits.where("gap = 1").join(wave_of("box_id", "wave"), "box_id").join(wave_of("on", "before"), "on")
+    shows = {r.wave: sorted(r.before) for r in shows.groupBy("wave").agg(F.collect_set("before").alias("before")).collect()}
     layers = canvas.select("y", "x", *rgb, F.lit(-1).alias("prio"))
     if raw is not None:
         layers = layers.unionByName(raw.select("y", "x", *rgb, F.lit(-2).alias("prio")))
-
-    def at(px, bs):
-        bs = bs.select("*", F.col("wx0").alias("ox"), F.col("wy0").alias("oy"))
-        return G.extract_window(px, bs, [*key, "ox", "oy"], win)
-
+    b = b.selectExpr("*", "wx0 ox", "wy0 oy")
+    key += ["ox", "oy"]
     inside = (F.col("x") >= F.col("bx0")) & (F.col("x") < F.col("bx1")) & (F.col("y") >= F.col("by0")) & (F.col("y") < F.col("by1"))
-    path = new_path(spark, "edit")
-    staged = at(layers, b).where((F.col("prio") != -2) | inside)
-    staged.hint("rebalance", "wave").write.partitionBy("wave").parquet(f"{path}/windows")
-    schema = staged.drop("wave").schema
-    patch_schema = "y long, x long, r long, g long, b long, prio int"
-    last = b.agg(F.max("wave")).first()[0]
-    if last is None:
-        return canvas.select("y", "x", *rgb)
+    # The number of the round is a column of the files too: as a literal it would make each round a plan to be compiled anew. For the same reason
+    # expressions are built here, once for all rounds.
+    staged = G.extract_window(layers, b, key, win).where((F.col("prio") != -2) | inside)
+    staged.withColumn("part", F.col("wave")).hint("rebalance", "part").write.partitionBy("part").parquet(f"{path}/windows")
+    blocks = lambda lo, hi, name: f"explode(sequence(floor({lo} / {win}), floor(({hi} - 1) / {win}))) {name}"
+    seen = b.select(*key, "wx1", "wy1").selectExpr("*", blocks("ox", "wx1", "pbx")).selectExpr("*", blocks("oy", "wy1", "pby"))
+    seen.withColumn("part", F.col("wave")).write.partitionBy("part").parquet(f"{path}/boxes")
+    at = [*key, "y - oy y", "x - ox x", *rgb, "prio"]
+    top = F.struct("prio", *rgb)
+    newest = [F.max(F.when(F.col("prio") != -2, top)).alias("under"), F.max(F.when(F.col("prio") == -2, top)).alias("raw")]
+    shown = [F.coalesce(f"raw.{c}", f"under.{c}") for c in rgb]
+    if fill is not None:
+        shown = [F.when(inside, F.coalesce("f" + c, s)).otherwise(s) for c, s in zip(rgb, shown)]
+    edge = C.on_outline(F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1"))
+    shown = [F.when(edge, v).otherwise(s.cast("long")).cast("long").alias(c) for c, s, v in zip(rgb, shown, C.RED)]
+    kept = inside & (F.col("status") == "ok")
+    d = F.least(F.col("x") - F.col("bx0"), F.col("y") - F.col("by0"), F.col("bx1") - 1 - F.col("x"), F.col("by1") - 1 - F.col("y"))
+    a = C.ring_feather(d, feather)
+    y, x = (F.col("y") + F.col("oy")).cast("long"), (F.col("x") + F.col("ox")).cast("long")
+    patch = [
+        y.alias("y"), x.alias("x"),
+        *[F.floor((F.col(c) * a + F.col(f"under.{c}") * (255 - a)) / F.lit(255)).cast("long").alias(c) for c in rgb],
+        # boxes of one round may overlap without seeing each other only if neither window shows the other box
+        F.col("wave").cast("int").alias("prio"), F.floor(x / win).alias("pbx"), F.floor(y / win).alias("pby"),
+    ]
+    patch_schema = "y long, x long, r long, g long, b long, prio int, pbx long, pby long"
     done = []
-    for wave in range(last + 1):
-        px = spark.read.schema(schema).parquet(f"{path}/windows/wave={wave}").withColumn("wave", F.lit(wave))
-        if done:
-            patches = spark.read.schema(patch_schema).parquet(*done)
-            px = px.unionByName(at(patches, b.where(F.col("wave") == wave)))
-        top = F.struct("prio", *rgb)
-        px = px.groupBy(*key, "ox", "oy", "y", "x").agg(
-            F.max(F.when(F.col("prio") != -2, top)).alias("under"), F.max(F.when(F.col("prio") == -2, top)).alias("raw")
-        )
-        shown = [F.coalesce(f"raw.{c}", f"under.{c}").cast("long").alias(c) for c in rgb]
-        if fill is not None:
-            px = px.join(fill, "box_id", "left")
-            shown = [F.when(inside, F.coalesce("f" + c, s)).otherwise(s).cast("long").alias(c) for c, s in zip(rgb, shown)]
-        edge = C.on_outline(F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1"))
-        px = px.select(*key, "ox", "oy", "y", "x", "under", *shown)
-        px = px.select(*key, "ox", "oy", "y", "x", "under", *[F.when(edge, v).otherwise(F.col(c)).cast("long").alias(c) for c, v in zip(rgb, C.RED)])
-        out = editor.apply(px).where(inside & (F.col("status") == "ok"))
-        d = F.least(F.col("x") - F.col("bx0"), F.col("y") - F.col("by0"), F.col("bx1") - 1 - F.col("x"), F.col("by1") - 1 - F.col("y"))
-        a = C.ring_feather(d, feather)
-        out = out.select(
-            (F.col("y") + F.col("oy")).cast("long").alias("y"), (F.col("x") + F.col("ox")).cast("long").alias("x"),
-            *[F.floor((F.col(c) * a + F.col(f"under.{c}") * (255 - a)) / F.lit(255)).cast("long").alias(c) for c in rgb],
-            # boxes of one round may overlap without seeing each other only if neither window shows the other box
-            F.lit(wave).alias("prio"),
-        )
+    for wave in range(max(size) + 1):
+        px = spark.read.schema(staged.schema).parquet(f"{path}/windows/part={wave}")
+        if wave in shows:
+            boxed = spark.read.schema(seen.schema).parquet(f"{path}/boxes/part={wave}")
+            patches = spark.read.schema(patch_schema).parquet(*[done[w] for w in shows[wave]])
+            px = px.union(patches.join(boxed, ["pby", "pbx"]).where("x >= ox AND x < wx1 AND y >= oy AND y < wy1").selectExpr(*at))
+        tasks = -(-size[wave] * win * win // TASK_PIXELS)  # one shuffle serves the window's other steps too
+        px = px.repartition(tasks, "box_id").groupBy(*key, "y", "x").agg(*newest).select(*key, "y", "x", "under", *shown)
         done.append(f"{path}/wave={wave}")
-        out.write.mode("overwrite").parquet(done[-1])
+        editor.apply(px).where(kept).select(*patch).write.parquet(done[-1])
     patches = spark.read.schema(patch_schema).parquet(*done)
     newest = patches.groupBy("y", "x").agg(F.max(F.struct("prio", *rgb)).alias("p"))
     return canvas.join(newest, ["y", "x"], "left").select("y", "x", *[F.coalesce(f"p.{c}", c).alias(c) for c in rgb])

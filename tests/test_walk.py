@@ -218,3 +218,26 @@ def test_tile_sets_of_far_cells_stay_apart(spark):
     df = spark.createDataFrame([(0, 0, 1 << 20), (0, 1, 0), (0, -1, -1), (0, -1, 0), (7, 0, 0)], "region int, col int, row int")
     got = {(r.region, r.col, r.row): r.comp for r in V.tile_components(df, "region").collect()}
     assert got[0, -1, -1] == got[0, -1, 0] and len(set(got.values())) == 4
+
+
+def test_rounds_follow_blocks_not_links(spark, monkeypatch):
+    """A chain of jobs in one block settles in two turns, however long; across blocks it costs a turn per change of block."""
+    turns = []
+    save = V.save
+    monkeypatch.setattr(V, "save", lambda df, name="step": (turns.append(name), save(df, name))[1])
+    jobs = spark.range(60).selectExpr("id box_id", "cast(id div 20 as string) block")
+    waits = spark.range(1, 60).selectExpr("id box_id", "id - 1 on", "cast(id % 3 <> 0 as int) gap")
+    got = {r.box_id: r.wave for r in V.rounds(jobs, waits).collect()}
+    want = [0]
+    for k in range(1, 60):
+        want.append(want[-1] + (k % 3 != 0))
+    assert got == dict(enumerate(want)) and len(turns) <= 1 + 4
+
+
+def test_breadth_first_rounds_take_many_levels(spark, monkeypatch):
+    saved = []
+    save = V.save
+    monkeypatch.setattr(V, "save", lambda df, name="step": (saved.append(name), save(df, name))[1])
+    df = spark.range(70).selectExpr("1 region", "cast(id as int) col", "0 row")
+    rows = {r.col: (r.level, r.idx) for r in V.bfs_order(df, "region").collect()}
+    assert rows == {c: (c, c) for c in range(70)} and saved.count("front") == 3
