@@ -15,10 +15,15 @@ def latest(tiles: DataFrame, key: Sequence[str], seq: str) -> DataFrame:
     return top.select(*key, *[F.col(f"top.{c}").alias(c) for c in (seq, *rest)])
 
 
+FOLDERS = 64  # of a table of tiles, whatever the number of regions
+
+
 def write_tiles(tiles: DataFrame, path: str, part: str = "region", mode: str = "overwrite") -> None:
-    """Partitioned Parquet; output keeps the input key. The rebalance step splits a region that holds many
-    tiles over several files and joins small ones."""
-    tiles.hint("rebalance", part).write.mode(mode).partitionBy(part).parquet(path)
+    """Partitioned Parquet; output keeps the input key. Regions are dealt over ``FOLDERS`` folders by a hash (``shard``) and sorted within files,
+    so the number of files follows the size of the table and not that of the regions, and a reader of one region skips the other row groups.
+    The rebalance step splits a folder that holds many tiles over several files."""
+    dealt = tiles.withColumn("shard", F.pmod(F.xxhash64(part), F.lit(FOLDERS)).cast("int"))
+    dealt.hint("rebalance", "shard").sortWithinPartitions("shard", part).write.mode(mode).partitionBy("shard").parquet(path)
 
 
 def write_masks(runs: DataFrame, path: str, mode: str = "overwrite") -> None:
