@@ -75,6 +75,7 @@ def utc_text(col: str) -> str:
     return f"cast(timestampadd(MICROSECOND, unix_micros({col}), {EPOCH}) as string)"
 
 
+CALLS = 256  # calls that share one state
 NEEDS = {"half_h": {"tl", "bl"}, "half_v": {"tl", "tr"}, "br": {"tl", "tr", "bl"}}
 
 
@@ -82,25 +83,29 @@ def ready_calls(finished: DataFrame, walks: DataFrame | None = None) -> DataFram
     """Calls whose sources are all finished, from a stream of finished quadrants ``(walk, nc, nr, qx, qy)``. With a stream of new
     ``walks`` also their first calls, which need no source.
 
-    State is kept per call, not per walk: at most three slot names each, however large the walk. Repeated events change
+    State is kept for ``CALLS`` calls of a walk at a time, however large the walk: one mask of slots each. Repeated events change
     nothing and a call is emitted once. State stays as long as the query runs: start it anew for a new set of walks."""
     used = finished.selectExpr("walk", f"explode({walk.dependents_sql()}) u").selectExpr("walk", "u.call_id", "u.kind", "u.wave", "u.slot")
-    needs = {k: sorted(v) for k, v in NEEDS.items()}
+    bit = {"tl": 1, "tr": 2, "bl": 4}
+    needs = {k: sum(bit[s] for s in v) for k, v in NEEDS.items()}
+    counts = {k: len(v) for k, v in NEEDS.items()}
 
     def collect(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen = set(state.get[0].split()) if state.exists else set()
-        kind, wave = None, None
-        before = set(seen)
+        before = dict(zip(state.get[0], state.get[1])) if state.exists else {}
+        seen, calls = dict(before), {}
         for pdf in batches:
-            seen |= set(pdf["slot"])
-            kind, wave = pdf["kind"].iloc[0], int(pdf["wave"].iloc[0])
-        state.update((" ".join(sorted(seen)),))
-        need = set(needs[kind])
-        if need <= seen and not need <= before:
-            yield pd.DataFrame({"walk": [key[0]], "call_id": [key[1]], "kind": [kind], "wave": [wave], "sources": [len(need)]})
+            for call, kind, wave, slot in zip(pdf["call_id"].tolist(), pdf["kind"], pdf["wave"].tolist(), pdf["slot"]):
+                seen[call] = seen.get(call, 0) | bit[slot]
+                calls[call] = (kind, wave)
+        state.update((list(seen), list(seen.values())))
+        full = lambda masks, call, kind: masks.get(call, 0) & needs[kind] == needs[kind]
+        ready = [(key[0], c, k, w, counts[k]) for c, (k, w) in calls.items() if full(seen, c, k) and not full(before, c, k)]
+        if ready:
+            yield pd.DataFrame(ready, columns=["walk", "call_id", "kind", "wave", "sources"])
 
     out = f"walk {dict(finished.dtypes)['walk']}, call_id bigint, kind string, wave int, sources int"
-    ready = used.groupBy("walk", "call_id").applyInPandasWithState(collect, out, "seen string", "append", GroupStateTimeout.NoTimeout)
+    some = used.withColumn("some", F.expr(f"call_id div {CALLS}")).groupBy("walk", "some")
+    ready = some.applyInPandasWithState(collect, out, "calls array<bigint>, seen array<int>", "append", GroupStateTimeout.NoTimeout)
     if walks is None:
         return ready
     return ready.unionByName(walks.selectExpr("walk", "0L call_id", "'seed' kind", "0 wave", "0 sources"))

@@ -93,6 +93,26 @@ def test_write_tiles_last_write_wins(spark, tmp_path):
     assert got == {("a", 3, 30), ("b", 1, 5)}
 
 
+def test_write_tiles_of_many_regions(spark, tmp_path):
+    """Folders don't grow with the regions, and their names come back as they are."""
+    df = spark.range(600).selectExpr("lpad(cast(id div 2 as string), 4, '0') region", "cast(id % 2 as int) col", "0 row", "id seq")
+    sinks.write_tiles(df, str(tmp_path / "out"))
+    assert len([p for p in (tmp_path / "out").iterdir() if p.is_dir()]) <= sinks.FOLDERS
+    got = {(r.region, r.col, r.seq) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {(f"{i // 2:04d}", i % 2, i) for i in range(600)}
+
+
+def test_ready_calls_share_state(spark, tmp_path):
+    """One Python call serves many calls of a walk: the states are far fewer than the calls."""
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(400).selectExpr("1 walk", "10 nc", "10 nr", "cast(id % 20 as int) qx", "cast(id div 20 as int) qy").write.parquet(src)
+    ready = A.run_available(A.ready_calls(spark.readStream.schema("walk int, nc int, nr int, qx int, qy int").parquet(src)), out)
+    calls = K.plan_calls(spark.createDataFrame([(1, 10, 10)], "walk int, nc int, nr int")).where("size(deps) > 0").count()
+    assert ready.count() == ready.select("call_id").distinct().count() == calls
+    state = spark.read.format("statestore").load(f"{out}/checkpoint")
+    assert state.count() == -(-(calls + 1) // A.CALLS)
+
+
 def test_pyramid_counts(spark):
     total = P.pyramid_summary(P.pyramid_boxes(spark, 11776, 13312)).collect()
     assert {r.level: r.tiles for r in total}[None] == 3213 and len(total) == 16
