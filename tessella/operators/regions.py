@@ -48,9 +48,10 @@ class Regions:
 
 
 def _label_block(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Union-find over the runs of one block; the id of a component is its first pixel."""
-    pdf = pdf.sort_values(["y", "x0"], ignore_index=True)
+    """Union-find over the runs of some blocks, each by itself; the id of a component is its first pixel."""
+    pdf = pdf.sort_values(["yb", "bx", "y", "x0"], ignore_index=True)
     ys, lo, hi = pdf["y"].tolist(), pdf["x0"].tolist(), pdf["x1"].tolist()
+    blocks = list(zip(pdf["yb"].tolist(), pdf["bx"].tolist()))
     up = list(range(len(ys)))
 
     def find(i):
@@ -61,7 +62,7 @@ def _label_block(pdf: pd.DataFrame) -> pd.DataFrame:
 
     above = 0
     for i, y in enumerate(ys):
-        while ys[above] < y - 1 or (ys[above] == y - 1 and hi[above] < lo[i]):
+        while blocks[above] != blocks[i] or ys[above] < y - 1 or (ys[above] == y - 1 and hi[above] < lo[i]):
             above += 1
         j = above
         while ys[j] == y - 1 and lo[j] <= hi[i]:
@@ -79,7 +80,9 @@ def label(runs: DataFrame, by: Sequence[str] = (), block: int = R.BLOCK) -> Regi
     r = runs.select(*by, "y", "bx", "x0", "x1").withColumn("yb", R._div(F.col("y"), block))
     types = dict(r.dtypes)
     schema = ", ".join(f"{c} {types[c]}" for c in r.columns) + ", local long"
-    local = save(r.groupBy(*by, "yb", "bx").applyInPandas(_label_block, schema).drop("yb"), "local")
+    many = R.span(block) // block  # blocks along the edge of what one Python call gets
+    some = r.groupBy(*by, R._div(F.col("yb"), many).alias("ys"), R._div(F.col("bx"), many).alias("xs"))
+    local = save(some.applyInPandas(_label_block, schema).drop("yb"), "local")
     parts = local.groupBy(*by, "local").agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("px"))
     # a whole number for each local component, in the order of (by, local); one canvas needs none
     ids = ranked(parts.select(*by, "local"), [], [*by, "local"], "vid") if by else parts.select("local", F.col("local").alias("vid"))

@@ -17,6 +17,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BLOCK = 1024
+SPAN = 128  # small blocks go to Python together, as squares of about this edge
+
+
+def span(block: int) -> int:
+    """Edge of the square of whole blocks that one Python call gets."""
+    return max(SPAN // block, 1) * block
 
 
 def _c(v) -> Column:
@@ -133,8 +139,9 @@ def _near(mask: np.ndarray, n: int) -> np.ndarray:
 
 def _local(runs: DataFrame, step: Callable[[np.ndarray, np.ndarray], np.ndarray], halo: int, w, h, by: Sequence[str], block: int) -> DataFrame:
     """``step`` on square blocks: each gets the mask and the canvas as arrays with ``halo`` more pixels on all sides, and the middle of
-    what it returns becomes runs. One shuffle; a run goes to the blocks it reaches, four at most for a halo below the block size."""
-    by = list(by)
+    what it returns becomes runs. Small blocks are taken together (``span``), their runs still cut at ``block``. One shuffle; a run goes to the blocks it reaches, four at most for a halo below the block size."""
+    by, cuts = list(by), block
+    block = span(cuts)
     to = lambda lo, hi: F.explode(F.sequence(_div(lo - halo, block), _div(hi + halo, block)))
     s = runs.select(*by, F.col("y").cast("long"), F.col("x0").cast("long"), F.col("x1").cast("long"), _c(w).cast("long").alias("w_"), _c(h).cast("long").alias("h_"))
     s = s.withColumn("yb", to(F.col("y"), F.col("y"))).withColumn("bx", to(F.col("x0"), F.col("x1")))
@@ -155,9 +162,10 @@ def _local(runs: DataFrame, step: Callable[[np.ndarray, np.ndarray], np.ndarray]
         mask = (np.cumsum(steps, 1)[:, :-1] > 0) & canvas
         own = ((ys >= yb) & (ys < yb + block))[:, None] & ((xs >= bx) & (xs < bx + block))[None, :]
         out = step(mask, canvas) & canvas & own
-        change = np.diff(np.pad(out.astype(np.int8), ((0, 0), (1, 1))), axis=1)
-        (row, start), (_, stop) = np.nonzero(change == 1), np.nonzero(change == -1)
-        found = pd.DataFrame({"y": row + top, "bx": bx // block, "x0": start + left, "x1": stop - 1 + left})
+        first = xs % cuts == 0  # runs end where a block column does
+        row, start = np.nonzero(out & ~(np.pad(out, ((0, 0), (1, 0)))[:, :-1] & ~first))
+        _, stop = np.nonzero(out & ~(np.pad(out, ((0, 0), (0, 1)))[:, 1:] & ~np.append(first[1:], False)))
+        found = pd.DataFrame({"y": row + top, "bx": (start + left) // cuts, "x0": start + left, "x1": stop + left})
         for c in by:
             found[c] = group[c].iloc[0]
         return found[[*by, "y", "bx", "x0", "x1"]]

@@ -200,3 +200,19 @@ def test_real_valued_medians_are_exact(spark):
     for k in draw:
         v, u = [r[1] for r in rows if r[0] == k], [r[2] for r in rows if r[0] == k]
         assert (got[k].n, got[k].v, got[k].u) == (len(v), statistics.median(v), statistics.median(u))
+
+
+def test_small_blocks_share_a_python_call(spark):
+    """Several blocks of one group are labelled each by itself, and a group spans many small blocks."""
+    import pandas as pd
+
+    runs = pd.DataFrame([(7, 0, 0, 7, 0), (8, 0, 0, 7, 1), (7, 1, 8, 9, 0), (6, 1, 9, 9, 0)], columns=["y", "bx", "x0", "x1", "yb"])
+    got = {(r.y, r.x0): r.local for r in G._label_block(runs).itertuples()}
+    assert got == {(7, 0): (7 << G.SHIFT), (8, 0): (8 << G.SHIFT), (7, 8): (6 << G.SHIFT) + 9, (6, 9): (6 << G.SHIFT) + 9}
+    assert R.span(8) == 128 and R.span(128) == 128 and R.span(1024) == 1024 and R.span(100) == 100
+    m = np.random.default_rng(5).random((21, 300)) < 0.7
+    grown = R.dilate(R.from_pixels(pixels(spark, m), block=BLOCK), 1, 300, 21, block=BLOCK)
+    assert grown.where(f"x0 div {BLOCK} <> bx or x1 div {BLOCK} <> bx").count() == 0
+    around = np.pad(m, 1)
+    want = m | around[2:, 1:-1] | around[:-2, 1:-1] | around[1:-1, 2:] | around[1:-1, :-2]
+    assert (mask(grown, m.shape) == want).all()
