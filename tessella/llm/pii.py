@@ -2,7 +2,8 @@
 
 Generators propose overlapping spans: anything that might be an address with spelled-out or spaced separators, and any run of
 digits with punctuation. Gradient-boosted trees judge each by its format and context, and a threshold per kind, calibrated on
-candidates kept out of the fit, decides. Spans of the base patterns always stay.
+candidates kept out of the fit, decides. Spans of the base patterns always stay. Trees and thresholds come from the examples of all
+texts: equal binned examples are counted once, and Spark adds up the histograms from which the driver takes each split.
 """
 
 from __future__ import annotations
@@ -11,14 +12,17 @@ import re
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.llm.common import add_columns, text_of, worker_cached
+from tessella.session import discard, save
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_ROWS = 20_000  # documents whose candidates the model is fitted on, the first by a hash of id and text
 PRECISION = 0.99  # of the candidates above a kind's threshold
+GRID = 1 << 16  # thresholds are multiples of one such part
+FINE = 1 << 24  # gradients are added up as whole numbers of such parts, so that sums do not depend on the order of the rows
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -207,92 +211,151 @@ class Model:
         x = np.asarray(rows, float)
         z = np.full(len(x), self.start)
         for feature, cut, value, depth in self.trees:
-            at = np.zeros(len(x), int)
-            for _ in range(depth):
-                at = 2 * at + 1 + (x[np.arange(len(x)), feature[at]] > cut[at])
-            z += value[at]
+            z += value[_node(x, feature, cut, depth)]
         return 1 / (1 + np.exp(-z))
 
 
-def boost(rows, labels, rounds: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32) -> Model:
-    """Gradient-boosted trees with logistic loss and second-order gains over histogram bins."""
+def _node(x, feature, cut, depth: int):
+    """The node of a full binary tree that each row reaches after ``depth`` steps."""
     import numpy as np
 
-    x, y = np.asarray(rows, float), np.asarray(labels, float)
-    n, d = x.shape
-    cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(d)]
-    binned = np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)], 1)
-    start = float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
-    z = np.full(n, start)
-    trees = []
+    at, row = np.zeros(len(x), int), np.arange(len(x))
+    for _ in range(depth):
+        at = 2 * at + 1 + (x[row, feature[at]] > cut[at])
+    return at
+
+
+def _histograms(blocks: RDD, start: float, trees: list, feature, cut, level: int, width: int, bins: int):
+    """Sums of the gradients and of the second-order terms ``(2, node, feature, bin)`` over all examples, for the nodes of one level of a growing
+    tree after ``trees``. Parts are added up pairwise on the executors; each has the size of the result."""
+    import numpy as np
+
+    cells = 2**level * width * bins
+
+    def run(rows):
+        import numpy as np
+
+        sums = np.zeros((2, cells))
+        for r in rows:
+            y, n = np.frombuffer(r.y, np.int32), np.frombuffer(r.n, np.int64)
+            x = np.frombuffer(r.x, np.uint8).reshape(len(y), width)
+            z = np.full(len(y), start)
+            for f, c, value, depth in trees:
+                z += value[_node(x, f, c, depth)]
+            p = 1 / (1 + np.exp(-z))
+            node = _node(x, feature, cut, level) - (2**level - 1)
+            cell = ((node[:, None] * width + np.arange(width)) * bins + x).ravel()
+            for i, v in enumerate((y - p, p * (1 - p) + 1e-6)):
+                sums[i] += np.bincount(cell, np.repeat(np.rint(v * FINE) * n, width), cells)
+        yield sums
+
+    return (blocks.mapPartitions(run).treeReduce(np.add) / FINE).reshape(2, 2**level, width, bins)
+
+
+def boost(examples: DataFrame, rounds: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32) -> Model:
+    """Gradient-boosted trees with logistic loss and second-order gains over histogram bins, from all of ``examples`` ``(y, x, n)``: label,
+    features and number of equal examples. The driver sees one histogram per level of a tree, whatever the number of examples."""
+    import numpy as np
+
+    count = {r.y: r.n for r in examples.groupBy("y").agg(F.sum("n").alias("n")).collect()}
+    if len(count) < 2:
+        return Model()
+    values = examples.select("n", F.posexplode("x").alias("j", "v")).groupBy("j", "v").agg(F.sum("n").alias("n"))
+    parts = F.array(*[F.lit(float(q)) for q in np.linspace(0, 1, bins + 1)[1:-1]])
+    found = {r.j: r.q for r in values.groupBy("j").agg(F.percentile("v", parts, F.col("n")).alias("q")).collect()}
+    width = len(found)
+    cuts = [np.unique(np.asarray(found[j], float)) for j in range(width)]
+
+    def to_bins(rows):
+        x = np.asarray(rows, float)
+        return [[r.tobytes() for r in np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)], 1).astype(np.uint8)]]
+
+    def pack(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            y, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "n"))
+            packed = y.astype(np.int32).tobytes(), n.astype(np.int64).tobytes(), b"".join(batch.column("b").to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array([v], pa.binary()) for v in packed], names=["y", "n", "x"])
+
+    start = float(np.log((count[1] + 1) / (count[0] + 1)))
+    binned = add_columns(examples.select("y", "n", "x"), [examples["x"]], "b binary", to_bins, batch_rows=1000)
+    binned = save(binned.groupBy("y", "b").agg(F.sum("n").alias("n")), "binned")
+    blocks = binned.select("y", "n", "b").mapInArrow(pack, "y binary, n binary, x binary").rdd.persist(StorageLevel.MEMORY_AND_DISK)
+    trees, over_bins = [], []
+    size, first = 2 ** (depth + 1) - 1, 2**depth - 1
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-z))
-        g, h = y - p, p * (1 - p) + 1e-6
-        size = 2 ** (depth + 1) - 1
         feature, cut, value = np.zeros(size, int), np.full(size, np.inf), np.zeros(size)
-        at = np.zeros(n, int)
+        edge = np.full(size, bins)
         for level in range(depth):
-            for node in range(2**level - 1, 2 ** (level + 1) - 1):
-                mine = np.flatnonzero(at == node)
-                if not len(mine):
-                    continue
-                gs, hs = g[mine].sum(), h[mine].sum()
-                best = (1e-3, 0, np.inf)
-                for j in range(d):
+            g, h = _histograms(blocks, start, over_bins, feature, edge, level, width, bins)
+            for i in range(2**level):
+                node, gs, hs = 2**level - 1 + i, g[i, 0].sum(), h[i, 0].sum()
+                best, left = (1e-3, 0, np.inf, bins), (gs, hs)
+                for j in range(width if hs else 0):
                     if not len(cuts[j]):
                         continue
-                    b = binned[mine, j]
-                    gl = np.cumsum(np.bincount(b, g[mine], len(cuts[j]) + 1))[:-1]
-                    hl = np.cumsum(np.bincount(b, h[mine], len(cuts[j]) + 1))[:-1]
+                    gl, hl = (np.cumsum(v[i, j])[: len(cuts[j])] for v in (g, h))
                     gain = gl**2 / (hl + 1) + (gs - gl) ** 2 / (hs - hl + 1) - gs**2 / (hs + 1)
                     k = int(gain.argmax())
                     if gain[k] > best[0]:
-                        best = (gain[k], j, cuts[j][k])
-                feature[node], cut[node] = best[1], best[2]
-            at = 2 * at + 1 + (x[np.arange(n), feature[at]] > cut[at])
-        first = 2**depth - 1
-        for leaf in range(first, size):
-            mine = at == leaf
-            value[leaf] = rate * g[mine].sum() / (h[mine].sum() + 1)
-        z += value[at]
+                        best, left = (gain[k], j, cuts[j][k], k), (gl[k], hl[k])
+                _, feature[node], cut[node], edge[node] = best
+                if 2 * node + 1 >= first:
+                    value[2 * node + 1] = rate * left[0] / (left[1] + 1)
+                    value[2 * node + 2] = rate * (gs - left[0]) / (hs - left[1] + 1)
         trees.append((feature, cut, value, depth))
+        over_bins.append((feature, edge, value, depth))
+    blocks.unpersist()
+    discard(binned)
     return Model(trees, start)
 
 
-def fit(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS, precision: float = PRECISION) -> Model:
-    """A model from self-labelled candidates of at most ``rows`` distinct texts, the first by a hash of the text.
-
-    Every fifth candidate is kept out of the fit; each kind's threshold is the lowest from 0.5 up that keeps ``precision`` there. A kind
-    without examples of both labels gets no threshold and adds no spans.
-    """
+def labelled(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``(test, y, kind, x, n)``: the self-labelled candidates of all distinct texts, equal ones counted; every fifth by a hash is for tests."""
     d = docs.select(docs[f"`{text}`"].alias("t")).where("t is not null")
-    h = d.select(F.xxhash64("t").alias("h")).distinct().sort("h").limit(rows)
-    picked = d.withColumn("h", F.xxhash64("t")).join(F.broadcast(h), "h")  # at most ``rows`` hashes
+    d = d.select("t", F.xxhash64("t").alias("h"), F.xxhash64(F.lit(1), "t").alias("h2"))
 
     def run(texts):
-        return [[[{"y": y, "kind": k, "x": x} for y, k, x in examples(t)] for t in texts]]
-
-    got = add_columns(picked, [picked["t"]], "e array<struct<y:int,kind:string,x:array<double>>>", run, batch_rows=1000)
-    one = got.where(F.size("e") > 0).groupBy("h").agg(F.first("e").alias("e"))  # equal texts have equal examples
-    data = sorted((r.h, i, x.y, x.kind, tuple(x.x)) for r in one.collect() for i, x in enumerate(r.e))
-    train = [x for i, x in enumerate(data) if i % 5]
-    test = [x for i, x in enumerate(data) if i % 5 == 0]
-    if len({x[2] for x in train}) < 2:
-        return Model()
-    model = boost([x[4] for x in train], [x[2] for x in train])
-    if test:
-        p = model.probability([x[4] for x in test])
+        return [[[{"y": y, "kind": k, "x": [int(v) for v in x]} for y, k, x in examples(t)] for t in texts]]
+
+    got = add_columns(d, [d["t"]], "t array<struct<y:int,kind:string,x:array<int>>>", run, batch_rows=1000)  # instead of the text
+    one = got.where(F.size("t") > 0).groupBy("h", "h2").agg(F.first("t").alias("e"))  # equal texts have equal examples
+    each = one.select("h", F.posexplode("e").alias("i", "e"))
+    each = each.select((F.pmod(F.xxhash64("h", "i"), F.lit(5)) == 0).alias("test"), "e.y", "e.kind", "e.x")
+    return each.groupBy("test", "y", "kind", "x").agg(F.count("*").alias("n"))
+
+
+def fit(docs: DataFrame, text: str = "text", precision: float = PRECISION) -> Model:
+    """A model from the self-labelled candidates of all distinct texts.
+
+    Every fifth candidate is kept out of the fit; each kind's threshold is the lowest from 0.5 up, in parts of ``GRID``, that keeps ``precision``
+    there. A kind without examples of both labels gets no threshold and adds no spans.
+    """
+    data = save(labelled(docs, text), "examples")
+    model = boost(data.where("not test"))
+    test = data.where("test")
+    if model.trees:
+
+        def run(rows):
+            p = model.probability(rows)
+            return [[int(q * GRID) if q >= 0.5 else -1 for q in p.tolist()]]
+
+        level = add_columns(test, [test["x"]], "level int", run, batch_rows=1000).groupBy("kind", "level")
+        rows = level.agg(F.sum("n").alias("n"), F.sum(F.col("y") * F.col("n")).alias("hits")).collect()  # half of ``GRID`` and two per kind at most
         for kind in KINDS:
-            got_k = sorted(((float(q), x[2]) for q, x in zip(p, test) if x[3] == kind), reverse=True)
-            if {y for _, y in got_k} != {0, 1}:
+            got = sorted((r.level, r.n, r.hits) for r in rows if r.kind == kind)
+            if not 0 < sum(x[2] for x in got) < sum(x[1] for x in got):
                 continue
-            hits, cut = 0, None
-            for i, (q, y) in enumerate(got_k, 1):
-                hits += y
-                if q >= 0.5 and hits >= precision * i and (i == len(got_k) or got_k[i][0] < q):
-                    cut = q
+            n, hits, cut = 0, 0, None
+            for at, more, right in reversed(got):
+                n, hits = n + more, hits + right
+                if at >= 0 and hits >= precision * n:
+                    cut = at / GRID
             if cut is not None:
                 model.thresholds[kind] = cut
+    discard(data)
     return model
 
 
