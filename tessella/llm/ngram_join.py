@@ -7,6 +7,7 @@ only a fifth of the set can follow, so an index over prefixes finds all candidat
 * index lists are cut into blocks of similar set size, and an entry whose position leaves too few n-grams after it is skipped;
 * each list is first compared with its smallest set only, then, turn by turn, one member of each component in it with one of another,
   while that finds links and much is left to compare; members of one component need no further comparison;
+* two sets meet only if the parities of their n-grams in ``BITS`` buckets differ in no more places than linked sets can differ in n-grams;
 * for the pairs left, the answers of a highly similar set decide where they can: if b was measured against the set x closest to a,
   the distance of a and b is at least the difference of the two (Jaccard distance is a metric), so most need no texts.
 
@@ -22,12 +23,13 @@ from pyspark.sql import functions as F
 
 from tessella.llm.common import add_columns, text_of, worker_cached
 from tessella.operators.graph import components
-from tessella.session import save
+from tessella.session import discard, save
 
 SHINGLE = 5
 SIMILARITY = Fraction(4, 5)
 HOT_ROWS = 1 << 18  # n-grams ordered by their frequency; all others are ordered by their hash alone
 HOT_COUNT = 16
+BITS = 512  # buckets of a set's n-grams by their hash; the parity of each bucket's count is a bit
 CROSS = 128  # turns go on while the cross comparison would meet more than so many pairs per index entry (bounds decide most),
 YIELD = 8  # and one pair in so many of a turn was a link
 # Fixed value: A-Z become lower case; words are what ASCII white space leaves.
@@ -53,6 +55,14 @@ def shingle_set(text: str, width: int = SHINGLE):
     return np.unique(acc)
 
 
+def parities(s):
+    """``BITS`` parities as 64-bit numbers. An n-gram that only one of two sets holds changes one bit, so sets differ in as many n-grams as bits at least."""
+    import numpy as np
+
+    n = np.bincount((s % np.uint64(BITS)).astype(np.int64), minlength=BITS)
+    return np.packbits((n & 1).astype(np.uint8)).view(np.int64)
+
+
 def _signature(s) -> tuple[int, int]:
     import xxhash
 
@@ -92,7 +102,7 @@ def frequent(docs: DataFrame, width: int) -> bytes:
 
 
 def sets_of(docs: DataFrame, hot: bytes, width: int, similarity: Fraction) -> DataFrame:
-    """``(id, n, s1, s2, prefix)``: set size, set signature and the prefix n-grams in global order."""
+    """``(id, n, s1, s2, bits, prefix)``: set size, set signature, parities and the prefix n-grams in global order."""
     import uuid
 
     shared, key = docs.sparkSession.sparkContext.broadcast(hot), uuid.uuid4().hex
@@ -108,20 +118,21 @@ def sets_of(docs: DataFrame, hot: bytes, width: int, similarity: Fraction) -> Da
             return h[by], rank[by]
 
         known, rank = worker_cached("ngram_join", key, order)
-        out = [[], [], [], []]
+        out = [[], [], [], [], []]
         for t in texts:
             s = shingle_set(t, width)
             n = len(s)
             a, b = _signature(s)
+            bits = parities(s)
             first = n - -(-num * n // den) + 1 if n else 0
             if n and len(known):
                 at = np.minimum(np.searchsorted(known, s), len(known) - 1)
                 s = s[np.lexsort((s, np.where(known[at] == s, rank[at], 0)))]
-            for o, v in zip(out, (n, a, b, s[:first].view(np.int64))):
+            for o, v in zip(out, (n, a, b, bits, s[:first].view(np.int64))):
                 o.append(v)
         return out
 
-    return add_columns(docs, [docs["t"]], "n int, s1 bigint, s2 bigint, prefix array<bigint>", run, batch_rows=1000).drop("t")
+    return add_columns(docs, [docs["t"]], "n int, s1 bigint, s2 bigint, bits array<bigint>, prefix array<bigint>", run, batch_rows=1000).drop("t")
 
 
 def compare(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -146,15 +157,21 @@ def compare(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
 
 
 def _meetings(entries: DataFrame, columns: list[str], similarity: Fraction) -> DataFrame:
-    """Pairs of index entries of one token, ``columns`` with _a and _b, that sizes and positions allow to link."""
+    """Pairs of index entries of one token, ``columns`` with _a and _b, that sizes, positions and parities allow to link: linked sets differ in at
+    most the share (1 - similarity) / (1 + similarity) of both sizes together."""
     num, den = similarity.numerator, similarity.denominator
     block = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(float(1 / similarity))) + 1e-9).cast("int")
     entries = entries.withColumn("block", block)
-    a = entries.select("token", *[F.col(c).alias(c + "_a") for c in columns], F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)).alias("block"))
+    # each two blocks side by side meet once: the smaller sets come to the block of the larger ones
+    a = entries.select("token", "block", *[F.col(c).alias(c + "_a") for c in columns], F.explode(F.array(F.lit(0), F.lit(1))).alias("up"))
+    a = a.withColumn("block", F.col("block") + F.col("up"))
     b = entries.select("token", "block", *[F.col(c).alias(c + "_b") for c in columns])
     near = (num * F.col("n_a") <= den * F.col("n_b")) & (num * F.col("n_b") <= den * F.col("n_a"))
     room = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
-    return a.join(b, ["token", "block"]).where(near & (room * (num + den) >= (F.col("n_a") + F.col("n_b")) * num))
+    both = F.col("n_a") + F.col("n_b")
+    differ = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITS // 64)), F.lit(0))
+    once = (F.col("id_a") < F.col("id_b")) | (F.col("up") == 1) & (F.col("id_a") != F.col("id_b"))
+    return a.join(b, ["token", "block"]).where(once & near & (room * (num + den) >= both * num) & (differ * (num + den) <= both * (den - num)))
 
 
 def links(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = SHINGLE, similarity: Fraction = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -173,8 +190,9 @@ def links(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
     named = save(sets.select("id", "n", "s1", "s2").join(named, ["n", "s1", "s2"]).select("id", "class_id"), "classes")
     entries = sets.join(named.where("id = class_id"), "id", "left_semi").select("id", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = entries.groupBy("token").count().where("count > 1").select("token")
-    pairs = _meetings(entries.join(shared, "token"), ["id", "n", "pos"], similarity).where("id_a < id_b")
-    pairs = save(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct(), "pairs")
+    index = entries.join(shared, "token").join(sets.select("id", "bits"), "id")
+    pairs = _meetings(index, ["id", "n", "pos", "bits"], similarity)
+    pairs = save(pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct(), "pairs")
     found = compare(pairs, texts, width).where(F.col("common") * den >= F.col("total") * num)
     return save(found, "links"), plain.join(named, "id").select("doc_id", "class_id").distinct()
 
@@ -205,6 +223,7 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
     texts = plain.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
     needed = star.select(F.col("a").alias("id")).union(star.select("b")).distinct()
     measured = save(compare(star, texts.join(needed, "id", "left_semi"), width), "measured")
+    discard(star)
     is_link = F.col("common") * den >= F.col("total") * num
     links = measured.where(is_link).select("a", "b")
     comps = save(components(links.toDF("u", "v")), "components")
@@ -231,15 +250,21 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
         fresh = save(compare(meet, texts.join(needed, "id", "left_semi"), width), "measured")
         new = fresh.where(is_link).select("a", "b")
         measured = measured.unionByName(fresh)
+        discard(meet)
         met, linked = fresh.agg(F.count("*"), F.count_if(is_link)).first()
         if not linked:
             break
         comps = save(components(grown(new)), "components")
         more = YIELD * linked >= met
         turn += 1
-
-    pairs = _meetings(placed, ["id", "n", "pos", "comp"], similarity).where("id_a < id_b and comp_a <> comp_b")
-    pairs = pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+        discard(placed)
+
+    discard(index)
+    # an id with several sets of one size meets with the parities of each
+    bits = sets.select("id", "n", "bits").join(placed.select("id").distinct(), "id", "left_semi").distinct()
+    placed = placed.join(bits, ["id", "n"])
+    pairs = _meetings(placed, ["id", "n", "pos", "comp", "bits"], similarity).where("comp_a <> comp_b")
+    pairs = pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
     gone = measured.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = save(pairs.join(gone, ["a", "b"], "left_anti"), "pairs")
 
