@@ -23,6 +23,7 @@ KINDS = ("email", "ip", "card", "phone")
 PRECISION = 0.99  # of the candidates above a kind's threshold
 GRID = 1 << 16  # thresholds are multiples of one such part
 FINE = 1 << 24  # gradients are added up as whole numbers of such parts, so that sums do not depend on the order of the rows
+PARTS = 64  # partitions whose sums go to the driver without a shuffle
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -227,7 +228,7 @@ def _node(x, feature, cut, depth: int):
 
 def _histograms(blocks: RDD, start: float, trees: list, feature, cut, level: int, width: int, bins: int):
     """Sums of the gradients and of the second-order terms ``(2, node, feature, bin)`` over all examples, for the nodes of one level of a growing
-    tree after ``trees``. Parts are added up pairwise on the executors; each has the size of the result."""
+    tree after ``trees``. Each partition gives one part of the size of the result; beyond ``PARTS`` of them, executors add them up first."""
     import numpy as np
 
     cells = 2**level * width * bins
@@ -249,7 +250,9 @@ def _histograms(blocks: RDD, start: float, trees: list, feature, cut, level: int
                 sums[i] += np.bincount(cell, np.repeat(np.rint(v * FINE) * n, width), cells)
         yield sums
 
-    return (blocks.mapPartitions(run).treeReduce(np.add) / FINE).reshape(2, 2**level, width, bins)
+    sums = blocks.mapPartitions(run)
+    total = sums.treeReduce(np.add) if sums.getNumPartitions() > PARTS else sums.reduce(np.add)
+    return (total / FINE).reshape(2, 2**level, width, bins)
 
 
 def boost(examples: DataFrame, rounds: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32) -> Model:
@@ -282,7 +285,9 @@ def boost(examples: DataFrame, rounds: int = 60, depth: int = 3, rate: float = 0
     start = float(np.log((count[1] + 1) / (count[0] + 1)))
     binned = add_columns(examples.select("y", "n", "x"), [examples["x"]], "b binary", to_bins, batch_rows=1000)
     binned = save(binned.groupBy("y", "b").agg(F.sum("n").alias("n")), "binned")
-    blocks = binned.select("y", "n", "b").mapInArrow(pack, "y binary, n binary, x binary").rdd.persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = binned.select("y", "n", "b").mapInArrow(pack, "y binary, n binary, x binary").rdd
+    # every level of every tree is a job over them: a task a core, however many files they came in
+    blocks = blocks.coalesce(blocks.context.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
     trees, over_bins = [], []
     size, first = 2 ** (depth + 1) - 1, 2**depth - 1
     for _ in range(rounds):

@@ -61,3 +61,25 @@ def test_boost_adds_up_to_the_plain_one(spark):
 def test_one_label_gives_no_model(spark):
     docs = spark.createDataFrame([("nothing here",), (None,)], "text string")
     assert pii.fit(docs).trees == [] and pii.boost(spark.createDataFrame([(1, [1], 2)], "y int, x array<int>, n long")).trees == []
+
+
+def test_a_level_of_a_tree_is_a_task_a_core(spark):
+    """However many files the examples came in, a job over them has no shuffle and no more tasks than cores."""
+    r = np.random.default_rng(5)
+    rows = [(int(a + b > 9), [int(a), int(b)], 1) for a, b in r.integers(0, 12, (600, 2))]
+    many = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "1k"}
+    old = {k: spark.conf.get(k) for k in many}
+    sc, tasks = spark.sparkContext, []
+    try:
+        for k, v in many.items():
+            spark.conf.set(k, v)
+        for rounds in (1, 3):
+            sc.setJobGroup(f"rounds{rounds}", "")
+            assert pii.boost(spark.createDataFrame(rows, "y int, x array<int>, n long").repartition(60), rounds=rounds).trees
+            jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup(f"rounds{rounds}")]
+            tasks.append(sum(sc.statusTracker().getStageInfo(s).numTasks for j in jobs for s in j.stageIds))
+    finally:
+        sc._jsc.clearJobGroup()
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert 0 < tasks[1] - tasks[0] <= 2 * 3 * sc.defaultParallelism
