@@ -7,6 +7,7 @@ only a fifth of the set can follow, so an index over prefixes finds all candidat
 * index lists are cut into blocks of similar set size, and an entry whose position leaves too few n-grams after it is skipped;
 * each list is first compared with its smallest set only, then, turn by turn, one member of each component in it with one of another,
   while that finds links and much is left to compare; members of one component need no further comparison;
+* two sets meet at the first n-gram they share, not at those after it that either set has within ``BEFORE`` n-grams of another shared one;
 * two sets meet only if the parities of their n-grams in ``BITS`` buckets differ in no more places than linked sets can differ in n-grams;
 * for the pairs left, the answers of a highly similar set decide where they can: if b was measured against the set x closest to a,
   the distance of a and b is at least the difference of the two (Jaccard distance is a metric), so most need no texts.
@@ -30,6 +31,7 @@ SIMILARITY = Fraction(4, 5)
 HOT_ROWS = 1 << 18  # n-grams ordered by their frequency; all others are ordered by their hash alone
 HOT_COUNT = 16
 BITS = 512  # buckets of a set's n-grams by their hash; the parity of each bucket's count is a bit
+BEFORE = 8  # n-grams of the prefix before its own that an index entry brings along
 CROSS = 128  # turns go on while the cross comparison would meet more than so many pairs per index entry (bounds decide most),
 YIELD = 8  # and one pair in so many of a turn was a link
 # Fixed value: A-Z become lower case; words are what ASCII white space leaves.
@@ -156,9 +158,19 @@ def compare(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     return add_columns(both, [both["ta"], both["tb"]], "common int, total int", run, batch_rows=1000).select("a", "b", "common", "total")
 
 
+def _entries(index: DataFrame, sets: DataFrame, on: list[str]) -> DataFrame:
+    """``index`` with the parities of its sets and ``before``, the up to ``BEFORE`` n-grams in front of the entry's own in its set's prefix."""
+    own = F.get("prefix", F.col("pos")) == F.col("token")  # an id may have several sets
+    before = F.slice("prefix", F.greatest(F.col("pos") - BEFORE, F.lit(0)) + 1, F.least("pos", F.lit(BEFORE)))
+    return index.join(sets, on).where(own).withColumn("before", before).drop("prefix")
+
+
 def _meetings(entries: DataFrame, columns: list[str], similarity: Fraction) -> DataFrame:
     """Pairs of index entries of one token, ``columns`` with _a and _b, that sizes, positions and parities allow to link: linked sets differ in at
-    most the share (1 - similarity) / (1 + similarity) of both sizes together."""
+    most the share (1 - similarity) / (1 + similarity) of both sizes together.
+
+    With the column ``before`` a pair is left out where both entries have an n-gram in common before this one: it meets there, since both
+    positions leave more room and the other bounds depend on the two sets alone, or by the same rule still earlier."""
     num, den = similarity.numerator, similarity.denominator
     block = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(float(1 / similarity))) + 1e-9).cast("int")
     entries = entries.withColumn("block", block)
@@ -171,7 +183,10 @@ def _meetings(entries: DataFrame, columns: list[str], similarity: Fraction) -> D
     both = F.col("n_a") + F.col("n_b")
     differ = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITS // 64)), F.lit(0))
     once = (F.col("id_a") < F.col("id_b")) | (F.col("up") == 1) & (F.col("id_a") != F.col("id_b"))
-    return a.join(b, ["token", "block"]).where(once & near & (room * (num + den) >= both * num) & (differ * (num + den) <= both * (den - num)))
+    allowed = once & near & (room * (num + den) >= both * num) & (differ * (num + den) <= both * (den - num))
+    if "before" in columns:
+        allowed &= ~F.arrays_overlap("before_a", "before_b")
+    return a.join(b, ["token", "block"]).where(allowed)
 
 
 def links(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = SHINGLE, similarity: Fraction = SIMILARITY) -> tuple[DataFrame, DataFrame]:
@@ -190,8 +205,8 @@ def links(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
     named = save(sets.select("id", "n", "s1", "s2").join(named, ["n", "s1", "s2"]).select("id", "class_id"), "classes")
     entries = sets.join(named.where("id = class_id"), "id", "left_semi").select("id", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = entries.groupBy("token").count().where("count > 1").select("token")
-    index = entries.join(shared, "token").join(sets.select("id", "bits"), "id")
-    pairs = _meetings(index, ["id", "n", "pos", "bits"], similarity)
+    index = _entries(entries.join(shared, "token"), sets.select("id", "bits", "prefix"), ["id"])
+    pairs = _meetings(index, ["id", "n", "pos", "bits", "before"], similarity)
     pairs = save(pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct(), "pairs")
     found = compare(pairs, texts, width).where(F.col("common") * den >= F.col("total") * num)
     return save(found, "links"), plain.join(named, "id").select("doc_id", "class_id").distinct()
@@ -261,9 +276,10 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
 
     discard(index)
     # an id with several sets of one size meets with the parities of each
-    bits = sets.select("id", "n", "bits").join(placed.select("id").distinct(), "id", "left_semi").distinct()
-    placed = placed.join(bits, ["id", "n"])
-    pairs = _meetings(placed, ["id", "n", "pos", "comp", "bits"], similarity).where("comp_a <> comp_b")
+    own = sets.join(placed.select("id").distinct(), "id", "left_semi").select("id", "n", "s1", "s2", "bits", "prefix")
+    own = own.dropDuplicates(["id", "n", "s1", "s2"]).drop("s1", "s2")
+    placed = _entries(placed, own, ["id", "n"])
+    pairs = _meetings(placed, ["id", "n", "pos", "comp", "bits", "before"], similarity).where("comp_a <> comp_b")
     pairs = pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
     gone = measured.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = save(pairs.join(gone, ["a", "b"], "left_anti"), "pairs")

@@ -35,6 +35,21 @@ def test_far_sets_of_one_list_do_not_meet(spark):
     assert [(m.id_a, m.id_b) for m in met] == [(0, len(found))]
 
 
+def test_a_pair_meets_at_its_first_shared_ngram(spark):
+    """Sets that share most of a long prefix meet a few times, not once per n-gram, and no pair is lost."""
+    r, rows = random.Random(9), []
+    for i in range(12):
+        p = [t for t in range(200) if r.random() < 0.7]  # 49 of 100 n-grams in both prefixes of a pair
+        rows.append((i, 1000, len(p), [1, 2], p))
+    sets_ = spark.createDataFrame(rows, "id long, n int, size int, bits array<long>, prefix array<long>")
+    index = sets_.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
+    entries = ngram_join._entries(index, sets_.select("id", "bits", "prefix"), ["id"]).withColumn("bits", F.array(*[F.lit(0).cast("long")] * 8))
+    assert entries.count() == index.count()
+    met = ngram_join._meetings(entries, ["id", "n", "pos", "bits", "before"], Fraction(4, 5)).select("id_a", "id_b").collect()
+    assert {(m.id_a, m.id_b) for m in met} == {(a, b) for b in range(12) for a in range(b)}
+    assert len(met) < 1.2 * 66
+
+
 def test_near_groups_keep_their_links(spark, monkeypatch):
     """Chains of texts that change a word a step and share most words with other chains; turns are off, so that every meeting counts."""
     monkeypatch.setattr(ngram_join, "CROSS", 1 << 40)
