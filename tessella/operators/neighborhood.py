@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessella.session import small_parts
+
 BLOCK = 256
 
 
@@ -56,6 +58,7 @@ def with_halo(
     p = px.select(
         *by, F.col("ty.blk").alias("by_"), F.col("tx.blk").alias("bx"), F.col("ty.pos").alias("y"), F.col("tx.pos").alias("x"), *values
     )
+    small_parts(p.sparkSession)
     return p.repartition(*by, "by_", "bx")
 
 

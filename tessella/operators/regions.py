@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tessella.operators import runs as R
 from tessella.operators.graph import components, ranked
-from tessella.session import save
+from tessella.session import dealt, save
 
 SHIFT = 31  # pixel id = y * 2**31 + x
 
@@ -81,7 +81,8 @@ def label(runs: DataFrame, by: Sequence[str] = (), block: int = R.BLOCK) -> Regi
     types = dict(r.dtypes)
     schema = ", ".join(f"{c} {types[c]}" for c in r.columns) + ", local long"
     many = R.span(block) // block  # blocks along the edge of what one Python call gets
-    some = r.groupBy(*by, R._div(F.col("yb"), many).alias("ys"), R._div(F.col("bx"), many).alias("xs"))
+    square = [*by, R._div(F.col("yb"), many).alias("ys"), R._div(F.col("bx"), many).alias("xs")]
+    some = dealt(r, *square).groupBy(*square)
     local = save(some.applyInPandas(_label_block, schema).drop("yb"), "local")
     parts = local.groupBy(*by, "local").agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("px"))
     # a whole number for each local component, in the order of (by, local); one canvas needs none

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tessella.session import dealt, small_parts
+
 BLOCK = 1024
 SPAN = 128  # small blocks go to Python together, as squares of about this edge
 
@@ -88,6 +90,7 @@ def from_pixels(pixels: DataFrame, by: Sequence[str] = (), block: int = BLOCK) -
     key = [*by, "y", "bx"]
     p = pixels.select(*by, F.col("y").cast("long").alias("y"), F.col("x").cast("long").alias("x"))
     p = p.withColumn("bx", _div(F.col("x"), block))
+    small_parts(p.sparkSession)
     w = W.partitionBy(*key).orderBy("x")
     return (
         p.withColumn("island", F.col("x") - F.row_number().over(w))
@@ -171,7 +174,7 @@ def _local(runs: DataFrame, step: Callable[[np.ndarray, np.ndarray], np.ndarray]
         return found[[*by, "y", "bx", "x0", "x1"]]
 
     keys = "".join(f"`{c}` {t}, " for c, t in s.select(*by).dtypes)
-    return s.groupBy(*by, "yb", "bx").applyInPandas(run, keys + "y long, bx long, x0 long, x1 long")
+    return dealt(s, *by, "yb", "bx").groupBy(*by, "yb", "bx").applyInPandas(run, keys + "y long, bx long, x0 long, x1 long")
 
 
 def dilate(runs: DataFrame, n: int, w, h, by: Sequence[str] = (), block: int = BLOCK) -> DataFrame:

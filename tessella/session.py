@@ -32,6 +32,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return b.getOrCreate()
 
 
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+PART_MB = 4  # of shuffled pixels; they take some 30 times as much once unpacked and sorted
+
+
+def small_parts(spark: SparkSession) -> None:
+    """Adaptive execution joins shuffle partitions up to ``ADVISORY`` packed bytes: sets the session's limit for pixels unless it is smaller already."""
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(ADVISORY))
+    if now > PART_MB << 20:
+        spark.conf.set(ADVISORY, f"{PART_MB}m")
+
+
+def dealt(df: DataFrame, *by) -> DataFrame:
+    """``df`` dealt by the keys ``by`` over all ``spark.sql.shuffle.partitions``, for Python: adaptive execution would join partitions by their bytes,
+    and one MB of runs is a minute of work; partitions of a given number stay as they are."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: ``spark.checkpoint.dir``, which every node can reach.
 
