@@ -33,7 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 
 
 ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-PART_MB = 4  # of shuffled pixels; they take some 30 times as much once unpacked and sorted
+PART_MB = 4  # of shuffled pixels; they take 30 to 100 times as much once unpacked and sorted
 
 
 def small_parts(spark: SparkSession) -> None:
