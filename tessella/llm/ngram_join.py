@@ -8,11 +8,10 @@ only a fifth of the set can follow, so an index over prefixes finds all candidat
 * each list is first compared with its smallest set only, then, turn by turn, one member of each component in it with one of another,
   while that finds links and much is left to compare; members of one component need no further comparison;
 * two sets meet at the first n-gram they share, not at those after it that either set has within ``BEFORE`` n-grams of another shared one;
-* two sets meet only if the parities of their n-grams in ``BITS`` buckets differ in no more places than linked sets can differ in n-grams;
-* for the pairs left, the answers of a highly similar set decide where they can: if b was measured against the set x closest to a,
-  the distance of a and b is at least the difference of the two (Jaccard distance is a metric), so most need no texts.
+* two sets meet only if the parities of their n-grams in ``BITS`` buckets differ in no more places than linked sets can differ in n-grams,
+  and none is compared by its text before that is known.
 
-Every pair from different components that is neither skipped by a bound nor decided by an answer is compared exactly.
+Every pair from different components that is not skipped by a bound is compared exactly.
 """
 
 from __future__ import annotations
@@ -32,8 +31,10 @@ HOT_ROWS = 1 << 18  # n-grams ordered by their frequency; all others are ordered
 HOT_COUNT = 16
 BITS = 512  # buckets of a set's n-grams by their hash; the parity of each bucket's count is a bit
 BEFORE = 8  # n-grams of the prefix before its own that an index entry brings along
-CROSS = 128  # turns go on while the cross comparison would meet more than so many pairs per index entry (bounds decide most),
-YIELD = 8  # and one pair in so many of a turn was a link
+CROSS = 16  # turns go on while the cross comparison would meet more than so many pairs per index entry (bounds decide most),
+YIELD = 8  # one pair in so many that a turn compared was a link
+GAIN = 256  # and it found a link per so many index entries
+MARKS = 1 << 26  # bits of a broadcast bitmap of ids, 8 MB at most
 # Fixed value: A-Z become lower case; words are what ASCII white space leaves.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -158,6 +159,32 @@ def compare(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     return add_columns(both, [both["ta"], both["tb"]], "common int, total int", run, batch_rows=1000).select("a", "b", "common", "total")
 
 
+def _among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """The ``rows`` whose ``id`` is one of ``ids``. A bitmap of the hashes of the ids, bounded in size, keeps most others from being shuffled."""
+    at = F.pmod(F.xxhash64("id"), F.lit(MARKS))
+    ids = ids.select("id").distinct()
+    marks = ids.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("marks"))
+    bit = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("marks", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    likely = rows.withColumn("bucket", F.bitmap_bucket_number(at)).join(F.broadcast(marks), "bucket").where(F.getbit(byte, (bit % 8).cast("int")) == 1)
+    return likely.select(*rows.columns).join(ids, "id", "left_semi")
+
+
+def _alike(both, similarity: Fraction):
+    """Whether the parities ``bits_a`` and ``bits_b`` let sets of ``both`` sizes together link: linked sets differ in at most the share
+    (1 - similarity) / (1 + similarity) of both sizes."""
+    num, den = similarity.numerator, similarity.denominator
+    differ = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITS // 64)), F.lit(0))
+    return differ * (num + den) <= both * (den - num)
+
+
+def _possible(pairs: DataFrame, sets: DataFrame, similarity: Fraction) -> DataFrame:
+    """Distinct ``(a, b)`` of ``pairs`` ``(a, n_a, b, n_b)`` with sets of these sizes whose parities allow a link."""
+    side = lambda c: sets.select(F.col("id").alias(c), F.col("n").alias("n_" + c), F.col("bits").alias("bits_" + c))
+    both = pairs.join(side("a"), ["a", "n_a"]).join(side("b"), ["b", "n_b"])
+    return both.where(_alike(F.col("n_a") + F.col("n_b"), similarity)).select("a", "b").distinct()
+
+
 def _entries(index: DataFrame, sets: DataFrame, on: list[str]) -> DataFrame:
     """``index`` with the parities of its sets and ``before``, the up to ``BEFORE`` n-grams in front of the entry's own in its set's prefix."""
     own = F.get("prefix", F.col("pos")) == F.col("token")  # an id may have several sets
@@ -166,8 +193,7 @@ def _entries(index: DataFrame, sets: DataFrame, on: list[str]) -> DataFrame:
 
 
 def _meetings(entries: DataFrame, columns: list[str], similarity: Fraction) -> DataFrame:
-    """Pairs of index entries of one token, ``columns`` with _a and _b, that sizes, positions and parities allow to link: linked sets differ in at
-    most the share (1 - similarity) / (1 + similarity) of both sizes together.
+    """Pairs of index entries of one token, ``columns`` with _a and _b, that sizes, positions and parities allow to link.
 
     With the column ``before`` a pair is left out where both entries have an n-gram in common before this one: it meets there, since both
     positions leave more room and the other bounds depend on the two sets alone, or by the same rule still earlier."""
@@ -181,9 +207,8 @@ def _meetings(entries: DataFrame, columns: list[str], similarity: Fraction) -> D
     near = (num * F.col("n_a") <= den * F.col("n_b")) & (num * F.col("n_b") <= den * F.col("n_a"))
     room = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"))
     both = F.col("n_a") + F.col("n_b")
-    differ = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(BITS // 64)), F.lit(0))
     once = (F.col("id_a") < F.col("id_b")) | (F.col("up") == 1) & (F.col("id_a") != F.col("id_b"))
-    allowed = once & near & (room * (num + den) >= both * num) & (differ * (num + den) <= both * (den - num))
+    allowed = once & near & (room * (num + den) >= both * num) & _alike(both, similarity)
     if "before" in columns:
         allowed &= ~F.arrays_overlap("before_a", "before_b")
     return a.join(b, ["token", "block"]).where(allowed)
@@ -233,11 +258,10 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
 
     near = lambda x, y: (num * F.col(x) <= den * F.col(y)) & (num * F.col(y) <= den * F.col(x))
     lead = index.groupBy("token").agg(F.min(F.struct("n", "id")).alias("lead"))
-    star = index.join(lead, "token").select(F.col("lead.id").alias("a"), F.col("lead.n").alias("na"), F.col("id").alias("b"), "n")
-    star = save(star.where("a <> b").where(near("na", "n")).select("a", "b").distinct(), "star")
-    texts = plain.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
+    star = index.join(lead, "token").select(F.col("lead.id").alias("a"), F.col("lead.n").alias("n_a"), F.col("id").alias("b"), F.col("n").alias("n_b"))
+    star = save(_possible(star.where("a <> b").where(near("n_a", "n_b")).distinct(), sets, similarity), "star")
     needed = star.select(F.col("a").alias("id")).union(star.select("b")).distinct()
-    measured = save(compare(star, texts.join(needed, "id", "left_semi"), width), "measured")
+    measured = save(compare(star, _among(plain, needed), width), "measured")
     discard(star)
     is_link = F.col("common") * den >= F.col("total") * num
     links = measured.where(is_link).select("a", "b")
@@ -258,11 +282,11 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
         drawn = placed.groupBy("token", "comp").agg(F.min(chance).alias("m"))
         first = drawn.groupBy("token").agg(F.min(F.struct("comp", "m")).alias("f"))
         meet = drawn.join(first, "token").where(F.col("comp") != F.col("f.comp")).where(near("m.n", "f.m.n"))
-        meet = meet.select(F.col("f.m.id").alias("a"), F.col("m.id").alias("b")).distinct()
+        meet = meet.select(F.col("f.m.id").alias("a"), F.col("f.m.n").alias("n_a"), F.col("m.id").alias("b"), F.col("m.n").alias("n_b")).distinct()
         known = measured.select("a", "b").union(measured.select("b", "a")).distinct()
-        meet = save(meet.join(known, ["a", "b"], "left_anti"), "meet")
+        meet = save(_possible(meet.join(known, ["a", "b"], "left_anti"), sets, similarity), "meet")
         needed = meet.select(F.col("a").alias("id")).union(meet.select("b")).distinct()
-        fresh = save(compare(meet, texts.join(needed, "id", "left_semi"), width), "measured")
+        fresh = save(compare(meet, _among(plain, needed), width), "measured")
         new = fresh.where(is_link).select("a", "b")
         measured = measured.unionByName(fresh)
         discard(meet)
@@ -270,13 +294,13 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
         if not linked:
             break
         comps = save(components(grown(new)), "components")
-        more = YIELD * linked >= met
+        more = YIELD * linked >= met and GAIN * linked >= entries_left
         turn += 1
         discard(placed)
 
     discard(index)
     # an id with several sets of one size meets with the parities of each
-    own = sets.join(placed.select("id").distinct(), "id", "left_semi").select("id", "n", "s1", "s2", "bits", "prefix")
+    own = _among(sets, placed).select("id", "n", "s1", "s2", "bits", "prefix")
     own = own.dropDuplicates(["id", "n", "s1", "s2"]).drop("s1", "s2")
     placed = _entries(placed, own, ["id", "n"])
     pairs = _meetings(placed, ["id", "n", "pos", "comp", "bits", "before"], similarity).where("comp_a <> comp_b")
@@ -284,17 +308,8 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int =
     gone = measured.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     pairs = save(pairs.join(gone, ["a", "b"], "left_anti"), "pairs")
 
-    far = 1 - F.col("common") / F.col("total")
-    known = measured.select(F.col("a").alias("x"), F.col("b"), far.alias("far"))
-    closest = known.groupBy("b").agg(F.min(F.struct(F.col("far"), F.col("x"))).alias("c"))  # one measured partner per set
-    closest = closest.select(F.col("b").alias("a"), F.col("c.x").alias("x"), F.col("c.far").alias("fa"))
-    mirrored = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    derived = mirrored.join(closest, "a").join(known.withColumnRenamed("far", "fb"), ["x", "b"])
-    derived = derived.where(F.abs(F.col("fa") - F.col("fb")) > float(1 - similarity) + 1e-9)
-    derived = derived.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = save(pairs.join(derived, ["a", "b"], "left_anti"), "pairs")
     needed = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    more = compare(pairs, texts.join(needed, "id", "left_semi"), width).where(is_link).select("a", "b")
+    more = compare(pairs, _among(plain, needed), width).where(is_link).select("a", "b")
     more = save(more, "more")
     if not more.isEmpty():
         comps = save(components(grown(more)), "components")

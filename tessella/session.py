@@ -69,11 +69,20 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tessella/{name}-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def save(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors,
-    and gives Catalyst true sizes for the joins that follow."""
+    and gives Catalyst true sizes for the joins that follow. What the query shuffled is deleted with its end: only the table is read again."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.saved_path = path
     return out
