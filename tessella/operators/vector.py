@@ -77,21 +77,38 @@ def _labels(arcs: DataFrame, mates: DataFrame) -> DataFrame:
 def _peel(ends: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Take off what hangs on one end: the ends left, their chains ``(arc_id, chain)`` through nodes of two ends, and the chains taken off.
 
-    Chains are found as a whole and taken off as a whole, so the rounds follow the logarithm of a hanging tree, not the length of a chain."""
+    Chains are found as a whole and taken off as a whole, so the rounds follow the logarithm of a hanging tree, not the length of a chain. They
+    are found once: where two ends are left at a node that lost others, two chains grow together."""
     hung = None
+    chains = save(_labels(ends.select("arc_id").distinct(), _plain(ends)).withColumnRenamed("root", "chain"), "chains")
     while True:
-        chains = save(_labels(ends.select("arc_id").distinct(), _plain(ends)).withColumnRenamed("root", "chain"), "chains")
         tips = ends.groupBy("node").agg(F.count("*").alias("n"), F.min("arc_id").alias("arc_id")).where("n = 1")
         tips = tips.join(chains, "arc_id").select("chain").distinct()
-        off = save(chains.join(tips, "chain", "left_semi"), "hung")
+        off = save(chains.join(tips, "chain", "left_semi").select("arc_id", "chain"), "hung")
         if off.isEmpty():
             return ends, chains, hung if hung is not None else off
         hung = off if hung is None else hung.unionByName(off)
         rest = save(ends.join(off, "arc_id", "left_anti"), "ends")
-        # chains that met none of those taken off stay as they are
-        if rest.join(ends.join(off, "arc_id", "left_semi"), "node", "left_semi").isEmpty():
-            return rest, save(chains.join(off, "arc_id", "left_anti"), "chains"), hung
+        chains = save(chains.join(off, "arc_id", "left_anti"), "chains")
+        bare = save(rest.join(ends.join(off, "arc_id", "left_semi").select("node").distinct(), "node", "left_semi"), "bare")
+        if bare.isEmpty():
+            return rest, chains, hung
         ends = rest
+        two = bare.join(chains, "arc_id").groupBy("node").agg(F.count("*").alias("n"), F.min("chain").alias("u"), F.max("chain").alias("v")).where("n = 2")
+        one = components(two.select("u", "v")).withColumnRenamed("id", "chain")
+        chains = save(lookup(chains, "chain", one, chains.count()).select("arc_id", F.coalesce("root", "chain").alias("chain")), "chains")
+
+
+def _walks(chains: DataFrame, met: DataFrame) -> DataFrame:
+    """The smallest arc of each walk, ``(arc_id, root)``, over ``chains`` that the mates ``met`` join at their ends. Chains are joined as wholes:
+    each is an arc of that name, so the rounds and rows follow the chains that meet, not their arcs."""
+    tips = met.select("dart", F.shiftright("dart", 1).alias("arc_id")).join(chains, "arc_id").select("dart", "chain")
+    first = tips.groupBy("chain").agg(F.min("dart").alias("first"))
+    tips = save(tips.join(first, "chain").select("dart", (F.col("chain") * 2 + (F.col("dart") != F.col("first")).cast("long")).alias("tip")).distinct(), "tips")
+    ahead = tips.select(F.col("dart").alias("mate"), F.col("tip").alias("ahead"))
+    mates = met.select("dart", "mate").distinct().join(tips, "dart").join(ahead, "mate").select(F.col("tip").alias("dart"), F.col("ahead").alias("mate"))
+    whole = _labels(tips.select(F.shiftright("tip", 1).alias("arc_id")).distinct(), mates).withColumnRenamed("arc_id", "chain")
+    return lookup(chains.select("arc_id", "chain"), "chain", whole, chains.count()).select("arc_id", F.coalesce("root", "chain").alias("root"))
 
 
 def _turns(arcs: DataFrame) -> DataFrame:
@@ -183,7 +200,7 @@ def _junctions(ends: DataFrame, chains: DataFrame, arcs: DataFrame) -> DataFrame
     own = chains.join(at.select("arc_id").distinct().join(chains, "arc_id").select("chain").distinct(), "chain", "left_semi")
     here = ends.join(own, "arc_id", "left_semi")
     mates = save(first.select("dart", "mate").unionByName(_plain(here)), "mates")
-    roots = save(_labels(own.select("arc_id"), mates), "roots")
+    roots = save(_walks(own, first), "roots")
     start = here.join(roots, "arc_id").groupBy("root").agg(F.min("node").alias("start"))
     lists = save(_walk_lists(here, mates, roots, start, own.select("arc_id", F.lit(1).alias("w"))), "lists")
     facing = first.where("left").join(placed.select("dart", "set"), "dart").join(lists.select("dart", "last"), "dart").groupBy("last").agg(F.min("set").alias("set"))
@@ -244,8 +261,8 @@ def assemble(arcs: DataFrame, tol: float = 1e-7) -> tuple[DataFrame, DataFrame]:
     if ends.groupBy("node").count().where("count > 2").isEmpty():
         roots = chains.select("arc_id", F.col("chain").alias("root"))
     else:
-        mates = save(mates.unionByName(_junctions(ends, chains, arcs)), "mates")
-        mates, roots = _split(ends, mates, save(_labels(chains.select("arc_id"), mates), "roots"))
+        met = _junctions(ends, chains, arcs)
+        mates, roots = _split(ends, save(mates.unionByName(met), "mates"), save(_walks(chains, met), "roots"))
     loose = ends.withColumn("dart", _dart()).join(mates, "dart", "left_anti").select("arc_id")
     bad = loose.union(hung.select("arc_id")).distinct().withColumn("bad", F.lit(1))
     self_ = own.select(F.explode(F.array(*[F.struct((F.col("arc_id") * 2 + s).alias("dart"), (F.col("arc_id") * 2 + 1 - s).alias("mate")) for s in (0, 1)])).alias("m")).select("m.*")
