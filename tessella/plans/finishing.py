@@ -53,9 +53,10 @@ def fill_uncovered(covered: DataFrame, w: int, h: int, block: int = R.BLOCK, gro
 
 
 def flagged(pixels: DataFrame, runs: DataFrame, name: str, value=1, key: Sequence[str] = ()) -> DataFrame:
-    """Pixels with ``name`` = ``value`` on the mask and 0 elsewhere."""
+    """Pixels with ``name`` = ``value`` on the mask and 0 elsewhere. Both sides are shuffled: Catalyst takes the unpacked pixels for as small as
+    the runs, and would send a whole mask through the driver."""
     on = R.to_pixels(runs).select(*key, "y", "x", F.lit(value).cast("long").alias(name))
-    return pixels.join(on, [*key, "y", "x"], "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
+    return pixels.join(on.hint("merge"), [*key, "y", "x"], "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
 
 
 def feathered(pixels: DataFrame, runs: DataFrame, sigma: float, w: int, h: int, block: int, own: Sequence[str] = ("r", "g", "b")) -> DataFrame:
