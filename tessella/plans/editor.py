@@ -11,9 +11,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessella.plans import arrays
+
 
 @dataclass(frozen=True)
 class Options:
@@ -36,6 +38,10 @@ class ColumnEditor:
     def apply(self, requests: DataFrame) -> DataFrame:
         return requests.withColumns({**self.columns(), "status": F.lit("ok")})
 
+    def on_arrays(self, spark: SparkSession) -> dict[str, tuple] | None:
+        """The same expressions for windows held as arrays (``arrays.value``), where they can be computed there."""
+        return arrays.compiled(spark, self.columns)
+
 
 @dataclass(frozen=True)
 class PythonEditor:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from tessella.operators import grid as G
 from tessella.operators import mosaic as M
 from tessella.operators.graph import components, ranked
 from tessella.operators.regions import median_by
+from tessella.plans import arrays
 from tessella.session import discard, new_path, save
 
 
@@ -69,16 +73,36 @@ def _spread(by: str, level: int, reach: int, block: int):
     return run
 
 
-def bfs_order(tiles: DataFrame, by: str, renumber: int = 32) -> DataFrame:
+NEAR_TILES = 32_000  # tiles of one block of the search, which sees nine blocks at most
+REACH = (32, 64, 128, 256, 512, 1024)
+
+
+def reach_of(tiles: DataFrame, by: str) -> int:
+    """The largest edge of ``REACH`` at which no block holds more than ``NEAR_TILES`` tiles, at most a quarter of the extent of the sets; the first always does.
+    Thin sets are long and have few tiles a block."""
+    span = F.greatest(*[F.max(c) - F.min(c) for c in ("col", "row")])
+    extent = tiles.groupBy(by).agg(span.alias("n")).agg(F.max("n")).first()[0] or 0
+    some = [k for k in REACH if k == REACH[0] or 4 * k <= extent]
+    if len(some) == 1:
+        return some[0]
+    at = lambda k: F.struct(F.lit(k).alias("k"), *[F.floor(F.col(c) * REACH[0] / k).alias(c) for c in ("col", "row")])
+    few = tiles.groupBy(by, *[F.floor(F.col(c) / REACH[0]).alias(c) for c in ("col", "row")]).agg(F.count("*").alias("n"))
+    blocks = few.select(by, "n", F.explode(F.array(*map(at, some))).alias("b")).groupBy(by, "b").agg(F.sum("n").alias("n"))
+    full = [r.k for r in blocks.groupBy("b.k").agg(F.max("n").alias("n")).where(F.col("n") > NEAR_TILES).collect()]
+    return max(k for k in some if k == REACH[0] or k < min(full, default=k + 1))
+
+
+def bfs_order(tiles: DataFrame, by: str, renumber: int | None = None) -> DataFrame:
     """Breadth-first order per ``by``: components by their smallest (col, row), then level by level; inside a level
     by the place of the earliest parent, then east, west, south, north. Columns: level, idx (from 0).
 
-    A round goes ``renumber`` levels on: what a tile becomes depends on tiles at most that many steps away, so each block of that edge
+    A round goes ``renumber`` levels on (by default as far as its blocks stay small): what a tile becomes depends on tiles at most that many steps away, so each block of that edge
     searches alone among its own tiles and those around it (three by three blocks at most). The place inside a level is kept as text: the
     path of directions, which sorts the same way and is replaced by a rank after every round to stay short."""
     spark = tiles.sparkSession
-    block = max(renumber, 8)
     t = save(tile_components(tiles, by), "tiles")
+    renumber = renumber or reach_of(t, by)
+    block = max(renumber, 8)
     types = dict(t.dtypes)
     schema = f"{by} {types[by]}, col {types['col']}, row {types['row']}, path string, level int"
     root = new_path(spark, "levels")
@@ -153,6 +177,167 @@ def box_waits(windows: DataFrame, block: int) -> DataFrame:
 
 AREA = 32  # windows along the edge of the areas in which jobs are ordered
 TASK_PIXELS = 500_000  # pixels of windows in one task of a round
+AREA_PIXELS = 2_000_000  # pixels of the areas whose boxes one task edits one after another
+FEW_CELLS = 50_000  # cells of windows that may be broadcast
+
+
+def area_sides(w: int, h: int, win: int, pixels: int) -> tuple[int, int]:
+    """Edges (across, down) of areas of about so many pixels, in whole windows: square, or longer along a canvas narrower than that."""
+    n = max(pixels // (win * win), 1)
+    across, down = max(-(-w // win), 1), max(-(-h // win), 1)
+    cols = min(across, max(math.isqrt(n), n // down, 1))
+    return cols * win, max(n // cols, 1) * win
+
+
+def _ordered(flat: np.ndarray, size: int, v: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Order in which pixels are written so that of several at one place the largest (r, g, b), nulls first, comes last."""
+    seen = np.zeros(size, bool)
+    seen[flat] = True
+    if seen.sum() == len(flat):
+        return np.arange(len(flat))
+    return np.lexsort([k for c in (2, 1, 0) for k in (v[c], known[c])])
+
+
+def _edit_area(steps: dict, win: int, feather: int, ah: int, aw: int):
+    """Edits of one area: its boxes one after another, by their ids, on the canvas as it then is."""
+
+    def run(px: pa.Table, boxes: pa.Table) -> pa.Table:
+        out = pa.schema([(c, pa.int64()) for c in ("y", "x", *"rgb")] + [("prio", pa.int32())])
+        if not boxes.num_rows or not px.num_rows:
+            return out.empty_table()
+        jobs = sorted(boxes.to_pylist(), key=lambda j: j["box_id"])
+        top, left = min(j["wy0"] for j in jobs), min(j["wx0"] for j in jobs)
+        hh, ww = max(j["wy0"] for j in jobs) + win - top, max(j["wx0"] for j in jobs) + win - left
+        y = px["y"].to_numpy() + (jobs[0]["ay"] * ah - top)
+        x = px["x"].to_numpy() + (jobs[0]["ax"] * aw - left)
+        ok = (y >= 0) & (y < hh) & (x >= 0) & (x < ww)
+        flat, prio = (y * ww + x)[ok], px["prio"].to_numpy()[ok]
+        v = np.stack([px[c].fill_null(0).to_numpy() for c in "rgb"])[:, ok].astype(np.int64)
+        known = np.stack([px[c].is_valid().to_numpy() for c in "rgb"])[:, ok]
+        layer = {}
+        for raw in (False, True):  # the canvas with what was made on it so far, and the second capture
+            val, good, has = np.zeros((3, hh * ww), np.int64), np.ones((3, hh * ww), bool), np.zeros(hh * ww, bool)
+            for p in np.unique(prio[(prio == -2) == raw]):
+                at = np.flatnonzero(prio == p)
+                at = at[_ordered(flat[at], hh * ww, v[:, at], known[:, at])]
+                val[:, flat[at]], good[:, flat[at]], has[flat[at]] = v[:, at], known[:, at], True
+            layer[raw] = val.reshape(3, hh, ww), good.reshape(3, hh, ww), has.reshape(hh, ww)
+        (val, good, has), (rval, rgood, rhas) = layer[False], layer[True]
+        made = np.zeros((hh, ww), bool)
+        gy, gx = np.mgrid[0:win, 0:win]
+        for j in jobs:
+            y0, x0 = j["wy0"] - top, j["wx0"] - left
+            by0, by1, bx0, bx1 = (j[c] for c in ("by0", "by1", "bx0", "bx1"))
+            inner = slice(max(by0, 0), max(min(by1, win), 0)), slice(max(bx0, 0), max(min(bx1, win), 0))
+            sl = slice(y0, y0 + win), slice(x0, x0 + win)
+            under, uknown = val[:, *sl], good[:, *sl]
+            shown, sknown, here = under.copy(), uknown & has[sl], has[sl].copy()
+            shown[~sknown] = 0
+            ri = rhas[sl][inner]
+            here[inner] |= ri
+            if not here[inner].any():
+                continue
+            take = ri & rgood[:, *sl][:, *inner]
+            np.copyto(shown[:, *inner], rval[:, *sl][:, *inner], where=take)
+            sknown[:, *inner] |= take
+            d = np.minimum(np.minimum(gx - bx0, gy - by0), np.minimum(bx1 - 1 - gx, by1 - 1 - gy))
+            edge = d[inner] < 2
+            for c, name in enumerate("rgb"):
+                if j.get("f" + name) is not None:
+                    shown[c][inner], sknown[c][inner] = j["f" + name], True
+                shown[c][inner][edge], sknown[c][inner][edge] = C.RED[c], True
+            n = int(here.sum())
+            whole = n == here.size
+            pick = (lambda a: a.ravel()) if whole else (lambda a: a[here])  # noqa: B023
+            cols = {c: (np.asarray(j[c], np.int64), None) for c in ("box_id", "bx0", "by0", "bx1", "by1")}
+            cols |= {"ox": (np.asarray(j["wx0"], np.int64), None), "oy": (np.asarray(j["wy0"], np.int64), None), "y": (pick(gy), None), "x": (pick(gx), None)}
+            for c, name in enumerate("rgb"):
+                k = pick(sknown[c])
+                cols[name] = pick(shown[c]), None if k.all() else k
+            put = here[inner]
+            a = np.where(d[inner] < feather, np.floor((d[inner] + 1) * 255 / (feather + 1)).astype(np.int64), 255)
+            for c, name in enumerate("rgb"):
+                new, k = arrays.value(steps[name], cols)
+                full = np.zeros(here.shape, new.dtype)
+                full[here] = new
+                sure = np.zeros(here.shape, bool)
+                sure[here] = True if k is None else k
+                u = under[c][inner]
+                mixed = np.floor((full[inner] * a + u * (255 - a)) / 255.0).astype(np.int64)
+                sure = sure[inner] & uknown[c][inner] & has[sl][inner]
+                np.copyto(u, mixed, where=put)
+                np.copyto(uknown[c][inner], sure, where=put)
+            has[sl][inner] |= put
+            made[sl][inner] |= put
+        py, px_ = np.nonzero(made)
+        rgb = [pa.array(val[c][made], mask=~good[c][made]) for c in range(3)]
+        return pa.Table.from_arrays([pa.array(py + top), pa.array(px_ + left), *rgb, pa.array(np.full(len(py), jobs[0]["turn"], np.int32))], schema=out)
+
+    return run
+
+
+def _edit_areas(layers: DataFrame, b: DataFrame, waits: DataFrame, steps: dict, win: int, feather: int, w: int, h: int, path: str) -> DataFrame | None:
+    """What boxes with windows ``b`` make of the canvas, as patches ``(y, x, r, g, b, prio)``, or None if there are no boxes.
+
+    Boxes belong to areas, and one task edits those of an area by their ids until it needs what another area has not made yet: a chain of boxes
+    costs as many turns as it changes areas. A turn reads the pixels of its areas and the patches of those turns that its windows show."""
+    spark = b.sparkSession
+    aw, ah = area_sides(w, h, win, AREA_PIXELS)
+    sw, sh = area_sides(w, h, win, max(16 * AREA_PIXELS, (AREA * win) ** 2))
+    long = lambda c: F.col(c).cast("long").alias(c)
+    b = b.withColumn("ax", F.floor(F.col("x0") / aw)).withColumn("ay", F.floor(F.col("y0") / ah))
+    own = lambda c, n: b.select(F.col("box_id").alias(c), F.struct("ax", "ay").alias(n))
+    # inside an area the ids settle the order; another area must be a turn ahead
+    chain = waits.join(own("box_id", "mine"), "box_id").join(own("on", "other"), "on")
+    chain = save(chain.select("box_id", "on", F.when(F.col("mine") == F.col("other"), 0).otherwise(F.col("gap")).alias("gap")), "chain")
+    place = F.struct(F.floor(F.col("x0") / sw), F.floor(F.col("y0") / sh))
+    turns = rounds(b.select("box_id", place.alias("block")), chain).withColumnRenamed("wave", "turn")
+    b = save(b.join(turns, "box_id"), "turns")
+    first = b.groupBy("ax", "ay").agg(F.min("turn").alias("first"))
+    blocks = lambda lo, hi, name: f"explode(sequence(floor({lo} / {win}), floor(({hi} - 1) / {win}))) {name}"
+    cells = b.selectExpr("*", blocks("wx0", "wx1", "kx")).selectExpr("*", blocks("wy0", "wy1", "ky"))
+    boxed = F.expr(f"x0 < (kx + 1) * {win} AND x1 > kx * {win} AND y0 < (ky + 1) * {win} AND y1 > ky * {win}")
+    cells = save(cells.groupBy("turn", "ax", "ay", "kx", "ky").agg(F.max(boxed).alias("boxed")), "cells")
+    # numbers of turns, of which the loop below is made anyway
+    size = {r.turn: (r.n, r.areas) for r in cells.groupBy("turn").agg(F.count("*").alias("n"), F.countDistinct("ax", "ay").alias("areas")).collect()}
+    if not size:
+        return None
+    turn_of = lambda c, t: b.select(F.col("box_id").alias(c), F.col("turn").alias(t))
+    shows = waits.where("gap = 1").join(turn_of("box_id", "turn"), "box_id").join(turn_of("on", "before"), "on").where("before < turn")
+    shows = {r.turn: sorted(r.before) for r in shows.groupBy("turn").agg(F.collect_set("before").alias("before")).collect()}
+    parts = b.join(first, ["ax", "ay"]).groupBy("turn").agg(F.collect_set("first").alias("first")).collect()
+    parts = {r.turn: sorted(r.first) for r in parts}
+    small = lambda df, n: F.broadcast(df) if n <= FEW_CELLS else df.hint("merge")
+    at = [F.floor(F.col("y") / win).alias("ky"), F.floor(F.col("x") / win).alias("kx")]
+    here = ["ax", "ay", (F.col("y") - F.col("ay") * ah).cast("int").alias("y"), (F.col("x") - F.col("ax") * aw).cast("int").alias("x"), *[long(c) for c in "rgb"], F.col("prio").cast("int").alias("prio")]
+    seen = cells.groupBy("ax", "ay", "kx", "ky").agg(F.max("boxed").alias("boxed")).join(first, ["ax", "ay"])
+    px = layers.select("*", *at).join(small(seen, sum(n for n, _ in size.values())), ["ky", "kx"]).where("prio <> -2 OR boxed")
+    px = px.select(*here, F.col("first").alias("part"))
+    px.hint("rebalance", "part").write.partitionBy("part").parquet(f"{path}/pixels")
+    px_schema = px.drop("part").schema
+    kept = ["ax", "ay", "turn", "box_id", "wx0", "wy0", "bx0", "by0", "bx1", "by1", *[c for c in ("fr", "fg", "fb") if c in b.columns]]
+    jobs = b.select(*[long(c) for c in kept], F.col("turn").alias("part"))
+    jobs.write.partitionBy("part").parquet(f"{path}/jobs")
+    cells.withColumn("part", F.col("turn")).write.partitionBy("part").parquet(f"{path}/cells")
+    schema = "y long, x long, r long, g long, b long, prio int"
+    run, done = _edit_area(steps, win, feather, ah, aw), []
+    for turn in range(max(size) + 1):
+        if turn not in size:
+            done.append(None)
+            continue
+        n, areas = size[turn]
+        todo = spark.read.schema(jobs.drop("part").schema).parquet(f"{path}/jobs/part={turn}")
+        near = spark.read.schema(cells.schema).parquet(f"{path}/cells/part={turn}")
+        px = spark.read.schema(px_schema).parquet(*[f"{path}/pixels/part={f}" for f in parts[turn]])
+        px = px.join(small(near.select("ax", "ay").distinct(), n), ["ax", "ay"], "left_semi")
+        if turn in shows:
+            patches = spark.read.schema(schema).parquet(*[done[t] for t in shows[turn]])
+            px = px.unionByName(patches.select("*", *at).join(small(near, n), ["ky", "kx"]).select(*here))
+        px, todo = (df.repartition(areas, "ax", "ay").groupBy("ax", "ay") for df in (px, todo))
+        done.append(f"{path}/turn={turn}")
+        px.cogroup(todo).applyInArrow(run, schema).write.parquet(done[-1])
+    return spark.read.schema(schema).parquet(*[d for d in done if d])
+
 
 
 def edit_boxes(
@@ -172,13 +357,23 @@ def edit_boxes(
     b = G.context_window(boxes.select("box_id", "x0", "y0", "x1", "y1"), win, w, h)
     b = save(b.withColumn("wx1", F.col("wx0") + win).withColumn("wy1", F.col("wy0") + win), "boxes")
     waits = save(box_waits(b, win), "waits")
+    rgb = ["r", "g", "b"]
+    layers = canvas.select("y", "x", *rgb, F.lit(-1).alias("prio"))
+    if raw is not None:
+        layers = layers.unionByName(raw.select("y", "x", *rgb, F.lit(-2).alias("prio")))
+    path = new_path(spark, "edit")
+    steps = editor.on_arrays(spark) if hasattr(editor, "on_arrays") and _whole_numbers(layers, b, fill) else None
+    if steps is not None and b.groupBy("box_id").count().where("box_id IS NOT NULL AND count > 1").isEmpty():
+        own = b.where("box_id IS NOT NULL AND " + " AND ".join(f"{c} IS NOT NULL" for c in ("x0", "y0", "x1", "y1")))
+        if fill is not None:
+            own = own.join(fill.select("box_id", "fr", "fg", "fb"), "box_id", "left")
+        patches = _edit_areas(layers, own, waits, steps, win, feather, w, h, path)
+        return canvas.select("y", "x", *rgb) if patches is None else _patched(canvas, patches)
     place = F.struct(*[F.floor(F.col(c) / (AREA * win)) for c in ("x0", "y0")])  # jobs near each other settle their order together
     b = b.join(rounds(b.select("box_id", place.alias("block")), waits), "box_id")
-    rgb = ["r", "g", "b"]
     key = ["box_id", "wave", "bx0", "by0", "bx1", "by1"]
     if fill is not None:
         b, key = b.join(fill.select("box_id", "fr", "fg", "fb"), "box_id", "left"), [*key, "fr", "fg", "fb"]
-    path = new_path(spark, "edit")
     b.write.parquet(f"{path}/rounds")
     b = spark.read.schema(b.schema).parquet(f"{path}/rounds")
     size = {r.wave: r.n for r in b.groupBy("wave").agg(F.count("*").alias("n")).collect()}
@@ -188,9 +383,6 @@ def edit_boxes(
     # rounds whose results a round shows: pairs of rounds, of which the loop below is made anyway
     shows = waits.where("gap = 1").join(wave_of("box_id", "wave"), "box_id").join(wave_of("on", "before"), "on")
     shows = {r.wave: sorted(r.before) for r in shows.groupBy("wave").agg(F.collect_set("before").alias("before")).collect()}
-    layers = canvas.select("y", "x", *rgb, F.lit(-1).alias("prio"))
-    if raw is not None:
-        layers = layers.unionByName(raw.select("y", "x", *rgb, F.lit(-2).alias("prio")))
     b = b.selectExpr("*", "wx0 ox", "wy0 oy")
     key += ["ox", "oy"]
     inside = (F.col("x") >= F.col("bx0")) & (F.col("x") < F.col("bx1")) & (F.col("y") >= F.col("by0")) & (F.col("y") < F.col("by1"))
@@ -231,9 +423,20 @@ def edit_boxes(
         px = px.repartition(tasks, "box_id").groupBy(*key, "y", "x").agg(*newest).select(*key, "y", "x", "under", *shown)
         done.append(f"{path}/wave={wave}")
         editor.apply(px).where(kept).select(*patch).write.parquet(done[-1])
-    patches = spark.read.schema(patch_schema).parquet(*done)
-    newest = patches.groupBy("y", "x").agg(F.max(F.struct("prio", *rgb)).alias("p"))
-    return canvas.join(newest, ["y", "x"], "left").select("y", "x", *[F.coalesce(f"p.{c}", c).alias(c) for c in rgb])
+    return _patched(canvas, spark.read.schema(patch_schema).parquet(*done))
+
+
+def _patched(canvas: DataFrame, patches: DataFrame) -> DataFrame:
+    """The canvas with the newest patch of each pixel."""
+    newest = patches.groupBy("y", "x").agg(F.max(F.struct("prio", "r", "g", "b")).alias("p"))
+    return canvas.join(newest.hint("merge"), ["y", "x"], "left").select("y", "x", *[F.coalesce(f"p.{c}", c).alias(c) for c in "rgb"])
+
+
+def _whole_numbers(layers: DataFrame, boxes: DataFrame, fill: DataFrame | None) -> bool:
+    """Whether places, colours and boxes are whole numbers."""
+    types = [t for _, t in layers.dtypes] + [t for c, t in boxes.dtypes if c in ("box_id", "x0", "y0", "x1", "y1")]
+    types += [t for c, t in fill.dtypes if c in ("fr", "fg", "fb")] if fill is not None else []
+    return all(t in ("tinyint", "smallint", "int", "bigint") for t in types)
 
 
 def tile_boxes(order: DataFrame, tile: int, ox: int = 0, oy: int = 0) -> DataFrame:
